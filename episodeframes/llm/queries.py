@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .arc_warc import archives_query
+from .byte_bpe import round_trip
 from .common import read_table
 from .exact_dedup import exact_groups
 from .token_files import token_files_query
@@ -20,6 +22,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives_query(spark, read_table(spark, sf_dir, "pages"))
+
+
 OP6_SQL = """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
@@ -33,6 +43,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
         "op6_exact_dedup": op6_exact_dedup,
+        "op8_byte_bpe": op8_byte_bpe,
+        "op9_arc_to_warc": op9_arc_to_warc,
     }
 
 

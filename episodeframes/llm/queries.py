@@ -11,6 +11,7 @@ from .arc_warc import archives_query
 from .byte_bpe import round_trip
 from .common import read_table
 from .exact_dedup import exact_groups
+from .sharding import shards_query
 from .token_files import token_files_query
 
 
@@ -18,6 +19,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files_query(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards_query(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ FROM d
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op4_shards": op4_shards,
         "op6_exact_dedup": op6_exact_dedup,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_arc_to_warc": op9_arc_to_warc,

@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .arc_warc import archives_query
 from .byte_bpe import round_trip
+from .chat_views import ORACLE as OP3_SQL
+from .chat_views import views_query
 from .common import read_table
 from .exact_dedup import exact_groups
+from .language_id import identify
 from .sharding import shards_query
 from .token_files import token_files_query
 
@@ -19,6 +22,14 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files_query(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
+def op3_chat_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views_query(spark, sf_dir)
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards_query(spark, read_table(spark, sf_dir, "documents"))
 
@@ -47,6 +58,8 @@ FROM d
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_language_id": op2_language_id,
+        "op3_chat_views": op3_chat_views,
         "op4_shards": op4_shards,
         "op6_exact_dedup": op6_exact_dedup,
         "op8_byte_bpe": op8_byte_bpe,
@@ -55,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL}
+    return {"op3_chat_views": OP3_SQL, "op6_exact_dedup": OP6_SQL}

@@ -12,6 +12,7 @@ from .byte_bpe import round_trip
 from .chat_views import ORACLE as OP3_SQL
 from .chat_views import views_query
 from .common import read_table
+from .decontamination import find_contaminated
 from .exact_dedup import exact_groups
 from .language_id import identify
 from .sharding import shards_query
@@ -34,6 +35,10 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards_query(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": op2_language_id,
         "op3_chat_views": op3_chat_views,
         "op4_shards": op4_shards,
+        "op5_decontamination": op5_decontamination,
         "op6_exact_dedup": op6_exact_dedup,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_arc_to_warc": op9_arc_to_warc,

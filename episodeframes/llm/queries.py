@@ -15,6 +15,7 @@ from .common import read_table
 from .decontamination import find_contaminated
 from .exact_dedup import exact_groups
 from .language_id import identify
+from .minhash_dedup import near_duplicates
 from .sharding import shards_query
 from .token_files import token_files_query
 
@@ -51,6 +52,10 @@ def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives_query(spark, read_table(spark, sf_dir, "pages"))
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 OP6_SQL = """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
@@ -60,6 +65,22 @@ FROM d
 """
 
 
+OP10_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 75 * (x.n + y.n - both)),
+r AS (SELECT a AS doc_id, a AS c FROM l UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(min(r.c), w.doc_id) AS component_id, coalesce(min(r.c), w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY w.doc_id, n.n
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -70,8 +91,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_exact_dedup": op6_exact_dedup,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_arc_to_warc": op9_arc_to_warc,
+        "op10_minhash_dedup": op10_minhash_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_views": OP3_SQL, "op6_exact_dedup": OP6_SQL}
+    return {"op3_chat_views": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op10_minhash_dedup": OP10_SQL}

@@ -17,6 +17,7 @@ from .exact_dedup import exact_groups
 from .language_id import identify
 from .minhash_dedup import near_duplicates
 from .sharding import shards_query
+from .suffix_dedup import cut_repeats
 from .token_files import token_files_query
 
 
@@ -44,6 +45,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_shards": op4_shards,
         "op5_decontamination": op5_decontamination,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_arc_to_warc": op9_arc_to_warc,
         "op10_minhash_dedup": op10_minhash_dedup,

@@ -9,8 +9,8 @@ def brute(doc, item):
     """Whether a window of the item agrees with one of the document in four fifths of its words."""
     a, b = (re.findall(r"[^\W_]+", (t or "").lower()) for t in (doc, item))
     n = min(D.WINDOW, len(b))
-    if len(b) < D.LEAST:
-        return False
+    if len(b) < D.LEAST or not {tuple(a[i : i + 3]) for i in range(len(a) - 2)} & {tuple(b[i : i + 3]) for i in range(len(b) - 2)}:
+        return False  # two substitutions in a window leave three words in a row
     return any(sum(x == y for x, y in zip(a[i : i + n], b[j : j + n], strict=True)) >= n - n // 5 for i in range(len(a) - n + 1) for j in range(len(b) - n + 1))
 
 

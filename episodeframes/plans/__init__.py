@@ -1,0 +1 @@
+"""Composite jobs and the catalogue of registered queries."""

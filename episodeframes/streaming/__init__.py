@@ -1,0 +1 @@
+"""Nothing here: the work to be matched has no streaming operator (no watermark, window or late-data rule)."""

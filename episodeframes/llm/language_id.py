@@ -29,7 +29,7 @@ BUCKETS = 1 << 15
 ORDERS = (2, 3, 4)
 DIM = 16
 EPOCHS = 4
-RATE = 0.5
+RATE = 0.2
 ALPHA = 0.001
 MOST_THRESHOLD = 0.4
 PER_LANGUAGE = 800
@@ -152,8 +152,10 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
             back = w @ g
             w -= rate * np.outer(mean, g)
             b -= rate * g
-            # buckets are rare: their step is scaled up to that of the mean
-            e[at] -= (rate * len(at) * share)[:, None] * back
+            # scaled so that the text's mean takes a plain step, however its shares are spread
+            e[at] -= (rate / float(share @ share) * share)[:, None] * back
+    if not (np.isfinite(e).all() and np.isfinite(w).all()):
+        raise FloatingPointError("the language model did not converge")
     table = np.vstack([e @ w, np.zeros((1, k), np.float32)]).T.copy()
     model = Model(languages, table, b.astype(np.float64))
     if held:

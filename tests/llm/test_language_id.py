@@ -51,6 +51,28 @@ def test_calibration(rows):
     assert 0.05 <= model.temperature <= 20 and 0 < model.threshold <= L.MOST_THRESHOLD
 
 
+def test_training_is_stable_on_skewed_texts():
+    """Long texts of one repeated word, and short ones: no step may blow up."""
+    rnd = random.Random(3)
+    rows = []
+    for lang in SYLLABLES:
+        for k in range(300):
+            word = text(rnd, lang, 1)
+            rows.append((" ".join([word] * 3000 + [text(rnd, lang, 5)]) if k % 4 == 0 else text(rnd, lang, rnd.choice([1, 3, 400])), lang))
+    rnd.shuffle(rows)
+    model = L.fit(rows[:700])
+    assert np.isfinite(model.table).all() and np.abs(model.table).max() < 1e4
+    assert np.mean([p[0] == lang for p, (_, lang) in zip(model.predict([t for t, _ in rows[700:]]), rows[700:], strict=True)]) > 0.97
+
+
+def test_accuracy_and_rejection_on_documents(spark):
+    got = L.identify(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    true = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    rows = got.join(true, "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert np.mean([r.lang_pred == r.lang for r in held]) > 0.97 and np.mean([r.accepted for r in rows]) > 0.99
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in L.identify(docs).collect()] == [("und", 0.0)]

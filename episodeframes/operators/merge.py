@@ -21,7 +21,7 @@ def check_mergeable(datasets: Sequence[Dataset]) -> None:
             raise ValueError(f"dataset {k} is of version {d.info.codebase_version}")
         if d.info.fps != first.fps:
             raise ValueError(f"dataset {k} has {d.info.fps} frames a second, not {first.fps}")
-        if set(d.info.features) != set(first.features) or set(d.frames.columns) != set(datasets[0].frames.columns):
+        if set(d.info.features) != set(first.features) or {*d.frames.columns, "index"} != {*datasets[0].frames.columns, "index"}:
             raise ValueError(f"dataset {k} has other features")
 
 
@@ -39,8 +39,8 @@ def merge_datasets(datasets: Sequence[Dataset]) -> Dataset:
     def numbered(part, k):
         return part.withColumn("_src", F.lit(k))
 
-    schema = datasets[0].frames.schema
-    frames = union([numbered(d.frames.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields)), k) for k, d in enumerate(datasets)])
+    fields = [f for f in datasets[0].frames.schema.fields if f.name != "index"]  # rebuilt below
+    frames = union([numbered(d.frames.select(*(col_(f.name).cast(f.dataType).alias(f.name) for f in fields)), k) for k, d in enumerate(datasets)])
     episodes = union([numbered(d.episodes, k) for k, d in enumerate(datasets)])
     tasks = union([numbered(d.tasks, k) for k, d in enumerate(datasets)])
 
@@ -58,4 +58,4 @@ def merge_datasets(datasets: Sequence[Dataset]) -> Dataset:
     if all(d.stats is not None for d in datasets):
         stats = union([numbered(d.stats, k) for k, d in enumerate(datasets)]).withColumn("_key", key).join(places, "_key").select(F.col("new_episode").alias("episode_index"), "stats")
     columns = datasets[0].frames.columns
-    return Dataset(frames.select(*(F.col(f"`{c}`") for c in (columns if "index" in columns else [*columns, "index"]))), episodes, names.select(F.col("new_task").alias("task_index"), "task"), replace(datasets[0].info), stats)
+    return Dataset(frames.select(*(col_(c) for c in (columns if "index" in columns else [*columns, "index"]))), episodes, names.select(F.col("new_task").alias("task_index"), "task"), replace(datasets[0].info), stats)

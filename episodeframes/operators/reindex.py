@@ -17,7 +17,7 @@ def length_prefix(lengths: DataFrame, key: str = "episode_index") -> DataFrame:
 
     Blocks of keys are numbered each by a window of its own; only a row for each block meets in one task.
     """
-    blocked = lengths.withColumn("_block", F.floor(F.col(key) / BLOCK))
+    blocked = lengths.withColumn("_block", F.expr(f"`{key}` div {BLOCK}"))
     within = Window.partitionBy("_block").orderBy(key)
     before = F.coalesce(F.sum("length").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     local = blocked.withColumn("_no", F.row_number().over(within) - 1).withColumn("_before", before)

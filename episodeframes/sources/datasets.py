@@ -99,7 +99,7 @@ def _filesystem(root: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
 
 
-def _write_episode(root: str, info: DatasetInfo):
+def _write_episode(root: str, info: DatasetInfo, names: list[str]):
     template, size = info.data_path, info.chunks_size
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -109,7 +109,7 @@ def _write_episode(root: str, info: DatasetInfo):
         path = f"{base}/" + FIELD.sub(lambda m: f"{values[m[1]]:0{m[2] or 1}d}", template)
         fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
         attempt = f"{path}.{uuid.uuid4().hex}"
-        pq.write_table(table.sort_by("frame_index"), attempt, filesystem=fs)
+        pq.write_table(table.rename_columns(names).sort_by("frame_index"), attempt, filesystem=fs)
         fs.move(attempt, path)
         return pa.table({"episode_index": pa.array([episode], pa.int64()), "rows": pa.array([table.num_rows], pa.int64())})
 
@@ -123,7 +123,10 @@ def write_dataset(ds: Dataset, root: str, layout: str = "chunked", mode: str = "
     if _exists(fs, base) and mode == "error":
         raise FileExistsError(root)
     if layout == "per_episode":
-        ds.frames.groupBy("episode_index").applyInArrow(_write_episode(root, ds.info), "episode_index long, rows long").write.format("noop").mode("overwrite").save()
+        # names with dots don't survive the grouped call
+        names = ds.frames.columns
+        plain = ds.frames.toDF(*(f"_{i}" for i in range(len(names))))
+        plain.groupBy(f"_{names.index('episode_index')}").applyInArrow(_write_episode(root, ds.info, names), "episode_index long, rows long").write.format("noop").mode("overwrite").save()
     else:
         frames = ds.frames.withColumn("episode_chunk", F.floor(F.col("episode_index") / ds.info.chunks_size))
         frames.repartitionByRange("episode_index").sortWithinPartitions("episode_index", "frame_index").write.mode("overwrite").partitionBy("episode_chunk").parquet(f"{root}/data")

@@ -42,8 +42,8 @@ COMMON = 16
 NO_ID = np.int64((1 << 63) - 1)
 MOVED = "bucket int, kind int, n int, block binary, doc_id long, th int, spans array<int>"
 BLOCK, REPEATED, OPEN = 0, 1, 2
-FIELDS_1 = (("kh", "<u4"), ("c1", "<u4"), ("c2", "<u2"), ("doc", "<i8"), ("th", "<i4"), ("s", "<u4"), ("n", "u1"), ("common", "u1"))
-FIELDS_2 = (("h", "<u8"), ("doc", "<i8"), ("th", "<i4"), ("s", "<u4"))
+FIELDS_1 = (("kh", "<u4"), ("c1", "<u4"), ("c2", "<u2"), ("s", "<u4"), ("n", "u1"), ("common", "u1"))
+FIELDS_2 = (("h", "<u8"), ("s", "<u4"))
 
 _TABLE = np.random.default_rng(20240101).integers(0, 1 << 64, 256, dtype=np.uint64)
 
@@ -112,22 +112,41 @@ def stretches(data: np.ndarray, bounds: np.ndarray):
     return keys_at(sums, down, anchor[begin], GRAM), keys_at(sums, down, begin, n + WIDTH - 1), doc, begin - at[doc], n
 
 
+def planes(column: np.ndarray, kind: str) -> bytes:
+    """The bytes of all numbers, first bytes first: equal high bytes lie together and compress well."""
+    return np.ascontiguousarray(column.astype(kind)).view(np.uint8).reshape(len(column), -1).T.tobytes()
+
+
+def from_planes(raw: memoryview, at: int, n: int, kind: str) -> tuple[np.ndarray, int]:
+    size = n * np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, size, at).reshape(-1, n).T).reshape(-1).view(kind), at + size
+
+
 def packed(fields, columns: dict[str, np.ndarray]) -> bytes:
+    """A compressed block of rows that are sorted by document: each run of a document names it once."""
     import zstandard
 
-    raw = b"".join(np.ascontiguousarray(columns[k].astype(kind)).tobytes() for k, kind in fields)
-    return zstandard.compress(raw, 1)
+    cut = runs(columns["doc"], columns["th"])
+    doc = columns["doc"][cut]
+    parts = [np.array([len(cut)], "<u4").tobytes(), planes(np.diff(doc, prepend=0), "<i8"), planes(columns["th"][cut], "<i4"), planes(np.diff(np.append(cut, len(columns["doc"]))), "<u4")]
+    return zstandard.compress(b"".join(parts + [planes(columns[k], kind) for k, kind in fields]), 3)
 
 
 def unpacked(fields, blocks: list[tuple[int, bytes]]) -> dict[str, np.ndarray]:
     import zstandard
 
-    parts: dict[str, list[np.ndarray]] = {k: [] for k, _ in fields}
+    parts: dict[str, list[np.ndarray]] = {k: [] for k in ("doc", "th", *(k for k, _ in fields))}
     for n, block in blocks:
-        raw, at = zstandard.decompress(block), 0
+        raw = memoryview(zstandard.decompress(block))
+        docs = int(np.frombuffer(raw, "<u4", 1)[0])
+        doc, at = from_planes(raw, 4, docs, "<i8")
+        th, at = from_planes(raw, at, docs, "<i4")
+        count, at = from_planes(raw, at, docs, "<u4")
+        parts["doc"].append(np.repeat(np.cumsum(doc), count))
+        parts["th"].append(np.repeat(th, count))
         for k, kind in fields:
-            parts[k].append(np.frombuffer(raw, kind, n, at))
-            at += n * np.dtype(kind).itemsize
+            column, at = from_planes(raw, at, n, kind)
+            parts[k].append(column)
     return {k: np.concatenate(v) for k, v in parts.items()}
 
 
@@ -159,7 +178,7 @@ def runs(*keys: np.ndarray) -> np.ndarray:
 
 
 def send(fields, buckets: int, bucket: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((columns["s"], columns["doc"], bucket))
+    order = np.lexsort((columns["s"], columns["th"], columns["doc"], bucket))
     bucket = bucket[order]
     cut = runs(bucket) if len(bucket) else np.zeros(0, np.int64)
     names, sizes, blocks = [], [], []
@@ -361,10 +380,9 @@ def _cut(keep_text: bool):
 def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_bytes, what is left, if ``keep_text``) of every row."""
     parts = partitions_for(docs.sparkSession)
-    buckets = 4 * parts
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(int(NO_ID))).alias("doc_id"), F.hash(text).alias("th"), F.col(text).alias("text"))
     small = rows.mapInArrow(_shrink, "doc_id long, th int, text binary")
-    moved = rows.mapInArrow(_pass_1(buckets), MOVED).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    moved = rows.mapInArrow(_pass_1(parts), MOVED).repartitionById(parts, "bucket").sortWithinPartitions("bucket")
     first = materialize(moved.mapInArrow(_settle(FIELDS_1, settle_1), MOVED).select("kind", "doc_id", "th", "spans"), "suffixes-1")
 
     def lists(frame: DataFrame) -> DataFrame:
@@ -372,7 +390,7 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kee
 
     still = lists(first.filter(f"kind = {OPEN}"))
     opened = small.join(still, ["doc_id", "th"]).select("doc_id", "th", "text", "spans")
-    moved = opened.mapInArrow(_pass_2(buckets), MOVED).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    moved = opened.mapInArrow(_pass_2(parts), MOVED).repartitionById(parts, "bucket").sortWithinPartitions("bucket")
     second = moved.mapInArrow(_settle(FIELDS_2, settle_2), MOVED).select("doc_id", "th", "spans")
     repeated = lists(first.filter(f"kind = {REPEATED}").select("doc_id", "th", "spans").unionByName(second))
     names = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * keep_text

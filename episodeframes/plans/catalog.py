@@ -12,6 +12,8 @@ from ..operators import augment, latency, merge, occupancy, profile, reindex, se
 from ..schema import ACTION, STATE, Dataset, DatasetInfo, col_
 from ..sources.adapters import EMBEDDINGS_SQL, EVENTS_SQL, LINEITEM_SQL, MESSAGES_SQL, episodes_from_conversations, frames_from_embeddings, frames_from_events, frames_from_lineitem, messages_from_events, table
 
+from . import jobs
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -462,13 +464,75 @@ def c10(spark, d):
 
 
 @query("c11_length_reconciliation", f"""WITH {LINEITEM_SQL}, l AS (SELECT episode_index, count(*) AS n FROM f GROUP BY ALL)
-SELECT episode_index, CASE WHEN episode_index % 50 <> 1 THEN n END AS rows, CASE WHEN episode_index % 50 <> 2 THEN n + (episode_index % 50 = 3)::BIGINT END AS length,
+SELECT episode_index, CASE WHEN episode_index % 50 <> 1 THEN n ELSE -1 END AS rows, CASE WHEN episode_index % 50 <> 2 THEN n + (episode_index % 50 = 3)::BIGINT ELSE -1 END AS length,
   CASE WHEN episode_index % 50 = 1 THEN 'no_frames' WHEN episode_index % 50 = 2 THEN 'no_metadata' WHEN episode_index % 50 = 3 THEN 'length' ELSE 'short' END AS problem FROM l WHERE episode_index % 50 IN (1, 2, 3) OR n < 2""")
 def c11(spark, d):
     ds = of_lineitem(spark, d)
     k = F.col("episode_index") % 50
     episodes = ds.episodes.filter(k != 2).withColumn("length", F.col("length") + F.when(k == 3, 1).otherwise(0))
-    return validate.length_reconciliation(ds.with_(frames=ds.frames.filter(k != 1), episodes=episodes))
+    return validate.length_reconciliation(ds.with_(frames=ds.frames.filter(k != 1), episodes=episodes)).fillna(-1, ["rows", "length"])
+
+
+@query("c1_renumber_episodes", f"""WITH {LINEITEM_SQL}, l AS (SELECT o, row_number() OVER (ORDER BY o) - 1 AS e FROM (SELECT DISTINCT episode_index AS o FROM f WHERE episode_index % 3 = 0))
+SELECT e AS episode_index, frame_index, s1 FROM f JOIN l ON o = episode_index""")
+def c1(spark, d):
+    ds = reindex.renumber_episodes(Dataset.of_frames(frames_from_lineitem(spark, d).filter("episode_index % 3 = 0")))
+    return ds.frames.select("episode_index", "frame_index", col_(STATE)[0].alias("s1"))
+
+
+@query("c6_select_with_tasks", f"""WITH {EVENTS_SQL}, e AS (SELECT episode_index, list_sort(list(DISTINCT task_index)) AS t FROM f WHERE episode_index IN (3, 5, 8) GROUP BY ALL)
+SELECT row_number() OVER (ORDER BY episode_index) - 1 AS episode_index, array_to_string(list_transform(t, lambda x: 'task ' || x), ',') || CASE WHEN episode_index = 5 THEN ',new task' ELSE '' END AS tasks FROM e""")
+def c6(spark, d):
+    out = select.select_episodes(Dataset.of_frames(events(spark, d)), [3, 5, 8], {5: "new task"})
+    return out.episodes.select("episode_index", F.array_join("tasks", ",").alias("tasks"))
+
+
+@query("b6_rename_features", f"""WITH {EMBEDDINGS_SQL} SELECT episode_index, 'state' AS feature, round(max(state[1]), 6) AS max FROM f GROUP BY episode_index UNION ALL SELECT episode_index, '{ACTION}', round(max(action[1]), 6) FROM f GROUP BY episode_index""")
+def b6(spark, d):
+    f = frames_from_embeddings(spark, d)
+    ds = Dataset.of_frames(f).with_(stats=stats.episode_stats(f, [STATE, ACTION], {STATE: 14, ACTION: 14}))
+    return rounded(stats.stats_rows(select.rename_features(ds, {STATE: "state"}).stats).filter("dim = 0").select("episode_index", "feature", "max"), "max")
+
+
+@query("b11_drop_features", f"""WITH {EMBEDDINGS_SQL} SELECT index, task_index, round(state[14], 6) + 0.0 AS last FROM f""")
+def b11(spark, d):
+    ds = select.drop_features(Dataset.of_frames(frames_from_embeddings(spark, d)), [ACTION, "timestamp"])
+    return ds.frames.select("index", "task_index", r6(F.element_at(col_(STATE), -1)).alias("last"))
+
+
+@query("b13_align", f"""WITH {EMBEDDINGS_SQL} SELECT episode_index, 'one task' AS tasks, 0::BIGINT AS task_index, count(*) AS length FROM f GROUP BY ALL""")
+def b13(spark, d):
+    ds = select.align_to(Dataset.of_frames(frames_from_embeddings(spark, d)), DatasetInfo(robot_type="r"), {}, "one task")
+    return ds.episodes.select("episode_index", F.array_join("tasks", ",").alias("tasks"), "task_index", "length")
+
+
+@query("d17_totals", f"""WITH {LINEITEM_SQL}, t AS (SELECT count(DISTINCT episode_index) AS e, count(*) AS n, count(DISTINCT task_index) AS t FROM f)
+SELECT e AS total_episodes, n AS total_frames, t AS total_tasks, ceil(e / 1000)::BIGINT AS total_chunks, '0:' || e AS train FROM t""")
+def d17(spark, d):
+    info = stats.rebuild_info(of_lineitem(spark, d))[0]
+    row = (info.total_episodes, info.total_frames, info.total_tasks, info.total_chunks, info.splits["train"])
+    return spark.createDataFrame([row], "total_episodes long, total_frames long, total_tasks long, total_chunks long, train string")
+
+
+@query("j6_mirror_and_merge", f"""WITH {EMBEDDINGS_SQL}, u AS (SELECT 0 AS k, episode_index, frame_index, state[1] AS x FROM f UNION ALL SELECT 1, episode_index, frame_index, -state[8] FROM f)
+SELECT dense_rank() OVER (ORDER BY k, episode_index) - 1 AS episode_index, row_number() OVER (ORDER BY k, episode_index, frame_index) - 1 AS index, round(x, 6) + 0.0 AS x FROM u""")
+def j6(spark, d):
+    return jobs.mirror_and_merge(Dataset.of_frames(frames_from_embeddings(spark, d)), MIRROR).frames.select("episode_index", "index", r6(col_(STATE)[0]).alias("x"))
+
+
+@query("j7_decimate_and_merge", f"""WITH {EMBEDDINGS_SQL}, u AS (SELECT 0 AS k, episode_index, frame_index, timestamp::DOUBLE AS t FROM f UNION ALL SELECT 1, episode_index, frame_index // 3, ((frame_index // 3)::FLOAT * (1 / 30.0)::FLOAT)::DOUBLE FROM f WHERE frame_index % 3 = 0)
+SELECT dense_rank() OVER (ORDER BY k, episode_index) - 1 AS episode_index, row_number() OVER (ORDER BY k, episode_index, frame_index) - 1 AS index, frame_index, round(t, 4) AS timestamp FROM u""")
+def j7(spark, d):
+    out = jobs.decimate_and_merge(Dataset.of_frames(frames_from_embeddings(spark, d)), 3).frames
+    return out.select("episode_index", "index", "frame_index", F.round(F.col("timestamp").cast("double"), 4).alias("timestamp"))
+
+
+@query("j9_check_up", f"""WITH {LINEITEM_SQL}, l AS (SELECT episode_index AS e, count(*) AS n FROM f GROUP BY ALL), s AS (SELECT DISTINCT e FROM l),
+g AS (SELECT e FROM s WHERE e <> 0 AND e - 1 NOT IN (SELECT e FROM s))
+SELECT 'lengths' AS "check", e::VARCHAR AS subject, 'short' AS problem FROM l WHERE n < 2 UNION ALL SELECT 'tasks', task_index::VARCHAR, 'missing' FROM (SELECT DISTINCT task_index FROM f WHERE task_index > 5) UNION ALL SELECT 'tasks', '99', 'extra'
+UNION ALL SELECT 'metadata', 'episodes ' || e, 'gap' FROM g UNION ALL SELECT 'metadata', 'episodes ' || e, 'task' FROM (SELECT DISTINCT episode_index AS e FROM f WHERE task_index > 5) UNION ALL SELECT 'metadata', 'tasks ' || t, 'gap' FROM (SELECT unnest([1, 99]) AS t)""")
+def j9(spark, d):
+    return jobs.check_up(odd_tasks(spark, d))
 
 
 def keyframes(spark, d) -> DataFrame:

@@ -9,9 +9,12 @@ share one of BANDS bands but for 7 in a million.
 
 Links: equal sets are one node. In each band bucket every node meets the bucket's first node; a node is first compared
 with the smallest of those alone, whole sets against whole sets, streamed by pivot, and hot pivots are salted. Nodes that
-this connects need no further comparison with each other; of all other pairs that share a bucket but no component, each
-is compared too, so no link between components is lost and a large group costs its size and not its square. Components
-come from star contraction in Spark; nothing is collected.
+this connects need no further comparison with each other. All others that share a bucket but no component meet in blocks
+of BLOCK nodes, as one byte of each coordinate; fewer than LEAST_AGREE agreeing bytes mean dissimilar (five standard
+deviations below 0.75). What may be similar forms clusters, and within a cluster all pairs of two components are compared
+on whole sets, again in blocks of bounded size, each of which merges what it links as it goes. So no link between
+components is lost, pairs are never rows, and a large group of near copies is mostly done when its first comparison is.
+Components come from star contraction in Spark; nothing is collected.
 
 Defined results: a text of no words has an empty set and stays by itself; nulls in doc_id count as the largest ids;
 repeated rows are copies, of which ``drop_near_copies`` keeps one. Other columns are carried.
@@ -38,12 +41,17 @@ SHINGLE = 5
 PERCENT = 75
 #: Members of a pivot that meet in one group of rows; a larger group is dealt to more.
 MEMBERS = 256
+#: Nodes of a bucket that meet in one group of rows; a larger bucket is dealt to a group for each pair of blocks.
+BLOCK = 512
+#: Bytes of text that a block holds; blocks of long texts have fewer nodes.
+BLOCK_TEXT = 8 << 20
+LEAST_AGREE = int(COORDINATES * 0.75 - 5 * (COORDINATES * 0.75 * 0.25) ** 0.5)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 #: The same separators for a regular expression: whether a text has a word.
 HAS_WORD = r"[^\x20\x09-\x0D]"
-SIGNATURES = "doc_id long, k1 long, k2 long, n_shingles long, node binary, bands array<long>"
+SIGNATURES = "doc_id long, k1 long, k2 long, n_shingles long, node binary, bands array<long>, sig binary"
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -124,10 +132,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, at = utf8(batch.column(3))
         for i, j in row_blocks(at, 4 << 20):
             sets = shingle_sets(data, at[i : j + 1])
-            keys = band_keys(sketches(sets)).view(np.int64)
+            sketch = sketches(sets)
+            keys, sig = band_keys(sketch).view(np.int64), sketch.astype(np.uint8)
             nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), lists], ["doc_id", "k1", "k2", "n_shingles", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), lists, pa.array([x.tobytes() for x in sig], pa.binary())], ["doc_id", "k1", "k2", "n_shingles", "node", "bands", "sig"])
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,6 +160,102 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(v, pa.int64())], ["p", "v"])
 
 
+def may_link(c: np.ndarray, side: np.ndarray, sig: np.ndarray) -> np.ndarray:
+    """Matrix of nodes of different components whose signatures agree enough; if there are two sides, only across."""
+    out = np.zeros((len(c), len(c)), bool)
+    for i in range(0, len(c), 64):
+        out[i : i + 64] = (sig[i : i + 64, None, :] == sig[None, :, :]).sum(axis=2) >= LEAST_AGREE
+    out &= c[:, None] != c[None, :]
+    return out & (side[:, None] != side[None, :]) if side.any() and not side.all() else out
+
+
+def smallest_reached(links: np.ndarray) -> np.ndarray:
+    """For each node of a symmetric matrix of links the smallest node it reaches."""
+    label = np.arange(len(links))
+    while True:
+        new = np.minimum(label, np.where(links, label[None, :], len(links)).min(axis=1, initial=len(links)))
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], width: int):
+    """Lists of rows (without their first three columns, the group) of sorted batches."""
+    group, held = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(x).to_pylist() for x in range(width)), strict=True):
+            if row[:3] != group:
+                if len(held) > 1:
+                    yield held
+                group, held = row[:3], []
+            held.append(row[3:])
+    if len(held) > 1:
+        yield held
+
+
+def _pairs(p: list[int], v: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(v, pa.int64())], ["p", "v"])
+
+
+def _columns(held: list[tuple]) -> tuple[np.ndarray, ...]:
+    side, v, c = (np.array(x) for x in zip(*(h[:3] for h in held), strict=True))
+    return side, v, c, np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), COORDINATES)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, i, j, side, v, c, sig), sorted by group: what may be linked, as one edge for each node."""
+    for held in _grouped(batches, 7):
+        side, v, c, sig = _columns(held)
+        label = smallest_reached(may_link(c, side, sig))
+        at = np.flatnonzero(label != np.arange(len(label)))
+        if len(at):
+            yield _pairs(v[label[at]].tolist(), v[at].tolist())
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cluster, i, j, side, v, c, sig, text), sorted by group: links that join different components."""
+    for held in _grouped(batches, 8):
+        side, v, c, sig = _columns(held)
+        sets = shingle_sets(*utf8(pa.array([h[4] for h in held], pa.string())))
+        up = {x: x for x in c.tolist()}
+
+        def top(x):
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        p, q = [], []
+        for x, y in np.argwhere(np.triu(may_link(c, side, sig))).tolist():
+            a, b = top(int(c[x])), top(int(c[y]))
+            if a != b and similar(sets[x], sets[y]):
+                up[max(a, b)] = min(a, b)
+                p.append(int(v[x]))
+                q.append(int(v[y]))
+        if p:
+            yield _pairs(p, q)
+
+
+def in_blocks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows (with ``blocks``, a number for each key) dealt to a group (key, i, j) for each pair of blocks."""
+    own = rows.withColumn("b", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    meets = own.select(key, F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"), (F.col("b") > F.col("x")).cast("int").alias("side"), *columns)
+    return meets.repartition(partitions_for(rows.sparkSession), key, "i", "j").sortWithinPartitions(key, "i", "j")
+
+
+def crossing_links(placed: DataFrame, found: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (p, v) between components of nodes that share a bucket. ``placed``: (key, v, c), ``found``: (v, c)."""
+    sizes = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).filter("low != high")
+    mixed = placed.join(materialize(sizes.select("key", "blocks"), "mixed"), "key").join(nodes.select("v", "sig"), "v")
+    edges = in_blocks(mixed, "key", ["v", "c", "sig"]).mapInArrow(_candidates, "p long, v long")
+    clusters = materialize(components(edges).withColumnRenamed("c", "cluster"), "clusters")
+    members = clusters.join(found, "v", "left").withColumn("c", F.coalesce("c", "v")).join(texts, "v").join(nodes.select("v", "sig"), "v")
+    members = materialize(members, "cluster-members")
+    room = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("text")) / BLOCK_TEXT)
+    sizes = materialize(members.groupBy("cluster").agg(F.ceil(room).cast("int").alias("blocks")), "cluster-sizes")
+    dealt = in_blocks(members.join(sizes, "cluster"), "cluster", ["v", "c", "sig", "text"])
+    return dealt.mapInArrow(_compared, "p long, v long").distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the distinct pairs (p, v) whose whole sets are similar. ``texts``: (v, text)."""
     spark = pairs.sparkSession
@@ -164,22 +269,27 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(v, c) for every node with a link: c is the smallest node of its component. Stars are contracted until none changes."""
-    edges = materialize(links.select(F.greatest("p", "v").alias("a"), F.least("p", "v").alias("b")).filter("a != b").distinct(), "edges")
+    edges, before = materialize(links.select(F.greatest("p", "v").alias("a"), F.least("p", "v").alias("b")).filter("a != b").distinct(), "edges"), None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "large-stars")
         large = materialize(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
-        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "small-stars")
-        small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = materialize(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        check = [x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() for x in (edges, after)]
-        edges = after
-        if check[0] == check[1]:
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a != b")
+        edges = materialize(small.distinct(), "edges")
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == before or not now[0]:
             break
+        before = now
     stars = edges.select(F.col("a").alias("v"), F.col("b").alias("c"))
     return stars.unionByName(stars.select(F.col("c").alias("v"), "c").distinct())
 
 
+def placed_in(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, v, c): bucket, node and its component so far."""
+    return materialize(members.select("key", "v").join(found, "v", "left").select("key", "v", F.coalesce("c", "v").alias("c")), "placed")
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """``docs``: doc_id, text, k1, k2. Returns doc_id, k1, k2, n_shingles, component_id, first_id, first_k1, first_k2.
 
@@ -190,7 +300,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     signed = materialize(rows.mapInArrow(_signatures, SIGNATURES), "signatures")
     # null ids last
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
-    nodes = signed.filter("node is not null").groupBy("node").agg(F.min(order).alias("rep"), F.first("bands").alias("bands"))
+    nodes = signed.filter("node is not null").groupBy("node").agg(F.min(order).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     nodes = materialize(nodes.withColumn("v", F.monotonically_increasing_id()), "nodes")
     banded = nodes.select("v", F.explode("bands").alias("key"))
     buckets = materialize(banded.groupBy("key").agg(F.min("v").alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "p"), "buckets")
@@ -200,19 +310,13 @@ def near_groups(docs: DataFrame) -> DataFrame:
     nearest = materialize(members.filter("v != p").groupBy("v").agg(F.min("p").alias("p")).select("p", "v"), "pairs")
     links = verified(nearest, texts)
     found = materialize(components(links), "components")
-    # pairs that share a bucket and no component
-    placed = members.select("key", "v").join(found, "v", "left").select("key", "v", F.coalesce("c", "v").alias("c"))
-    placed = materialize(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low != high").select("key")
-    rest = materialize(placed.join(mixed, "key"), "mixed")
-    other = rest.select("key", F.col("v").alias("p"), F.col("c").alias("d"))
-    pairs = rest.join(other, "key").filter("p < v and c != d").select("p", "v").distinct().join(nearest, ["p", "v"], "left_anti")
-    more = verified(materialize(pairs, "pairs"), texts)
+    # all other pairs that share a bucket and no component
+    more = crossing_links(placed_in(members, found), found, nodes, texts)
     found = materialize(components(found.select(F.col("c").alias("p"), "v").unionByName(more)), "components")
     tops = nodes.select("v", "node", "rep").join(found, "v", "left").select("node", "rep", F.coalesce("c", "v").alias("c"))
     first = tops.groupBy("c").agg(F.min("rep").alias("first"))
     named = materialize(tops.select("node", "c").join(materialize(first, "firsts"), "c").select("node", "first"), "named")
-    return signed.drop("bands").join(named, "node", "left").select(
+    return signed.drop("bands", "sig").join(named, "node", "left").select(
         "doc_id", "k1", "k2", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
         F.col("first.doc_id").alias("first_id"), F.col("first.k1").alias("first_k1"), F.col("first.k2").alias("first_k2"),
     )

@@ -60,6 +60,34 @@ def test_against_brute_force(spark):
     assert sorted(r.doc_id for r in left.collect()) == [r[0] for r in brute(rows) if r[3]]
 
 
+def test_large_group_in_blocks(spark, monkeypatch):
+    """A group of near copies in many buckets and blocks, near the threshold: the components are exact."""
+    for name, value in (("BLOCK", 8), ("BLOCK_TEXT", 1 << 20)):
+        monkeypatch.setattr(M, name, value)
+    rnd = random.Random(12)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for d in range(120):
+        words = list(base)
+        for _ in range(rnd.choice([0, 1, 2, 3, 4])):
+            words[rnd.randrange(len(words))] = f"x{rnd.randrange(10**6)}"
+        rows.append((d, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, M.near_duplicates(df).collect())) == brute(rows)
+
+
+def test_may_link_across_components_only():
+    rng = np.random.default_rng(13)
+    sig = rng.integers(0, 256, (6, M.COORDINATES)).astype(np.uint8)
+    sig[1] = sig[2] = sig[4] = sig[0]
+    c = np.array([0, 0, 2, 3, 4, 5])
+    found = M.may_link(c, np.zeros(6, np.int64), sig)
+    assert np.argwhere(np.triu(found)).tolist() == [[0, 2], [0, 4], [1, 2], [1, 4], [2, 4]]
+    assert M.smallest_reached(found).tolist() == [0, 0, 0, 3, 0, 5]
+    found = M.may_link(c, np.array([0, 1, 1, 1, 0, 1]), sig)
+    assert np.argwhere(np.triu(found)).tolist() == [[0, 2], [1, 4], [2, 4]]
+
+
 def test_repeated_rows_nulls_and_empty(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (None, None), (None, None), (2, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -36,7 +36,7 @@ LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
 DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 SPACES = r"\t\n\x0b\x0c\r \x85\xa0"
 WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{DIGITS}]|[^{SPACES}{LETTERS}{DIGITS}]+")
-MOST_WORDS = 400_000
+MOST_WORDS = 1_000_000
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -53,7 +53,7 @@ class WordEncoder:
         self.tokenizer, self.dtype, self.words = Tokenizer.from_file(tokenizer_path), np.dtype(dtype), {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [None if t and PLAIN.search(t) else WORDS.findall(t.lower()) if t else [] for t in texts]

@@ -129,7 +129,7 @@ def packed(fields, columns: dict[str, np.ndarray]) -> bytes:
     cut = runs(columns["doc"], columns["th"])
     doc = columns["doc"][cut]
     parts = [np.array([len(cut)], "<u4").tobytes(), planes(np.diff(doc, prepend=0), "<i8"), planes(columns["th"][cut], "<i4"), planes(np.diff(np.append(cut, len(columns["doc"]))), "<u4")]
-    return zstandard.compress(b"".join(parts + [planes(columns[k], kind) for k, kind in fields]), 3)
+    return zstandard.compress(b"".join(parts + [planes(columns[k], kind) for k, kind in fields]), 1)
 
 
 def unpacked(fields, blocks: list[tuple[int, bytes]]) -> dict[str, np.ndarray]:

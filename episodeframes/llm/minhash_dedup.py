@@ -183,12 +183,14 @@ def _grouped(batches: Iterator[pa.RecordBatch], width: int):
     """Lists of rows (without their first three columns, the group) of sorted batches."""
     group, held = None, []
     for batch in batches:
-        for row in zip(*(batch.column(x).to_pylist() for x in range(width)), strict=True):
-            if row[:3] != group:
-                if len(held) > 1:
-                    yield held
-                group, held = row[:3], []
-            held.append(row[3:])
+        for i in range(0, batch.num_rows, 256):
+            part = batch.slice(i, 256)
+            for row in zip(*(part.column(x).to_pylist() for x in range(width)), strict=True):
+                if row[:3] != group:
+                    if len(held) > 1:
+                        yield held
+                    group, held = row[:3], []
+                held.append(row[3:])
     if len(held) > 1:
         yield held
 

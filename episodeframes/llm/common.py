@@ -69,6 +69,22 @@ def row_blocks(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[i
         i = min(j, n)
 
 
+#: A group with more than this share of all rows is joined on its own; there are fewer than 1 / HEAVY of them.
+HEAVY = 1 / 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """``rows`` with the columns of their group. ``groups`` (written, one row for each key) counts its rows in ``size``.
+
+    Heavy groups, of which there can only be 1 / HEAVY, are broadcast, so that none lands in one task; the rest is shuffled.
+    """
+    total = rows.count()
+    heavy = F.col(size) > max(1.0, total * HEAVY)
+    broadcast_rows(groups.filter(heavy).select(F.lit(1)), int(1 / HEAVY), "heavy groups")
+    few, rest = F.broadcast(groups.filter(heavy)), groups.filter(~heavy)
+    return rows.join(few, keys).unionByName(rows.join(F.broadcast(groups.filter(heavy).select(*keys)), keys, "left_anti").join(rest, keys))
+
+
 def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

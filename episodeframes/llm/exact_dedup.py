@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_rows, materialize, positional, utf8
+from .common import broadcast_rows, join_groups, materialize, positional, utf8
 
 PRIMES = (2147483647, 2147483629)
 POINTS = (1381258397, 1027350437)
@@ -171,8 +171,8 @@ def classes(base: DataFrame, doc_id: str, text: str) -> DataFrame:
     if colliding(base, text, groups):
         keys.append("sha")
         groups = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), winner)
-    groups = groups.select(*keys, "copies", F.col(f"top.{doc_id}").alias("keep_id"), F.col("top.row").alias("keep_row"))
-    return base.select(doc_id, "row", "fp", "n", "sha").join(groups, keys).select(doc_id, "row", "sha", "keep_id", F.col("copies").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"))
+    groups = materialize(groups.select(*keys, "copies", F.col(f"top.{doc_id}").alias("keep_id"), F.col("top.row").alias("keep_row")), "groups")
+    return join_groups(base.select(doc_id, "row", "fp", "n", "sha"), groups, keys, "copies").select(doc_id, "row", "sha", "keep_id", F.col("copies").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"))
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import doubles
@@ -287,7 +288,7 @@ def b12(spark, d):
 def b14(spark, d):
     ds = Dataset.of_frames(frames_from_events(spark, d))
     view = select.episode_view(ds, 7)
-    return view.select("episode_index", (F.row_number().over(windows.Window.partitionBy("episode_index").orderBy("timestamp")) - 1).cast("long").alias("frame_index"), F.col(ACTION)[0].alias("a1"), col_(STATE)[1].alias("s2"))
+    return view.select("episode_index", (F.row_number().over(Window.partitionBy("episode_index").orderBy("timestamp")) - 1).cast("long").alias("frame_index"), F.col(ACTION)[0].alias("a1"), col_(STATE)[1].alias("s2"))
 
 
 @query("c5_merge", f"""WITH {LINEITEM_SQL}, u AS (SELECT * FROM (SELECT unnest([0, 1, 2]) AS k), f), e AS (SELECT *, dense_rank() OVER (ORDER BY k, episode_index) - 1 AS e FROM u)
@@ -557,7 +558,7 @@ def d19(spark, d):
 def e9(spark, d):
     """Embeddings as 8 x 8 pictures."""
     e = table(spark, d, "embeddings")
-    floats = F.pandas_udf(lambda s: s.map(lambda x: __import__("numpy").asarray(x, "f4").tobytes()), "binary")
+    floats = F.pandas_udf(lambda s: s.map(lambda x: np.asarray(x, "f4").tobytes()), "binary")
     g = e.select(F.floor(F.col("vec_id") / 25).cast("long").alias("episode_index"), F.lit("top").alias("camera"), (F.col("vec_id") % 25).alias("frame_index"), F.lit(8).alias("height"), F.lit(8).alias("width"), floats("embedding").alias("gray"), F.lit(None).cast("string").alias("error"))
     return rounded(video.glitch_verdicts(video.score_frame_glitches(g)), "max_score")
 

@@ -69,14 +69,13 @@ def _fingerprints(text_index: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = utf8(batch.column(text_index))
-            lower = np.frombuffer(data[at[0] : at[-1]].tobytes().translate(LOWER), np.uint8)
-            at = at - at[0]
             keys, sizes, digests = [], [], []
             for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                a, b, n = fingerprint(lower[i:j])
+                lower = data[i:j].tobytes().translate(LOWER)
+                a, b, n = fingerprint(np.frombuffer(lower, np.uint8))
                 keys.append(a << 31 | b)
                 sizes.append(n)
-                digests.append(hashlib.sha256(lower[i:j]).digest())
+                digests.append(hashlib.sha256(lower).digest())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())],
                 [*batch.schema.names, "fp", "n", "sha"],

@@ -240,6 +240,8 @@ def settle_1(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Digits 1 and 2 of one bucket."""
     order = np.lexsort((c["doc"], c["c2"], c["c1"], c["kh"]))
     c = {k: v[order] for k, v in c.items()}
+    at = runs(c["kh"])  # before rows go: a common gram's one row may be repeated itself
+    c["open"] = np.repeat(np.maximum.reduceat(c["common"], at), np.diff(np.append(at, len(order))))
     at = runs(c["kh"], c["c1"], c["c2"])
     gone = c["doc"] > np.repeat(c["doc"][at], np.diff(np.append(at, len(order))))
     if gone.any():
@@ -247,8 +249,8 @@ def settle_1(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     c = {k: v[~gone] for k, v in c.items()}
     at = runs(c["kh"])
     size = np.diff(np.append(at, len(c["kh"])))
-    low, high, common = np.minimum.reduceat(c["doc"], at), np.maximum.reduceat(c["doc"], at), np.maximum.reduceat(c["common"], at)
-    left = np.repeat((low < high) | (common > 0), size) & (c["common"] == 0)
+    low, high = np.minimum.reduceat(c["doc"], at), np.maximum.reduceat(c["doc"], at)
+    left = (np.repeat(low < high, size) | (c["open"] > 0)) & (c["common"] == 0)
     if left.any():
         yield span_rows(OPEN, 1, c["doc"][left], c["th"][left], c["s"][left], c["n"][left])
 

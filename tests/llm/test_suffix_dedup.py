@@ -57,6 +57,26 @@ def test_against_brute_force(spark, monkeypatch, common):
     assert sum(w[2] > 0 for w in want) > 50
 
 
+def test_common_line_twice_with_a_smaller_document_elsewhere(spark):
+    """A task's one row for a common gram is repeated in another task: the gram's other places must be compared all the same."""
+    rnd = random.Random(12)
+
+    def some(n):
+        return "".join(rnd.choice("abcdefgh ") for _ in range(n))
+
+    lines = [some(100) for _ in range(8)]
+    near = [(some(60), some(60)) for _ in lines]
+    far = [(some(60), some(60)) for _ in lines]
+    y = some(40).join(a + p + b for p, (a, b) in zip(lines, near, strict=True)) + some(40).join(a + p + b for p, (a, b) in zip(lines, far, strict=True))
+    x = some(40).join(a + p + b + some(70) + p + some(70) for p, (a, b) in zip(lines, near, strict=True))
+    z = some(40).join(a + p + some(70) for p, (a, _) in zip(lines, far, strict=True))
+    others = [(d, some(40).join(some(60) + p + some(60) for p in lines)) for d in range(10, 10 + 2 * S.COMMON)]
+    here = [(2, x), (3, z), *others]
+    there = [(1, y), *((1000 + d, some(60)) for d, _ in here[1:])]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(there + here, 2), "doc_id long, text string")
+    assert sorted(map(tuple, S.cut_repeats(df).collect())) == sorted(brute(there + here))
+
+
 def test_local_rules_alone():
     """The task-local rules see a shared gram in many stretches and still send one row."""
     rnd = random.Random(10)

@@ -9,12 +9,14 @@ WINDOW words (all words of a shorter item) must agree in at least four fifths. N
 benchmark itself is never broadcast, so it may be as large as the corpus; the table then lets more through.
 
 Defined results: null and empty texts have no words and are clean; items of fewer than LEAST words prove nothing and are
-not searched for; items with the same words count as the one of the smallest id; repeated documents share their fate;
+not searched for; items are told apart by their words alone, so ids may be null or used twice: items with the same words
+count once and are named by their smallest id, which is null if none has one; repeated documents share their fate;
 an empty benchmark leaves all documents clean. Other columns are carried by ``drop_contaminated``.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,18 +94,18 @@ def _bench_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, _ = word_hashes([text])
             if len(words) < LEAST:
                 continue
-            found = list(seeds(words))
+            found, key = list(seeds(words)), hashlib.sha256(words.tobytes()).digest()
             for at in range(0, len(words), RUN):
                 base = max(0, at - MARGIN)
                 hits = [{"hash": int(x), "at": p} for _, h in found for p, x in enumerate(h[at : at + RUN].view(np.int64).tolist(), at)]
-                out.append({"item_id": item, "n": len(words), "base": base, "words": words[base : at + RUN + MARGIN].view(np.int64).tolist(), "hits": hits, "whole": words.view(np.int64).tobytes()})
+                out.append({"item": key, "item_id": item, "n": len(words), "base": base, "words": words[base : at + RUN + MARGIN].view(np.int64).tolist(), "hits": hits})
         if out:
             yield pa.RecordBatch.from_pylist(out, BENCH_SCHEMA)
 
 
 HITS = pa.list_(pa.struct([("hash", pa.int64()), ("at", pa.int64())]))
-BENCH_SCHEMA = pa.schema([("item_id", pa.int64()), ("n", pa.int64()), ("base", pa.int64()), ("words", pa.list_(pa.int64())), ("hits", HITS), ("whole", pa.binary())])
-BENCH = "item_id long, n long, base long, words array<long>, hits array<struct<hash:long,at:long>>, whole binary"
+BENCH_SCHEMA = pa.schema([("item", pa.binary()), ("item_id", pa.int64()), ("n", pa.int64()), ("base", pa.int64()), ("words", pa.list_(pa.int64())), ("hits", HITS)])
+BENCH = "item binary, item_id long, n long, base long, words array<long>, hits array<struct<hash:long,at:long>>"
 RUNS = "k1 long, k2 long, run long, base long, words array<long>, hits array<struct<hash:long,at:long>>"
 RUN_SCHEMA = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("run", pa.int64()), ("base", pa.int64()), ("words", pa.list_(pa.int64())), ("hits", HITS)])
 
@@ -171,13 +173,13 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, bits: int = BITMAP_BITS) -> DataFrame:
-    """(k1, k2, item_id, n_items, overlap) of the contaminated ones among ``docs`` that have their keys."""
+    """(k1, k2, item_id, n_items, overlap) of the contaminated ones among ``docs`` that have their keys; only item_id may be null."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     bench = materialize(items.mapInArrow(_bench_rows, BENCH), "benchmark-seeds")
-    ids = bench.select(F.sha2("whole", 256).alias("whole"), "item_id").groupBy("whole").agg(F.min("item_id").alias("item_id")).select("item_id").distinct()
-    bench = bench.drop("whole").dropDuplicates(["item_id", "base"]).join(ids, "item_id", "left_semi")
-    hashes = bench.select("item_id", "base", F.explode("hits").alias("h")).select("item_id", F.col("base").alias("item_base"), F.col("h.hash").alias("hash"), F.col("h.at").alias("item_at"))
+    # equal items have equal stretches at equal bases, so each stretch finds the same smallest id
+    bench = bench.groupBy("item", "base").agg(F.min("item_id").alias("item_id"), *(F.first(c).alias(c) for c in ("n", "words", "hits")))
+    hashes = bench.select("item", "base", F.explode("hits").alias("h")).select("item", F.col("base").alias("item_base"), F.col("h.hash").alias("hash"), F.col("h.at").alias("item_at"))
     bit = F.explode(F.array(F.col("hash").bitwiseAND(bits - 1), F.shiftrightunsigned("hash", 36).bitwiseAND(bits - 1)))
     words = hashes.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
     table = np.zeros(bits // 64, np.uint64)
@@ -185,19 +187,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str,
         table[word] = value & 0xFFFFFFFFFFFFFFFF
     runs = materialize(docs.select("k1", "k2", text).mapInArrow(_hit_runs(spark.sparkContext.broadcast(table), bits), RUNS), "seed-hits")
     hits = runs.select("k1", "k2", "run", F.explode("hits").alias("h")).select("k1", "k2", "run", F.col("h.hash").alias("hash"), F.col("h.at").alias("at"))
-    pairs = hits.join(hashes, "hash").select("k1", "k2", "run", "item_id", "item_base", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
-    segments = bench.select("item_id", F.col("base").alias("item_base"), "n", F.col("words").alias("item"))
-    sides = pairs.join(runs.drop("hits").dropDuplicates(["k1", "k2", "run"]), ["k1", "k2", "run"]).join(segments, ["item_id", "item_base"])
-    held = sides.withColumn("overlap", _overlaps("words", "base", "item", "item_base", "n", "offset")).filter("overlap > 0")
-    each = held.groupBy("k1", "k2", "item_id").agg(F.max("overlap").alias("overlap"))
+    pairs = hits.join(hashes, "hash").select("k1", "k2", "run", "item", "item_base", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
+    segments = bench.select("item", F.col("base").alias("item_base"), "item_id", "n", F.col("words").alias("item_words"))
+    sides = pairs.join(runs.drop("hits").dropDuplicates(["k1", "k2", "run"]), ["k1", "k2", "run"]).join(segments, ["item", "item_base"])
+    held = sides.withColumn("overlap", _overlaps("words", "base", "item_words", "item_base", "n", "offset")).filter("overlap > 0")
+    each = held.groupBy("k1", "k2", "item").agg(F.min("item_id").alias("item_id"), F.max("overlap").alias("overlap"))
     return each.groupBy("k1", "k2").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n_items"), F.max("overlap").alias("overlap"))
 
 
 def find_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, contaminated, item_id (smallest that overlaps), n_items, overlap (words that agree, of WINDOW) of every document."""
+    """doc_id, contaminated, item_id (smallest that overlaps; a label, null without ids), n_items, overlap (words that agree, of WINDOW) of every document."""
     rows = keyed(docs.select("doc_id", "text"), "doc_id", "text")
     found = contaminated(rows, benchmark, "doc_id", "text")
-    return rows.select("doc_id", "k1", "k2").join(found, ["k1", "k2"], "left").select("doc_id", F.col("item_id").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("overlap", F.lit(0)).alias("overlap"))
+    return rows.select("doc_id", "k1", "k2").join(found, ["k1", "k2"], "left").select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("overlap", F.lit(0)).alias("overlap"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -51,6 +51,18 @@ def test_against_brute_force(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(i for i, bad in want if not bad)
 
 
+def test_items_without_an_id_or_with_a_shared_one(spark):
+    rnd = random.Random(6)
+    texts = [" ".join(words(rnd, n)) for n in (9, 14, 20, 15, 600, 601)]
+    items = [(None, texts[0]), (0, texts[1]), (0, texts[2]), (None, texts[3]), (7, texts[3].upper()), (1, texts[4]), (1, texts[5])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(k, " ".join(words(rnd, 9) + t.split()[:40] + words(rnd, 9))) for k, t in enumerate(texts)] + [(6, " ".join(words(rnd, 60))), (7, texts[1] + " " + texts[2])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id, r.contaminated, r.item_id, r.n_items) for r in D.find_contaminated(df, bench).collect())
+    assert got == [(0, True, None, 1), (1, True, 0, 1), (2, True, 0, 1), (3, True, 7, 1), (4, True, 1, 1), (5, True, 1, 1), (6, False, None, 0), (7, True, 0, 2)]
+    assert [r.doc_id for r in D.drop_contaminated(df, bench).collect()] == [6]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -150,8 +150,9 @@ class Coder:
     def documents(self, texts: list[str | None]) -> Iterator[Iterator[list[tuple[bytes, bytes]]]]:
         """For each text the coded words, in lists."""
         split = [None if x and len(x) >= 1 << 20 else next(self.split(x or "")) for x in texts]
-        self.learn(set().union(*(s for s in split if s)))
-        get = self.words.__getitem__
+        self.learn(own := set().union(*(s for s in split if s)))
+        known = {w: self.words[w] for w in own} if None in split else self.words  # long texts may clear the known words
+        get = known.__getitem__
         for x, words in zip(texts, split, strict=True):
             yield iter([list(map(get, words))]) if words is not None else self.long(x)
 

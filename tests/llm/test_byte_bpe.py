@@ -32,6 +32,15 @@ def test_words_as_the_library(library):
         assert b"".join(w[1] for w in words) == (text or "").encode()
 
 
+def test_long_text_clears_known_words(library, monkeypatch):
+    """Words that a block has learned outlive a long text before them in the block."""
+    monkeypatch.setattr(byte_bpe, "MOST_WORDS", 3)
+    code = byte_bpe.Coder(RANKS, P.PATTERN)
+    block = ["one two three four five", "long " * 220_000, "one two three", "five"]
+    for text, doc in zip(block, code.documents(block), strict=True):
+        assert [int(x) for part in doc for w in part for x in w[0].split()] == library.encode_ordinary(text)
+
+
 def test_long_rule_equals_plain_rule():
     code = byte_bpe.Coder(RANKS, P.PATTERN)
     rnd = random.Random(4)

@@ -6,10 +6,14 @@ and contracts the leftmost pair of the lowest rank of every word, until no word
 aggregation yields the ids, and another decodes ids to bytes. The merge table has every way to cut a token in two
 tokens, so that a pair merges exactly when its joined bytes are a token. Words of over LONG bytes contract all
 occurrences of their lowest pair in one step where that cannot change the outcome: when no pair with the new token has
-a lower rank, the next step of the plain rule would take the next occurrence anyway.
+a lower rank, the next step of the plain rule would take the next occurrence anyway. Such words are first cut between
+bytes that no token has side by side, which no merge can cross, and their steps are taken in rounds of bounded size.
 
-Defined results: a null or empty text has no tokens; repeated rows are each encoded; other columns are ignored. A worker
-keeps at most MOST_WORDS words, and texts are taken in blocks, so memory doesn't grow with the corpus or a document.
+Recent words are kept (two generations of MOST_BYTES each, so what recurs stays) as their ids and as the bytes to which the
+ordered aggregation decodes these ids; what a document decodes to is made of those bytes alone, never of the text.
+
+Defined results: a null or empty text has no tokens; repeated rows are each encoded; other columns are ignored. Texts
+are taken in blocks and long ones in parts, so memory doesn't grow with the corpus or a document.
 """
 
 from __future__ import annotations
@@ -26,53 +30,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_blocks, utf8
+from .common import bounded_batches, row_blocks, utf8
 
 LONG = 256
-MOST_WORDS = 400_000
-WORDS_A_QUERY = 40_000
-WORDS_AT_ONCE = 200_000
+#: Characters from which on a text is taken in parts of WORDS_AT_ONCE words.
+WHOLE = 1 << 20
+WORDS_AT_ONCE = 100_000
+MOST_BYTES = 40 << 20
+WORDS_A_QUERY, BYTES_A_QUERY = 40_000, 1 << 20
+#: Rows of all steps of one round over long words.
+ROWS_A_ROUND = 4_000_000
+MEMORY = "1GB"
 #: The pattern of the rank files in use; for it, texts in Latin-1 are split by explicit classes (the same words, faster).
 KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-ENCODE = """
+#: A pair's number holds its rank, its place and the place of its second token, 16 bits each; from NONE on it has no rank.
+NONE = 1 << 62
+#: Rows are (word, token, next token, number of the pair); the least number of a word is its leftmost pair of lowest rank.
+ENCODE = f"""
 WITH RECURSIVE step AS (
-  SELECT w, p, t, nt, seed.r, m.k, false AS fin FROM seed LEFT JOIN m ON m.l = t AND m.r = nt
+  SELECT w, t, nt, coalesce(m.k << 32, {NONE}) + places AS k, false AS fin FROM seed LEFT JOIN m ON m.lr = t::BIGINT * 65536 + nt
   UNION ALL
-  SELECT q.w, q.p, q.t, q.nt, q.r, m.k, q.fin FROM (
-    SELECT s.w, s.p,
-           CASE WHEN s.p = b.p THEN b.k ELSE s.t END AS t,
-           CASE WHEN s.p = b.p THEN x.nt WHEN s.r = b.p THEN b.k ELSE s.nt END AS nt,
-           CASE WHEN s.p = b.p THEN x.r ELSE s.r END AS r,
-           b.k IS NULL AS fin
-    FROM step s
-    JOIN (SELECT w, best // 4294967296 AS k, best % 4294967296 AS p, c FROM (
-            SELECT w, min(k::BIGINT * 4294967296 + p) AS best, arg_min(r, k::BIGINT * 4294967296 + p) AS c
-            FROM step WHERE NOT fin GROUP BY w)) b ON s.w = b.w
-    LEFT JOIN step x ON s.p = b.p AND x.w = b.w AND x.p = b.c
-    WHERE s.p IS DISTINCT FROM b.c) q
-  LEFT JOIN m ON m.l = q.t AND m.r = q.nt)
+  (WITH met AS (
+     SELECT s.*, b.k AS b, (b.k >> 32)::INT AS merged, (b.k >> 16) & 65535 AS first, b.k & 65535 AS second
+     FROM step s JOIN (SELECT w, min(k) AS k FROM step WHERE NOT fin GROUP BY w) b ON s.w = b.w),
+   changed AS (
+     SELECT x.w, x.merged AS t, y.nt, (x.first << 16) + (y.k & 65535) AS places
+     FROM (SELECT * FROM met WHERE k = b AND b < {NONE}) x
+     JOIN (SELECT * FROM met WHERE (k >> 16) & 65535 = second AND b < {NONE}) y ON x.w = y.w
+     UNION ALL
+     SELECT w, t, merged, k & 4294967295 FROM met WHERE k & 65535 = first AND b < {NONE})
+   SELECT w, t, nt, k, b >= {NONE} FROM met
+   WHERE b >= {NONE} OR (k <> b AND (k >> 16) & 65535 <> second AND k & 65535 <> first)
+   UNION ALL
+   SELECT w, t, nt, coalesce(m.k << 32, {NONE}) + places, false FROM changed LEFT JOIN m ON m.lr = t::BIGINT * 65536 + nt))
+SELECT w, t FROM step WHERE fin ORDER BY w, (k >> 16) & 65535
 """
 ENCODE_LONG = """
 WITH RECURSIVE step AS (
-  SELECT w, p, t, false AS fin FROM seed
+  SELECT w, p, t, false AS fin, 0 AS d FROM seed
   UNION ALL
-  SELECT w, p, CASE WHEN hit THEN best ELSE t END AS t, best IS NULL AS fin FROM (
+  SELECT w, p, CASE WHEN hit THEN best ELSE t END AS t, best IS NULL AS fin, d + 1 FROM (
     SELECT *, lag(hit, 1, false) OVER (PARTITION BY w ORDER BY p) AS eaten FROM (
-      SELECT w, p, t, best, coalesce(fits AND CASE WHEN safe THEN (n - run) % 2 = 0 ELSE p = f END, false) AS hit FROM (
+      SELECT w, p, t, d, best, coalesce(fits AND CASE WHEN safe THEN (n - run) % 2 = 0 ELSE p = f END, false) AS hit FROM (
         SELECT *, max(CASE WHEN fits AND NOT before THEN n END) OVER (PARTITION BY w ORDER BY p) AS run,
                min(p) FILTER (fits) OVER (PARTITION BY w) AS f FROM (
           SELECT *, lag(fits, 1, false) OVER (PARTITION BY w ORDER BY p) AS before FROM (
             SELECT *, coalesce(k = best, false) AS fits FROM (
               SELECT a.*, m.k, m.safe, min(m.k) OVER (PARTITION BY a.w) AS best FROM (
-                SELECT w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p) AS nt, row_number() OVER (PARTITION BY w ORDER BY p) AS n
-                FROM step WHERE NOT fin) a
+                SELECT w, p, t, d, lead(t) OVER (PARTITION BY w ORDER BY p) AS nt,
+                       row_number() OVER (PARTITION BY w ORDER BY p) AS n
+                FROM step WHERE NOT fin AND d < {steps}) a
               LEFT JOIN m ON m.l = a.t AND m.r = a.nt))))))
   WHERE NOT eaten)
-"""
-CODED = """
-SELECT w, string_agg(t, ' ' ORDER BY p) AS ids, unhex(string_agg(hex, '' ORDER BY p)) AS bytes
-FROM step JOIN v ON v.id = step.t WHERE fin GROUP BY w ORDER BY w
+SELECT w, p, t, fin FROM step WHERE fin OR d = {steps} ORDER BY w, p
 """
 DECODE = "SELECT d, unhex(string_agg(hex, '' ORDER BY p)) AS bytes FROM ids JOIN v USING (id) GROUP BY d ORDER BY d"
 
@@ -94,72 +105,115 @@ class Coder:
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        merges = np.array([(ranks[t[:i]], ranks[t[i:]], k) for t, k in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks], np.int32)
+        cuts = ((t[:i], t[i:], k) for t, k in ranks.items() for i in range(1, len(t)))
+        merges = np.array([(ranks[x], ranks[y], k) for x, y, k in cuts if x in ranks and y in ranks], np.int64)
         lower = np.concatenate([merges[merges[:, i] > merges[:, 2], i] for i in (0, 1)])
-        m = pa.table({"l": merges[:, 0], "r": merges[:, 1], "k": merges[:, 2], "safe": ~np.isin(merges[:, 2], lower)})
-        v = pa.table({"id": np.array(list(ranks.values()), np.int32), "hex": [b.hex() for b in ranks]})
-        self.sql = duckdb.connect(config={"threads": 1, "memory_limit": "700MB"})
+        safe = ~np.isin(merges[:, 2], lower)
+        m = {"l": merges[:, 0], "r": merges[:, 1], "lr": merges[:, 0] << 16 | merges[:, 1], "k": merges[:, 2], "safe": safe}
+        v = {"id": np.array(list(ranks.values()), np.int64), "hex": [b.hex() for b in ranks]}
+        self.sql = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
         self.sql.execute("SET temp_directory = ''")
-        for name, table in (("m", m), ("v", v)):
+        for name, table in (("m", pa.table(m)), ("v", pa.table(v))):
             self.sql.register("given", table)
             self.sql.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.sql.unregister("given")
-        self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.pattern, self.latin = regex.compile(pattern), latin_pattern() if pattern == KNOWN_PATTERN else None
+        self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.side_by_side = np.zeros((256, 256), bool)
+        for x in ranks:
+            self.side_by_side[list(x[:-1]), list(x[1:])] = True
+        self.pattern = regex.compile(pattern)
+        self.latin = latin_pattern() if pattern == KNOWN_PATTERN else None
         self.wide = re.compile(r"[^\x00-\xff]")
-        self.words: dict[str, tuple[bytes, bytes]] = {}
+        # ids and bytes of recent words
+        self.recent: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.held = 0
 
     def split(self, text: str) -> Iterator[list[str]]:
         """The words of a text, at most WORDS_AT_ONCE in a list."""
         pattern = self.pattern if self.latin is None or self.wide.search(text) else self.latin
-        if len(text) < 1 << 20:
+        if len(text) < WHOLE:
             yield pattern.findall(text)
             return
         found = (x.group() for x in pattern.finditer(text))
         while part := list(itertools.islice(found, WORDS_AT_ONCE)):
             yield part
 
-    def learn(self, words: set[str]) -> None:
-        new = words - self.words.keys()
-        if not new:
-            return
-        if len(self.words) > MOST_WORDS:
-            self.words.clear()
-            new = words
-        by_length: tuple[list[str], list[str]] = ([], [])
-        for x in new:
-            by_length[len(x) * 4 > LONG and len(x.encode()) > LONG].append(x)
-        for some, query in zip(by_length, (ENCODE, ENCODE_LONG), strict=True):
-            for i in range(0, len(some), WORDS_A_QUERY):
-                part = some[i : i + WORDS_A_QUERY]
-                self.words.update(zip(part, self.coded([x.encode() for x in part], query), strict=True))
-
-    def coded(self, words: list[bytes], query: str) -> list[tuple[bytes, bytes]]:
-        """Decimal ids joined by spaces, and the bytes that they decode to."""
+    def known(self, words: set[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Of at least these words the decimal ids, joined by blanks, and the bytes that these ids decode to.
+
+        What was not used for MOST_BYTES of words is forgotten.
+        """
+        if self.held > MOST_BYTES:
+            self.recent, self.older, self.held = {}, self.recent, 0
+        missing = words - self.recent.keys()
+        found = {x: self.older[x] for x in missing & self.older.keys()}
+        long = [x for x in missing - found.keys() if len(x) * 4 > LONG and len(x.encode()) > LONG]
+        for some, code in ((list(missing - found.keys() - set(long)), self.coded), (long, self.coded_long)):
+            i = 0
+            while i < len(some):  # many words a query, but a bounded number of bytes
+                j = size = 0
+                while i + j < len(some) and j < WORDS_A_QUERY and size < BYTES_A_QUERY:
+                    size += len(some[i + j])
+                    j += 1
+                ids = code([x.encode() for x in some[i : i + j]])
+                found.update(zip(some[i : i + j], zip(ids, self.decoded(ids), strict=True), strict=True))
+                i += j
+        self.recent.update(found)
+        self.held += sum(3 * len(k) + len(v[0]) for k, v in found.items()) + 250 * len(found)
+        return self.recent
+
+    def coded(self, words: list[bytes]) -> list[bytes]:
+        w, p, t, last = self.rows(words)
+        places = p << 16 | np.where(last, 65535, p + 1)
+        nt = pa.array(np.append(t[1:], 0).astype(np.int32), mask=last)
+        self.sql.register("seed", pa.table({"w": w.astype(np.int32), "t": t.astype(np.int32), "nt": nt, "places": places}))
+        found = self.sql.execute(ENCODE).fetchnumpy()
+        self.sql.unregister("seed")
+        return joined(found["w"], found["t"], len(words))
+
+    def coded_long(self, words: list[bytes]) -> list[bytes]:
+        w, p, t, last = self.rows(words)
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        apart = np.append(True, ~self.side_by_side[raw[:-1], raw[1:]] | last[:-1])
+        owner, w = w[apart], np.cumsum(apart) - 1  # w is now the number of a piece, owner the word of each piece
+        done, n = [], len(raw)
+        while n:
+            self.sql.register("seed", pa.table({"w": w, "p": p, "t": t}))
+            found = self.sql.execute(ENCODE_LONG.format(steps=max(1, ROWS_A_ROUND // n))).fetchnumpy()
+            self.sql.unregister("seed")
+            fin = found["fin"]
+            done.append((found["w"][fin], found["p"][fin], found["t"][fin]))
+            w, p, t = (found[c][~fin] for c in ("w", "p", "t"))
+            n = len(w)
+        w, p, t = (np.concatenate(c) for c in zip(*done, strict=True))
+        order = np.lexsort((p, w))
+        return joined(owner[w[order]], t[order], len(words))
+
+    def rows(self, words: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Word, place, token, and whether it is the word's last, for each byte."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         flat, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes)
-        p, t = np.arange(len(flat)) - np.repeat(ends - sizes, sizes), self.byte[flat]
         last = np.zeros(len(flat), bool)
         last[ends - 1] = True
-        seed = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "p": p, "t": t, "nt": pa.array(np.append(t[1:], 0), pa.int32(), mask=last), "r": pa.array(p + 1, mask=last)})
-        self.sql.register("seed", seed)
-        found = self.sql.execute(query + CODED).fetchall()
-        self.sql.unregister("seed")
-        return [(ids.encode(), raw) for _, ids, raw in found]
+        return np.repeat(np.arange(len(words)), sizes), np.arange(len(flat)) - np.repeat(ends - sizes, sizes), self.byte[flat], last
 
     def documents(self, texts: list[str | None]) -> Iterator[Iterator[list[tuple[bytes, bytes]]]]:
-        """For each text the coded words, in lists."""
-        split = [None if x and len(x) >= 1 << 20 else next(self.split(x or "")) for x in texts]
-        self.learn(own := set().union(*(s for s in split if s)))
-        known = {w: self.words[w] for w in own} if None in split else self.words  # long texts may clear the known words
-        get = known.__getitem__
-        for x, words in zip(texts, split, strict=True):
-            yield iter([list(map(get, words))]) if words is not None else self.long(x)
-
-    def long(self, text: str) -> Iterator[list[tuple[bytes, bytes]]]:
-        for words in self.split(text):
-            self.learn(set(words))
-            yield list(map(self.words.__getitem__, words))
+        """For each text its words' ids and bytes, in lists; to be taken in order."""
+        for long, some in itertools.groupby(texts, lambda x: x is not None and len(x) >= WHOLE):
+            if long:
+                yield from ((list(map(self.known(set(words)).__getitem__, words)) for words in self.split(x)) for x in some)
+            else:
+                split = [next(self.split(x)) if x else [] for x in some]
+                get = self.known(set().union(*split)).__getitem__
+                yield from (iter([list(map(get, words))]) for words in split)
+
+    def decoded(self, ids: list[bytes]) -> list[bytes]:
+        """The bytes that each sequence of decimal ids stands for."""
+        sizes = np.fromiter((x.count(b" ") + 1 for x in ids), np.int64, len(ids))
+        flat = np.array(b" ".join(ids).split(), np.int32)
+        found = self.decode(pa.table({"d": np.repeat(np.arange(len(ids)), sizes), "p": np.arange(len(flat)), "id": flat}))
+        return [found[d] for d in range(len(ids))]
 
     def decode(self, rows: pa.Table) -> dict[int, bytes]:
         """Bytes by d, from rows (d, p, id) with the ids of a sequence d in the order of p."""
@@ -169,6 +223,12 @@ class Coder:
         return found
 
 
+def joined(w: np.ndarray, t: np.ndarray, words: int) -> list[bytes]:
+    """Decimal ids of each word, from tokens sorted by word."""
+    cut, ids = np.searchsorted(w, np.arange(words + 1)).tolist(), [b"%d" % x for x in t.tolist()]
+    return [b" ".join(ids[i:j]) for i, j in itertools.pairwise(cut)]
+
+
 _CODERS: dict[tuple[str, str], Coder] = {}
 
 
@@ -191,9 +251,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
         code = coder(ranks_path, pattern)
         for batch in batches:
             for part, texts in _blocks(batch, 1):
-                ids = [np.array(b" ".join(w[0] for words in doc for w in words).split(), np.int32) for doc in code.documents(texts)]
+                ids = []
+                for doc in code.documents(texts):
+                    parts = [np.array(b" ".join([w[0] for w in words]).split(), np.int32) for words in doc]
+                    ids.append(np.concatenate([np.zeros(0, np.int32), *parts]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -221,7 +285,7 @@ def decode(coded: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_i
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode and decode every text in one pass: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    The ids of each word come from the recursive query and are decoded by the ordered aggregation over the same ids;
+    The ids of each word come from the recursive query and are decoded by the ordered aggregation over those ids alone;
     a document's ids and bytes are those of its words in order.
     """
 
@@ -241,7 +305,9 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "do
                             between = b" "
                     rows.append((n, ids.hexdigest(), raw.hexdigest()))
                 n, ids, raw = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(raw)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(raw)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -32,6 +32,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows go to Python in Arrow batches of bounded bytes, not of 10,000 rows; long texts make those large.
+
+    A setting of the session: it is read when a query runs, which may be after the operator has returned.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * BLOCK_BYTES))
+
+
 def broadcast_rows(df: DataFrame, most: int, what: str) -> list:
     """Rows of a table whose size is bounded by construction (partitions, languages, words of a bitmap); checked."""
     rows = df.limit(most + 1).collect()

@@ -34,7 +34,7 @@ def test_words_as_the_library(library):
 
 def test_long_text_clears_known_words(library, monkeypatch):
     """Words that a block has learned outlive a long text before them in the block."""
-    monkeypatch.setattr(byte_bpe, "MOST_WORDS", 3)
+    monkeypatch.setattr(byte_bpe, "MOST_BYTES", 3)
     code = byte_bpe.Coder(RANKS, P.PATTERN)
     block = ["one two three four five", "long " * 220_000, "one two three", "five"]
     for text, doc in zip(block, code.documents(block), strict=True):
@@ -45,7 +45,28 @@ def test_long_rule_equals_plain_rule():
     code = byte_bpe.Coder(RANKS, P.PATTERN)
     rnd = random.Random(4)
     words = ["".join(rnd.choice("aabcethrs. =-") for _ in range(rnd.randrange(1, 60))).encode() for _ in range(500)]
-    assert code.coded(words, byte_bpe.ENCODE) == code.coded(words, byte_bpe.ENCODE_LONG)
+    assert code.coded(words) == code.coded_long(words)
+
+
+def test_long_words_in_rounds(library, monkeypatch):
+    """Rounds of a step each, and cuts where no token crosses, change nothing."""
+    code = byte_bpe.Coder(RANKS, P.PATTERN)
+    rnd = random.Random(5)
+    words = ["a" * 5000, "".join(rnd.choice("etaoinqzXJ") for _ in range(3000)), "".join(rnd.choice("ab") for _ in range(2000))]
+    want = [" ".join(map(str, library.encode_ordinary(w))).encode() for w in words]
+    for rows in (1, 20_000, byte_bpe.ROWS_A_ROUND):
+        monkeypatch.setattr(byte_bpe, "ROWS_A_ROUND", rows)
+        assert code.coded_long([w.encode() for w in words]) == want
+
+
+def test_a_text_of_a_megabyte_after_others_fills_the_cache(spark, library, monkeypatch):
+    """A small cache that is full before, within and after a block; also forgotten words that come back."""
+    monkeypatch.setattr(byte_bpe, "MOST_BYTES", 2000)
+    code = byte_bpe.Coder(RANKS, P.PATTERN)
+    blocks = [[" ".join(f"w{i}" for i in range(84))], ["x y " * 300_000, "w", "w1 w2"], ["w1 w83", "zz"]]
+    for block in blocks:
+        for text, doc in zip(block, code.documents(block), strict=True):
+            assert [int(x) for part in doc for w in part for x in w[0].split()] == library.encode_ordinary(text)
 
 
 def test_frames(spark, library):

@@ -25,7 +25,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions_for, positional, scratch_path
+from .common import bounded_batches, materialize, partitions_for, positional, row_blocks, scratch_path, utf8
 
 #: Stands for a null doc_id in a file of document ids.
 NULL_ID = -(1 << 63)
@@ -36,7 +36,8 @@ LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
 DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 SPACES = r"\t\n\x0b\x0c\r \x85\xa0"
 WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{DIGITS}]|[^{SPACES}{LETTERS}{DIGITS}]+")
-MOST_WORDS = 1_000_000
+#: Bytes of words that a worker keeps in each of two generations, and of words sent to the library at once.
+MOST_BYTES, WORDS_AT_ONCE = 40 << 20, 1 << 20
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -44,31 +45,61 @@ def opened(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 class WordEncoder:
-    """Ids of whole texts from the tokenizer of the library; the ids of a word are asked for once."""
+    """Ids of whole texts from the tokenizer of the library; the ids of a word are asked for once while it recurs.
+
+    New words go to the library many at a time, apart by blanks, through the tokenizer's own model and byte mapping; its
+    end-of-word mark tells them apart again. A tokenizer without that mark takes them one by one.
+    """
 
     def __init__(self, tokenizer_path: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.dtype, self.words = Tokenizer.from_file(tokenizer_path), np.dtype(dtype), {}
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.dtype = Tokenizer.from_file(tokenizer_path), np.dtype(dtype)
+        self.model = Tokenizer.from_file(tokenizer_path)
+        self.model.normalizer = normalizers.Sequence([])
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        mark = getattr(self.model.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)
+        for token, i in self.model.get_vocab().items():
+            self.ends[i] = bool(mark) and token.endswith(mark)
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self.model.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.dtype)
+        cut = np.flatnonzero(self.ends[ids]) + 1
+        if len(cut) != len(words) or cut[-1] != len(ids):
+            return self.ids(words)
+        raw, cut = ids.tobytes(), (cut * self.dtype.itemsize).tolist()
+        return [raw[i:j] for i, j in zip([0, *cut[:-1]], cut, strict=True)]
+
+    def known(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of at least these words. What was not used for MOST_BYTES of words is forgotten."""
+        if self.held > MOST_BYTES:
+            self.recent, self.older, self.held = {}, self.recent, 0
+        missing = words - self.recent.keys()
+        found = {x: self.older[x] for x in missing & self.older.keys()}
+        some, size = [], 0
+        for x in missing - found.keys():
+            some.append(x)
+            size += len(x) + 1
+            if size > WORDS_AT_ONCE:
+                found.update(zip(some, self.word_ids(some), strict=True))
+                some, size = [], 0
+        if some:
+            found.update(zip(some, self.word_ids(some), strict=True))
+        self.recent.update(found)
+        self.held += sum(len(k) + len(v) for k, v in found.items()) + 200 * len(found)
+        return self.recent
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [None if t and PLAIN.search(t) else WORDS.findall(t.lower()) if t else [] for t in texts]
-        new = set()
-        for words in split:
-            if words:
-                new.update(words)
-        new -= self.words.keys()
-        if new:
-            if len(self.words) > MOST_WORDS:
-                self.words.clear()
-                return self.encode(texts)
-            new = list(new)
-            self.words.update(zip(new, self.ids(new), strict=True))
-        get = self.words.__getitem__
+        get = self.known(set().union(*(words for words in split if words))).__getitem__
         return [self.ids([t])[0] if words is None else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
 
 
@@ -92,8 +123,8 @@ def _write_part(folder: str, tokenizer_path: str, end_id: int, dtype: str):
         fs, path = opened(stem)
         files, docs, tokens = None, 0, 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                rows = batch.slice(i, 256)
+            for i, j in row_blocks(utf8(batch.column(1))[1]):
+                rows = batch.slice(i, j - i)
                 if files is None:
                     fs.create_dir(os.path.dirname(path), recursive=True)
                     files = [fs.open_output_stream(path + end) for end in (".tokens", ".docs", ".lengths")]
@@ -136,6 +167,7 @@ def _write_offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None, dtype: str = "<u2", doc_id: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
     """Write the corpus to ``folder`` (default: the shared folder); returns the manifest: part, path, docs, tokens, base."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     folder = folder or scratch_path(spark, "tokens")
     rows, _ = positional(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
     parts = parts or max(partitions_for(spark), rows.rdd.getNumPartitions())

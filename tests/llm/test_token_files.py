@@ -29,7 +29,8 @@ def test_words_as_the_library(library):
 
 
 def test_cache_may_be_cleared(library, monkeypatch):
-    monkeypatch.setattr(T, "MOST_WORDS", 3)
+    monkeypatch.setattr(T, "MOST_BYTES", 3)
+    monkeypatch.setattr(T, "WORDS_AT_ONCE", 4)
     code = T.WordEncoder(PATH, "<u2")
     for t in ("one two three four five", "six seven one", "eight"):
         assert np.frombuffer(code.encode([t])[0], "<u2").tolist() == library.encode(t, add_special_tokens=False).ids

@@ -77,6 +77,10 @@ def row_blocks(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[i
         i = min(j, n)
 
 
+#: Lower-cases A-Z alone, for ``bytes.translate``.
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+HASH_KEY = np.uint64(0x5851F42D4C957F2D)
+
 #: A group with more than this share of all rows is joined on its own; there are fewer than 1 / HEAVY of them.
 HEAVY = 1 / 1000
 
@@ -109,6 +113,41 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _coded(place: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return mix64(mix64(place.astype(np.uint64) + HASH_KEY) ^ code.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+_CODED = None
+
+
+def run_hashes(codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs ``codes[first:last]``, which don't overlap and are in order.
+
+    Each is a sum of a pseudo-random function of (place in the run, code), so unlike powers of one number it has no
+    algebra in which two runs cancel out. Its values for the first 64 places and 256 codes come from a table. Runs are
+    taken some 2**18 codes at a time.
+    """
+    global _CODED
+    if _CODED is None:
+        _CODED = _coded(np.arange(1 << 14) >> 8, np.arange(1 << 14) & 255)
+    out, size = np.zeros(len(first), np.uint64), last - first
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+    for i, j in row_blocks(ends, 1 << 18):
+        starts, each = ends[i:j] - ends[i], np.arange(ends[j] - ends[i])
+        code = codes[each + np.repeat(first[i:j] - starts, size[i:j])].astype(np.int64)
+        place = each - np.repeat(starts, size[i:j])
+        value = _CODED[(place & 63) << 8 | code & 255]
+        rare = np.flatnonzero((place > 63) | (code > 255))
+        value[rare] = _coded(place[rare], code[rare])
+        out[i:j] = np.add.reduceat(value, starts)
+    return mix64(out ^ size.astype(np.uint64))
+
+
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """128 bits that stand for a document's id and text; never null."""
+    return docs.withColumn("k1", F.xxhash64(doc_id, text)).withColumn("k2", F.xxhash64(F.lit(7), text, doc_id))
+
+
 def held_out(doc_id: str = "doc_id") -> F.Column:
     """Documents kept from every fit: crc32 of the id as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 4 == 2, F.lit(False))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_rows, materialize, mix64, positional, row_blocks, utf8
+from .common import bounded_batches, broadcast_rows, keyed, materialize, mix64, positional, row_blocks, run_hashes, utf8
 
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 1, 2, 3, 4))
 SPAN = 8
@@ -36,7 +36,6 @@ BITMAP_BITS = 1 << 24
 MARGIN, RUN = 16, 512
 
 _WORD_CHARS = None
-_BASE = 0x9E3779B97F4A7C15 | 1
 
 
 def word_chars() -> np.ndarray:
@@ -46,17 +45,6 @@ def word_chars() -> np.ndarray:
     return _WORD_CHARS
 
 
-_POWERS: list[np.ndarray] = []
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64 and of its inverse."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        n = max(n, 1 << 16)
-        _POWERS[:] = [np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n - 1, x & (1 << 64) - 1, np.uint64))]) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
-    return _POWERS[0], _POWERS[1]
-
-
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of all texts, and the n + 1 bounds of the texts in them."""
     lower = [(t or "").lower() for t in texts]
@@ -65,10 +53,7 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     inside = word_chars()[codes]
     edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
     first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # the last char is a blank
-    up, down = powers(len(codes) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes.astype(np.uint64) * up[: len(codes)])])
-    hashes = mix64((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
-    return hashes, np.concatenate([[0], np.searchsorted(first, ends)])
+    return run_hashes(codes, first, last), np.concatenate([[0], np.searchsorted(first, ends)])
 
 
 def seeds(hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -167,11 +152,6 @@ def _overlaps(words, base, item, item_base, n, offset):
     return pd.Series([overlap(*x) for x in zip(words, base, item, item_base, n, offset, strict=True)], dtype="int32")
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """128 bits that stand for a document's id and text; never null."""
-    return docs.withColumn("k1", F.xxhash64(doc_id, text)).withColumn("k2", F.xxhash64(F.lit(7), text, doc_id))
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, bits: int = BITMAP_BITS) -> DataFrame:
     """(k1, k2, item_id, n_items, overlap) of the contaminated ones among ``docs`` that have their keys; only item_id may be null."""
     spark = docs.sparkSession

@@ -22,14 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_rows, join_groups, materialize, positional, utf8
+from .common import LOWER, broadcast_rows, join_groups, materialize, positional, utf8
 
 PRIMES = (2147483647, 2147483629)
 POINTS = (1381258397, 1027350437)
 CHUNK = 1 << 16
 #: Bits of the table of fingerprints that occur twice; fixed, so what is broadcast never grows with the data.
 BITMAP_BITS = 1 << 23
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def powers(point: int, prime: int, n: int) -> np.ndarray:

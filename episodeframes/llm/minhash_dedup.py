@@ -12,9 +12,11 @@ with the smallest of those alone, whole sets against whole sets, streamed by piv
 this connects need no further comparison with each other. All others that share a bucket but no component meet in blocks
 of BLOCK nodes, as one byte of each coordinate; fewer than LEAST_AGREE agreeing bytes mean dissimilar (five standard
 deviations below 0.75). What may be similar forms clusters, and within a cluster all pairs of two components are compared
-on whole sets, again in blocks of bounded size, each of which merges what it links as it goes. So no link between
-components is lost, pairs are never rows, and a large group of near copies is mostly done when its first comparison is.
-Components come from star contraction in Spark; nothing is collected.
+on whole sets, again in blocks of bounded size, each of which merges what it links as it goes. Nodes of the largest
+component of a bucket or cluster, however many, only meet the others. Hashes find the shingles that two texts share; a
+link counts only where their words are equal as bytes. So no link between components is lost, pairs are never rows, and
+a large group of near copies is mostly done when its first comparison is. Components come from star contraction in
+Spark; nothing is collected.
 
 Defined results: a text of no words has an empty set and stays by itself; nulls in doc_id count as the largest ids;
 repeated rows are copies, of which ``drop_near_copies`` keeps one. Other columns are carried.
@@ -23,16 +25,16 @@ repeated rows are copies, of which ``drop_near_copies`` keeps one. Other columns
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64, partitions_for, positional, row_blocks, utf8
-from .decontamination import powers
-from .exact_dedup import LOWER
+from .common import LOWER, bounded_batches, join_groups, keyed, materialize, mix64, partitions_for, positional, row_blocks, run_hashes, utf8
 
 BANDS, ROWS = 44, 5
 COORDINATES = BANDS * ROWS
@@ -54,10 +56,20 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 SIGNATURES = "doc_id long, k1 long, k2 long, n_shingles long, node binary, bands array<long>, sig binary"
 
 
-def shingle_sets(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text (bytes ``data[at[i]:at[i + 1]]``)."""
-    low = np.frombuffer(data[at[0] : at[-1]].tobytes().translate(LOWER), np.uint8)
-    at = at - at[0]
+@dataclass
+class Shingles:
+    """The distinct shingles of a text: sorted hashes, the word where each first begins, and the words' bytes."""
+
+    hashes: np.ndarray
+    at: np.ndarray
+    width: int
+    first: np.ndarray
+    last: np.ndarray
+    data: np.ndarray
+
+
+def words_of(low: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last) bytes of the words of all texts ``low[at[i]:at[i + 1]]``, and the n + 1 bounds of the texts in them."""
     word = ~SEPARATOR[low]
     start, stop = word.copy(), word.copy()
     start[1:] &= ~word[:-1]
@@ -67,26 +79,32 @@ def shingle_sets(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     inner = at[1:-1][at[1:-1] > 0] - 1
     stop[inner] = word[inner]
     first, last = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    up, down = powers(len(low) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[: len(low)])])
-    words = mix64((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
-    bounds = np.searchsorted(first, at)
-    m = max(0, len(words) - SHINGLE + 1)
-    h = np.full(m, SHINGLE, np.uint64)
-    for k in range(SHINGLE):
-        h = h * np.uint64(0xD6E8FEB86659FD93) + words[k : k + m]
-    h, out = mix64(h), []
-    for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        if j - i >= SHINGLE:
-            out.append(np.unique(h[i : j - SHINGLE + 1]))
-        elif j > i:
-            own = np.array([j - i], np.uint64)
-            for k in range(i, j):
-                own = own * np.uint64(0xD6E8FEB86659FD93) + words[k : k + 1]
-            out.append(mix64(own))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+    return first, last, np.searchsorted(first, at)
+
+
+def chained(words: np.ndarray, width: int) -> np.ndarray:
+    h = np.full(max(0, len(words) - width + 1), width, np.uint64)
+    for k in range(width):
+        h = h * np.uint64(0xD6E8FEB86659FD93) + words[k : k + len(h)]
+    return mix64(h)
+
+
+def shingled(data: np.ndarray, at: np.ndarray, places: bool = True) -> Iterator[Shingles]:
+    """The shingles of each text (bytes ``data[at[i]:at[i + 1]]``); ``places`` only where bytes are to be compared."""
+    low, at = np.frombuffer(data[at[0] : at[-1]].tobytes().translate(LOWER), np.uint8), at - at[0]
+    first, last, bounds = words_of(low, at)
+    words = run_hashes(low, first, last)
+    whole, none = chained(words, SHINGLE), np.zeros(0, np.int64)
+    for i, j in itertools.pairwise(bounds.tolist()):
+        width = min(SHINGLE, j - i)
+        h = whole[i : j - SHINGLE + 1] if width == SHINGLE else chained(words[i:j], width) if width else words[:0]
+        hashes, begin = np.unique(h, return_index=True) if places else (np.unique(h), none)
+        yield Shingles(hashes, begin, width, first[i:j], last[i:j], low)
+
+
+def shingle_sets(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    return [s.hashes for s in shingled(data, at, places=False)]
 
 
 def sketches(sets: list[np.ndarray], k: int = COORDINATES) -> np.ndarray:
@@ -119,22 +137,53 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return h
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets of sorted hashes are linked."""
-    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
+def same_words(a: Shingles, i: np.ndarray, b: Shingles, j: np.ndarray) -> np.ndarray:
+    """Whether the words ``i`` of one text and ``j`` of another are equal, byte by byte."""
+    size = a.last[i] - a.first[i]
+    same = size == b.last[j] - b.first[j]
+    i, j, size = a.first[i[same]], b.first[j[same]], size[same]
+    if len(size):
+        starts = np.cumsum(size) - size
+        place = np.arange(size.sum()) - np.repeat(starts, size)
+        equal = a.data[np.repeat(i, size) + place] == b.data[np.repeat(j, size) + place]
+        same[same] = np.logical_and.reduceat(equal, starts)
+    return same
+
+
+def similar(a: Shingles, b: Shingles) -> bool:
+    """Whether two texts are linked. Hashes find the shingles that both have; their words are then compared as bytes."""
+    n, m = len(a.hashes), len(b.hashes)
+    if a.width != b.width or 100 * min(n, m) < PERCENT * max(n, m):
         return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+    both, i, j = np.intersect1d(a.hashes, b.hashes, assume_unique=True, return_indices=True)
+    if 100 * len(both) < PERCENT * (n + m - len(both)):
+        return False
+    step = np.arange(a.width)
+    i, j = (a.at[i][:, None] + step).ravel(), (b.at[j][:, None] + step).ravel()
+    pairs, back = np.unique(i << 32 | j, return_inverse=True)
+    same = same_words(a, pairs >> 32, b, pairs & 0xFFFFFFFF)
+    equal = int(same[back].reshape(-1, a.width).all(axis=1).sum())
+    return 100 * equal >= PERCENT * (n + m - equal)
+
+
+def node_key(s: Shingles) -> bytes:
+    """128 bits for equal sets: of all hashes, or of the words themselves where there is one shingle only."""
+    own = s.hashes.tobytes()
+    if len(s.hashes) == 1:
+        words = zip(s.first[: s.width].tolist(), s.last[: s.width].tolist(), strict=True)  # any place has the same words
+        own = b" ".join(s.data[i:j].tobytes() for i, j in words)
+    return hashlib.blake2b(own, digest_size=16).digest()
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, at = utf8(batch.column(3))
-        for i, j in row_blocks(at, 4 << 20):
-            sets = shingle_sets(data, at[i : j + 1])
+        for i, j in row_blocks(at):
+            texts = list(shingled(data, at[i : j + 1], places=False))
+            sets = [s.hashes for s in texts]
             sketch = sketches(sets)
             keys, sig = band_keys(sketch).view(np.int64), sketch.astype(np.uint8)
-            nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            nodes = [node_key(s) if s.width else None for s in texts]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), lists, pa.array([x.tobytes() for x in sig], pa.binary())], ["doc_id", "k1", "k2", "n_shingles", "node", "bands", "sig"])
 
@@ -147,7 +196,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [batch.column(c).to_pylist() for c in range(4)]
         for i, j in row_blocks(at):
             found = []
-            for k, s in zip(range(i, j), shingle_sets(data, at[i : j + 1]), strict=True):
+            for k, s in zip(range(i, j), shingled(data, at[i : j + 1]), strict=True):
                 if not cols[2][k]:
                     pivot, base = (cols[0][k], cols[1][k]), s
                 else:
@@ -218,7 +267,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (cluster, i, j, side, v, c, sig, text), sorted by group: links that join different components."""
     for held in _grouped(batches, 8):
         side, v, c, sig = _columns(held)
-        sets = shingle_sets(*utf8(pa.array([h[4] for h in held], pa.string())))
+        sets = list(shingled(*utf8(pa.array([h[4] for h in held], pa.string()))))
         up = {x: x for x in c.tolist()}
 
         def top(x):
@@ -237,24 +286,44 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _pairs(p, q)
 
 
+def block_counts(rows: DataFrame, key: str, name: str, room) -> DataFrame:
+    """For each key with more than one component: its largest component (top) and the blocks of that (big) and of the rest.
+
+    ``room`` is an aggregate: the blocks that some rows fill. Only a row for each (key, component) is grouped by key.
+    """
+    each = rows.groupBy(key, "c").agg(F.count(F.lit(1)).alias("n"), room.alias("room"))
+    top = F.max(F.struct("n", "c", "room"))
+    both = each.groupBy(key).agg(top.alias("top"), F.sum("room").alias("room"), F.count(F.lit(1)).alias("components"))
+    rest = F.ceil(F.col("room") - F.col("top.room") + 1e-9)
+    counted = both.filter("components > 1").select(key, F.col("top.c").alias("top"), F.ceil("top.room").cast("int").alias("big"), rest.cast("int").alias("rest"))
+    return materialize(counted, name)
+
+
 def in_blocks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Rows (with ``blocks``, a number for each key) dealt to a group (key, i, j) for each pair of blocks."""
-    own = rows.withColumn("b", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    """Rows (with top, big and rest of their key) dealt to a group (key, i, j) for each pair of blocks that may hold links.
+
+    Nodes of the key's largest component need not meet each other: they go once to each block of the rest, whatever
+    their number. The rest's blocks meet each other and those.
+    """
+    large, spread = F.col("c") == F.col("top"), F.xxhash64("v")
+    block = F.when(large, F.col("rest") + F.pmod(spread, F.col("big"))).otherwise(F.pmod(spread, F.col("rest"))).cast("int")
+    last = F.when(large, F.col("rest")).otherwise(F.col("rest") + F.col("big")) - 1
+    own = rows.withColumn("b", block).withColumn("x", F.explode(F.sequence(F.lit(0), last)))
     meets = own.select(key, F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"), (F.col("b") > F.col("x")).cast("int").alias("side"), *columns)
     return meets.repartition(partitions_for(rows.sparkSession), key, "i", "j").sortWithinPartitions(key, "i", "j")
 
 
 def crossing_links(placed: DataFrame, found: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (p, v) between components of nodes that share a bucket. ``placed``: (key, v, c), ``found``: (v, c)."""
-    sizes = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).filter("low != high")
-    mixed = placed.join(materialize(sizes.select("key", "blocks"), "mixed"), "key").join(nodes.select("v", "sig"), "v")
+    blocks = block_counts(placed, "key", "mixed", F.count(F.lit(1)) / BLOCK)
+    mixed = placed.join(blocks, "key").join(nodes.select("v", "sig"), "v")
     edges = in_blocks(mixed, "key", ["v", "c", "sig"]).mapInArrow(_candidates, "p long, v long")
     clusters = materialize(components(edges).withColumnRenamed("c", "cluster"), "clusters")
     members = clusters.join(found, "v", "left").withColumn("c", F.coalesce("c", "v")).join(texts, "v").join(nodes.select("v", "sig"), "v")
     members = materialize(members, "cluster-members")
     room = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("text")) / BLOCK_TEXT)
-    sizes = materialize(members.groupBy("cluster").agg(F.ceil(room).cast("int").alias("blocks")), "cluster-sizes")
-    dealt = in_blocks(members.join(sizes, "cluster"), "cluster", ["v", "c", "sig", "text"])
+    blocks = block_counts(members, "cluster", "cluster-sizes", room)
+    dealt = in_blocks(members.join(blocks, "cluster"), "cluster", ["v", "c", "sig", "text"])
     return dealt.mapInArrow(_compared, "p long, v long").distinct()
 
 
@@ -274,10 +343,11 @@ def components(links: DataFrame) -> DataFrame:
     edges, before = materialize(links.select(F.greatest("p", "v").alias("a"), F.least("p", "v").alias("b")).filter("a != b").distinct(), "edges"), None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "large-stars")
-        large = materialize(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a != b")
+        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n")), "large-stars")
+        met = join_groups(both, least, ["a"], "n")  # a hub's rows are not joined in one task
+        large = materialize(met.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        least = materialize(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "small-stars")
+        small = join_groups(large, least, ["a"], "n").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a != b")
         edges = materialize(small.distinct(), "edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
@@ -297,7 +367,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     The last three name the document that stands for its component; they are null for empty sets.
     """
-    spark = docs.sparkSession
+    bounded_batches(docs.sparkSession)
     rows = docs.select("doc_id", "k1", "k2", "text")
     signed = materialize(rows.mapInArrow(_signatures, SIGNATURES), "signatures")
     # null ids last
@@ -324,11 +394,6 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """128 bits that stand for a document's id and text; never null."""
-    return docs.withColumn("k1", F.xxhash64(doc_id, text)).withColumn("k2", F.xxhash64(F.lit(7), text, doc_id))
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     groups = near_groups(keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", "text"))

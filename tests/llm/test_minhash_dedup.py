@@ -118,3 +118,48 @@ def test_sets_count_as_words_do():
 
     rows = corpus(random.Random(8), 50)
     assert [len(s) for s in M.shingle_sets(*utf8(pa.array([t for _, t in rows])))] == [len(shingles(t)) for _, t in rows]
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Words of 1024 letters whose polynomial hashes modulo 2**64 are equal for every odd base are not copies."""
+    t = "a"
+    for _ in range(10):
+        t += t.translate(str.maketrans("ab", "ba"))
+    other = t.translate(str.maketrans("ab", "ba"))
+    rows = [(1, t), (2, other), (3, f"x {t} y z {t} w v"), (4, f"x {other} y z {other} w v"), (5, t.upper())]
+    got = sorted(map(tuple, M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == brute(rows)
+
+
+def test_links_are_confirmed_on_bytes(monkeypatch):
+    """With one hash for all words, only texts with equal words are linked."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(M, "run_hashes", lambda codes, first, last: np.ones(len(first), np.uint64))
+    texts = ["a b c d e", "a b  c\td E", "a b c d x", "a b", "A b", "b a", "a b c"]
+    s = list(M.shingled(*utf8(pa.array(texts))))
+    same = {(i, j) for i in range(7) for j in range(i) if M.similar(s[i], s[j])}
+    assert same == {(1, 0), (4, 3)}
+
+
+def test_hub_and_large_component(spark, monkeypatch):
+    """One node with half of all links; and a bucket whose largest component meets the rest alone."""
+    links = spark.createDataFrame([(0, i) for i in range(1, 300)] + [(1000 + i, 1001 + i) for i in range(0, 300, 2)], "p long, v long")
+    got = {r.v: r.c for r in M.components(links).collect()}
+    assert {got[i] for i in range(300)} == {0} and all(got[1001 + i] == 1000 + i for i in range(0, 300, 2))
+    rows = [(7, v, 0 if v < 90 else v, v) for v in range(100)] + [(8, v, 0, v) for v in range(5)]
+    placed = spark.createDataFrame(rows, "key long, v long, c long, x long")
+    blocks = M.block_counts(placed, "key", "b", M.F.count(M.F.lit(1)) / 8)
+    assert [tuple(r) for r in blocks.collect()] == [(7, 0, 12, 2)]
+    dealt = M.in_blocks(placed.join(blocks, "key"), "key", ["v", "c"]).collect()
+    met = {}
+    for r in dealt:
+        met.setdefault((r.i, r.j), []).append((r.side, r.v, r.c))
+    seen = set()
+    for group in met.values():
+        for x in group:
+            for y in group:
+                if x[1] < y[1] and x[2] != y[2] and (x[0] != y[0] or len({g[0] for g in group}) == 1):
+                    seen.add((x[1], y[1]))
+    assert seen == {(v, w) for w in range(90, 100) for v in range(w)}
+    assert sum(r.v < 90 for r in dealt) == 2 * 90

@@ -46,9 +46,16 @@ def test_batch_equals_single(rows):
         assert one[0] == lang and abs(one[1] - score) < 1e-9 and one[2] == ok
 
 
+def test_texts_of_a_block_have_their_own_sums(rows):
+    model = L.fit([(t, lang) for _, t, lang in rows[:300]])
+    texts = ["lo.", "strung", None, "12", "ka mi", "", "ru", " éque!", "sch"]
+    for some, one in zip(zip(*model.sums(["" if t is None else t for t in texts]), strict=True), (model.sums([t or ""]) for t in texts), strict=True):
+        assert all(np.allclose(a, b[0]) for a, b in zip(some, one, strict=True))
+
+
 def test_calibration(rows):
     model = L.fit([(t, lang) for _, t, lang in rows])
-    assert 0.05 <= model.temperature <= 20 and 0 < model.threshold <= L.MOST_THRESHOLD
+    assert 0.05 <= model.temperature <= 20 and 0.5 < model.threshold <= 1
 
 
 def test_training_is_stable_on_skewed_texts():
@@ -73,6 +80,43 @@ def test_accuracy_and_rejection_on_documents(spark):
     assert np.mean([r.lang_pred == r.lang for r in held]) > 0.97 and np.mean([r.accepted for r in rows]) > 0.99
 
 
+@pytest.mark.parametrize("out", ["de", "en", "es", "fr"])
+def test_a_language_left_out_of_the_fit_is_rejected(out):
+    """Of the other languages' held-out texts over 99 percent stay; of texts in a language never seen most are rejected."""
+    import pyarrow.parquet as pq
+
+    rows = [r for r in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text", "lang"]).slice(0, 4000).to_pylist() if r["text"] and r["lang"]]
+    model = L.fit([(r["text"], r["lang"]) for r in rows[:2500] if r["lang"] != out])
+    kept = [ok for _, _, ok in model.predict([r["text"] for r in rows[2500:] if r["lang"] != out])]
+    unknown = [ok for _, _, ok in model.predict([r["text"] for r in rows if r["lang"] == out])]
+    print(out, "kept", np.mean(kept), "unknown rejected", 1 - np.mean(unknown))
+    assert np.mean(kept) > 0.99 and np.mean(unknown) < 0.4
+
+
+def test_two_languages_reject_a_third(rows):
+    """Also with two learned languages, whose best score is never below a half."""
+    model = L.fit([(t, lang) for _, t, lang in rows if lang != "cc"])
+    accepted = {lang: np.mean([ok for _, _, ok in model.predict([t for _, t, x in rows if x == lang])]) for lang in SYLLABLES}
+    assert accepted["aa"] > 0.99 and accepted["bb"] > 0.99 and accepted["cc"] < 0.1
+
+
+def test_pieces_change_nothing(rows, monkeypatch):
+    model = L.fit([(t, lang) for _, t, lang in rows[:300]])
+    texts = [" ".join(t for _, t, _ in rows[:100]), "kalo" * 300 + " mi", None, "ru. " * 500, ""]
+    whole = model.predict(texts)
+    monkeypatch.setattr(L, "PIECE", 50)
+    assert len(L.pieces(texts)[0]) > 60 and "".join(L.pieces(texts[:1])[0]) == texts[0]
+    for a, b in zip(whole, model.predict(texts), strict=True):
+        assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-9 and a[2] == b[2]
+
+
+def test_only_the_most_frequent_labels_are_learned(spark, rows, monkeypatch):
+    monkeypatch.setattr(L, "MOST_LANGUAGES", 2)
+    common = [(i, t, lang) for i, t, lang in rows if lang != "cc"] + [r for r in rows if r[2] == "cc"][:20]
+    got = L.identify(spark.createDataFrame(common, "doc_id long, text string, lang string")).collect()
+    assert len(got) == len(common) and {r.lang_pred for r in got} == {"aa", "bb"}
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in L.identify(docs).collect()] == [("und", 0.0)]

@@ -28,7 +28,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions_for, scratch_path
+from .common import bounded_batches, join_groups, materialize, partitions_for, scratch_path
 
 ARC_FIELDS = {
     1: ("URL", "IP-address", "Archive-date", "Content-type", "Archive-length"),
@@ -179,6 +179,7 @@ def _write_arc(folder: str, date: str):
 
 def write_arc(pages: DataFrame, folder: str, date: str = "20240101000000", page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One ARC file a partition, versions 1 and 2 in turn; returns their paths."""
+    bounded_batches(pages.sparkSession)
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     return materialize(rows.mapInArrow(_write_arc(folder, date), "path string"), "arc-files")
 

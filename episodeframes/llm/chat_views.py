@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions_for, read_table
+from .common import bounded_batches, materialize, partitions_for, read_table
 
 PIECE_CHARS = 1 << 20
 END = "<|end|>\n"
@@ -75,6 +75,7 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
 def rotate(turns: DataFrame, system: tuple[str, ...] = ("system",), piece_chars: int = PIECE_CHARS, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """conv_id, speaker, piece, start (first character in the whole), n_turns, text, mask (relative to the piece)."""
     spark = turns.sparkSession
+    bounded_batches(spark)
     rows = turns.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("unknown")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     speaks = ~F.col("role").isin(*system) if system else F.lit(True)
     talks = rows.groupBy("conv_id").agg(F.collect_set(F.when(speaks, F.col("role"))).alias("speakers"), F.sum(F.length("text") + 64).alias("size")).withColumnRenamed("conv_id", "of")

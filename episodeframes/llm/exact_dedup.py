@@ -22,11 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, broadcast_rows, join_groups, materialize, positional, utf8
+from .common import LOWER, bounded_batches, broadcast_rows, join_groups, materialize, partitions_for, positional, utf8
 
 PRIMES = (2147483647, 2147483629)
 POINTS = (1381258397, 1027350437)
 CHUNK = 1 << 16
+#: Texts of more bytes are hashed as pieces of PIECE bytes, each where it lies, and the pieces' values combined.
+HUGE, PIECE = 4 << 20, 1 << 20
+UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bits of the table of fingerprints that occur twice; fixed, so what is broadcast never grows with the data.
 BITMAP_BITS = 1 << 23
 
@@ -65,11 +68,18 @@ def fingerprint(data: np.ndarray) -> tuple[int, int, int]:
 
 
 def _fingerprints(text_index: int):
+    """Rows with the fingerprint, length and SHA-256 of their text; those of huge texts are left null."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = utf8(batch.column(text_index))
             keys, sizes, digests = [], [], []
             for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                if j - i > HUGE:
+                    keys.append(None)
+                    sizes.append(j - i)
+                    digests.append(None)
+                    continue
                 lower = data[i:j].tobytes().translate(LOWER)
                 a, b, n = fingerprint(np.frombuffer(lower, np.uint8))
                 keys.append(a << 31 | b)
@@ -84,10 +94,25 @@ def _fingerprints(text_index: int):
 
 
 def fingerprinted(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with the columns fp, n, sha and a row number (row), written to the shared folder."""
+    """``docs`` with the columns fp, n, sha and a row number (row), written to the shared folder.
+
+    Huge texts come out of the first pass without a fingerprint; their pieces are dealt to tasks of their own.
+    """
+    bounded_batches(docs.sparkSession)
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
     schema = T.StructType([*numbered.schema.fields, *T._parse_datatype_string("fp long, n long, sha binary").fields])
-    return materialize(numbered.mapInArrow(_fingerprints(docs.columns.index(text)), schema), "fingerprints")
+    base = materialize(numbered.mapInArrow(_fingerprints(docs.columns.index(text)), schema), "fingerprints")
+    huge = base.filter("fp is null")
+    if not huge.select("row").limit(1).collect():
+        return base
+    raw, first = F.col(text).cast("binary"), (F.col("piece") * PIECE + 1).cast("int")
+    numbers = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / PIECE))
+    places = huge.select("row", text, F.explode(numbers).alias("piece"))
+    pieces = places.select("row", "piece", F.substring(raw, first, F.lit(PIECE)).alias("bytes"))
+    found = pieces_fingerprint(pieces.repartition(partitions_for(docs.sparkSession), "row", "piece"), "row", "piece", "bytes")
+    lowered = F.translate(text, UPPER, SMALL)
+    whole = huge.drop("fp", "n", "sha").withColumn("sha", F.unhex(F.sha2(lowered.cast("binary"), 256)))
+    return base.filter("fp is not null").unionByName(materialize(whole.join(found.withColumnRenamed("doc_id", "row"), "row").select(base.columns), "huge"))
 
 
 def pieces_fingerprint(pieces: DataFrame, doc_id: str, piece_no: str, text: str) -> DataFrame:
@@ -98,9 +123,10 @@ def pieces_fingerprint(pieces: DataFrame, doc_id: str, piece_no: str, text: str)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = utf8(batch.column(2))
-            found = [fingerprint(np.frombuffer(data[i:j].tobytes().translate(LOWER), np.uint8)) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([f[k] for f in found], pa.int64()) for k in range(3))], ["doc_id", "piece", "a", "b", "n"])
+            lower = (np.frombuffer((x or b"").translate(LOWER), np.uint8) for x in batch.column(2).to_pylist())
+            values = zip(*(fingerprint(x) for x in lower), strict=True) if batch.num_rows else ((), (), ())
+            columns = [batch.column(0), batch.column(1), *(pa.array(v, pa.int64()) for v in values)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "a", "b", "n"])
 
     @F.pandas_udf("fp long, n long")
     def joined(parts):
@@ -114,8 +140,10 @@ def pieces_fingerprint(pieces: DataFrame, doc_id: str, piece_no: str, text: str)
             out.append((done[0] << 31 | done[1], done[2]))
         return pd.DataFrame(out, columns=["fp", "n"])
 
-    parts = pieces.select(F.col(doc_id).alias("doc_id"), F.col(piece_no).cast("long").alias("piece"), F.col(text).alias("text"))
-    parts = parts.mapInArrow(hashed, T.StructType([T.StructField("doc_id", parts.schema["doc_id"].dataType), *T._parse_datatype_string("piece long, a long, b long, n long").fields]))
+    bounded_batches(pieces.sparkSession)
+    parts = pieces.select(F.col(doc_id).alias("doc_id"), F.col(piece_no).cast("long").alias("piece"), F.col(text).cast("binary").alias("bytes"))
+    values = T._parse_datatype_string("piece long, a long, b long, n long").fields
+    parts = parts.mapInArrow(hashed, T.StructType([parts.schema["doc_id"], *values]))
     lists = parts.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("piece", "a", "b", "n"))).alias("parts"))
     return lists.select("doc_id", joined("parts").alias("x")).select("doc_id", "x.fp", "x.n")
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64, partitions_for, utf8
+from .common import bounded_batches, materialize, mix64, partitions_for, utf8
 
 WIDTH = 50
 GRAM = 28
@@ -392,6 +392,7 @@ def _cut(keep_text: bool):
 
 def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_bytes, what is left, if ``keep_text``) of every row."""
+    bounded_batches(docs.sparkSession)
     parts = partitions_for(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(int(NO_ID))).alias("doc_id"), F.hash(text).alias("th"), F.col(text).alias("text"))
     small = rows.mapInArrow(_shrink, "doc_id long, th int, text binary")

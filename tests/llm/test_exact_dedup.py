@@ -65,6 +65,22 @@ def test_parts_combine_to_the_whole(spark):
     assert got == {1: (a << 31 | b, n), 2: (0, 0)}
 
 
+def test_huge_texts_are_hashed_in_pieces(spark, monkeypatch):
+    """The pieces of a huge text meet as values only; nothing else about the result changes."""
+    for name, value in (("HUGE", 30), ("PIECE", 16)):
+        monkeypatch.setattr(X, name, value)
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("abÉ日 Z") for _ in range(n)) for n in (29, 30, 31, 32, 33, 64, 65, 400)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[3:], texts[5].replace("Z", "z"), texts[-1] + "x", None, ""])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, X.exact_groups(df).collect())) == sorted(brute(rows))
+    assert X.drop_exact_copies(df).count() == sum(kept for _, _, _, kept, _ in brute(rows))
+    huge = X.fingerprinted(df.toDF("_0", "_1"), "_1").filter("n > 30").select("_1", "fp", "n").collect()
+    for text, fp, n in huge:
+        a, b, size = X.fingerprint(np.frombuffer(text.encode().translate(X.LOWER), np.uint8))
+        assert (fp, n) == (a << 31 | b, size)
+
+
 def test_repeated_rows_null_ids_and_empty(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a"), (None, None), (None, "")], "doc_id long, text string")
     got = X.exact_groups(df).collect()

@@ -3,8 +3,8 @@
 Version 1 lines hold URL, IP address, date, type and length; version 2 adds result code, checksum, location, offset and
 file name before the length. Each ARC file is read twice by a Spark task: once for an index (payload digest, page, place)
 and once to be rewritten. Between the two, Spark groups the index by digest and picks the record that stays a response;
-the decisions travel to the files sorted by place, so no group of equal payloads is gathered and a task holds one record
-at a time. Identifiers are name-based UUIDs of (archive, record number), dates come from the 14-digit ARC date, types
+groups with a large share of all records are joined by broadcast, and the decisions travel to the files sorted by place,
+so no group of equal payloads is gathered and a task holds one record at a time. Identifiers are name-based UUIDs of (archive, record number), dates come from the 14-digit ARC date, types
 from the URL and block, digests from the payload.
 
 Defined results: a null html is an empty payload; equal payloads of min_bytes and more have one response, that of the
@@ -239,9 +239,13 @@ def convert_archives(arc_paths: DataFrame, folder: str, min_bytes: int = 0) -> D
     """WARC files for ARC files (a table of paths); equal payloads become revisits. Returns the paths written."""
     spark = arc_paths.sparkSession
     index = materialize(spread(arc_paths).mapInArrow(_index, INDEX), "arc-index")
-    keep = index.filter(F.col("n") >= min_bytes).groupBy("digest", "n").agg(F.max(F.struct("page_id", "path", "no", "url", "date")).alias("keep"))
-    named = keep.select("digest", "n", *(F.col(f"keep.{a}").alias(b) for a, b in (("page_id", "keep_page"), ("path", "keep_path"), ("no", "keep_no"), ("url", "keep_url"), ("date", "keep_date"))))
-    decided = index.join(named, ["digest", "n"], "left").select("path", "no", "keep_page", "keep_path", "keep_no", "keep_url", "keep_date")
+    names = {"page_id": "keep_page", "path": "keep_path", "no": "keep_no", "url": "keep_url", "date": "keep_date"}
+    shared = F.coalesce(F.col("n") >= min_bytes, F.lit(False))  # records without a payload have no digest
+    groups = index.filter(shared).groupBy("digest", "n").agg(F.max(F.struct(*names)).alias("keep"), F.count(F.lit(1)).alias("copies"))
+    groups = materialize(groups.select("digest", "n", "copies", *(F.col(f"keep.{a}").alias(b) for a, b in names.items())), "arc-groups")
+    held = join_groups(index.filter(shared).select("path", "no", "digest", "n"), groups, ["digest", "n"], "copies")
+    alone = index.filter(~shared).select("path", "no", *(F.lit(None).cast(groups.schema[c].dataType).alias(c) for c in names.values()))
+    decided = held.select("path", "no", *names.values()).unionByName(alone)
     dealt = decided.repartition(partitions_for(spark), "path").sortWithinPartitions("path", "no")
     return materialize(dealt.mapInArrow(_convert(folder), "path string"), "warc-files")
 
@@ -259,10 +263,19 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if not revisit and sha1_base32(payload) != digest:
                         raise ValueError(f"a payload in {path} doesn't have its digest")
                     page, target = http.get(PAGE_HEADER), fields.get(TARGET_HEADER)
-                    rows.append((page and int(page), int(http["Content-Length"]) if revisit else len(payload), digest, fields["WARC-Type"], target and int(target), fields["WARC-Record-ID"], fields["WARC-Target-URI"]))
+                    size = int(http["Content-Length"]) if revisit else len(payload)
+                    rows.append((page and int(page), size, digest, fields["WARC-Type"], target and int(target), fields["WARC-Record-ID"], fields["WARC-Target-URI"]))
+                    if len(rows) == 4096:
+                        yield _record_batch(rows)
+                        rows = []
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "target_uri"])
+                yield _record_batch(rows)
+
+
+def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "target_uri"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
 def read_archives(warc_paths: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 For every participant of a conversation the dialogue is rendered once more, with that speaker as the assistant, all
 others as users under their names, and a mask of the characters that the assistant is to learn (its texts and their end
-marks). Turns meet their conversation's participants in a join, are dealt by ranges of (conversation, speaker) and
-sorted, and each task renders its run of turns. A conversation of over ``piece_chars`` may be dealt by ranges of its turns
+marks). Turns meet their conversation's participants, a row each, in a join that is salted where a conversation has over
+SALT turns, are dealt by ranges of (conversation, speaker) and sorted, and each task renders its run of turns. A conversation of over ``piece_chars`` may be dealt by ranges of its turns
 too, to any number of tasks: it comes out in pieces, whose number and first character follow from sums over pieces.
 
 Defined results: turns are in the order of turn (nulls first), then speaker and text; repeated turns are repeated; a null
@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, partitions_for, read_table
+from .common import bounded_batches, join_groups, materialize, partitions_for, read_table
 
 PIECE_CHARS = 1 << 20
+SALT = 1024
 END = "<|end|>\n"
 SCHEMA = "conv_id long, speaker string, part int, no long, n_turns long, chars long, text string, mask array<struct<start:long,end:long>>"
 MASK = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -78,8 +79,15 @@ def rotate(turns: DataFrame, system: tuple[str, ...] = ("system",), piece_chars:
     bounded_batches(spark)
     rows = turns.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("unknown")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     speaks = ~F.col("role").isin(*system) if system else F.lit(True)
-    talks = rows.groupBy("conv_id").agg(F.collect_set(F.when(speaks, F.col("role"))).alias("speakers"), F.sum(F.length("text") + 64).alias("size")).withColumnRenamed("conv_id", "of")
-    seen = rows.join(talks, F.col("conv_id").eqNullSafe(F.col("of"))).select("conv_id", F.explode("speakers").alias("speaker"), "role", "text", "turn", (F.col("size") > piece_chars).alias("large"))
+    rows = rows.withColumn("none", F.col("conv_id").isNull()).withColumn("conv_id", F.coalesce("conv_id", F.lit(0).cast("long")))
+    conv = ["none", "conv_id"]
+    sizes = rows.groupBy(*conv).agg(F.sum(F.length("text") + 64).alias("size"), F.count(F.lit(1)).alias("n"))
+    sizes = materialize(sizes.withColumn("salts", F.ceil(F.col("n") / SALT).cast("int")), "chat-sizes")
+    speakers = join_groups(rows.filter(speaks).select(*conv, F.col("role").alias("speaker")).distinct(), sizes, conv, "n")
+    speakers = speakers.select(*conv, "speaker", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    turned = join_groups(rows, sizes, conv, "n").withColumn("salt", F.pmod(F.xxhash64("turn", "role", "text"), F.col("salts")).cast("int"))
+    met = turned.join(speakers, [*conv, "salt"])
+    seen = met.select(F.when(~F.col("none"), F.col("conv_id")).alias("conv_id"), "speaker", "role", "text", "turn", (F.col("size") > piece_chars).alias("large"))
     cut = [F.when(F.col("large"), F.col(c)) for c in ("turn", "role")]
     dealt = seen.repartitionByRange(partitions_for(spark), "conv_id", "speaker", *cut).sortWithinPartitions("conv_id", "speaker", "turn", "role", "text")
     pieces = materialize(dealt.select("conv_id", "speaker", "role", "text").mapInArrow(_render(system, piece_chars), SCHEMA), "chat-pieces")

@@ -5,11 +5,12 @@ others; its hash is taken at every word of the benchmark and of the corpus. The
 8 to 13 words with up to a fifth of them substituted has a hit (held by a test). Corpus windows pass a bit table of fixed
 size that the benchmark's hashes have set; runs of neighbouring hits leave with their surroundings as one row, their
 hashes are joined with the benchmark's, and each pairing of a run with an item at one offset is verified: some
-WINDOW words (all words of a shorter item) must agree in at least four fifths. Nothing is sampled or capped, and the
-benchmark itself is never broadcast, so it may be as large as the corpus; the table then lets more through.
+WINDOW words (all words of a shorter item) must agree in at least four fifths. Items of fewer than LEAST words tolerate
+no substitution: they are looked for as whole word sequences, by one hash for each length that the benchmark has.
+Nothing is sampled or capped, and the benchmark is broadcast only below MOST_SHORT short items, so it may be as large as
+the corpus; the table then lets more through.
 
-Defined results: null and empty texts have no words and are clean; items of fewer than LEAST words prove nothing and are
-not searched for; items are told apart by their words alone, so ids may be null or used twice: items with the same words
+Defined results: null and empty texts have no words and are clean, items without words match nothing; items are told apart by their words alone, so ids may be null or used twice: items with the same words
 count once and are named by their smallest id, which is null if none has one; repeated documents share their fate;
 an empty benchmark leaves all documents clean. Other columns are carried by ``drop_contaminated``.
 """
@@ -17,6 +18,7 @@ an empty benchmark leaves all documents clean. Other columns are carried by ``dr
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,7 @@ MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 1, 2, 3, 4))
 SPAN = 8
 LEAST = 8
 WINDOW = 13
+MOST_SHORT = 100_000
 BITMAP_BITS = 1 << 24
 #: Words to both sides of hits that verification may need, and positions of hits in one row at most.
 MARGIN, RUN = 16, 512
@@ -67,6 +70,14 @@ def seeds(hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield span, mix64(h)
 
 
+def sequences(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the sequences of n words that begin at each word."""
+    h = np.full(max(0, len(hashes) - n + 1), 1000 + n, np.uint64)
+    for k in range(n):
+        h = h * np.uint64(0xD6E8FEB86659FD93) + hashes[k : k + len(h)]
+    return mix64(h)
+
+
 def bits_of(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & np.uint64(bits - 1)).astype(np.int64), ((h >> np.uint64(36)) & np.uint64(bits - 1)).astype(np.int64)
 
@@ -77,9 +88,12 @@ def _bench_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words, _ = word_hashes([text])
-            if len(words) < LEAST:
+            key = hashlib.sha256(words.tobytes()).digest()
+            if 0 < len(words) < LEAST:
+                whole = int(sequences(words, len(words)).view(np.int64)[0])
+                out.append({"item": key, "item_id": item, "n": len(words), "base": 0, "words": [], "hits": [{"hash": whole, "at": 0}]})
                 continue
-            found, key = list(seeds(words)), hashlib.sha256(words.tobytes()).digest()
+            found = list(seeds(words))
             for at in range(0, len(words), RUN):
                 base = max(0, at - MARGIN)
                 hits = [{"hash": int(x), "at": p} for _, h in found for p, x in enumerate(h[at : at + RUN].view(np.int64).tolist(), at)]
@@ -95,31 +109,51 @@ RUNS = "k1 long, k2 long, run long, base long, words array<long>, hits array<str
 RUN_SCHEMA = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("run", pa.int64()), ("base", pa.int64()), ("words", pa.list_(pa.int64())), ("hits", HITS)])
 
 
-def _hit_runs(table, bits: int):
+def _passing(h: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
+    a, b = bits_of(h, bits)
+    return np.flatnonzero(table[a >> 6] >> (a & 63).astype(np.uint64) & table[b >> 6] >> (b & 63).astype(np.uint64) & np.uint64(1))
+
+
+def _short_hits(words: np.ndarray, bounds: np.ndarray, lengths: list[int], table: np.ndarray, bits: int) -> dict[int, list[int]]:
+    """For each text the distinct hashes of sequences that may be a short item."""
+    out: dict[int, list[int]] = {}
+    for n in lengths:
+        h = sequences(words, n)
+        at = _passing(h, table, bits)
+        doc = np.searchsorted(bounds, at, "right") - 1
+        inside = at + n <= bounds[doc + 1]
+        for d, x in np.unique(np.stack([doc[inside], h[at[inside]].view(np.int64)], 1), axis=0).tolist():
+            out.setdefault(d, []).append(x)
+    return out
+
+
+def _hit_runs(table, bits: int, lengths: list[int]):
+    """Runs of hits; number -1 stands for the short items that a text may hold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in row_blocks(utf8(batch.column(2))[1]):
                 part = batch.slice(i, j - i)
                 words, bounds = word_hashes(part.column(2).to_pylist())
-                at, hit = [], []
+                at, hit, out = [], [], []
+                for d, found in _short_hits(words, bounds, lengths, table.value, bits).items():
+                    key = {"k1": part.column(0)[d].as_py(), "k2": part.column(1)[d].as_py()}
+                    out.append({**key, "run": -1, "base": 0, "words": [], "hits": [{"hash": x, "at": 0} for x in found]})
                 for span, h in seeds(words):
-                    found = h
-                    a, b = bits_of(h, bits)
-                    keep = np.flatnonzero(table.value[a >> 6] >> (a & 63).astype(np.uint64) & table.value[b >> 6] >> (b & 63).astype(np.uint64) & np.uint64(1))
+                    keep = _passing(h, table.value, bits)
                     doc = np.searchsorted(bounds, keep, "right") - 1
                     keep = keep[keep + span <= bounds[doc + 1]]
                     at.append(keep)
-                    hit.append(found[keep])
+                    hit.append(h[keep])
                 at, hit = np.concatenate(at), np.concatenate(hit)
-                if not len(at):
+                if not len(at) and not out:
                     continue
                 order = np.argsort(at, kind="stable")
                 at, hit = at[order], hit[order]
                 doc = np.searchsorted(bounds, at, "right") - 1
                 # a run ends with its document, before a gap, and after RUN positions
                 new = np.flatnonzero((np.diff(doc, prepend=-1) > 0) | (np.diff(at, prepend=-(10**9)) > SPAN) | (np.diff(at // RUN, prepend=-1) > 0))
-                out = []
-                for x, y in zip(new.tolist(), [*new[1:].tolist(), len(at)], strict=True):
+                for x, y in itertools.pairwise([*new.tolist(), len(at)]):
                     d = int(doc[x])
                     base = max(int(bounds[d]), int(at[x]) - MARGIN)
                     end = min(int(bounds[d + 1]), int(at[y - 1]) + MARGIN)
@@ -160,18 +194,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str,
     bench = materialize(items.mapInArrow(_bench_rows, BENCH), "benchmark-seeds")
     # equal items have equal stretches at equal bases, so each stretch finds the same smallest id
     bench = bench.groupBy("item", "base").agg(F.min("item_id").alias("item_id"), *(F.first(c).alias(c) for c in ("n", "words", "hits")))
-    hashes = bench.select("item", "base", F.explode("hits").alias("h")).select("item", F.col("base").alias("item_base"), F.col("h.hash").alias("hash"), F.col("h.at").alias("item_at"))
+    every = bench.select("item", "n", "base", F.explode("hits").alias("h")).select("item", "n", "base", "h")
+    hashes = every.filter(F.col("n") >= LEAST).select("item", F.col("base").alias("item_base"), F.col("h.hash").alias("hash"), F.col("h.at").alias("item_at"))
+    short = bench.filter(F.col("n") < LEAST).select("item", "item_id", "n", F.col("hits")[0]["hash"].alias("hash"))
+    lengths = sorted(r.n for r in broadcast_rows(short.select("n").distinct(), LEAST, "lengths of short items"))
     bit = F.explode(F.array(F.col("hash").bitwiseAND(bits - 1), F.shiftrightunsigned("hash", 36).bitwiseAND(bits - 1)))
-    words = hashes.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
+    words = every.select(F.col("h.hash").alias("hash")).select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
     table = np.zeros(bits // 64, np.uint64)
     for word, value in broadcast_rows(words, bits // 64, "bit table of the benchmark"):
         table[word] = value & 0xFFFFFFFFFFFFFFFF
-    runs = materialize(docs.select("k1", "k2", text).mapInArrow(_hit_runs(spark.sparkContext.broadcast(table), bits), RUNS), "seed-hits")
-    hits = runs.select("k1", "k2", "run", F.explode("hits").alias("h")).select("k1", "k2", "run", F.col("h.hash").alias("hash"), F.col("h.at").alias("at"))
+    runs = materialize(docs.select("k1", "k2", text).mapInArrow(_hit_runs(spark.sparkContext.broadcast(table), bits, lengths), RUNS), "seed-hits")
+    hits = runs.filter("run >= 0").select("k1", "k2", "run", F.explode("hits").alias("h")).select("k1", "k2", "run", F.col("h.hash").alias("hash"), F.col("h.at").alias("at"))
     pairs = hits.join(hashes, "hash").select("k1", "k2", "run", "item", "item_base", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
     segments = bench.select("item", F.col("base").alias("item_base"), "item_id", "n", F.col("words").alias("item_words"))
-    sides = pairs.join(runs.drop("hits").dropDuplicates(["k1", "k2", "run"]), ["k1", "k2", "run"]).join(segments, ["item", "item_base"])
+    sides = pairs.join(runs.filter("run >= 0").drop("hits").dropDuplicates(["k1", "k2", "run"]), ["k1", "k2", "run"]).join(segments, ["item", "item_base"])
     held = sides.withColumn("overlap", _overlaps("words", "base", "item_words", "item_base", "n", "offset")).filter("overlap > 0")
+    held = held.select("k1", "k2", "item", "item_id", "overlap")
+    if lengths:
+        few = short.limit(MOST_SHORT + 1).count() <= MOST_SHORT
+        whole = runs.filter("run < 0").select("k1", "k2", F.explode("hits.hash").alias("hash")).join(F.broadcast(short) if few else short, "hash")
+        held = held.unionByName(whole.select("k1", "k2", "item", "item_id", F.col("n").cast("int").alias("overlap")))
     each = held.groupBy("k1", "k2", "item").agg(F.min("item_id").alias("item_id"), F.max("overlap").alias("overlap"))
     return each.groupBy("k1", "k2").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n_items"), F.max("overlap").alias("overlap"))
 

@@ -46,5 +46,14 @@ def test_large_conversation_in_pieces(spark):
     assert whole(got) == {(c, s): (t, m) for c, s, t, m in brute(rows)}
 
 
+def test_half_of_all_turns_in_one_conversation_of_many_speakers(spark, monkeypatch):
+    """A conversation with half of all turns and 40 speakers, salted, and one with null turns and texts."""
+    monkeypatch.setattr(C, "SALT", 16)
+    rows = [(1, t, f"p{t % 40}", f"w{t}") for t in range(300)] + [(10 + c, t, f"q{t % 2}", "x") for c in range(100) for t in range(3)]
+    rows += [(None, t if t % 2 else None, "n", None if t % 3 else "y") for t in range(40)]
+    got = C.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert whole(got) == {(c, s): (t, m) for c, s, t, m in brute(rows)}
+
+
 def test_empty(spark):
     assert C.rotate(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []

@@ -9,7 +9,9 @@ def brute(doc, item):
     """Whether a window of the item agrees with one of the document in four fifths of its words."""
     a, b = (re.findall(r"[^\W_]+", (t or "").lower()) for t in (doc, item))
     n = min(D.WINDOW, len(b))
-    if len(b) < D.LEAST or not {tuple(a[i : i + 3]) for i in range(len(a) - 2)} & {tuple(b[i : i + 3]) for i in range(len(b) - 2)}:
+    if len(b) < D.LEAST:
+        return bool(b) and any(a[i : i + n] == b for i in range(len(a) - n + 1))
+    if not {tuple(a[i : i + 3]) for i in range(len(a) - 2)} & {tuple(b[i : i + 3]) for i in range(len(b) - 2)}:
         return False  # two substitutions in a window leave three words in a row
     return any(sum(x == y for x, y in zip(a[i : i + n], b[j : j + n], strict=True)) >= n - n // 5 for i in range(len(a) - n + 1) for j in range(len(b) - n + 1))
 
@@ -63,6 +65,36 @@ def test_items_without_an_id_or_with_a_shared_one(spark):
     assert [r.doc_id for r in D.drop_contaminated(df, bench).collect()] == [6]
 
 
+def test_short_items_are_found_as_whole_sequences(spark):
+    """Items of 1 to 7 words, also within longer ones and in languages with other letters; not across documents."""
+    rnd = random.Random(8)
+    items = [" ".join(words(rnd, n)) for n in range(1, 8) for _ in range(3)] + ["Čeština", "日本 語", "", None, " ".join(words(rnd, 20))]
+    docs = []
+    for k in range(200):
+        body = words(rnd, rnd.randrange(0, 12))
+        part = (rnd.choice(items) or "").split()
+        if part and k % 4 == 0:
+            part[rnd.randrange(len(part))] = "zzz"
+        at = rnd.randrange(len(body) + 1)
+        docs.append((k, " ".join(body[:at] + part * rnd.choice([1, 1, 3]) + body[at:])))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.n_items) for r in D.find_contaminated(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), bench).collect()}
+    distinct = {tuple(re.findall(r"[^\W_]+", (x or "").lower())) for x in items}
+    want = {k: sum(brute(t, " ".join(x)) for x in distinct) for k, t in docs}
+    assert got == {k: (n > 0, n) for k, n in want.items()} and 20 < sum(n > 0 for n in want.values()) < 190
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Words of 1024 letters whose polynomial hashes modulo 2**64 are equal for every odd base are different words."""
+    t = "a"
+    for _ in range(10):
+        t += t.translate(str.maketrans("ab", "ba"))
+    other = t.translate(str.maketrans("ab", "ba"))
+    bench = spark.createDataFrame([(0, " ".join(f"{t} w{i}" for i in range(10)))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(f"{t} w{i}" for i in range(10))), (2, " ".join(f"{other} w{i}" for i in range(10)))], "doc_id long, text string")
+    assert {r.doc_id: r.contaminated for r in D.find_contaminated(docs, bench).collect()} == {1: True, 2: False}
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -8,7 +8,8 @@ Pass 1 sorts one suffix for each stretch of neighbouring windows: every window n
 alone decide (a modular minimizer), so equal windows name equal anchors; digit 1 is the GRAM bytes at the anchor, digit 2
 the whole stretch of bytes that its windows cover. Equal stretches make all windows of all but the smallest document
 repeated. Stretches that share digit 1 with another document but not digit 2 go to pass 2, which sorts each of their
-windows by all WIDTH bytes. Digits are 48- to 64-bit keys of byte strings. A task combines equal suffixes before the
+windows by all WIDTH bytes. Digits are keys of byte strings: of 64 bits for a stretch among those of one gram, of 96 bits
+(two sums with independent random tables) for a window. A task combines equal suffixes before the
 exchange (only the smallest document's is sent), and a digit that it sees in many stretches goes to pass 2 without being
 sent more than once, so a passage of any frequency costs each task one row. Suffixes travel in packed, compressed blocks.
 Texts move twice, compressed: to pass 2 (documents with open windows) and to be cut.
@@ -41,10 +42,12 @@ COMMON = 16
 NO_ID = np.int64((1 << 63) - 1)
 MOVED = "bucket int, kind int, n int, block binary, doc_id long, th int, spans array<int>"
 BLOCK, REPEATED, OPEN = 0, 1, 2
-FIELDS_1 = (("kh", "<u4"), ("c1", "<u4"), ("c2", "<u2"), ("s", "<u4"), ("n", "u1"), ("common", "u1"))
-FIELDS_2 = (("h", "<u8"), ("s", "<u4"))
+FIELDS_1 = (("kh", "<u4"), ("c1", "<u4"), ("c2", "<u4"), ("s", "<u4"), ("n", "u1"), ("common", "u1"))
+FIELDS_2 = (("h", "<u8"), ("g", "<u4"), ("s", "<u4"))
+#: Bytes of text for each bucket of suffixes, which a task sorts in memory, and buckets that one exchange can have.
+BUCKET_BYTES, MOST_BUCKETS = 32 << 20, 100_000
 
-_TABLE = np.random.default_rng(20240101).integers(0, 1 << 64, 256, dtype=np.uint64)
+_TABLES = np.random.default_rng(20240101).integers(0, 1 << 64, (2, 256), dtype=np.uint64)
 
 
 def pieces(at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -76,11 +79,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def sums_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sums_of(data: np.ndarray, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of a polynomial over the bytes modulo 2**64, and the factors that make differences of them place-free."""
     up, down = powers(len(data) + 1)
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * up[: len(data)], out=out[1:])
+    np.cumsum(_TABLES[which][data] * up[: len(data)], out=out[1:])
     return out, down
 
 
@@ -220,7 +223,7 @@ def gather_1(kh, ctx, doc, th, s, n, buckets: int) -> Iterator[pa.RecordBatch]:
         for i in at[size > COMMON].tolist():  # at most one in COMMON
             group = slice(i, i + int(size[np.searchsorted(at, i)]))
             sent[i + int(doc[group].argmin())] = True
-    columns = {"kh": (kh >> np.uint64(32)), "c1": ctx & np.uint64(0xFFFFFFFF), "c2": ctx >> np.uint64(48), "doc": doc, "th": th, "s": s, "n": n, "common": many.astype(np.uint8)}
+    columns = {"kh": (kh >> np.uint64(32)), "c1": ctx & np.uint64(0xFFFFFFFF), "c2": ctx >> np.uint64(32), "doc": doc, "th": th, "s": s, "n": n, "common": many.astype(np.uint8)}
     bucket = (kh & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)
     yield from send(FIELDS_1, buckets, bucket[sent].astype(np.int64), {k: v[sent] for k, v in columns.items()})
 
@@ -266,15 +269,15 @@ def settle_1(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield span_rows(OPEN, 1, c["doc"][left], c["th"][left], c["s"][left], c["n"][left])
 
 
-def gather_2(h, doc, th, s, buckets: int) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((doc, h))
-    h, doc, th, s = (a[order] for a in (h, doc, th, s))
-    at = runs(h)
+def gather_2(h, g, doc, th, s, buckets: int) -> Iterator[pa.RecordBatch]:
+    order = np.lexsort((doc, g, h))
+    h, g, doc, th, s = (a[order] for a in (h, g, doc, th, s))
+    at = runs(h, g)
     gone = doc > np.repeat(doc[at], np.diff(np.append(at, len(h))))
     if gone.any():
         yield span_rows(REPEATED, buckets, *joined(doc[gone], th[gone], s[gone]))
     keep = ~gone
-    yield from send(FIELDS_2, buckets, (mix64(h[keep]) % np.uint64(buckets)).astype(np.int64), {"h": h[keep], "doc": doc[keep], "th": th[keep], "s": s[keep]})
+    yield from send(FIELDS_2, buckets, (mix64(h[keep]) % np.uint64(buckets)).astype(np.int64), {"h": h[keep], "g": g[keep], "doc": doc[keep], "th": th[keep], "s": s[keep]})
 
 
 def joined(doc, th, s):
@@ -290,9 +293,9 @@ def joined(doc, th, s):
 
 def settle_2(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The whole depth of one bucket."""
-    order = np.lexsort((c["doc"], c["h"]))
+    order = np.lexsort((c["doc"], c["g"], c["h"]))
     c = {k: v[order] for k, v in c.items()}
-    at = runs(c["h"])
+    at = runs(c["h"], c["g"])
     gone = c["doc"] > np.repeat(c["doc"][at], np.diff(np.append(at, len(order))))
     if gone.any():
         yield span_rows(REPEATED, 1, *joined(c["doc"][gone], c["th"][gone], c["s"][gone]))
@@ -349,8 +352,9 @@ def _pass_2(buckets: int):
                 for p in range(0, len(data), PIECE):
                     part = s[np.searchsorted(s, p) : np.searchsorted(s, p + PIECE)]
                     if len(part):
-                        sums, down = sums_of(data[p : p + PIECE + WIDTH - 1])
-                        held.append((keys_at(sums, down, part - p, WIDTH), np.full(len(part), ids[k]), np.full(len(part), ths[k]), part))
+                        place = data[p : p + PIECE + WIDTH - 1]
+                        h, g = (keys_at(*sums_of(place, which), part - p, WIDTH) for which in (0, 1))
+                        held.append((h, (g >> np.uint64(32)).astype(np.uint32), np.full(len(part), ids[k]), np.full(len(part), ths[k]), part))
                         count += len(part)
                 if count > HELD:
                     yield from gather_2(*map(np.concatenate, zip(*held, strict=True)), buckets)
@@ -393,7 +397,8 @@ def _cut(keep_text: bool):
 def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_bytes, what is left, if ``keep_text``) of every row."""
     bounded_batches(docs.sparkSession)
-    parts = partitions_for(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(partitions_for(docs.sparkSession), min(MOST_BUCKETS, -(-size // BUCKET_BYTES)))
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(int(NO_ID))).alias("doc_id"), F.hash(text).alias("th"), F.col(text).alias("text"))
     small = rows.mapInArrow(_shrink, "doc_id long, th int, text binary")
     moved = rows.mapInArrow(_pass_1(parts), MOVED).repartitionById(parts, "bucket").sortWithinPartitions("bucket")

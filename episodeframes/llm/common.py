@@ -17,9 +17,11 @@ BLOCK_BYTES = 2 << 20
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a folder of our own only where that is not set (tests)."""
+    """A new folder below ``spark.checkpoint.dir``; a folder of our own only where that is not set and the master is local."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or getattr(scratch_path, "own", None)
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         base = scratch_path.own = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -81,8 +83,8 @@ def row_blocks(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[i
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 HASH_KEY = np.uint64(0x5851F42D4C957F2D)
 
-#: A group with more than this share of all rows is joined on its own; there are fewer than 1 / HEAVY of them.
-HEAVY = 1 / 1000
+#: A group with more than this share of all rows (and more than LIGHT rows) is joined on its own; there are fewer than 1 / HEAVY.
+HEAVY, LIGHT = 1 / 1000, 512
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
@@ -90,11 +92,13 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str)
 
     Heavy groups, of which there can only be 1 / HEAVY, are broadcast, so that none lands in one task; the rest is shuffled.
     """
-    total = rows.count()
-    heavy = F.col(size) > max(1.0, total * HEAVY)
-    broadcast_rows(groups.filter(heavy).select(F.lit(1)), int(1 / HEAVY), "heavy groups")
-    few, rest = F.broadcast(groups.filter(heavy)), groups.filter(~heavy)
-    return rows.join(few, keys).unionByName(rows.join(F.broadcast(groups.filter(heavy).select(*keys)), keys, "left_anti").join(rest, keys))
+    total, most = groups.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.max(size), F.lit(0))).first()
+    limit = max(LIGHT, total * HEAVY)
+    if most <= limit:
+        return rows.join(groups, keys)
+    few, rest = groups.filter(F.col(size) > limit), groups.filter(F.col(size) <= limit)
+    others = rows.join(F.broadcast(few.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(few), keys).unionByName(others.join(rest, keys))
 
 
 def partitions_for(spark: SparkSession) -> int:

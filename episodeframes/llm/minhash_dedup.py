@@ -339,22 +339,27 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(v, c) for every node with a link: c is the smallest node of its component. Stars are contracted until none changes."""
-    edges, before = materialize(links.select(F.greatest("p", "v").alias("a"), F.least("p", "v").alias("b")).filter("a != b").distinct(), "edges"), None
+    """(v, c) for every node with a link: c is the smallest node of its component.
+
+    Stars are contracted until all are stars around a smallest node, which the counts of smaller and larger neighbours
+    show. Rows of a hub are not joined in one task.
+    """
+    edges = materialize(links.select(F.greatest("p", "v").alias("a"), F.least("p", "v").alias("b")).filter("a != b").distinct(), "edges")
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n")), "large-stars")
-        met = join_groups(both, least, ["a"], "n")  # a hub's rows are not joined in one task
-        large = materialize(met.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        down = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        counts = (F.count_if(F.col("b") < F.col("a")).alias("below"), F.count_if(F.col("b") > F.col("a")).alias("above"))
+        least = edges.unionByName(down).groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), *counts)
+        least = materialize(least, "large-stars")
+        if not least.filter("below > 1 or (below > 0 and above > 0)").limit(1).collect():
+            break
+        met = join_groups(down, least.filter("above > 0"), ["a"], "above")
+        large = materialize(met.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
         least = materialize(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "small-stars")
-        small = join_groups(large, least, ["a"], "n").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a != b")
+        both = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        small = join_groups(large, least, ["a"], "n").select(F.explode(both).alias("e")).select("e.a", "e.b").filter("a != b")
         edges = materialize(small.distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
-            break
-        before = now
     stars = edges.select(F.col("a").alias("v"), F.col("b").alias("c"))
-    return stars.unionByName(stars.select(F.col("c").alias("v"), "c").distinct())
+    return stars.unionByName(least.filter("above > 0").select(F.col("a").alias("v"), F.col("a").alias("c")))
 
 
 def placed_in(members: DataFrame, found: DataFrame) -> DataFrame:

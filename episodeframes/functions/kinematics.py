@@ -1,4 +1,4 @@
-"""forward kinematics of a six-joint arm, in Arrow batches."""
+"""forward kinematics of a six-joint arm, as expressions on columns."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,61 +15,67 @@ LINK_ALPHA_DEG = (0.0, -90.0, 0.0, 90.0, -90.0, 90.0)
 LINK_D = (0.123, 0.0, 0.0, 0.25075, 0.0, 0.091)
 OFFSET_DEG = (0.0, -172.22, -102.78, 0.0, 0.0, 0.0)
 NO_OFFSET_DEG = (0.0, -174.22, -100.78, 0.0, 0.0, 0.0)
-#: Base of the right arm relative to the left one.
+#: Fixed value: base of the right arm relative to the left one.
 RIGHT_BASE = (0.0, -0.71, 0.0, 0.0, 0.0, 0.0)
+#: Fixed value: how near to 1 the sine of the pitch counts as straight up or down.
 GIMBAL = 1e-4
-POSE = "struct<x:double,y:double,z:double,roll:double,pitch:double,yaw:double>"
-
-
-def _base(pose: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
-    """Rotation (yaw, then pitch, then roll) and position of a base given in metres and degrees."""
-    roll, pitch, yaw = np.radians(pose[3:])
-
-    def turn(axis: int, angle: float) -> np.ndarray:
-        i, j = [(1, 2), (2, 0), (0, 1)][axis]
-        m = np.eye(3)
-        m[i, i] = m[j, j] = math.cos(angle)
-        m[j, i], m[i, j] = math.sin(angle), -math.sin(angle)
-        return m
-
-    return turn(2, yaw) @ turn(1, pitch) @ turn(0, roll), np.asarray(pose[:3], float)
-
-
-def arm_poses(joints: np.ndarray, dh_offset: bool = True, tcp_offset: Sequence[float] = (0, 0, 0), base_pose: Sequence[float] = (0, 0, 0, 0, 0, 0)) -> np.ndarray:
-    """x, y, z, roll, pitch, yaw (metres, radians) of the tool for rows of six joint angles."""
-    joints = np.asarray(joints, float)
-    if joints.ndim != 2 or joints.shape[1] != 6:
-        raise ValueError("six joint angles a row")
-    theta = joints + np.radians(OFFSET_DEG if dh_offset else NO_OFFSET_DEG)
-    rotation, position = _base(base_pose)
-    r, p = np.broadcast_to(rotation, (len(joints), 3, 3)), np.broadcast_to(position, (len(joints), 3))
-    for k in range(6):
-        ca, sa = math.cos(math.radians(LINK_ALPHA_DEG[k])), math.sin(math.radians(LINK_ALPHA_DEG[k]))
-        # along and about the previous x axis, then along and about the own z axis
-        p = p + r @ np.array([LINK_A[k], -sa * LINK_D[k], ca * LINK_D[k]])
-        c, s = np.cos(theta[:, k])[:, None], np.sin(theta[:, k])[:, None]
-        u, v = r[:, :, 1] * ca + r[:, :, 2] * sa, r[:, :, 2] * ca - r[:, :, 1] * sa
-        r = np.stack([r[:, :, 0] * c + u * s, u * c - r[:, :, 0] * s, v], axis=2)
-    p = p + r @ np.asarray(tcp_offset, float)
-    down = r[:, 2, 0]
-    up_lock, down_lock = down < -1 + GIMBAL, down > 1 - GIMBAL
-    roll = np.arctan2(r[:, 2, 1], r[:, 2, 2])
-    pitch = np.arctan2(-down, np.hypot(r[:, 0, 0], r[:, 1, 0]))
-    yaw = np.arctan2(r[:, 1, 0], r[:, 0, 0])
-    locked = np.arctan2(r[:, 0, 1], r[:, 1, 1])
-    roll = np.where(up_lock, locked, np.where(down_lock, -locked, roll))
-    pitch = np.where(up_lock, math.pi / 2, np.where(down_lock, -math.pi / 2, pitch))
-    yaw = np.where(up_lock | down_lock, 0.0, yaw)
-    return np.column_stack([p, roll, pitch, yaw])
-
-
-def pose_of(joints: Column, **options) -> Column:
-    """The pose struct of a column of six joint angles; a null or another width is an error."""
-
-    def run(rows: pd.Series) -> pd.DataFrame:
-        if rows.map(lambda x: x is None or len(x) != 6).any():
-            raise ValueError("six joint angles a row")
-        out = arm_poses(np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, 6)), **options)
-        return pd.DataFrame(out, columns=["x", "y", "z", "roll", "pitch", "yaw"])
-
-    return F.pandas_udf(run, POSE)(joints)
+
+AXES = ("x", "y", "z", "p")
+
+
+def links(dh_offset: bool = True) -> list[dict[str, float]]:
+    """Constants of each link: length, offset, cosine and sine of its twist, and the zero of its joint."""
+    zeros = OFFSET_DEG if dh_offset else NO_OFFSET_DEG
+    rows = zip(LINK_A, LINK_D, LINK_ALPHA_DEG, zeros, strict=True)
+    return [{"a": a, "d": d, "ca": math.cos(math.radians(t)), "sa": math.sin(math.radians(t)), "zero": math.radians(z)} for a, d, t, z in rows]
+
+
+def base_frame(pose: Sequence[float]) -> dict[str, list[float]]:
+    """Axes and origin (p) of a base given in metres and degrees: roll, then pitch, then yaw about fixed axes."""
+    axes = np.eye(3)
+    for axis, degrees in zip((0, 1, 2), pose[3:], strict=True):
+        i, j = (axis + 1) % 3, (axis + 2) % 3
+        c, s = math.cos(math.radians(degrees)), math.sin(math.radians(degrees))
+        turn = np.eye(3)
+        turn[[i, i, j, j], [i, j, i, j]] = c, -s, s, c
+        axes = turn @ axes
+    return {"x": axes[:, 0].tolist(), "y": axes[:, 1].tolist(), "z": axes[:, 2].tolist(), "p": [float(v) for v in pose[:3]]}
+
+
+def pose_of(joints: Column, dh_offset: bool = True, tcp_offset: Sequence[float] = (0, 0, 0), base_pose: Sequence[float] = (0, 0, 0, 0, 0, 0)) -> Column:
+    """struct(x, y, z, roll, pitch, yaw) in metres and radians of an array of six joint angles; a null or another width is an error.
+
+    A frame is carried from link to link: each turns its y and z axes about x by the link's twist, moves along x and the
+    new z, and turns x and y about z by the joint.
+    """
+    constants = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in link.items())) for link in links(dh_offset)))
+    checked = F.when(F.assert_true(F.coalesce(F.size(joints) == 6, F.lit(False)), F.lit("six joint angles a row")).isNull(), joints)
+
+    def step(q: Column, c: Column) -> Column:
+        angle = q + c["zero"]
+        return F.struct(F.cos(angle).alias("c"), F.sin(angle).alias("s"), c["a"].alias("a"), c["d"].alias("d"), c["ca"].alias("ca"), c["sa"].alias("sa"))
+
+    def carried(f: Column, k: Column) -> Column:
+        out: dict[str, list[Column]] = {a: [] for a in AXES}
+        for i in range(3):
+            x, y, z, p = (f[a][i] for a in AXES)
+            side, up = y * k["ca"] + z * k["sa"], z * k["ca"] - y * k["sa"]
+            out["x"].append(x * k["c"] + side * k["s"])
+            out["y"].append(side * k["c"] - x * k["s"])
+            out["z"].append(up)
+            out["p"].append(p + x * k["a"] + up * k["d"])
+        return F.struct(*(F.array(*out[a]).alias(a) for a in AXES))
+
+    def pose(f: Column) -> Column:
+        place = [f["p"][i] + sum((f[a][i] * float(t) for a, t in zip("xyz", tcp_offset, strict=True)), F.lit(0.0)) for i in range(3)]
+        # the x axis points by yaw and pitch. Where it stands upright, yaw is free: it is 0, and the roll is what y shows
+        nose = f["x"][2]
+        upright, sign = F.abs(nose) > 1 - GIMBAL, -F.signum(nose)
+        roll = F.when(upright, F.atan2(sign * f["y"][0], f["y"][1])).otherwise(F.atan2(f["y"][2], f["z"][2]))
+        pitch = F.when(upright, sign * (math.pi / 2)).otherwise(F.atan2(-nose, F.hypot(f["x"][0], f["x"][1])))
+        yaw = F.when(upright, F.lit(0.0)).otherwise(F.atan2(f["x"][1], f["x"][0]))
+        return F.struct(*(v.alias(n) for v, n in zip([*place, roll, pitch, yaw], ["x", "y", "z", "roll", "pitch", "yaw"], strict=True)))
+
+    base = base_frame(base_pose)
+    start = F.struct(*(F.array(*map(F.lit, base[a])).alias(a) for a in AXES))
+    return F.aggregate(F.zip_with(checked, constants, step), start, carried, pose)

@@ -17,6 +17,7 @@ CAMERA_SETS = (
     {"observation.images.top_head": "observation.images.top_head", "observation.images.hand_right": "observation.images.hand_left", "observation.images.hand_left": "observation.images.hand_right"},
     {"observation.images.cam_high": "observation.images.cam_high", "observation.images.cam_right_wrist": "observation.images.cam_left_wrist", "observation.images.cam_left_wrist": "observation.images.cam_right_wrist"},
 )
+#: Measures that come in pairs of a lower and an upper one.
 PAIRS = (("min", "max"), ("q01", "q99"))
 
 
@@ -50,6 +51,14 @@ def mirror_stats(stats: DataFrame, joints: Sequence[int], keys: Sequence[str] =
     return stats.withColumn("stats", F.transform_values("stats", turned))
 
 
+def mirror_norm_stats(norms: DataFrame, joints: Sequence[int], keys: Sequence[str] = (STATE, ACTION)) -> DataFrame:
+    """F2 on norm statistics: rows (feature, mean, std, q01, q99) of arrays; other features, and other columns, stay."""
+    names = [c for c in ("mean", "std", "q01", "q99") if c in norms.columns]
+    turned = mirror_measures({n: F.col(n) for n in names}, joints)
+    chosen = F.col("feature").isin(list(keys))
+    return norms.withColumns({n: F.when(chosen, turned[n]).otherwise(F.col(n)) for n in names})
+
+
 def camera_map(video_keys: Sequence[str]) -> dict[str, str]:
     """the keys' images. None or two fitting camera sets, or keys beyond the set, are errors."""
     if not video_keys:

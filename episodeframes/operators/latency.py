@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 
 def topic_latency(messages: DataFrame) -> DataFrame:
     """topic, time_s, latency_ms. Messages without a header time (null or 0) don't count; time starts at the earliest of the
@@ -18,5 +20,8 @@ def topic_latency(messages: DataFrame) -> DataFrame:
 def topic_latency_summary(messages: DataFrame, camera: str = "image|camera") -> DataFrame:
     """Per topic n, median, mean, population std, min, max, and its group (camera or other)."""
     x = "latency_ms"
-    rows = topic_latency(messages).groupBy("topic").agg(F.count(x).alias("n"), F.percentile(x, F.lit(0.5)).alias("median"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    timed = topic_latency(messages)
+    rows = timed.groupBy("topic").agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    middle = exact_quantiles(timed, ["topic"], x, [0.5]).select("topic", F.col("q")[0].alias("median"))
+    rows = rows.join(middle, "topic", "left").select("topic", "n", "median", "mean", "std", "min", "max")
     return rows.withColumn("kind", F.when(F.col("topic").rlike(camera), "camera").otherwise("other"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import doubles, exceeds
 from ..schema import ACTION, STATE
+from .quantiles import exact_quantiles
 
 #: Categories of dimension names, the first that fits counts (prefixes, or whole names).
 CATEGORIES = (
@@ -28,7 +29,7 @@ def dimension_names(names: Sequence[str], width: int) -> list[str]:
 
 def dimension_summary(frames: DataFrame, feature: str, names: Sequence[str], width: int, limit: float = math.pi, max_unique: int = 5) -> DataFrame:
     """Per dimension n, min, max, quartiles, whether it has few values, degrees of joints, and whether a joint leaves the
-    limit. All dimensions are columns of one aggregation; values are not exploded."""
+    limit. All dimensions are columns of one aggregation; only the quartiles take a row for each value."""
     names, v = dimension_names(names, width), doubles(feature)
     measures = []
     for i in range(width):
@@ -37,10 +38,12 @@ def dimension_summary(frames: DataFrame, feature: str, names: Sequence[str], wid
         measures.append(
             F.struct(
                 F.lit(i).alias("dim"), F.lit(names[i]).alias("name"), F.lit(names[i].endswith("_joint")).alias("joint"), F.count(x).alias("n"), F.min(number).alias("min"), F.max(number).alias("max"),
-                F.percentile(number, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.approx_count_distinct(number).alias("about"), F.coalesce(F.bool_or(exceeds(x, limit)), F.lit(False)).alias("beyond"),
+                F.approx_count_distinct(number).alias("about"), F.coalesce(F.bool_or(exceeds(x, limit)), F.lit(False)).alias("beyond"),
             )
         )
-    df = frames.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("m")).select("m.*")
+    values = frames.select(F.posexplode(v).alias("dim", "x")).filter(F.col("dim") < width).withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+    quartiles = exact_quantiles(values, ["dim"], "x", [0.25, 0.5, 0.75])
+    df = frames.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("m")).select("m.*").join(quartiles, "dim", "left")
     degrees = [F.when(F.col("joint"), F.degrees(c)).alias(f"{c}_deg") for c in ("min", "max")]
     return df.select(F.lit(feature).alias("feature"), "dim", "name", "joint", "n", "min", "max", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), *degrees, (F.col("about") <= 2 * max_unique).alias("maybe_discrete"), (F.col("joint") & F.col("beyond")).alias("abnormal"))
 
@@ -72,8 +75,9 @@ def out_of_range_share(frames: DataFrame, limit: float = math.pi) -> DataFrame:
 
 def episode_length_summary(episodes: DataFrame) -> DataFrame:
     """Count, min, max and quartiles of lengths."""
-    q = F.percentile("length", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return episodes.agg(F.count(F.lit(1)).alias("episodes"), F.min("length").alias("min"), F.max("length").alias("max"), q.alias("q")).select("episodes", "min", "max", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"))
+    quartiles = exact_quantiles(episodes, [], "length", [0.25, 0.5, 0.75])
+    rows = episodes.agg(F.count(F.lit(1)).alias("episodes"), F.min("length").alias("min"), F.max("length").alias("max"))
+    return rows.join(F.broadcast(quartiles), how="left").select("episodes", "min", "max", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"))
 
 
 def classify_dimensions(names: Sequence[str], rules: Sequence[tuple] = CATEGORIES, other: str = "Other") -> list[tuple[int, str, str]]:
@@ -93,5 +97,5 @@ def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int | Callable
     # as numpy: a group of one value gets a width of one around it
     edges = edges.withColumn("_flat", F.col("_low") == F.col("_high")).withColumn("_low", F.when(F.col("_flat"), F.col("_low") - 0.5).otherwise(F.col("_low"))).withColumn("_high", F.when(F.col("_flat"), F.col("_high") + 0.5).otherwise(F.col("_high")))
     width = (F.col("_high") - F.col("_low")) / F.col("_bins")
-    placed = rows.join(F.broadcast(edges), list(by)).withColumn("bin", F.least(F.floor((F.col("_x") - F.col("_low")) / width), F.col("_bins") - 1).cast("int"))
+    placed = rows.join(edges, list(by)).withColumn("bin", F.least(F.floor((F.col("_x") - F.col("_low")) / width), F.col("_bins") - 1).cast("int"))
     return placed.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"), F.first(F.col("_low") + F.col("bin") * width).alias("low"), F.first(F.col("_low") + (F.col("bin") + 1) * width).alias("high"))

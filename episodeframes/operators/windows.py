@@ -10,6 +10,7 @@ from pyspark.sql.window import WindowSpec
 
 from ..functions.vectors import doubles, exceeds, frame_time, reaches
 from ..schema import ACTION, STATE, Dataset
+from .quantiles import exact_quantiles
 from .reindex import length_prefix
 
 
@@ -104,18 +105,24 @@ def jump_events(deltas: DataFrame, threshold: float = 0.01) -> DataFrame:
 
 
 def jump_summary(deltas: DataFrame, threshold: float = 0.01, exact: bool = True) -> DataFrame:
-    """Per (signal, dim). Percentiles are exact with linear interpolation; ``exact=False`` for very large inputs."""
+    """Per (signal, dim). Percentiles are exact with linear interpolation, or from a sketch if not ``exact``."""
     hit, size = reaches(F.col("delta"), threshold), F.abs("delta")
-    percentile = (lambda p: F.percentile("delta", p)) if exact else (lambda p: F.percentile_approx("delta", p, 10_000))
     opened, closed = hit & (F.col("delta") > 0), hit & (F.col("delta") < 0)
-    return deltas.groupBy("signal", "dim").agg(
+    group, places = ["signal", "dim"], {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p999": 0.999}
+    if exact:
+        quantiles = exact_quantiles(deltas, group, "delta", list(places.values()))
+    else:
+        quantiles = deltas.groupBy(*group).agg(F.percentile_approx("delta", F.array(*map(F.lit, places.values())), F.lit(10_000)).alias("q"))
+    rows = deltas.groupBy(*group).agg(
         F.count("delta").alias("n"), F.avg("delta").alias("mean"), F.stddev_pop("delta").alias("std"), F.min("delta").alias("min"), F.max("delta").alias("max"),
-        *(percentile(p).alias(name) for p, name in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"), (0.999, "p999"))),
         F.max(size).alias("abs_max"), F.max_by("delta", F.struct(size, -F.col("episode_index"), -F.col("frame_index"))).alias("abs_max_delta"),
         F.count_if(hit).alias("abnormal_frames"), (F.count_if(hit) / F.count("delta")).alias("abnormal_ratio"), F.count_distinct(F.when(hit, F.col("episode_index"))).alias("abnormal_episodes"),
         F.count_if(opened).alias("open_frames"), F.count_if(closed).alias("close_frames"),
         F.count_distinct(F.when(opened, F.col("episode_index"))).alias("open_episodes"), F.count_distinct(F.when(closed, F.col("episode_index"))).alias("close_episodes"),
     )
+    named = quantiles.select(*group, *(F.col("q")[i].alias(name) for i, name in enumerate(places)))
+    out = rows.join(named, group, "left")
+    return out.select(*group, "n", "mean", "std", "min", "max", *places, *rows.columns[7:])
 
 
 def top_jump_episodes(deltas: DataFrame, k: int = 3) -> DataFrame:

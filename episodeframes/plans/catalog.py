@@ -69,11 +69,12 @@ g AS (SELECT *, n <= 1 OR (kept AND n_b >= 2) AS keep FROM b)"""
 SELECT row_number() OVER (ORDER BY old_episode) - 1 AS episode_index, length, (sum(length) OVER (ORDER BY old_episode) - length)::BIGINT AS first_index, s_min, s_max, s_mean, s_std FROM l""")
 def j1(spark, d):
     """Idle frames out, episodes and indices rebuilt, statistics of each new episode."""
-    kept = windows.idle_flags(coarse(spark, d), **IDLE).filter("keep").drop("keep")
-    frames = windows.renumbered_frames(kept, fps=30)
-    s = stats.stats_rows(stats.episode_stats(frames, [STATE], {STATE: 1}))
-    first = frames.groupBy("episode_index").agg(F.min("index").alias("first_index"))
-    out = s.join(first, "episode_index").select("episode_index", F.col("n").alias("length"), "first_index", F.col("min").alias("s_min"), F.col("max").alias("s_max"), F.col("mean").alias("s_mean"), F.col("std").alias("s_std"))
+    ds, _ = jobs.clean_idle(Dataset.of_frames(coarse(spark, d)), features=[STATE, "index"], widths={STATE: 1, "index": None}, info=False, **IDLE)
+    s = F.col("stats")[STATE]
+    out = ds.stats.select(
+        "episode_index", s["count"][0].alias("length"), F.col("stats")["index"]["min"][0].cast("long").alias("first_index"),
+        s["min"][0].alias("s_min"), s["max"][0].alias("s_max"), s["mean"][0].alias("s_mean"), s["std"][0].alias("s_std"),
+    )
     return rounded(out, "s_mean", "s_std")
 
 
@@ -218,12 +219,13 @@ def c9(spark, d):
     return tasks.fill_missing_tasks(odd_tasks(spark, d)).tasks
 
 
-@query("c2_remap_tasks", f"""WITH {LINEITEM_SQL}, u AS (SELECT DISTINCT task_index FROM f WHERE episode_index % 7 = 0 AND task_index > 1), m AS (SELECT task_index, row_number() OVER (ORDER BY task_index) - 1 AS new FROM u)
-SELECT new AS task_index, 'task ' || f.task_index AS task, count(*) AS n FROM f JOIN m ON m.task_index = f.task_index WHERE episode_index % 7 = 0 GROUP BY ALL""")
+@query("c2_remap_tasks", f"""WITH {LINEITEM_SQL}, m AS (SELECT task_index, row_number() OVER (ORDER BY task_index) - 1 AS new FROM (SELECT DISTINCT task_index FROM f))
+SELECT new AS task_index, 'task ' || f.task_index AS task, count(*) AS n FROM f JOIN m ON m.task_index = f.task_index GROUP BY ALL""")
 def c2(spark, d):
-    f = frames_from_lineitem(spark, d)
-    all_tasks = Dataset.of_frames(f).tasks
-    ds = tasks.remap_tasks(Dataset.of_frames(f.filter("episode_index % 7 = 0 and task_index > 1"), all_tasks))
+    """All frames; the tasks table also has a number below and one above those that frames use."""
+    ds = of_lineitem(spark, d)
+    unused = spark.createDataFrame([(0, "unused"), (99, "never used")], "task_index long, task string")
+    ds = tasks.remap_tasks(ds.with_(tasks=ds.tasks.unionByName(unused)))
     return ds.frames.groupBy("task_index").agg(F.count(F.lit(1)).alias("n")).join(ds.tasks, "task_index")
 
 
@@ -433,16 +435,20 @@ def e3(spark, d):
     return windows.pose_idle_episodes(frames_from_embeddings(spark, d), fps=10, min_s=0.1, target=(0.0,) * 7, joint_tol=0.2, gripper_tol=0.2, still_tol=0.35).select("episode_index", "segments", "start", "end")
 
 
-@query("e6_index_violations", """WITH t AS (SELECT conv_id AS episode_index, turn AS frame_index, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations WHERE turn <> 1 OR conv_id % 3 <> 0)
+@query("e6_index_violations", """WITH t AS (SELECT conv_id AS episode_index, turn + (turn >= 1 AND conv_id % 3 = 0)::INT AS frame_index, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations)
 SELECT episode_index, frame_index, 'frame_index' AS rule FROM t WHERE frame_index <> place""")
 def e6(spark, d):
-    f = episodes_from_conversations(spark, d).filter("frame_index <> 1 or episode_index % 3 <> 0").withColumn("task_index", F.lit(0).cast("long"))
+    """All turns; in every third conversation all turns but the first are numbered one too high."""
+    late = ((F.col("frame_index") >= 1) & (F.col("episode_index") % 3 == 0)).cast("int")
+    f = episodes_from_conversations(spark, d).withColumn("frame_index", F.col("frame_index") + late).withColumn("task_index", F.lit(0).cast("long"))
     return validate.index_violations(Dataset.of_frames(f))
 
 
-@query("e7_metadata_violations", """SELECT 'episodes' AS "table", conv_id AS key, 'gap' AS rule FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id % 5 <> 2) c WHERE conv_id <> 0 AND conv_id - 1 NOT IN (SELECT conv_id FROM conversations WHERE conv_id % 5 <> 2)""")
+@query("e7_metadata_violations", """WITH c AS (SELECT DISTINCT conv_id + conv_id // 5 AS e FROM conversations) SELECT 'episodes' AS "table", e AS key, 'gap' AS rule FROM c WHERE e <> 0 AND e - 1 NOT IN (SELECT e FROM c)""")
 def e7(spark, d):
-    f = episodes_from_conversations(spark, d).filter("episode_index % 5 <> 2").withColumn("task_index", F.lit(0).cast("long"))
+    """All conversations; their numbers are spread so that every sixth one is left out."""
+    spread = F.expr("episode_index + episode_index div 5")
+    f = episodes_from_conversations(spark, d).withColumn("episode_index", spread).withColumn("task_index", F.lit(0).cast("long"))
     return validate.metadata_violations(Dataset.of_frames(f))
 
 
@@ -474,10 +480,10 @@ def c11(spark, d):
     return validate.length_reconciliation(ds.with_(frames=ds.frames.filter(k != 1), episodes=episodes)).fillna(-1, ["rows", "length"])
 
 
-@query("c1_renumber_episodes", f"""WITH {LINEITEM_SQL}, l AS (SELECT o, row_number() OVER (ORDER BY o) - 1 AS e FROM (SELECT DISTINCT episode_index AS o FROM f WHERE episode_index % 3 = 0))
+@query("c1_renumber_episodes", f"""WITH {LINEITEM_SQL}, l AS (SELECT o, row_number() OVER (ORDER BY o) - 1 AS e FROM (SELECT DISTINCT episode_index AS o FROM f))
 SELECT e AS episode_index, frame_index, s1 FROM f JOIN l ON o = episode_index""")
 def c1(spark, d):
-    ds = reindex.renumber_episodes(Dataset.of_frames(frames_from_lineitem(spark, d).filter("episode_index % 3 = 0")))
+    ds = reindex.renumber_episodes(of_lineitem(spark, d))
     return ds.frames.select("episode_index", "frame_index", col_(STATE)[0].alias("s1"))
 
 
@@ -537,10 +543,10 @@ def j9(spark, d):
 
 
 def keyframes(spark, d) -> DataFrame:
-    return events(spark, d).filter("task_index = 3").select(F.concat(F.lit("video "), F.col("episode_index")).alias("path"), F.col("timestamp").cast("double").alias("ts"), F.lit(900).cast("long").alias("n_frames"))
+    return events(spark, d).select(F.concat(F.lit("video "), F.col("episode_index")).alias("path"), F.col("timestamp").cast("double").alias("ts"), F.lit(900).cast("long").alias("n_frames"))
 
 
-@query("d20_keyframe_gaps", f"""WITH {EVENTS_SQL}, k AS (SELECT episode_index, timestamp::DOUBLE AS ts FROM f WHERE task_index = 3), g AS (SELECT episode_index, ts - lag(ts) OVER (PARTITION BY episode_index ORDER BY ts) AS gap FROM k)
+@query("d20_keyframe_gaps", f"""WITH {EVENTS_SQL}, k AS (SELECT episode_index, timestamp::DOUBLE AS ts FROM f), g AS (SELECT episode_index, ts - lag(ts) OVER (PARTITION BY episode_index ORDER BY ts) AS gap FROM k)
 SELECT 'video ' || episode_index AS path, count(*) AS keyframes, round(max(gap), 3) AS max_gap, round(avg(gap), 3) AS mean_gap, max(gap) IS NULL OR max(gap) > 200000 AS warn FROM g GROUP BY episode_index""")
 def d20(spark, d):
     return rounded(video.keyframe_gaps(keyframes(spark, d), 30, 200000).select("path", "keyframes", "max_gap", "mean_gap", "warn"), "max_gap", "mean_gap", digits=3)

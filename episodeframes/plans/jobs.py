@@ -1,4 +1,4 @@
-"""Composite jobs. Each takes and returns datasets or reports; ``python -m episodeframes.plans.jobs`` runs some from paths."""
+"""Composite jobs. Each takes and returns datasets or reports."""
 
 from __future__ import annotations
 
@@ -8,24 +8,25 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import augment, merge, occupancy, select, stats, tasks, transforms, validate, windows
+from ..functions.vectors import doubles
+from ..operators import augment, merge, occupancy, profile, reindex, select, stats, tasks, transforms, validate, windows
+from ..operators.quantiles import exact_quantiles
 from ..schema import ACTION, STATE, Dataset, DatasetInfo
 
 
-def recomputed(ds: Dataset, features: Sequence[str] = (STATE, ACTION)) -> Dataset:
-    """D1 and D17 after an edit."""
+def recomputed(ds: Dataset, features: Sequence[str] = (STATE, ACTION), widths: dict | None = None, info: bool = True) -> Dataset:
+    """D1 and, if ``info``, D17 (which runs a job to count) after an edit."""
     present = [f for f in features if f in ds.frames.columns]
-    new = stats.episode_stats(ds.frames, present, previous=ds.stats)
-    out = ds.with_(stats=new)
-    return out.with_(info=stats.rebuild_info(out)[0])
+    out = ds.with_(stats=stats.episode_stats(ds.frames, present, widths, previous=ds.stats))
+    return out.with_(info=stats.rebuild_info(out)[0]) if info else out
 
 
-def clean_idle(ds: Dataset, head: int = 0, tail: int = 0, **options) -> tuple[Dataset, DataFrame]:
+def clean_idle(ds: Dataset, head: int = 0, tail: int = 0, features: Sequence[str] = (STATE, ACTION), widths: dict | None = None, info: bool = True, **options) -> tuple[Dataset, DataFrame]:
     """J1."""
     if head or tail:
         ds = select.trim_frames(ds, head, tail, on_short="drop")
     out, report = windows.filter_idle(ds, **options)
-    return recomputed(out), report
+    return recomputed(out, features, widths, info), report
 
 
 def trim_tails(ds: Dataset, frames: int = 0, seconds: float | None = None) -> Dataset:
@@ -33,13 +34,43 @@ def trim_tails(ds: Dataset, frames: int = 0, seconds: float | None = None) -> Da
     return recomputed(select.trim_frames(ds, tail=frames, tail_s=seconds))
 
 
+def reject(problems: DataFrame, what: str) -> None:
+    """An error that names some of the rows, if there are any."""
+    if some := problems.limit(5).collect():
+        raise ValueError(f"{what}: {[tuple(r) for r in some]}")
+
+
+def checked_layout(ds: Dataset, inventory: DataFrame | None = None) -> None:
+    """An error where frames and metadata, or files, don't fit (short episodes do)."""
+    reject(validate.length_reconciliation(ds).filter("problem <> 'short'"), "frames and lengths don't fit")
+    if inventory is not None:
+        reject(validate.missing_files(ds, inventory), "files are missing")
+
+
+def checked_rules(ds: Dataset) -> None:
+    """E6 and E7."""
+    reject(validate.metadata_violations(ds), "metadata_violations")
+    reject(validate.index_violations(ds), "index_violations")
+
+
+def norm_stats(frames: DataFrame, features: dict[str, int]) -> DataFrame:
+    """(feature, mean, std, q01, q99) as arrays, for vectors of the given widths."""
+    dims = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.lit(i).alias("dim"), F.get(doubles(f), F.lit(i)).alias("x")) for f, n in features.items() for i in range(n))))
+    rows = frames.select(dims.alias("d")).select("d.*")
+    moments = rows.groupBy("feature", "dim").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    both = exact_quantiles(rows, ["feature", "dim"], "x", [0.01, 0.99]).join(moments, ["feature", "dim"])
+    measures = {"mean": F.col("mean"), "std": F.col("std"), "q01": F.col("q")[0], "q99": F.col("q")[1]}
+    ordered = F.sort_array(F.collect_list(F.struct("dim", *(v.alias(k) for k, v in measures.items()))))  # a row for each dimension
+    return both.groupBy("feature").agg(ordered.alias("m")).select("feature", *(F.transform("m", lambda x, k=k: x[k]).alias(k) for k in measures))
+
+
 def remove(ds: Dataset, selector: str) -> Dataset:
-    """Episodes named by a selector; one at least must stay."""
+    """Episodes named by a selector; one at least must stay. What is left is held against its lengths (C4)."""
     total = ds.episodes.count()
     gone = select.parse_episode_selector(selector, total)
     if len(gone) >= total:
         raise ValueError("no episode would be left")
-    out = select.remove_episodes(ds, gone)
+    out, _ = reindex.repair_indices(select.remove_episodes(ds, gone))
     return out.with_(info=stats.rebuild_info(out)[0])
 
 
@@ -50,10 +81,10 @@ def remove_short(ds: Dataset, min_length: int) -> Dataset:
 
 
 def extract_range(ds: Dataset, start: int, end: int) -> Dataset:
-    """After the checks E6 and E7."""
-    if validate.metadata_violations(ds).limit(1).collect() or validate.index_violations(ds).limit(1).collect():
-        raise ValueError("the source breaks a rule: see metadata_violations and index_violations")
+    """Source and result are held against E6 and E7. D2 of the result is ``stats.aggregate_stats(out.stats)``."""
+    checked_rules(ds)
     out = select.extract_episode_range(ds, start, end)
+    checked_rules(out)
     return out.with_(info=stats.rebuild_info(out)[0])
 
 
@@ -67,6 +98,11 @@ def decimate_and_merge(ds: Dataset, factor: int) -> Dataset:
     return merge.merge_datasets([ds, select.decimate(ds, factor)])
 
 
+def split_and_merge(ds: Dataset, ratio: float, factor: int) -> Dataset:
+    """J7 with B9: the source, then the same with a share of its episodes decimated."""
+    return merge.merge_datasets([ds, select.decimate_split(ds, ratio, factor)])
+
+
 def merge_many(datasets: Sequence[Dataset]) -> Dataset:
     """J8."""
     out = merge.merge_datasets(datasets)
@@ -89,8 +125,9 @@ def check_up(ds: Dataset, inventory: DataFrame | None = None) -> DataFrame:
     return out
 
 
-def to_v21(ds: Dataset, old_stats: DataFrame | None = None) -> tuple[Dataset, DataFrame | None]:
-    """Statistics of all episodes and the new version; (dataset, differences from the old dataset statistics)."""
+def to_v21(ds: Dataset, old_stats: DataFrame | None = None, inventory: DataFrame | None = None) -> tuple[Dataset, DataFrame | None]:
+    """Layout checks, statistics of all episodes and the new version; (dataset, differences from the old statistics)."""
+    checked_layout(ds, inventory)
     out = recomputed(ds.with_(info=replace(ds.info, codebase_version="v2.1")))
     return out, None if old_stats is None else stats.compare_stats(stats.aggregate_stats(out.stats), old_stats)
 
@@ -98,7 +135,8 @@ def to_v21(ds: Dataset, old_stats: DataFrame | None = None) -> tuple[Dataset, Da
 def jump_report(ds: Dataset, threshold: float = 0.01, dims: Sequence[int] = (6, 13)) -> dict[str, DataFrame]:
     """J11."""
     deltas = windows.frame_deltas(ds.frames, dims=dims)
-    return {"events": windows.jump_events(deltas, threshold), "summary": windows.jump_summary(deltas, threshold), "top": windows.top_jump_episodes(deltas)}
+    spread = profile.histogram(deltas, "delta", ["signal", "dim"])
+    return {"events": windows.jump_events(deltas, threshold), "histogram": spread, "summary": windows.jump_summary(deltas, threshold), "top": windows.top_jump_episodes(deltas)}
 
 
 def occupancy_report(ds: Dataset, size: float = 0.01, k: int = 200) -> dict[str, DataFrame]:
@@ -124,6 +162,8 @@ def rotation_states(ds: Dataset, positions: Sequence[int] = (0, 1, 2), quaternio
     return recomputed(ds.with_(frames=transforms.quat_state_to_rot6d(ds.frames, positions, quaternion, gripper)), [STATE])
 
 
-def align(ds: Dataset, reference: DatasetInfo, key_map: dict[str, str], prompt: str) -> Dataset:
-    """J16."""
-    return select.align_to(ds, reference, key_map, prompt)
+def align(ds: Dataset, reference: DatasetInfo, key_map: dict[str, str], prompt: str, inventory: DataFrame | None = None) -> Dataset:
+    """With C10 and C11 on the result."""
+    out = select.align_to(ds, reference, key_map, prompt)
+    checked_layout(out, inventory)
+    return out

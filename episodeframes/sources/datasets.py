@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 from dataclasses import asdict, fields
 
@@ -17,6 +18,16 @@ from ..functions.vectors import FIELD
 from ..schema import EPISODE_STATS_SCHEMA, EPISODES_SCHEMA, TASKS_SCHEMA, Dataset, DatasetInfo, col_
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which all executors see; without that setting only a local master has one."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def read_frames(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
     """A1: all frames below ``root/data``. A missing episode_index comes from the file name, a missing frame_index is the
     row's place in its file, and numbers stored as lists of one become numbers."""

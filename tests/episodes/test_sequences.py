@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from episodeframes.functions.kinematics import arm_poses
+from episodeframes.functions.kinematics import pose_of
 from episodeframes.functions.vectors import format_path, mirror_vector
 from episodeframes.operators import augment, latency, occupancy, profile, stats, transforms, validate, video, windows
 from episodeframes.plans import jobs
@@ -192,13 +192,21 @@ def test_rotation(spark):
 
 
 def test_kinematics(spark):
+    def arm_poses(joints, **options):
+        df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(joints)], "i int, q array<double>")
+        return np.array([tuple(r) for r in df.select("i", pose_of(df["q"], **options).alias("p")).orderBy("i").select("p.*").collect()])
+
     zero = arm_poses(np.zeros((1, 6)))[0]
     assert zero[:3] == pytest.approx([0.056128, 0, 0.213266], abs=1e-6) and np.degrees(zero[3:]) == pytest.approx([0, 85, 0], abs=1e-6)
     two = np.array([[0.1, 1, -0.7, 0.2, -0.3, 0.4], [-0.2, 2, -1.5, -0.4, 0.5, -0.6]])
     assert np.allclose(arm_poses(two), np.vstack([arm_poses(two[:1]), arm_poses(two[1:])]), atol=1e-12)
     moved = arm_poses(two, base_pose=(1, -2, 0.5, 0, 0, 0))
     assert np.allclose(moved[:, :3] - arm_poses(two)[:, :3], [1, -2, 0.5]) and np.allclose(moved[:, 3:], arm_poses(two)[:, 3:])
-    with pytest.raises(ValueError):
+    for joint, pitch in ((5, 90), (-175, -90)):  # the tool upright: yaw is free and 0, and the roll shows how the base stands
+        up = [np.degrees(arm_poses([[0.0, 0.0, 0.0, 0.0, np.radians(joint), 0.0]], base_pose=(0, 0, 0, 0, 0, turn))[0]) for turn in (0, 30)]
+        assert up[0][3:] == pytest.approx([0, pitch, 0], abs=1e-9) and up[1][4:] == pytest.approx([pitch, 0], abs=1e-9)
+        assert up[1][3] == pytest.approx(-30 if pitch > 0 else 30, abs=1e-9)
+    with pytest.raises(Exception, match="six joint angles"):
         arm_poses(np.zeros((1, 7)))
     ds = Dataset.of_frames(frames_of(spark, {0: [[*two[0], 0, *two[1], 0]] * 3}))
     poses = occupancy.forward_kinematics(ds.frames).filter("frame_index = 0").orderBy("arm").collect()
@@ -244,8 +252,14 @@ def test_glitches(spark):
     flat = np.full((32, 32), 0.5, np.float32)
     torn = flat.copy()
     torn[16:] = 0.95
-    assert video.glitch_score(flat, flat) == 0 and video.glitch_score(torn, flat) > 0.7 and video.glitch_score(torn, torn) < video.glitch_score(torn, flat)
-    assert video.glitch_score(torn, None) == pytest.approx(0.45 * video.glitch_score(torn, None) / 0.45) and video.glitch_score(rng.random((4, 4)).astype("f4"), None) == 0
+
+    def score(now, before):
+        return video.glitch_scores(now[None], None if before is None else before[None])[0]
+
+    assert score(flat, flat) == 0 and score(torn, flat) > 0.7 and score(torn, torn) < score(torn, flat)
+    assert 0 < score(torn, None) <= 0.45 and score(rng.random((4, 4)).astype("f4"), None) == 0
+    noise = rng.random((9, 16, 12)).astype("f4")
+    assert video.glitch_scores(noise[1:], noise[:-1]) == pytest.approx([score(a, b) for a, b in zip(noise[1:], noise[:-1])])
     seq = [flat, torn, flat, torn, flat]
     rows = [(0, "top", i, 32, 32, bytearray(x.tobytes()), None) for i, x in enumerate(seq)] + [(1, "top", i, 32, 32, bytearray(flat.tobytes()), None) for i in range(3)] + [(2, "top", 0, 0, 0, None, "broken")]
     df = spark.createDataFrame(rows, "episode_index long, camera string, frame_index long, height int, width int, gray binary, error string")

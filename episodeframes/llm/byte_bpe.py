@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -40,7 +41,7 @@ MOST_BYTES = 40 << 20
 WORDS_A_QUERY, BYTES_A_QUERY = 40_000, 1 << 20
 #: Rows of all steps of one round over long words.
 ROWS_A_ROUND = 4_000_000
-MEMORY = "1GB"
+MEMORY, MEMORY_AT_REST = "1GB", "50MB"
 #: The pattern of the rank files in use; for it, texts in Latin-1 are split by explicit classes (the same words, faster).
 KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -124,11 +125,23 @@ class Coder:
         self.pattern = regex.compile(pattern)
         self.latin = latin_pattern() if pattern == KNOWN_PATTERN else None
         self.wide = re.compile(r"[^\x00-\xff]")
-        # ids and bytes of recent words
+        # ids and bytes of recent words, and which of them recurred
+        self.recurring: set[str] = set()
         self.recent: dict[str, tuple[bytes, bytes]] = {}
         self.older: dict[str, tuple[bytes, bytes]] = {}
         self.held = 0
 
+    def rest(self) -> None:
+        """Between tasks a worker keeps the words that recurred, and the engine no more than its tables."""
+        kept = pickle.dumps({x: self.recent[x] for x in self.recurring})
+        self.recent, self.older, self.recurring = {}, {}, set()
+        self.recent = pickle.loads(kept)  # new objects side by side, so that the others' memory is free
+        self.held = sum(map(held_bytes, self.recent.items()))
+        self.sql.execute(f"SET memory_limit = '{MEMORY_AT_REST}'")
+
+    def wake(self) -> None:
+        self.sql.execute(f"SET memory_limit = '{MEMORY}'")
+
     def split(self, text: str) -> Iterator[list[str]]:
         """The words of a text, at most WORDS_AT_ONCE in a list."""
         pattern = self.pattern if self.latin is None or self.wide.search(text) else self.latin
@@ -145,9 +158,10 @@ class Coder:
         What was not used for MOST_BYTES of words is forgotten.
         """
         if self.held > MOST_BYTES:
-            self.recent, self.older, self.held = {}, self.recent, 0
+            self.recent, self.older, self.held, self.recurring = {}, self.recent, 0, set()
         missing = words - self.recent.keys()
         found = {x: self.older[x] for x in missing & self.older.keys()}
+        self.recurring |= words - missing | found.keys()
         long = [x for x in missing - found.keys() if len(x) * 4 > LONG and len(x.encode()) > LONG]
         for some, code in ((list(missing - found.keys() - set(long)), self.coded), (long, self.coded_long)):
             i = 0
@@ -160,7 +174,7 @@ class Coder:
                 found.update(zip(some[i : i + j], zip(ids, self.decoded(ids), strict=True), strict=True))
                 i += j
         self.recent.update(found)
-        self.held += sum(3 * len(k) + len(v[0]) for k, v in found.items()) + 250 * len(found)
+        self.held += sum(map(held_bytes, found.items()))
         return self.recent
 
     def coded(self, words: list[bytes]) -> list[bytes]:
@@ -223,6 +237,11 @@ class Coder:
         return found
 
 
+def held_bytes(word: tuple[str, tuple[bytes, bytes]]) -> int:
+    """About what a known word takes up."""
+    return 250 + 3 * len(word[0]) + len(word[1][0])
+
+
 def joined(w: np.ndarray, t: np.ndarray, words: int) -> list[bytes]:
     """Decimal ids of each word, from tokens sorted by word."""
     cut, ids = np.searchsorted(w, np.arange(words + 1)).tolist(), [b"%d" % x for x in t.tolist()]
@@ -249,6 +268,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(ranks_path, pattern)
+        code.wake()
         for batch in batches:
             for part, texts in _blocks(batch, 1):
                 ids = []
@@ -256,6 +276,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
                     parts = [np.array(b" ".join([w[0] for w in words]).split(), np.int32) for words in doc]
                     ids.append(np.concatenate([np.zeros(0, np.int32), *parts]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        code.rest()
 
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -291,6 +312,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(ranks_path, pattern)
+        code.wake()
         for batch in batches:
             for part, texts in _blocks(batch, 1):
                 rows = []
@@ -307,6 +329,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "do
                 n, ids, raw = zip(*rows, strict=True)
                 columns = [part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(raw)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        code.rest()
 
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import Dataset, col_
+from ..schema import MOST_SMALL, Dataset, col_
 from .reindex import length_prefix
 
 
@@ -25,6 +25,14 @@ def check_mergeable(datasets: Sequence[Dataset]) -> None:
             raise ValueError(f"dataset {k} has other features")
 
 
+def copied(tasks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The numbered tasks and their distinct names. A small table is read to the driver once and broadcast from there."""
+    rows = tasks.limit(MOST_SMALL + 1).collect()
+    if len(rows) <= MOST_SMALL:
+        tasks = F.broadcast(tasks.sparkSession.createDataFrame(rows, tasks.schema))
+    return tasks, tasks.select("task", "new_task").distinct()
+
+
 def merge_datasets(datasets: Sequence[Dataset]) -> Dataset:
     """Datasets one after the other: episodes numbered in the order (dataset, episode), tasks by the first appearance of their
     name, index over the whole; times and frame numbers stay. Frames move only in joins with the small number tables."""
@@ -49,9 +57,11 @@ def merge_datasets(datasets: Sequence[Dataset]) -> Dataset:
     places = length_prefix(episodes.select(key, "length"), "_key").select("_key", "new_episode", "first_index")
     first = tasks.groupBy("task").agg(F.min(F.struct("_src", "task_index")).alias("_first"))
     names = first.withColumn("new_task", (F.row_number().over(Window.orderBy("_first", "task")) - 1).cast("long")).select("task", "new_task")
-    numbers = tasks.join(names, "task").select("_src", "task_index", "new_task")
+    # read once: the names serve the frames' numbers and the new tasks table
+    tasks, names = copied(tasks.join(names, "task").select("_src", "task_index", "task", "new_task"))
+    numbers = tasks.select("_src", "task_index", "new_task")
 
-    frames = frames.withColumn("_key", key).join(places, "_key").join(F.broadcast(numbers), ["_src", "task_index"], "left")
+    frames = frames.withColumn("_key", key).join(places, "_key").join(numbers, ["_src", "task_index"], "left")
     frames = frames.withColumn("episode_index", F.col("new_episode")).withColumn("index", F.col("first_index") + F.col("frame_index")).withColumn("task_index", F.coalesce("new_task", "task_index"))
     episodes = episodes.withColumn("_key", key).join(places, "_key").withColumn("episode_index", F.col("new_episode")).select(datasets[0].episodes.columns)
     stats = None

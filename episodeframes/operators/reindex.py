@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,8 +14,8 @@ from ..schema import Dataset, col_
 BLOCK = 1 << 16
 
 
-def length_prefix(lengths: DataFrame, key: str = "episode_index") -> DataFrame:
-    """(key, length, new_episode, first_index): dense number and first frame of each episode, in the order of the key.
+def length_prefix(lengths: DataFrame, key: str = "episode_index", carry: Sequence[str] = ()) -> DataFrame:
+    """(key, length, carry..., new_episode, first_index): dense number and first frame of each episode, in the order of the key.
 
     Blocks of keys are numbered each by a window of its own; only a row for each block meets in one task.
     """
@@ -25,7 +27,7 @@ def length_prefix(lengths: DataFrame, key: str = "episode_index") -> DataFrame:
     over = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("_block", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_no0"), F.coalesce(F.sum("_frames").over(over), F.lit(0)).alias("_at0"))
     joined = local.join(bases, "_block")
-    return joined.select(key, "length", (F.col("_no") + F.col("_no0")).cast("long").alias("new_episode"), (F.col("_before") + F.col("_at0")).cast("long").alias("first_index"))
+    return joined.select(key, "length", *carry, (F.col("_no") + F.col("_no0")).cast("long").alias("new_episode"), (F.col("_before") + F.col("_at0")).cast("long").alias("first_index"))
 
 
 def episode_lengths(ds: Dataset) -> DataFrame:

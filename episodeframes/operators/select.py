@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import doubles, frame_time
 from ..schema import ACTION, STATE, Dataset, DatasetInfo, col_
-from .reindex import reindex
+from .reindex import length_prefix, reindex
 from .tasks import remap_tasks
 
 
@@ -132,14 +132,21 @@ def decimate_split(ds: Dataset, ratio: float, factor: int, total: int | None = N
     """The first max(1, int(n * ratio)) episodes decimated, then the others unchanged, renumbered in that order."""
     if not 0 < ratio < 1:
         raise ValueError("a ratio between 0 and 1")
+    if factor < 1:
+        raise ValueError("a factor of 1 or more")
     total = ds.episodes.count() if total is None else total
-    places = ds.episodes.withColumn("_no", F.row_number().over(Window.orderBy("episode_index")))
-    first = places.filter(F.col("_no") <= max(1, int(total * ratio))).select("episode_index")
-    thin = decimate(_semi(ds, first), factor)
-    rest = _semi(ds, first, "left_anti")
-    # decimated episodes keep their numbers below the others'
-    frames = thin.frames.unionByName(rest.frames, allowMissingColumns=True)
-    return reindex(ds.with_(frames=frames, episodes=thin.episodes.unionByName(rest.episodes), stats=None), reset_frame_index=False)
+    numbered = length_prefix(ds.episodes.select("episode_index", "length"))
+    thin = F.col("new_episode") < max(1, int(total * ratio))
+    # the new lengths are in the order of the old numbers, so their sums give every frame's place in one pass over frames
+    lengths = numbered.select("episode_index", thin.alias("_thin"), F.when(thin, F.ceil(F.col("length") / factor)).otherwise(F.col("length")).alias("length"))
+    places = length_prefix(lengths, carry=["_thin"])
+    frames = ds.frames.join(places.drop("length"), "episode_index").filter(~F.col("_thin") | (F.col("frame_index") % factor == 0))
+    frame = F.when(F.col("_thin"), F.floor(F.col("frame_index") / factor)).otherwise(F.col("frame_index"))
+    frames = frames.withColumn("frame_index", frame.cast("long")).withColumn("index", F.col("first_index") + F.col("frame_index")).withColumn("episode_index", F.col("new_episode"))
+    frames = frames.withColumn("timestamp", F.when(F.col("_thin"), frame_time(F.col("frame_index"), ds.info.fps, "float32")).otherwise(F.col("timestamp") if "timestamp" in frames.columns else F.lit(None)))
+    numbers = places.select("episode_index", "new_episode", F.col("length").alias("_length"))
+    episodes = ds.episodes.join(numbers, "episode_index").withColumn("episode_index", F.col("new_episode")).withColumn("length", F.col("_length")).drop("new_episode", "_length")
+    return ds.with_(frames=frames.drop("_thin", "first_index", "new_episode"), episodes=episodes, stats=None)
 
 
 def head_episodes(ds: Dataset, n: int) -> Dataset:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import Dataset, col_
+from ..schema import Dataset, col_, small
 
 DEFAULT_TASK, UNKNOWN_TASK = "default task", "unknown task"
 
@@ -31,7 +31,7 @@ def remap_tasks(ds: Dataset, policy: str = "used") -> Dataset:
     order = [F.col("task_index").isNull().alias("none"), "task_index"]
     numbered = _dense(tasks, order)
     numbers = numbered.filter("task_index is not null").select("task_index", "new_task")
-    frames = ds.frames.join(F.broadcast(numbers), "task_index", "left") if policy != "strict" else ds.frames.join(numbers, "task_index", "left")
+    frames = ds.frames.join(small(numbers), "task_index", "left") if policy != "strict" else ds.frames.join(numbers, "task_index", "left")
     if policy == "strict":
         frames = frames.filter(F.assert_true(F.col("new_task").isNotNull(), F.lit("a frame of a task that the table lacks")).isNull())
     frames = frames.withColumn("task_index", F.coalesce("new_task", "task_index")).drop("new_task").select(*map(col_, ds.frames.columns))

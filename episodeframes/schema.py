@@ -25,6 +25,15 @@ def col_(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+#: Rows up to which a table is broadcast or copied to the driver.
+MOST_SMALL = 1_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A table that is small by nature (task names, edges of groups): broadcast if counting shows that it is small."""
+    return F.broadcast(df) if df.limit(MOST_SMALL + 1).count() <= MOST_SMALL else df
+
+
 @dataclass
 class DatasetInfo:
     """What ``meta/info.json`` declares; totals are rebuilt, never trusted."""
@@ -72,8 +81,11 @@ class Dataset:
     def of_frames(cls, frames: DataFrame, tasks: DataFrame | None = None, info: DatasetInfo | None = None) -> Dataset:
         """Metadata derived from the frames; tasks get names if none are given."""
         if tasks is None:
-            tasks = frames.select(F.col("task_index").cast("long").alias("task_index")).distinct().withColumn("task", F.concat(F.lit("task "), F.col("task_index")))
-        named = frames.select("episode_index", "task_index").groupBy("episode_index", "task_index").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(tasks), "task_index", "left")
+            number = F.col("task_index").cast("long")
+            tasks = frames.select(number.alias("task_index")).distinct().withColumn("task", F.concat(F.lit("task "), F.col("task_index")))
+            names = F.transform(F.sort_array(F.collect_set(number)), lambda x: F.concat(F.lit("task "), x))
+            return cls(frames, frames.groupBy("episode_index").agg(names.alias("tasks"), F.count(F.lit(1)).alias("length")), tasks, info or DatasetInfo())
+        named = frames.groupBy("episode_index", "task_index").agg(F.count(F.lit(1)).alias("n")).join(small(tasks), "task_index", "left")
         ordered = F.transform(F.sort_array(F.collect_list(F.when(F.col("task").isNotNull(), F.struct("task_index", "task")))), lambda x: x["task"])
         episodes = named.groupBy("episode_index").agg(ordered.alias("tasks"), F.sum("n").alias("length"))
         return cls(frames, episodes, tasks, info or DatasetInfo())

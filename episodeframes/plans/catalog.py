@@ -570,8 +570,12 @@ def e9(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from . import catalog_jobs  # noqa: F401 (registers its own)
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import catalog_jobs  # noqa: F401
+
     return dict(SQL)

@@ -61,7 +61,7 @@ def norm_stats(frames: DataFrame, features: dict[str, int]) -> DataFrame:
     both = exact_quantiles(rows, ["feature", "dim"], "x", [0.01, 0.99]).join(moments, ["feature", "dim"])
     measures = {"mean": F.col("mean"), "std": F.col("std"), "q01": F.col("q")[0], "q99": F.col("q")[1]}
     ordered = F.sort_array(F.collect_list(F.struct("dim", *(v.alias(k) for k, v in measures.items()))))  # a row for each dimension
-    return both.groupBy("feature").agg(ordered.alias("m")).select("feature", *(F.transform("m", lambda x, k=k: x[k]).alias(k) for k in measures))
+    return both.groupBy("feature").agg(ordered.alias("m")).select("feature", *(F.col(f"m.{k}").alias(k) for k in measures))
 
 
 def remove(ds: Dataset, selector: str) -> Dataset:

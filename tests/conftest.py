@@ -21,6 +21,7 @@ def spark():
         .config("spark.driver.memory", "4g")
         .config("spark.local.dir", local)
         .config("spark.sql.warehouse.dir", f"{local}/warehouse")
+        .config("spark.checkpoint.dir", f"file://{local}/shared")
         .getOrCreate()
     )
     found.sparkContext.setLogLevel("ERROR")

@@ -4,6 +4,7 @@ import numpy as np
 
 from episodeframes.schema import ACTION, STATE, Dataset, DatasetInfo
 
+# Lengths, task numbers and names of the fixture that FIXTURES.md describes for range extraction.
 LENGTHS, TASKS, NAMES = (2, 3, 2, 2, 1), (0, 2, 2, 1, 0), ("alpha", "beta", "gamma")
 
 

@@ -22,6 +22,6 @@ def topic_latency_summary(messages: DataFrame, camera: str = "image|camera") ->
     x = "latency_ms"
     timed = topic_latency(messages)
     rows = timed.groupBy("topic").agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
-    middle = exact_quantiles(timed, ["topic"], x, [0.5]).select("topic", F.col("q")[0].alias("median"))
+    middle = exact_quantiles(timed, ["topic"], x, [0.5], few=False).select("topic", F.col("q")[0].alias("median"))
     rows = rows.join(middle, "topic", "left").select("topic", "n", "median", "mean", "std", "min", "max")
     return rows.withColumn("kind", F.when(F.col("topic").rlike(camera), "camera").otherwise("other"))

@@ -11,26 +11,27 @@ from pyspark.sql import functions as F
 BUCKETS = 64
 
 
-def exact_quantiles(rows: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+def exact_quantiles(rows: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], few: bool = True) -> DataFrame:
     """(by..., q): the quantiles of each group as an array, interpolated linearly; nulls don't count, NaN is the largest.
 
     Equal values are counted before anything moves. A window then runs over the distinct values of one bucket of a group,
-    and sums over the buckets give the ranks before it, so no task or buffer holds a whole group. Groups without a value
-    have no row. The edges, BUCKETS numbers for each group, are joined as a table of their own.
+    and sums over the buckets give the ranks before it, so no task or buffer holds a whole group. Groups without a value,
+    or with a null among ``by``, have no row. Each group has BUCKETS edges and sums: they are broadcast if the groups are
+    ``few`` by their kind (dimensions, axes, signals), and joined by shuffle otherwise.
     """
-    by = list(by)
+    by, side = list(by), F.broadcast if few else (lambda df: df)
     plain = rows.select(*by, F.col(value).cast("double").alias("_x")).filter("_x is not null")
     counted = plain.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_n"))
     grid = F.array(*(F.lit(i / BUCKETS) for i in range(1, BUCKETS)))
     edges = plain.groupBy(*by).agg(F.percentile_approx("_x", grid, F.lit(4 * BUCKETS)).alias("_edges"), F.count(F.lit(1)).alias("_all"))
-    placed = (counted.join(edges, by) if by else counted.crossJoin(F.broadcast(edges))).select(
+    placed = (counted.join(side(edges), by) if by else counted.crossJoin(F.broadcast(edges))).select(
         *by, "_x", "_n", "_all", F.size(F.filter("_edges", lambda e: e < F.col("_x"))).alias("_bucket")
     )
     sums = placed.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_sum"))
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(*by, "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
     upto = Window.partitionBy(*by, "_bucket").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = placed.withColumn("_upto", F.sum("_n").over(upto)).join(bases, [*by, "_bucket"]).withColumn("_upto", F.col("_upto") + F.col("_base"))
+    ranked = placed.withColumn("_upto", F.sum("_n").over(upto)).join(side(bases), [*by, "_bucket"]).withColumn("_upto", F.col("_upto") + F.col("_base"))
     wanted, low = [], F.col("_upto") - F.col("_n")
     for p in probabilities:
         at = F.lit(float(p)) * (F.col("_all") - 1)

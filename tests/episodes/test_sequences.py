@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from episodeframes.functions.kinematics import pose_of
 from episodeframes.functions.vectors import format_path, mirror_vector
-from episodeframes.operators import augment, latency, occupancy, profile, stats, transforms, validate, video, windows
+from episodeframes.operators import augment, latency, merge, occupancy, profile, select, stats, transforms, validate, video, windows
+from episodeframes.operators.quantiles import exact_quantiles
 from episodeframes.plans import jobs
-from episodeframes.schema import ACTION, STATE, Dataset, col_
+from episodeframes.schema import ACTION, STATE, Dataset, DatasetInfo, col_
 
 from .helpers import frames_of, range_dataset
 
@@ -289,3 +290,57 @@ def test_jump_and_force_jobs(spark):
     assert jobs.remove(ds, "0-2").info.total_episodes == 2 and jobs.remove_short(ds, 3).info.total_frames == 3
     with pytest.raises(ValueError):
         jobs.remove(ds, "0-9")
+
+
+def test_quantiles_of_groups(spark):
+    """Against numpy: ties, one value, nulls, a group with most rows, and edges that fall together."""
+    rng = np.random.default_rng(11)
+    groups = {"a": rng.normal(size=3000), "b": np.round(rng.normal(size=500), 1), "c": np.array([7.0]), "d": np.array([1.0] * 400 + [2.0]), "e": np.array([3.0, 1.0])}
+    rows = [(g, 0, float(x)) for g, v in groups.items() for x in v] + [("a", 0, None), ("f", 0, None)]
+    df = spark.createDataFrame(rows, "g string, h int, x double").repartition(5)
+    probabilities = [0.0, 0.01, 0.25, 0.5, 0.95, 0.999, 1.0]
+    for few in (True, False):
+        got = {r.g: r.q for r in exact_quantiles(df, ["g", "h"], "x", probabilities, few).collect()}
+        assert set(got) == set(groups) and all(got[g] == pytest.approx(np.quantile(v, probabilities)) for g, v in groups.items())
+    whole = exact_quantiles(df, [], "x", [0.3]).first().q
+    assert whole == pytest.approx(np.quantile(np.concatenate(list(groups.values())), [0.3])) and exact_quantiles(df.limit(0), ["g"], "x", [0.5]).collect() == []
+
+
+def test_split_and_norm_jobs(spark):
+    f = frames_of(spark, {3: [[1]] * 5, 7: [[2]] * 4, 9: [[3]] * 3})
+    ds = Dataset.of_frames(f)
+    out = select.decimate_split(ds, 0.4, 2)
+    got = [tuple(r) for r in out.frames.select("episode_index", "frame_index", "index").orderBy("index").collect()]
+    assert got == [(0, 0, 0), (0, 1, 1), (0, 2, 2), *((1, i, 3 + i) for i in range(4)), *((2, i, 7 + i) for i in range(3))]
+    assert [(r.episode_index, r.length) for r in out.episodes.orderBy("episode_index").collect()] == [(0, 3), (1, 4), (2, 3)]
+    assert jobs.split_and_merge(ds, 0.4, 2).frames.count() == 22 and jobs.merge_many([ds, ds]).info.total_frames == 24
+    assert jobs.trim_tails(ds, frames=2).info.total_frames == 6
+    norms = jobs.norm_stats(frames_of(spark, {0: [[float(i), -float(i)] * 7 for i in range(101)]}), {STATE: 14})
+    turned = augment.mirror_norm_stats(norms, (1,), [STATE]).first()
+    assert turned.q01[:2] == pytest.approx([1, 1]) and turned.q99[:2] == pytest.approx([99, 99]) and turned["mean"][:2] == pytest.approx([50, 50])
+    with pytest.raises(ValueError, match="come together"):
+        augment.mirror_norm_stats(norms.drop("q99"), (1,), [STATE])
+
+
+def test_layout_jobs_reject_what_does_not_fit(spark):
+    ds = range_dataset(spark)
+    files = validate.expected_files(ds).withColumn("length", F.lit(1))
+    reference = DatasetInfo(robot_type="r")
+    assert jobs.align(ds, reference, {}, "p", files).info.robot_type == "r"
+    with pytest.raises(ValueError, match="files are missing"):
+        jobs.align(ds, reference, {}, "p", files.limit(3))
+    with pytest.raises(ValueError, match="don't fit"):
+        jobs.to_v21(ds.with_(frames=ds.frames.filter("index <> 4")))
+
+
+def test_a_table_is_read_once_for_each_use(spark, tmp_path):
+    """Scans in the plans of jobs: splitting and merging don't multiply them."""
+    f = frames_of(spark, {e: [[e]] * 4 for e in range(6)})
+    f.write.parquet(str(tmp_path / "f"))
+    ds = Dataset.of_frames(spark.read.parquet(str(tmp_path / "f")))
+
+    def scans(df):
+        return df._jdf.queryExecution().sparkPlan().toString().count("FileScan")
+
+    assert scans(select.decimate_split(ds, 0.4, 2).frames) <= 5 and scans(merge.merge_datasets([ds, ds, ds]).frames) <= 9
+    assert scans(jobs.clean_idle(ds, info=False, widths={STATE: 1, ACTION: 0})[0].stats) <= 4

@@ -12,6 +12,7 @@ from ..functions.vectors import doubles
 from ..operators import augment, merge, occupancy, profile, reindex, select, stats, tasks, transforms, validate, windows
 from ..operators.quantiles import exact_quantiles
 from ..schema import ACTION, STATE, Dataset, DatasetInfo
+from ..sources.datasets import settled
 
 
 def recomputed(ds: Dataset, features: Sequence[str] = (STATE, ACTION), widths: dict | None = None, info: bool = True) -> Dataset:
@@ -110,7 +111,8 @@ def merge_many(datasets: Sequence[Dataset]) -> Dataset:
 
 
 def check_up(ds: Dataset, inventory: DataFrame | None = None) -> DataFrame:
-    """One report (check, subject, problem)."""
+    """One report (check, subject, problem). Frames are read four times: lengths, tasks (twice), indices."""
+    ds = settled(ds)
     parts = [
         validate.length_reconciliation(ds).select(F.lit("lengths").alias("check"), F.col("episode_index").cast("string").alias("subject"), "problem"),
         tasks.task_reference_report(ds).select(F.lit("tasks").alias("check"), F.col("task_index").cast("string").alias("subject"), F.col("kind").alias("problem")),

@@ -28,6 +28,19 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def settled(ds: Dataset) -> Dataset:
+    """The dataset with its episodes and tasks written to the shared folder and read back, so that what several checks use,
+    and what may be derived from all frames, is computed once."""
+    spark = ds.frames.sparkSession
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = shared_folder(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return ds.with_(episodes=kept(ds.episodes, "episodes"), tasks=kept(ds.tasks, "tasks"))
+
+
 def read_frames(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
     """A1: all frames below ``root/data``. A missing episode_index comes from the file name, a missing frame_index is the
     row's place in its file, and numbers stored as lists of one become numbers."""

@@ -343,4 +343,7 @@ def test_a_table_is_read_once_for_each_use(spark, tmp_path):
         return df._jdf.queryExecution().sparkPlan().toString().count("FileScan")
 
     assert scans(select.decimate_split(ds, 0.4, 2).frames) <= 5 and scans(merge.merge_datasets([ds, ds, ds]).frames) <= 9
+    settled_name = str(tmp_path / "f")
+    report = jobs.check_up(ds)._jdf.queryExecution().sparkPlan().toString()
+    assert sum(settled_name in line for line in report.splitlines() if "FileScan" in line) <= 4
     assert scans(jobs.clean_idle(ds, info=False, widths={STATE: 1, ACTION: 0})[0].stats) <= 4

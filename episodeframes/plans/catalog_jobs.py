@@ -32,8 +32,11 @@ def a1(spark, d):
     return f.select("episode_index", "frame_index", "task_index", col_(STATE)[0].alias("s1"), col_(STATE)[1].alias("s2"), col_(ACTION)[0].alias("a1"))
 
 
-@query("a2_read_metadata", f"""WITH {LINEITEM_SQL} SELECT 'episode' AS kind, episode_index AS key, array_to_string(list_transform(list_sort(list(DISTINCT task_index)), lambda x: 'task ' || x), ',') AS text, count(*) AS n FROM f GROUP BY episode_index
-UNION ALL SELECT DISTINCT 'task', task_index, 'task ' || task_index, 0 FROM f UNION ALL SELECT 'stats', episode_index, printf('%.2f', max(s1)), count(*) FROM f GROUP BY episode_index""")
+@query("a2_read_metadata", f"""WITH {LINEITEM_SQL} SELECT 'episode' AS kind, episode_index AS key,
+  array_to_string(list_transform(list_sort(list(DISTINCT task_index)), lambda x: 'task ' || x), ',') AS text, count(*) AS n FROM f
+  GROUP BY episode_index
+UNION ALL SELECT DISTINCT 'task', task_index, 'task ' || task_index, 0 FROM f UNION ALL SELECT 'stats', episode_index, printf('%.2f', max(s1)),
+  count(*) FROM f GROUP BY episode_index""")
 def a2(spark, d):
     """Episodes, tasks and statistics that come back from JSON lines."""
     ds = of_lineitem(spark, d)
@@ -65,7 +68,8 @@ def a4(spark, d):
     return out.select("frame_index", "task_index", F.round("timestamp", 3).alias("timestamp"), "episode_index", col_(STATE)[0].alias("s1"))
 
 
-@query("a5_file_inventory", """SELECT printf('data/chunk-%03d/episode_%06d.parquet', user_id // 1000, user_id) AS path, false AS empty FROM (SELECT DISTINCT user_id FROM events) UNION ALL SELECT 'meta/info.json', false""")
+@query("a5_file_inventory", """SELECT printf('data/chunk-%03d/episode_%06d.parquet', user_id // 1000, user_id) AS path, false AS empty
+  FROM (SELECT DISTINCT user_id FROM events) UNION ALL SELECT 'meta/info.json', false""")
 def a5(spark, d):
     root = written(Dataset.of_frames(frames_from_events(spark, d)), "per_episode")
     found = datasets.file_inventory(spark, root).filter("path like 'data/%' or path = 'meta/info.json'")
@@ -81,7 +85,8 @@ def a6(spark, d):
     return spark.read.option("header", True).schema("task_index long, frames long, episodes long").csv(path)
 
 
-@query("b1_selector_forms", f"""WITH {LINEITEM_SQL}, l AS (SELECT episode_index AS o, count(*) AS n FROM f WHERE episode_index NOT IN (3, 5, 6, 7, 33) GROUP BY ALL)
+@query("b1_selector_forms", f"""WITH {LINEITEM_SQL}, l AS (SELECT episode_index AS o, count(*) AS n FROM f WHERE episode_index NOT IN (3, 5, 6, 7, 33)
+  GROUP BY ALL)
 SELECT row_number() OVER (ORDER BY o) - 1 AS episode_index, n FROM l""")
 def b1(spark, d):
     """Removed by a JSON object of lists, what is left held against a JSON list and a list of ranges."""
@@ -92,9 +97,11 @@ def b1(spark, d):
     return select.remove_episodes(ds, chosen[0]).frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("f2_mirror_norm_stats", f"""WITH {EMBEDDINGS_SQL}, x AS (SELECT unnest(range(14)) AS dim, unnest(state) AS v FROM f), q AS (SELECT dim, avg(v) AS m, stddev_pop(v) AS s, quantile_cont(v, 0.01) AS low, quantile_cont(v, 0.99) AS high FROM x GROUP BY dim),
+@query("f2_mirror_norm_stats", f"""WITH {EMBEDDINGS_SQL}, x AS (SELECT unnest(range(14)) AS dim, unnest(state) AS v FROM f), q AS (SELECT dim,
+  avg(v) AS m, stddev_pop(v) AS s, quantile_cont(v, 0.01) AS low, quantile_cont(v, 0.99) AS high FROM x GROUP BY dim),
 t AS (SELECT (dim + 7) % 14 AS dim, dim % 7 IN (0, 3, 5) AS turned, * EXCLUDE (dim) FROM q)
-SELECT dim::INT AS dim, round(CASE WHEN turned THEN -m ELSE m END, 6) + 0.0 AS mean, round(s, 6) AS std, round(CASE WHEN turned THEN -high ELSE low END, 6) + 0.0 AS q01, round(CASE WHEN turned THEN -low ELSE high END, 6) + 0.0 AS q99 FROM t""")
+SELECT dim::INT AS dim, round(CASE WHEN turned THEN -m ELSE m END, 6) + 0.0 AS mean, round(s, 6) AS std,
+  round(CASE WHEN turned THEN -high ELSE low END, 6) + 0.0 AS q01, round(CASE WHEN turned THEN -low ELSE high END, 6) + 0.0 AS q99 FROM t""")
 def f2_norm(spark, d):
     """Mean, deviation and 1st and 99th percentile of the state, mirrored (joints 1, 4 and 6 turn)."""
     norms = jobs.norm_stats(frames_from_embeddings(spark, d), {STATE: 14})
@@ -105,8 +112,10 @@ def f2_norm(spark, d):
 CAMERAS = ["observation.images.cam_high", "observation.images.cam_left_wrist", "observation.images.cam_right_wrist"]
 
 
-@query("f3_mirror_cameras", """WITH e AS (SELECT DISTINCT conv_id AS e FROM conversations), k AS (SELECT unnest(['cam_high', 'cam_left_wrist', 'cam_right_wrist']) AS a, unnest(['cam_high', 'cam_right_wrist', 'cam_left_wrist']) AS b)
-SELECT e AS episode_index, printf('videos/chunk-%03d/observation.images.%s/episode_%06d.mp4', e // 10, a, e) AS source, printf('videos/chunk-%03d/observation.images.%s/episode_%06d.mp4', e // 10, b, e) AS target FROM e, k""")
+@query("f3_mirror_cameras", """WITH e AS (SELECT DISTINCT conv_id AS e FROM conversations), k AS (SELECT unnest(['cam_high', 'cam_left_wrist',
+  'cam_right_wrist']) AS a, unnest(['cam_high', 'cam_right_wrist', 'cam_left_wrist']) AS b)
+SELECT e AS episode_index, printf('videos/chunk-%03d/observation.images.%s/episode_%06d.mp4', e // 10, a, e) AS source,
+  printf('videos/chunk-%03d/observation.images.%s/episode_%06d.mp4', e // 10, b, e) AS target FROM e, k""")
 def f3(spark, d):
     """Where each video of each episode goes when a dataset is mirrored."""
     f = episodes_from_conversations(spark, d).withColumn("task_index", F.lit(0).cast("long"))
@@ -118,7 +127,8 @@ def f3(spark, d):
     return keyed.select("episode_index", *paths)
 
 
-@query("f8_path_templates", """SELECT DISTINCT o_orderkey AS episode_index, printf('data/chunk-%03d/episode_%06d.parquet', o_orderkey // 1000, o_orderkey) AS data, printf('v/%d/top/e%d.mp4', o_orderkey // 1000, o_orderkey) AS video FROM orders""")
+@query("f8_path_templates", """SELECT DISTINCT o_orderkey AS episode_index, printf('data/chunk-%03d/episode_%06d.parquet', o_orderkey // 1000,
+  o_orderkey) AS data, printf('v/%d/top/e%d.mp4', o_orderkey // 1000, o_orderkey) AS video FROM orders""")
 def f8(spark, d):
     e = table(spark, d, "orders").select(F.col("o_orderkey").cast("long").alias("episode_index")).distinct()
     video = format_path("v/{episode_chunk}/{video_key}/e{episode_index}.mp4", video_key=F.lit("top"))
@@ -126,7 +136,8 @@ def f8(spark, d):
 
 
 @query("j2_trim_tails", f"""WITH {EMBEDDINGS_SQL}, k AS (SELECT * FROM f WHERE frame_index < 25 - 4)
-SELECT episode_index, count(*) AS length, min(i) AS first_index, round(max(state[1]), 6) AS s_max, round(avg(state[2]), 6) + 0.0 AS s_mean FROM (SELECT *, row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS i FROM k) GROUP BY episode_index""")
+SELECT episode_index, count(*) AS length, min(i) AS first_index, round(max(state[1]), 6) AS s_max, round(avg(state[2]), 6) + 0.0 AS s_mean
+  FROM (SELECT *, row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS i FROM k) GROUP BY episode_index""")
 def j2(spark, d):
     ds = jobs.trim_tails(of_embeddings(spark, d), frames=4)
     s = F.col("stats")[STATE]
@@ -135,8 +146,10 @@ def j2(spark, d):
     return rounded(out, "s_max", "s_mean")
 
 
-@query("j3_remove_episodes", f"""WITH {LINEITEM_SQL}, l AS (SELECT episode_index AS o, count(*) AS n, sum(s1) AS total FROM f WHERE episode_index NOT BETWEEN 100 AND 200 AND episode_index <> 7 GROUP BY ALL)
-SELECT row_number() OVER (ORDER BY o) - 1 AS episode_index, n, (sum(n) OVER (ORDER BY o) - n)::BIGINT AS first_index, total, (SELECT count(*) FROM l) AS total_episodes FROM l""")
+@query("j3_remove_episodes", f"""WITH {LINEITEM_SQL}, l AS (SELECT episode_index AS o, count(*) AS n, sum(s1) AS total FROM f
+  WHERE episode_index NOT BETWEEN 100 AND 200 AND episode_index <> 7 GROUP BY ALL)
+SELECT row_number() OVER (ORDER BY o) - 1 AS episode_index, n, (sum(n) OVER (ORDER BY o) - n)::BIGINT AS first_index, total, (SELECT count(*)
+  FROM l) AS total_episodes FROM l""")
 def j3(spark, d):
     ds = jobs.remove(of_lineitem(spark, d), "7, 100-200")
     rows = ds.frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("n"), F.min("index").alias("first_index"), F.sum(col_(STATE)[0]).alias("total"))
@@ -159,21 +172,26 @@ def j4(spark, d):
     return totals(spark, jobs.remove_short(of_lineitem(spark, d), 4).info)
 
 
-@query("j5_extract_range", f"""WITH {EMBEDDINGS_SQL} SELECT episode_index - 3 AS episode_index, frame_index, row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS index, round(state[1], 6) + 0.0 AS s1 FROM f WHERE episode_index BETWEEN 3 AND 12""")
+@query("j5_extract_range", f"""WITH {EMBEDDINGS_SQL} SELECT episode_index - 3 AS episode_index, frame_index,
+  row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS index, round(state[1], 6) + 0.0 AS s1 FROM f WHERE episode_index BETWEEN 3 AND 12""")
 def j5(spark, d):
     f = frames_from_embeddings(spark, d).withColumn("task_index", F.lit(0).cast("long"))
     return jobs.extract_range(Dataset.of_frames(f), 3, 12).frames.select("episode_index", "frame_index", "index", r6(col_(STATE)[0]).alias("s1"))
 
 
-@query("j7_split_and_merge", f"""WITH {EMBEDDINGS_SQL}, n AS (SELECT greatest(1, floor(count(DISTINCT episode_index) * 0.3)) AS n FROM f), o AS (SELECT *, dense_rank() OVER (ORDER BY episode_index) AS e FROM f),
-u AS (SELECT 0 AS k, e, frame_index, state[1] AS x FROM o UNION ALL SELECT 1, e, CASE WHEN e <= n THEN frame_index // 3 ELSE frame_index END, state[1] FROM o, n WHERE e > n OR frame_index % 3 = 0)
-SELECT dense_rank() OVER (ORDER BY k, e) - 1 AS episode_index, frame_index, row_number() OVER (ORDER BY k, e, frame_index) - 1 AS index, round(x, 6) + 0.0 AS x FROM u""")
+@query("j7_split_and_merge", f"""WITH {EMBEDDINGS_SQL}, n AS (SELECT greatest(1, floor(count(DISTINCT episode_index) * 0.3)) AS n FROM f),
+  o AS (SELECT *, dense_rank() OVER (ORDER BY episode_index) AS e FROM f),
+u AS (SELECT 0 AS k, e, frame_index, state[1] AS x FROM o UNION ALL SELECT 1, e, CASE WHEN e <= n THEN frame_index // 3 ELSE frame_index END, state[1]
+  FROM o, n WHERE e > n OR frame_index % 3 = 0)
+SELECT dense_rank() OVER (ORDER BY k, e) - 1 AS episode_index, frame_index, row_number() OVER (ORDER BY k, e, frame_index) - 1 AS index, round(x,
+  6) + 0.0 AS x FROM u""")
 def j7_split(spark, d):
     f = jobs.split_and_merge(of_embeddings(spark, d), 0.3, 3).frames
     return f.select("episode_index", "frame_index", "index", r6(col_(STATE)[0]).alias("x"))
 
 
-@query("j8_merge_many", f"""WITH {EMBEDDINGS_SQL}, u AS (SELECT 0 AS k, episode_index AS o, frame_index, task_index AS t FROM f UNION ALL SELECT 1, episode_index, frame_index, task_index FROM f WHERE frame_index < 20 UNION ALL SELECT 2, episode_index, frame_index, 0 FROM f),
+@query("j8_merge_many", f"""WITH {EMBEDDINGS_SQL}, u AS (SELECT 0 AS k, episode_index AS o, frame_index, task_index AS t FROM f UNION ALL SELECT 1,
+  episode_index, frame_index, task_index FROM f WHERE frame_index < 20 UNION ALL SELECT 2, episode_index, frame_index, 0 FROM f),
 x AS (SELECT dense_rank() OVER (ORDER BY k, o) - 1 AS e, CASE WHEN k < 2 THEN 'task ' || t ELSE 'merged' END AS t FROM u) {totals_sql('x')}""")
 def j8(spark, d):
     """Three datasets with shared and own task names."""
@@ -186,7 +204,8 @@ def j8(spark, d):
     return totals(spark, out.info).withColumn("total_tasks", F.lit(tasks).cast("long"))
 
 
-@query("j10_to_v21", f"""WITH {EMBEDDINGS_SQL} SELECT '{STATE}' AS feature, 2::INT AS dim, 'min' AS stat, round(min(state[3]), 6) AS a, round(min(state[3]) - 1, 6) AS b, 'v2.1' AS version FROM f""")
+@query("j10_to_v21", f"""WITH {EMBEDDINGS_SQL} SELECT '{STATE}' AS feature, 2::INT AS dim, 'min' AS stat, round(min(state[3]), 6) AS a,
+  round(min(state[3]) - 1, 6) AS b, 'v2.1' AS version FROM f""")
 def j10(spark, d):
     """A v2.0 dataset whose old statistics differ in one number."""
     ds = of_embeddings(spark, d, codebase_version="v2.0")
@@ -196,12 +215,14 @@ def j10(spark, d):
     return rounded(differ, "a", "b").withColumn("version", F.lit(new.info.codebase_version))
 
 
-@query("j11_jump_report", f"""WITH {EVENTS_SQL}, d AS (SELECT episode_index, frame_index, s1 - lag(s1) OVER w AS delta FROM f {W}), x AS (SELECT * FROM d WHERE delta IS NOT NULL),
+@query("j11_jump_report", f"""WITH {EVENTS_SQL}, d AS (SELECT episode_index, frame_index, s1 - lag(s1) OVER w AS delta FROM f {W}), x AS (SELECT *
+  FROM d WHERE delta IS NOT NULL),
 g AS (SELECT min(delta) AS low, max(delta) AS high, least(120, greatest(20, floor(sqrt(count(*)))))::INT AS bins FROM x)
 SELECT 'events' AS report, episode_index AS key, count(*) AS n FROM x WHERE abs(delta) >= {LIMIT} GROUP BY episode_index
 UNION ALL SELECT 'histogram', least(floor((delta - low) / ((high - low) / bins)), bins - 1)::BIGINT, count(*) FROM x, g GROUP BY ALL
 UNION ALL SELECT 'summary', 0, count(*) FROM x
-UNION ALL SELECT 'top', episode_index, rank FROM (SELECT episode_index, row_number() OVER (ORDER BY max(abs(delta)) DESC, episode_index) AS rank FROM x GROUP BY episode_index) WHERE rank <= 3""")
+UNION ALL SELECT 'top', episode_index, rank FROM (SELECT episode_index, row_number() OVER (ORDER BY max(abs(delta)) DESC, episode_index) AS rank
+  FROM x GROUP BY episode_index) WHERE rank <= 3""")
 def j11(spark, d):
     report = jobs.jump_report(Dataset.of_frames(frames_from_events(spark, d)), LIMIT, dims=(0,))
     n, state = F.count(F.lit(1)).alias("n"), F.col("signal") == STATE
@@ -236,8 +257,10 @@ p AS (SELECT episode_index, frame_index, arm, {", ".join(f"round({n}, {digits})
 SQL["f6_forward_kinematics"] = f"WITH {EMBEDDINGS_SQL}, {poses_sql()} SELECT * FROM p"
 
 
-@query("j12_occupancy_report", f"""WITH {EMBEDDINGS_SQL}, {poses_sql(12)}, v AS (SELECT arm, floor(x / 0.05)::BIGINT AS ix, floor(y / 0.05)::BIGINT AS iy, floor(z / 0.05)::BIGINT AS iz, count(*) AS n FROM p GROUP BY ALL)
-SELECT 'voxels' AS report, arm, ix, iy, iz, n FROM v UNION ALL SELECT 'top', arm, ix, iy, iz, place FROM (SELECT *, row_number() OVER (PARTITION BY arm ORDER BY n DESC, ix, iy, iz) AS place FROM v) WHERE place <= 10
+@query("j12_occupancy_report", f"""WITH {EMBEDDINGS_SQL}, {poses_sql(12)}, v AS (SELECT arm, floor(x / 0.05)::BIGINT AS ix,
+  floor(y / 0.05)::BIGINT AS iy, floor(z / 0.05)::BIGINT AS iz, count(*) AS n FROM p GROUP BY ALL)
+SELECT 'voxels' AS report, arm, ix, iy, iz, n FROM v UNION ALL SELECT 'top', arm, ix, iy, iz, place FROM (SELECT *,
+  row_number() OVER (PARTITION BY arm ORDER BY n DESC, ix, iy, iz) AS place FROM v) WHERE place <= 10
 UNION ALL SELECT 'summary', arm, count(*), 0, 0, sum(n)::BIGINT FROM v GROUP BY arm""")
 def j12(spark, d):
     report = jobs.occupancy_report(of_embeddings(spark, d), 0.05, 10)
@@ -253,16 +276,21 @@ def j12(spark, d):
 POSE = dict(target=(0.0,) * 7, joint_tol=0.2, gripper_tol=0.2, still_tol=0.35)
 
 
-@query("j13_remove_pose_idle", f"""WITH {EMBEDDINGS_SQL}, i AS (SELECT episode_index, frame_index, len(list_filter(state[1:7], lambda x: abs(x) > 0.2)) = 0 AND (frame_index = 0 OR len(list_filter(list_zip(state[1:7], lag(state[1:7]) OVER w), lambda z: abs(z[1] - z[2]) > 0.35)) = 0) AS idle FROM f {W}),
-{runs_sql('i', 'idle', 'a')}, gone AS (SELECT DISTINCT episode_index FROM (SELECT episode_index, count(*) AS n FROM a WHERE idle GROUP BY episode_index, run_a) WHERE n / 30 > 0.05)
-SELECT dense_rank() OVER (ORDER BY episode_index) - 1 AS episode_index, frame_index, row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS index, round(state[1], 6) + 0.0 AS s1 FROM f WHERE episode_index NOT IN (SELECT episode_index FROM gone)""")
+@query("j13_remove_pose_idle", f"""WITH {EMBEDDINGS_SQL}, i AS (SELECT episode_index, frame_index, len(list_filter(state[1:7],
+  lambda x: abs(x) > 0.2)) = 0 AND (frame_index = 0 OR len(list_filter(list_zip(state[1:7], lag(state[1:7]) OVER w),
+  lambda z: abs(z[1] - z[2]) > 0.35)) = 0) AS idle FROM f {W}),
+{runs_sql('i', 'idle', 'a')}, gone AS (SELECT DISTINCT episode_index FROM (SELECT episode_index, count(*) AS n FROM a WHERE idle
+  GROUP BY episode_index, run_a) WHERE n / 30 > 0.05)
+SELECT dense_rank() OVER (ORDER BY episode_index) - 1 AS episode_index, frame_index, row_number() OVER (ORDER BY episode_index,
+  frame_index) - 1 AS index, round(state[1], 6) + 0.0 AS s1 FROM f WHERE episode_index NOT IN (SELECT episode_index FROM gone)""")
 def j13(spark, d):
     out = jobs.remove_pose_idle(of_embeddings(spark, d), 0.05, **POSE)
     return out.frames.select("episode_index", "frame_index", "index", r6(col_(STATE)[0]).alias("s1"))
 
 
 @query("j14_force_deltas", f"""WITH {EMBEDDINGS_SQL}, b AS (SELECT *, first_value(state) OVER w AS base FROM f {W})
-SELECT episode_index, round(max(state[9] - base[9]), 4) + 0.0 AS s_x_max, round(min(action[14] - base[14]), 4) + 0.0 AS a_z_min, round(max(state[8]), 4) + 0.0 AS kept_max, count(*) AS n FROM b GROUP BY episode_index""")
+SELECT episode_index, round(max(state[9] - base[9]), 4) + 0.0 AS s_x_max, round(min(action[14] - base[14]), 4) + 0.0 AS a_z_min, round(max(state[8]),
+  4) + 0.0 AS kept_max, count(*) AS n FROM b GROUP BY episode_index""")
 def j14(spark, d):
     names = {k: {"dtype": "float32", "names": FORCES} for k in (STATE, ACTION)}
     ds = jobs.force_deltas(of_embeddings(spark, d, features=names))
@@ -271,8 +299,11 @@ def j14(spark, d):
     return rounded(out, "s_x_max", "a_z_min", "kept_max", digits=4)
 
 
-@query("j15_rotation_states", f"""WITH {EMBEDDINGS_SQL}, q AS (SELECT episode_index, state, sqrt(state[4]**2 + state[5]**2 + state[6]**2 + state[7]**2) AS n FROM f)
-SELECT episode_index, round(max(1 - 2 * ((state[5] / n)**2 + (state[6] / n)**2)), 4) + 0.0 AS r0_max, round(min(2 * (state[5] * state[6] + state[4] * state[7]) / (n * n)), 4) + 0.0 AS r5_min, round(max(state[8]), 4) + 0.0 AS grip_max, 10::BIGINT AS width FROM q GROUP BY episode_index""")
+@query("j15_rotation_states", f"""WITH {EMBEDDINGS_SQL}, q AS (SELECT episode_index, state,
+  sqrt(state[4]**2 + state[5]**2 + state[6]**2 + state[7]**2) AS n FROM f)
+SELECT episode_index, round(max(1 - 2 * ((state[5] / n)**2 + (state[6] / n)**2)), 4) + 0.0 AS r0_max,
+  round(min(2 * (state[5] * state[6] + state[4] * state[7]) / (n * n)), 4) + 0.0 AS r5_min, round(max(state[8]), 4) + 0.0 AS grip_max,
+  10::BIGINT AS width FROM q GROUP BY episode_index""")
 def j15(spark, d):
     ds = jobs.rotation_states(of_embeddings(spark, d))
     s = F.col("stats")[STATE]
@@ -280,7 +311,8 @@ def j15(spark, d):
     return rounded(out, "r0_max", "r5_min", "grip_max", digits=4)
 
 
-@query("j16_align", f"""WITH {EMBEDDINGS_SQL} SELECT episode_index, 'pick it up' AS tasks, 0::BIGINT AS task_index, count(*) AS length, printf('videos/chunk-000/front/episode_%06d.mp4', episode_index) AS video, 'twin' AS robot FROM f GROUP BY episode_index""")
+@query("j16_align", f"""WITH {EMBEDDINGS_SQL} SELECT episode_index, 'pick it up' AS tasks, 0::BIGINT AS task_index, count(*) AS length,
+  printf('videos/chunk-000/front/episode_%06d.mp4', episode_index) AS video, 'twin' AS robot FROM f GROUP BY episode_index""")
 def j16(spark, d):
     """A camera renamed, one task for all, and the files held against the new names."""
     ds = of_embeddings(spark, d, features={"top": {"dtype": "video"}})

@@ -60,3 +60,14 @@ def test_min_bytes(spark):
     arc = A.write_arc(pages, scratch_path(spark, "arc"))
     got = A.read_archives(A.convert_archives(arc, scratch_path(spark, "warc"), min_bytes=3)).collect()
     assert sorted((r.page_id, r.record_type) for r in got) == [(1, "response"), (2, "response"), (3, "revisit"), (4, "response")]
+
+
+def test_half_of_all_pages_with_one_payload(spark, monkeypatch):
+    """A common payload, one that half of all records have, is joined by broadcast; the result is the same."""
+    from episodeframes.llm import common
+
+    monkeypatch.setattr(common, "LIGHT", 8)
+    rows = [(i, f"http://h/{i}", "<p>gone</p>" if i % 2 else f"page {i % 300}") for i in range(1, 601)] + [(700 + i, None, None) for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    got = A.archives_query(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(brute(rows), key=str)

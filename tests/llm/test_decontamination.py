@@ -84,6 +84,18 @@ def test_short_items_are_found_as_whole_sequences(spark):
     assert got == {k: (n > 0, n) for k, n in want.items()} and 20 < sum(n > 0 for n in want.values()) < 190
 
 
+def test_half_of_all_documents_hold_one_passage_of_many_items(spark):
+    """A phrase that half of the documents and several items have, in other surroundings each."""
+    rnd = random.Random(9)
+    phrase = words(rnd, 9)
+    items = [" ".join(words(rnd, 12) + phrase + words(rnd, 12)) for _ in range(6)] + [" ".join(phrase)]
+    docs = [(k, " ".join(words(rnd, 20) + (phrase if k % 2 else []) + words(rnd, 20))) for k in range(200)] + [(900, items[2])]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.n_items) for r in D.find_contaminated(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), bench).collect()}
+    want = {k: sum(brute(t, x) for x in items) for k, t in docs}
+    assert got == {k: (n > 0, n) for k, n in want.items()} and want[900] >= 2 and want[1] >= 1 and want[2] == 0
+
+
 def test_words_that_polynomials_confuse(spark):
     """Words of 1024 letters whose polynomial hashes modulo 2**64 are equal for every odd base are different words."""
     t = "a"

@@ -48,3 +48,9 @@ def test_uniform(spark):
 def test_few_rows(spark, n):
     got = S.shuffle_into_shards(spark.range(n), 8).collect()
     assert len(got) == n and all(r.slot == 0 for r in got)
+
+
+def test_very_long_text(spark):
+    rows = [(1, "é" * 3_000_000), (2, None), (3, ""), (4, "x")]
+    got = {r.doc_id: r for r in S.shards_query(spark, spark.createDataFrame(rows, "doc_id long, text string"), shards=3).collect()}
+    assert {d: (r.size, r.text_crc32) for d, r in got.items()} == {d: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in rows}

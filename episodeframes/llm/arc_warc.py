@@ -56,7 +56,10 @@ def sha1_base32(data: bytes) -> str:
 
 
 def arc_record(version: int, url: str, date: str, kind: str, block: bytes, status: str = "200", name: str = "-", offset: int = 0) -> bytes:
-    values = {"URL": url, "IP-address": "0.0.0.0", "Archive-date": date, "Content-type": kind, "Result-code": status, "Checksum": "-", "Location": "-", "Offset": str(offset), "Filename": name, "Archive-length": str(len(block))}
+    values = {
+        "URL": url, "IP-address": "0.0.0.0", "Archive-date": date, "Content-type": kind, "Result-code": status, "Checksum": "-", "Location": "-",
+        "Offset": str(offset), "Filename": name, "Archive-length": str(len(block))
+    }
     return " ".join(values[f] for f in ARC_FIELDS[version]).encode() + b"\n" + block + b"\n"
 
 
@@ -103,7 +106,10 @@ def record_id(path: str, no: int) -> str:
 
 
 def warc_record(kind: str, identifier: str, date: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
-    lines = [("WARC-Type", kind), ("WARC-Record-ID", identifier), ("WARC-Date", date), *headers, ("WARC-Block-Digest", f"sha1:{sha1_base32(block)}"), ("Content-Length", str(len(block)))]
+    lines = [
+        ("WARC-Type", kind), ("WARC-Record-ID", identifier), ("WARC-Date", date), *headers, ("WARC-Block-Digest", f"sha1:{sha1_base32(block)}"),
+        ("Content-Length", str(len(block)))
+    ]
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines).encode("utf-8", "surrogateescape") + b"\r\n" + block + b"\r\n\r\n"
 
 
@@ -112,7 +118,9 @@ def converted(path: str, no: int, fields: dict[str, str], block: bytes, decision
     url, date, identifier = fields["URL"], warc_date(fields["Archive-date"]), record_id(path, no)
     if url.startswith("filedesc:"):
         body = f"software: episodeframes\r\nformat: WARC File Format 1.1\r\nconformsTo: ARC {block.split(b' ', 1)[0].decode()}\r\n".encode()
-        return warc_record("warcinfo", identifier, date, [("WARC-Filename", url.removeprefix("filedesc://")), ("Content-Type", "application/warc-fields")], body)
+        return warc_record(
+            "warcinfo", identifier, date, [("WARC-Filename", url.removeprefix("filedesc://")), ("Content-Type", "application/warc-fields")], body
+        )
     head, _, payload = http_parts(block)
     common = [("WARC-Target-URI", url), ("WARC-IP-Address", fields["IP-address"]), ("WARC-Payload-Digest", f"sha1:{sha1_base32(payload)}")]
     if not head:
@@ -120,7 +128,10 @@ def converted(path: str, no: int, fields: dict[str, str], block: bytes, decision
     common.append(("Content-Type", "application/http; msgtype=response"))
     if decision is None or decision["keep_path"] is None or (decision["keep_path"], decision["keep_no"]) == (path, no):
         return warc_record("response", identifier, date, common, block)
-    target = [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", record_id(decision["keep_path"], decision["keep_no"])), ("WARC-Refers-To-Target-URI", decision["keep_url"]), ("WARC-Refers-To-Date", warc_date(decision["keep_date"]))]
+    target = [
+        ("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", record_id(decision["keep_path"], decision["keep_no"])),
+        ("WARC-Refers-To-Target-URI", decision["keep_url"]), ("WARC-Refers-To-Date", warc_date(decision["keep_date"]))
+    ]
     if decision["keep_page"] is not None:
         target.append((TARGET_HEADER, str(decision["keep_page"])))
     return warc_record("revisit", identifier, date, common + target, head)
@@ -177,7 +188,9 @@ def _write_arc(folder: str, date: str):
     return run
 
 
-def write_arc(pages: DataFrame, folder: str, date: str = "20240101000000", page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def write_arc(
+    pages: DataFrame, folder: str, date: str = "20240101000000", page_id: str = "page_id", url: str = "url", html: str = "html"
+) -> DataFrame:
     """One ARC file a partition, versions 1 and 2 in turn; returns their paths."""
     bounded_batches(pages.sparkSession)
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
@@ -205,7 +218,9 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _index_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["path", "no", "page_id", "url", "date", "digest", "n"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["path", "no", "page_id", "url", "date", "digest", "n"]
+    )
 
 
 def _convert(folder: str):
@@ -264,7 +279,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         raise ValueError(f"a payload in {path} doesn't have its digest")
                     page, target = http.get(PAGE_HEADER), fields.get(TARGET_HEADER)
                     size = int(http["Content-Length"]) if revisit else len(payload)
-                    rows.append((page and int(page), size, digest, fields["WARC-Type"], target and int(target), fields["WARC-Record-ID"], fields["WARC-Target-URI"]))
+                    rows.append(
+                        (
+                            page and int(page), size, digest, fields["WARC-Type"], target and int(target), fields["WARC-Record-ID"],
+                            fields["WARC-Target-URI"]
+                        )
+                    )
                     if len(rows) == 4096:
                         yield _record_batch(rows)
                         rows = []
@@ -280,7 +300,9 @@ def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_archives(warc_paths: DataFrame) -> DataFrame:
     """A row per response and revisit record of the archives."""
-    return spread(warc_paths).mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, target_uri string")
+    return spread(warc_paths).mapInArrow(
+        _read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, target_uri string"
+    )
 
 
 def archives_query(spark: SparkSession, pages: DataFrame) -> DataFrame:

@@ -297,7 +297,9 @@ def decode(coded: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_i
                 if len(flat) and not 0 <= flat.min() <= flat.max() <= known:
                     raise ValueError("an id that the ranks don't have")
                 found = code.decode(pa.table({"d": np.repeat(np.arange(len(lists)), sizes), "p": np.arange(len(flat)), "id": flat}))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([found.get(k, b"") for k in range(len(lists))], pa.binary())], ["doc_id", "bytes"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([found.get(k, b"") for k in range(len(lists))], pa.binary())], ["doc_id", "bytes"]
+                )
 
     rows = coded.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(ids).cast("array<int>").alias("ids"))
     return rows.mapInArrow(run, "doc_id long, bytes binary")

@@ -70,14 +70,23 @@ def _render(system: tuple[str, ...], piece_chars: int):
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), MASK)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["conv_id", "speaker", "part", "no", "n_turns", "chars", "text", "mask"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+        ["conv_id", "speaker", "part", "no", "n_turns", "chars", "text", "mask"]
+    )
 
 
-def rotate(turns: DataFrame, system: tuple[str, ...] = ("system",), piece_chars: int = PIECE_CHARS, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def rotate(
+    turns: DataFrame, system: tuple[str, ...] = ("system",), piece_chars: int = PIECE_CHARS, conv_id: str = "conv_id", turn: str = "turn",
+    role: str = "role", text: str = "text"
+) -> DataFrame:
     """conv_id, speaker, piece, start (first character in the whole), n_turns, text, mask (relative to the piece)."""
     spark = turns.sparkSession
     bounded_batches(spark)
-    rows = turns.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("unknown")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = turns.select(
+        F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("unknown")).alias("role"),
+        F.coalesce(F.col(text), F.lit("")).alias("text")
+    )
     speaks = ~F.col("role").isin(*system) if system else F.lit(True)
     rows = rows.withColumn("none", F.col("conv_id").isNull()).withColumn("conv_id", F.coalesce("conv_id", F.lit(0).cast("long")))
     conv = ["none", "conv_id"]
@@ -87,14 +96,20 @@ def rotate(turns: DataFrame, system: tuple[str, ...] = ("system",), piece_chars:
     speakers = speakers.select(*conv, "speaker", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     turned = join_groups(rows, sizes, conv, "n").withColumn("salt", F.pmod(F.xxhash64("turn", "role", "text"), F.col("salts")).cast("int"))
     met = turned.join(speakers, [*conv, "salt"])
-    seen = met.select(F.when(~F.col("none"), F.col("conv_id")).alias("conv_id"), "speaker", "role", "text", "turn", (F.col("size") > piece_chars).alias("large"))
+    seen = met.select(
+        F.when(~F.col("none"), F.col("conv_id")).alias("conv_id"), "speaker", "role", "text", "turn", (F.col("size") > piece_chars).alias("large")
+    )
     cut = [F.when(F.col("large"), F.col(c)) for c in ("turn", "role")]
-    dealt = seen.repartitionByRange(partitions_for(spark), "conv_id", "speaker", *cut).sortWithinPartitions("conv_id", "speaker", "turn", "role", "text")
+    dealt = seen.repartitionByRange(
+        partitions_for(spark), "conv_id", "speaker", *cut
+    ).sortWithinPartitions("conv_id", "speaker", "turn", "role", "text")
     pieces = materialize(dealt.select("conv_id", "speaker", "role", "text").mapInArrow(_render(system, piece_chars), SCHEMA), "chat-pieces")
     order = Window.partitionBy("conv_id", "speaker").orderBy("part", "no")
     before = F.coalesce(F.sum("chars").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # the sums run over a row for each piece, without its text
-    places = pieces.select("conv_id", "speaker", "part", "no", (F.row_number().over(order) - 1).alias("piece"), before.alias("start")).select("part", "no", "piece", "start")
+    places = pieces.select(
+        "conv_id", "speaker", "part", "no", (F.row_number().over(order) - 1).alias("piece"), before.alias("start")
+    ).select("part", "no", "piece", "start")
     return pieces.join(places, ["part", "no"]).select("conv_id", "speaker", "piece", "start", "n_turns", "text", "mask")
 
 

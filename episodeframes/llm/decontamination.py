@@ -97,16 +97,25 @@ def _bench_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(words), RUN):
                 base = max(0, at - MARGIN)
                 hits = [{"hash": int(x), "at": p} for _, h in found for p, x in enumerate(h[at : at + RUN].view(np.int64).tolist(), at)]
-                out.append({"item": key, "item_id": item, "n": len(words), "base": base, "words": words[base : at + RUN + MARGIN].view(np.int64).tolist(), "hits": hits})
+                out.append(
+                    {
+                        "item": key, "item_id": item, "n": len(words), "base": base, "words": words[base : at + RUN + MARGIN].view(np.int64).tolist(),
+                        "hits": hits
+                    }
+                )
         if out:
             yield pa.RecordBatch.from_pylist(out, BENCH_SCHEMA)
 
 
 HITS = pa.list_(pa.struct([("hash", pa.int64()), ("at", pa.int64())]))
-BENCH_SCHEMA = pa.schema([("item", pa.binary()), ("item_id", pa.int64()), ("n", pa.int64()), ("base", pa.int64()), ("words", pa.list_(pa.int64())), ("hits", HITS)])
+BENCH_SCHEMA = pa.schema(
+    [("item", pa.binary()), ("item_id", pa.int64()), ("n", pa.int64()), ("base", pa.int64()), ("words", pa.list_(pa.int64())), ("hits", HITS)]
+)
 BENCH = "item binary, item_id long, n long, base long, words array<long>, hits array<struct<hash:long,at:long>>"
 RUNS = "k1 long, k2 long, run long, base long, words array<long>, hits array<struct<hash:long,at:long>>"
-RUN_SCHEMA = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("run", pa.int64()), ("base", pa.int64()), ("words", pa.list_(pa.int64())), ("hits", HITS)])
+RUN_SCHEMA = pa.schema(
+    [("k1", pa.int64()), ("k2", pa.int64()), ("run", pa.int64()), ("base", pa.int64()), ("words", pa.list_(pa.int64())), ("hits", HITS)]
+)
 
 
 def _passing(h: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
@@ -195,19 +204,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str,
     # equal items have equal stretches at equal bases, so each stretch finds the same smallest id
     bench = bench.groupBy("item", "base").agg(F.min("item_id").alias("item_id"), *(F.first(c).alias(c) for c in ("n", "words", "hits")))
     every = bench.select("item", "n", "base", F.explode("hits").alias("h")).select("item", "n", "base", "h")
-    hashes = every.filter(F.col("n") >= LEAST).select("item", F.col("base").alias("item_base"), F.col("h.hash").alias("hash"), F.col("h.at").alias("item_at"))
+    hashes = every.filter(F.col("n") >= LEAST).select(
+        "item", F.col("base").alias("item_base"), F.col("h.hash").alias("hash"), F.col("h.at").alias("item_at")
+    )
     short = bench.filter(F.col("n") < LEAST).select("item", "item_id", "n", F.col("hits")[0]["hash"].alias("hash"))
     lengths = sorted(r.n for r in broadcast_rows(short.select("n").distinct(), LEAST, "lengths of short items"))
     bit = F.explode(F.array(F.col("hash").bitwiseAND(bits - 1), F.shiftrightunsigned("hash", 36).bitwiseAND(bits - 1)))
-    words = every.select(F.col("h.hash").alias("hash")).select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
+    words = every.select(F.col("h.hash").alias("hash")).select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits")
+    )
     table = np.zeros(bits // 64, np.uint64)
     for word, value in broadcast_rows(words, bits // 64, "bit table of the benchmark"):
         table[word] = value & 0xFFFFFFFFFFFFFFFF
     runs = materialize(docs.select("k1", "k2", text).mapInArrow(_hit_runs(spark.sparkContext.broadcast(table), bits, lengths), RUNS), "seed-hits")
-    hits = runs.filter("run >= 0").select("k1", "k2", "run", F.explode("hits").alias("h")).select("k1", "k2", "run", F.col("h.hash").alias("hash"), F.col("h.at").alias("at"))
+    hits = runs.filter("run >= 0").select("k1", "k2", "run", F.explode("hits").alias("h")).select(
+        "k1", "k2", "run", F.col("h.hash").alias("hash"), F.col("h.at").alias("at")
+    )
     pairs = hits.join(hashes, "hash").select("k1", "k2", "run", "item", "item_base", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
     segments = bench.select("item", F.col("base").alias("item_base"), "item_id", "n", F.col("words").alias("item_words"))
-    sides = pairs.join(runs.filter("run >= 0").drop("hits").dropDuplicates(["k1", "k2", "run"]), ["k1", "k2", "run"]).join(segments, ["item", "item_base"])
+    sides = pairs.join(
+        runs.filter("run >= 0").drop("hits").dropDuplicates(["k1", "k2", "run"]), ["k1", "k2", "run"]
+    ).join(segments, ["item", "item_base"])
     held = sides.withColumn("overlap", _overlaps("words", "base", "item_words", "item_base", "n", "offset")).filter("overlap > 0")
     held = held.select("k1", "k2", "item", "item_id", "overlap")
     if lengths:
@@ -222,7 +239,10 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, item_id (smallest that overlaps; a label, null without ids), n_items, overlap (words that agree, of WINDOW) of every document."""
     rows = keyed(docs.select("doc_id", "text"), "doc_id", "text")
     found = contaminated(rows, benchmark, "doc_id", "text")
-    return rows.select("doc_id", "k1", "k2").join(found, ["k1", "k2"], "left").select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("overlap", F.lit(0)).alias("overlap"))
+    return rows.select("doc_id", "k1", "k2").join(found, ["k1", "k2"], "left").select(
+        "doc_id", F.col("n_items").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_items", F.lit(0)).alias("n_items"),
+        F.coalesce("overlap", F.lit(0)).alias("overlap")
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

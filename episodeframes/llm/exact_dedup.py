@@ -112,7 +112,9 @@ def fingerprinted(docs: DataFrame, text: str) -> DataFrame:
     found = pieces_fingerprint(pieces.repartition(partitions_for(docs.sparkSession), "row", "piece"), "row", "piece", "bytes")
     lowered = F.translate(text, UPPER, SMALL)
     whole = huge.drop("fp", "n", "sha").withColumn("sha", F.unhex(F.sha2(lowered.cast("binary"), 256)))
-    return base.filter("fp is not null").unionByName(materialize(whole.join(found.withColumnRenamed("doc_id", "row"), "row").select(base.columns), "huge"))
+    return base.filter("fp is not null").unionByName(
+        materialize(whole.join(found.withColumnRenamed("doc_id", "row"), "row").select(base.columns), "huge")
+    )
 
 
 def pieces_fingerprint(pieces: DataFrame, doc_id: str, piece_no: str, text: str) -> DataFrame:
@@ -198,7 +200,9 @@ def classes(base: DataFrame, doc_id: str, text: str) -> DataFrame:
         keys.append("sha")
         groups = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), winner)
     groups = materialize(groups.select(*keys, "copies", F.col(f"top.{doc_id}").alias("keep_id"), F.col("top.row").alias("keep_row")), "groups")
-    return join_groups(base.select(doc_id, "row", "fp", "n", "sha"), groups, keys, "copies").select(doc_id, "row", "sha", "keep_id", F.col("copies").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"))
+    return join_groups(base.select(doc_id, "row", "fp", "n", "sha"), groups, keys, "copies").select(
+        doc_id, "row", "sha", "keep_id", F.col("copies").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept")
+    )
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

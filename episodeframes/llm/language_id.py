@@ -213,9 +213,13 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
     return model
 
 
-def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> list[tuple[str, str]]:
+def sample(
+    docs: DataFrame, per_language: int = PER_LANGUAGE, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> list[tuple[str, str]]:
     """About ``per_language`` labelled rows of each language outside the held-out share, chosen by a hash; bounded."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("doc_id is not null and lang is not null and text is not null")
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")
+    ).filter("doc_id is not null and lang is not null and text is not null")
     rows = rows.filter(~held_out())
     frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
     counts = dict(map(tuple, frequent.collect()))
@@ -233,7 +237,10 @@ def _predict(model, text: int):
             for i, j in row_blocks(utf8(batch.column(text))[1]):
                 part = batch.slice(i, j - i)
                 lang, score, accepted = zip(*model.value.predict(part.column(text).to_pylist()), strict=True)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang), pa.array(score, pa.float64()), pa.array(accepted)], [*part.schema.names, "lang_pred", "score", "accepted"])
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(lang), pa.array(score, pa.float64()), pa.array(accepted)],
+                    [*part.schema.names, "lang_pred", "score", "accepted"]
+                )
 
     return run
 

@@ -185,7 +185,13 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, sig = band_keys(sketch).view(np.int64), sketch.astype(np.uint8)
             nodes = [node_key(s) if s.width else None for s in texts]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), lists, pa.array([x.tobytes() for x in sig], pa.binary())], ["doc_id", "k1", "k2", "n_shingles", "node", "bands", "sig"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c).slice(i, j - i) for c in range(3)), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()),
+                    lists, pa.array([x.tobytes() for x in sig], pa.binary())
+                ],
+                ["doc_id", "k1", "k2", "n_shingles", "node", "bands", "sig"]
+            )
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +301,9 @@ def block_counts(rows: DataFrame, key: str, name: str, room) -> DataFrame:
     top = F.max(F.struct("n", "c", "room"))
     both = each.groupBy(key).agg(top.alias("top"), F.sum("room").alias("room"), F.count(F.lit(1)).alias("components"))
     rest = F.ceil(F.col("room") - F.col("top.room") + 1e-9)
-    counted = both.filter("components > 1").select(key, F.col("top.c").alias("top"), F.ceil("top.room").cast("int").alias("big"), rest.cast("int").alias("rest"))
+    counted = both.filter("components > 1").select(
+        key, F.col("top.c").alias("top"), F.ceil("top.room").cast("int").alias("big"), rest.cast("int").alias("rest")
+    )
     return materialize(counted, name)
 
 
@@ -309,7 +317,9 @@ def in_blocks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
     block = F.when(large, F.col("rest") + F.pmod(spread, F.col("big"))).otherwise(F.pmod(spread, F.col("rest"))).cast("int")
     last = F.when(large, F.col("rest")).otherwise(F.col("rest") + F.col("big")) - 1
     own = rows.withColumn("b", block).withColumn("x", F.explode(F.sequence(F.lit(0), last)))
-    meets = own.select(key, F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"), (F.col("b") > F.col("x")).cast("int").alias("side"), *columns)
+    meets = own.select(
+        key, F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"), (F.col("b") > F.col("x")).cast("int").alias("side"), *columns
+    )
     return meets.repartition(partitions_for(rows.sparkSession), key, "i", "j").sortWithinPartitions(key, "i", "j")
 
 
@@ -332,8 +342,12 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     spark = pairs.sparkSession
     salts = pairs.groupBy("p").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("salts"))
     salts = materialize(salts, "pivots")
-    members = pairs.join(salts, "p").withColumn("salt", F.pmod(F.xxhash64("v"), F.col("salts")).cast("int")).join(texts, "v").select("p", "salt", F.lit(True).alias("member"), "v", "text")
-    own = salts.select("p", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(texts.withColumnRenamed("v", "p"), "p").select("p", "salt", F.lit(False).alias("member"), F.col("p").alias("v"), "text")
+    members = pairs.join(salts, "p").withColumn(
+        "salt", F.pmod(F.xxhash64("v"), F.col("salts")).cast("int")
+    ).join(texts, "v").select("p", "salt", F.lit(True).alias("member"), "v", "text")
+    own = salts.select("p", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(texts.withColumnRenamed("v", "p"), "p").select(
+        "p", "salt", F.lit(False).alias("member"), F.col("p").alias("v"), "text"
+    )
     dealt = members.unionByName(own).repartition(partitions_for(spark), "p", "salt").sortWithinPartitions("p", "salt", "member")
     return materialize(dealt.mapInArrow(_links, "p long, v long").distinct(), "links")
 
@@ -377,10 +391,14 @@ def near_groups(docs: DataFrame) -> DataFrame:
     signed = materialize(rows.mapInArrow(_signatures, SIGNATURES), "signatures")
     # null ids last
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
-    nodes = signed.filter("node is not null").groupBy("node").agg(F.min(order).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    nodes = signed.filter("node is not null").groupBy("node").agg(
+        F.min(order).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")
+    )
     nodes = materialize(nodes.withColumn("v", F.monotonically_increasing_id()), "nodes")
     banded = nodes.select("v", F.explode("bands").alias("key"))
-    buckets = materialize(banded.groupBy("key").agg(F.min("v").alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "p"), "buckets")
+    buckets = materialize(
+        banded.groupBy("key").agg(F.min("v").alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "p"), "buckets"
+    )
     members = materialize(banded.join(buckets, "key").select("key", "v", "p"), "members")
     wanted = members.select("v").distinct().join(nodes.select("v", "rep.k1", "rep.k2"), "v")
     texts = materialize(rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).groupBy("v").agg(F.first("text").alias("text")), "texts")

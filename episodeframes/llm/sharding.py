@@ -90,7 +90,10 @@ def _deal(matrix, seed: int, pieces: int):
             key = rng.integers(0, 1 << 62, n)
             piece = ((key >> 31) * pieces >> 31).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(shard), pa.array(shard * pieces + piece), pa.array(key), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n))],
+                [
+                    *batch.columns, pa.array(shard), pa.array(shard * pieces + piece), pa.array(key), pa.array(np.full(n, part, np.int32)),
+                    pa.array(np.arange(at, at + n))
+                ],
                 [*batch.schema.names, "shard", "target", "key", "part", "row"],
             )
             at += n
@@ -110,7 +113,9 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0, pieces: int |
         each = [counts.get(i, 0) for i in range(max(counts, default=-1) + 1)]
         matrix = communication_matrix(np.random.default_rng([seed, attempt]), each, exact_sizes(sum(each), shards)).reshape(-1, shards)
         dealt = rows.mapInArrow(_deal(spark.sparkContext.broadcast(matrix), seed, pieces), schema)
-        placed = dealt.repartitionById(shards * pieces, "target").sortWithinPartitions("target", "key", "part", "row").withColumn("at", F.monotonically_increasing_id())
+        placed = dealt.repartitionById(shards * pieces, "target").sortWithinPartitions("target", "key", "part", "row").withColumn(
+            "at", F.monotonically_increasing_id()
+        )
         written = materialize(placed, "shards")
         arrived = written.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
         found = {(r.part, r.shard): r.n for r in broadcast_rows(arrived, MOST_PARTITIONS * shards, "partitions x shards")}

@@ -75,7 +75,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number modulo 2**64 and of its inverse."""
     if not _POWERS or len(_POWERS[0]) < n:
         n = max(n, 1 << 16)
-        _POWERS[:] = [np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n - 1, x & (1 << 64) - 1, np.uint64))]) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
+        _POWERS[:] = [
+            np.concatenate(
+                [np.ones(1, np.uint64), np.cumprod(np.full(n - 1, x & (1 << 64) - 1, np.uint64))]
+            ) for x in (_BASE, pow(_BASE, -1, 1 << 64))
+        ]
     return _POWERS[0], _POWERS[1]
 
 
@@ -142,7 +146,10 @@ def packed(fields, columns: dict[str, np.ndarray]) -> bytes:
 
     cut = runs(columns["doc"], columns["th"])
     doc = columns["doc"][cut]
-    parts = [np.array([len(cut)], "<u4").tobytes(), planes(np.diff(doc, prepend=0), "<i8"), planes(columns["th"][cut], "<i4"), planes(np.diff(np.append(cut, len(columns["doc"]))), "<u4")]
+    parts = [
+        np.array([len(cut)], "<u4").tobytes(), planes(np.diff(doc, prepend=0), "<i8"), planes(columns["th"][cut], "<i4"),
+        planes(np.diff(np.append(cut, len(columns["doc"]))), "<u4")
+    ]
     return zstandard.compress(b"".join(parts + [planes(columns[k], kind) for k, kind in fields]), 1)
 
 
@@ -164,12 +171,23 @@ def unpacked(fields, blocks: list[tuple[int, bytes]]) -> dict[str, np.ndarray]:
     return {k: np.concatenate(v) for k, v in parts.items()}
 
 
-MOVED_SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("block", pa.binary()), ("doc_id", pa.int64()), ("th", pa.int32()), ("spans", pa.list_(pa.int32()))])
+MOVED_SCHEMA = pa.schema(
+    [
+        ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("block", pa.binary()), ("doc_id", pa.int64()), ("th", pa.int32()),
+        ("spans", pa.list_(pa.int32()))
+    ]
+)
 
 
 def block_rows(bucket: list[int], n: list[int], blocks: list[bytes]) -> pa.RecordBatch:
     k = len(n)
-    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array([BLOCK] * k, pa.int32()), pa.array(n, pa.int32()), pa.array(blocks, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int32()))], schema=MOVED_SCHEMA)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(bucket, pa.int32()), pa.array([BLOCK] * k, pa.int32()), pa.array(n, pa.int32()), pa.array(blocks, pa.binary()),
+            pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int32()))
+        ],
+        schema=MOVED_SCHEMA
+    )
 
 
 def span_rows(kind: int, buckets: int, doc: np.ndarray, th: np.ndarray, s: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -179,7 +197,13 @@ def span_rows(kind: int, buckets: int, doc: np.ndarray, th: np.ndarray, s: np.nd
     cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (th[1:] != th[:-1])])) if len(doc) else np.zeros(0, np.int64)
     spans = pa.ListArray.from_arrays(pa.array(np.append(cut, len(doc)) * 2, pa.int32()), pa.array(pairs.ravel(), pa.int32()))
     k = len(cut)
-    return pa.RecordBatch.from_arrays([pa.array(doc[cut] % buckets, pa.int32()), pa.array(np.full(k, kind), pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.array(doc[cut], pa.int64()), pa.array(th[cut], pa.int32()), spans], schema=MOVED_SCHEMA)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(doc[cut] % buckets, pa.int32()), pa.array(np.full(k, kind), pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()),
+            pa.array(doc[cut], pa.int64()), pa.array(th[cut], pa.int32()), spans
+        ],
+        schema=MOVED_SCHEMA
+    )
 
 
 def runs(*keys: np.ndarray) -> np.ndarray:
@@ -223,7 +247,10 @@ def gather_1(kh, ctx, doc, th, s, n, buckets: int) -> Iterator[pa.RecordBatch]:
         for i in at[size > COMMON].tolist():  # at most one in COMMON
             group = slice(i, i + int(size[np.searchsorted(at, i)]))
             sent[i + int(doc[group].argmin())] = True
-    columns = {"kh": (kh >> np.uint64(32)), "c1": ctx & np.uint64(0xFFFFFFFF), "c2": ctx >> np.uint64(32) & np.uint64(0xFFFF), "c3": ctx >> np.uint64(56), "doc": doc, "th": th, "s": s, "n": n, "common": many.astype(np.uint8)}
+    columns = {
+        "kh": (kh >> np.uint64(32)), "c1": ctx & np.uint64(0xFFFFFFFF), "c2": ctx >> np.uint64(32) & np.uint64(0xFFFF), "c3": ctx >> np.uint64(56),
+        "doc": doc, "th": th, "s": s, "n": n, "common": many.astype(np.uint8)
+    }
     bucket = (kh & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)
     yield from send(FIELDS_1, buckets, bucket[sent].astype(np.int64), {k: v[sent] for k, v in columns.items()})
 
@@ -277,7 +304,10 @@ def gather_2(h, g, doc, th, s, buckets: int) -> Iterator[pa.RecordBatch]:
     if gone.any():
         yield span_rows(REPEATED, buckets, *joined(doc[gone], th[gone], s[gone]))
     keep = ~gone
-    yield from send(FIELDS_2, buckets, (mix64(h[keep]) % np.uint64(buckets)).astype(np.int64), {"h": h[keep], "g": g[keep], "doc": doc[keep], "th": th[keep], "s": s[keep]})
+    yield from send(
+        FIELDS_2, buckets, (mix64(h[keep]) % np.uint64(buckets)).astype(np.int64),
+        {"h": h[keep], "g": g[keep], "doc": doc[keep], "th": th[keep], "s": s[keep]}
+    )
 
 
 def joined(doc, th, s):
@@ -329,7 +359,13 @@ def _shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     z = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         data, at = utf8(batch.column(2))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([z.compress(data[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())], ["doc_id", "th", "text"])
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0), batch.column(1),
+                pa.array([z.compress(data[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())
+            ],
+            ["doc_id", "th", "text"]
+        )
 
 
 def _grow(column: pa.Array) -> Iterator[np.ndarray]:
@@ -389,7 +425,9 @@ def _cut(keep_text: bool):
             ids = batch.column(0).to_numpy()
             arrays = [pa.array(ids, pa.int64(), mask=ids == NO_ID), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(texts, pa.binary())] if keep_text else arrays, [*names, "kept_bytes"] if keep_text else names)
+            yield pa.RecordBatch.from_arrays(
+                [*arrays, pa.array(texts, pa.binary())] if keep_text else arrays, [*names, "kept_bytes"] if keep_text else names
+            )
 
     return run
 

@@ -58,7 +58,9 @@ class WordEncoder:
         self.tokenizer, self.dtype = Tokenizer.from_file(tokenizer_path), np.dtype(dtype)
         self.model = Tokenizer.from_file(tokenizer_path)
         self.model.normalizer = normalizers.Sequence([])
-        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.model.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         mark = getattr(self.model.model, "end_of_word_suffix", None)
         self.ends = np.zeros(self.model.get_vocab_size(), bool)
         for token, i in self.model.get_vocab().items():
@@ -137,7 +139,10 @@ def _write_part(folder: str, tokenizer_path: str, end_id: int, dtype: str):
         if files:
             for f in files:
                 f.close()
-            yield pa.RecordBatch.from_pylist([{"part": part, "path": stem, "docs": docs, "tokens": tokens}], pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]))
+            yield pa.RecordBatch.from_pylist(
+                [{"part": part, "path": stem, "docs": docs, "tokens": tokens}],
+                pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())])
+            )
 
     return run
 
@@ -164,14 +169,19 @@ def _write_offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None, dtype: str = "<u2", doc_id: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
+def write_token_files(
+    docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None, dtype: str = "<u2", doc_id: str = "doc_id", text: str = "text",
+    parts: int | None = None
+) -> DataFrame:
     """Write the corpus to ``folder`` (default: the shared folder); returns the manifest: part, path, docs, tokens, base."""
     spark = docs.sparkSession
     bounded_batches(spark)
     folder = folder or scratch_path(spark, "tokens")
     rows, _ = positional(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
     parts = parts or max(partitions_for(spark), rows.rdd.getNumPartitions())
-    ordered = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(parts, "_0", "tie").sortWithinPartitions("_0", "tie").drop("tie")
+    ordered = rows.withColumn(
+        "tie", F.monotonically_increasing_id()
+    ).repartitionByRange(parts, "_0", "tie").sortWithinPartitions("_0", "tie").drop("tie")
     manifest = materialize(ordered.mapInArrow(_write_part(folder, tokenizer_path, end_id, dtype), MANIFEST), "manifest")
     base = F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     placed = manifest.withColumn("base", F.coalesce(base, F.lit(0).cast("long")))
@@ -182,7 +192,9 @@ def _read_part(dtype: str, columns):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                tokens, offsets, ids = load(row["path"] + ".tokens", dtype), load(row["path"] + ".offsets", "<u8").astype(np.int64), load(row["path"] + ".docs", "<i8")
+                tokens, offsets, ids = load(row["path"] + ".tokens", dtype), load(
+                    row["path"] + ".offsets", "<u8"
+                ).astype(np.int64), load(row["path"] + ".docs", "<i8")
                 for i in range(0, len(ids), 4096):
                     yield columns(ids[i : i + 4096], offsets[i : i + 4097], tokens, row["base"])
 
@@ -197,7 +209,9 @@ def read_tokens(manifest: DataFrame, dtype: str = "<u2") -> DataFrame:
     """The documents back from the files: doc_id, start, tokens (array of long, with the end id)."""
 
     def columns(ids, offsets, tokens, base):
-        values = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(tokens[offsets[0] - base : offsets[-1] - base].astype(np.int64)))
+        values = pa.ListArray.from_arrays(
+            pa.array(offsets - offsets[0], pa.int32()), pa.array(tokens[offsets[0] - base : offsets[-1] - base].astype(np.int64))
+        )
         return pa.RecordBatch.from_arrays([id_array(ids), pa.array(offsets[:-1], pa.int64()), values], ["doc_id", "start", "tokens"])
 
     return spread(manifest).mapInArrow(_read_part(dtype, columns), "doc_id long, start long, tokens array<long>")
@@ -210,7 +224,10 @@ def read_digests(manifest: DataFrame, dtype: str = "<u2") -> DataFrame:
         wide = tokens[offsets[0] - base : offsets[-1] - base].astype("<u4")
         at = (offsets - offsets[0]).tolist()
         crc = [zlib.crc32(wide[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
-        return pa.RecordBatch.from_arrays([id_array(ids), pa.array(offsets[:-1], pa.int64()), pa.array(np.diff(offsets), pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+        return pa.RecordBatch.from_arrays(
+            [id_array(ids), pa.array(offsets[:-1], pa.int64()), pa.array(np.diff(offsets), pa.int64()), pa.array(crc, pa.int64())],
+            ["doc_id", "start", "n_tokens", "ids_crc32"]
+        )
 
     return spread(manifest).mapInArrow(_read_part(dtype, columns), "doc_id long, start long, n_tokens long, ids_crc32 long")
 

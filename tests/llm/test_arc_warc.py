@@ -17,10 +17,15 @@ def brute(rows):
     for page, _, html in rows:
         raw = (html or "").encode()
         same = keep[html or ""] == page
-        yield page, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "response" if same else "revisit", None if same else keep[html or ""]
+        yield page, len(raw), base64.b32encode(
+            hashlib.sha1(raw).digest()
+        ).decode(), "response" if same else "revisit", None if same else keep[html or ""]
 
 
-ROWS = [(1, "http://a/x y", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://b/", None), (4, "http://c/", ""), (5, "http://d/\n1", "x" * 200_000), (6, "https://e/", "line\r\n\r\nHTTP/1.1 200\n"), (7, "http://a/", "<p>é</p>")]
+ROWS = [
+    (1, "http://a/x y", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://b/", None), (4, "http://c/", ""), (5, "http://d/\n1", "x" * 200_000),
+    (6, "https://e/", "line\r\n\r\nHTTP/1.1 200\n"), (7, "http://a/", "<p>é</p>")
+]
 
 
 def test_query(spark):
@@ -41,7 +46,9 @@ def test_null_and_repeated_ids(spark):
 
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_round_trip(version):
-    data = A.arc_filedesc(version, "n.arc", "20010203040506") + A.arc_record(version, "http://a/", "20010203040506", "text/html", b"HTTP/1.0 200 OK\r\n\r\nab\n\nc") + A.arc_record(version, "dns:a", "20010203040506", "text/dns", b"")
+    data = A.arc_filedesc(version, "n.arc", "20010203040506") + A.arc_record(
+        version, "http://a/", "20010203040506", "text/html", b"HTTP/1.0 200 OK\r\n\r\nab\n\nc"
+    ) + A.arc_record(version, "dns:a", "20010203040506", "text/dns", b"")
     found = list(A.read_arc(io.BytesIO(data)))
     assert [(v, f["URL"], b) for v, f, b in found[1:]] == [(version, "http://a/", b"HTTP/1.0 200 OK\r\n\r\nab\n\nc"), (version, "dns:a", b"")]
     warc = b"".join(A.member(A.converted("p", i, f, b, None)) for i, (_, f, b) in enumerate(found))

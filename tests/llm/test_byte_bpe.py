@@ -20,8 +20,17 @@ def library():
 
 def texts():
     rnd = random.Random(3)
-    some = ["".join(rnd.choice(["a", "b", " ", "'", "s", "é", "9", "½", "\n", "\t", "\x1c", "\xa0", "\x85", "日", "ſ", "the", "!!", "😀"]) for _ in range(rnd.randrange(80))) for _ in range(300)]
-    return [*some, None, "", " ", "   \n ", "it's we'll THE'S", "a" * 3000, "=" * 2000, "ab" * 500, "".join(rnd.choice("abcxyz0189+/") for _ in range(4000)), "word " * 300_000]
+    some = [
+        "".join(
+            rnd.choice(
+                ["a", "b", " ", "'", "s", "é", "9", "½", "\n", "\t", "\x1c", "\xa0", "\x85", "日", "ſ", "the", "!!", "😀"]
+            ) for _ in range(rnd.randrange(80))
+        ) for _ in range(300)
+    ]
+    return [
+        *some, None, "", " ", "   \n ", "it's we'll THE'S", "a" * 3000, "=" * 2000, "ab" * 500,
+        "".join(rnd.choice("abcxyz0189+/") for _ in range(4000)), "word " * 300_000
+    ]
 
 
 def test_words_as_the_library(library):

@@ -31,7 +31,11 @@ def whole(found):
 
 def test_views(spark):
     rnd = random.Random(2)
-    rows = [(c, t, rnd.choice(["ann", "bob", "cyd", "system", None]), rnd.choice([None, "", "hi <|end|> é", "x" * 300])) for c in [*range(30), None] for t in range(rnd.randrange(1, 9))]
+    rows = [
+        (
+            c, t, rnd.choice(["ann", "bob", "cyd", "system", None]), rnd.choice([None, "", "hi <|end|> é", "x" * 300])
+        ) for c in [*range(30), None] for t in range(rnd.randrange(1, 9))
+    ]
     rows += [(50, 0, "system", "alone"), (51, None, "ann", "b"), (51, None, "ann", "b"), (51, 2, "bob", "y" * 200_000)]
     df = spark.createDataFrame([(*r, "e") for r in rows], "conv_id long, turn long, role string, text string, speaker string").repartition(3)
     got = C.rotate(df).collect()

@@ -13,7 +13,11 @@ def brute(doc, item):
         return bool(b) and any(a[i : i + n] == b for i in range(len(a) - n + 1))
     if not {tuple(a[i : i + 3]) for i in range(len(a) - 2)} & {tuple(b[i : i + 3]) for i in range(len(b) - 2)}:
         return False  # two substitutions in a window leave three words in a row
-    return any(sum(x == y for x, y in zip(a[i : i + n], b[j : j + n], strict=True)) >= n - n // 5 for i in range(len(a) - n + 1) for j in range(len(b) - n + 1))
+    return any(
+        sum(
+            x == y for x, y in zip(a[i : i + n], b[j : j + n], strict=True)
+        ) >= n - n // 5 for i in range(len(a) - n + 1) for j in range(len(b) - n + 1)
+    )
 
 
 def test_masks_hit_every_tolerated_window():
@@ -58,10 +62,14 @@ def test_items_without_an_id_or_with_a_shared_one(spark):
     texts = [" ".join(words(rnd, n)) for n in (9, 14, 20, 15, 600, 601)]
     items = [(None, texts[0]), (0, texts[1]), (0, texts[2]), (None, texts[3]), (7, texts[3].upper()), (1, texts[4]), (1, texts[5])]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    docs = [(k, " ".join(words(rnd, 9) + t.split()[:40] + words(rnd, 9))) for k, t in enumerate(texts)] + [(6, " ".join(words(rnd, 60))), (7, texts[1] + " " + texts[2])]
+    docs = [
+        (k, " ".join(words(rnd, 9) + t.split()[:40] + words(rnd, 9))) for k, t in enumerate(texts)
+    ] + [(6, " ".join(words(rnd, 60))), (7, texts[1] + " " + texts[2])]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = sorted((r.doc_id, r.contaminated, r.item_id, r.n_items) for r in D.find_contaminated(df, bench).collect())
-    assert got == [(0, True, None, 1), (1, True, 0, 1), (2, True, 0, 1), (3, True, 7, 1), (4, True, 1, 1), (5, True, 1, 1), (6, False, None, 0), (7, True, 0, 2)]
+    assert got == [
+        (0, True, None, 1), (1, True, 0, 1), (2, True, 0, 1), (3, True, 7, 1), (4, True, 1, 1), (5, True, 1, 1), (6, False, None, 0), (7, True, 0, 2)
+    ]
     assert [r.doc_id for r in D.drop_contaminated(df, bench).collect()] == [6]
 
 
@@ -103,7 +111,9 @@ def test_words_that_polynomials_confuse(spark):
         t += t.translate(str.maketrans("ab", "ba"))
     other = t.translate(str.maketrans("ab", "ba"))
     bench = spark.createDataFrame([(0, " ".join(f"{t} w{i}" for i in range(10)))], "item_id long, text string")
-    docs = spark.createDataFrame([(1, " ".join(f"{t} w{i}" for i in range(10))), (2, " ".join(f"{other} w{i}" for i in range(10)))], "doc_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, " ".join(f"{t} w{i}" for i in range(10))), (2, " ".join(f"{other} w{i}" for i in range(10)))], "doc_id long, text string"
+    )
     assert {r.doc_id: r.contaminated for r in D.find_contaminated(docs, bench).collect()} == {1: True, 2: False}
 
 

@@ -21,7 +21,9 @@ def brute(rows):
 def corpus():
     rnd = random.Random(1)
     some = ["", "a", "A", "É", "é", "x" * 70_000, "X" * 70_000, "x" * 69_999 + "y", "b" * 65_536, "b" * 65_537, " a", "\x00", "\x00\x00"]
-    rows = [(i, rnd.choice([*some, None])) for i in range(300)] + [(i, f"unique {i}") for i in range(300, 400)] + [(i, "hot Copy") for i in range(400, 700)]
+    rows = [
+        (i, rnd.choice([*some, None])) for i in range(300)
+    ] + [(i, f"unique {i}") for i in range(300, 400)] + [(i, "hot Copy") for i in range(400, 700)]
     rnd.shuffle(rows)
     return rows
 
@@ -46,7 +48,10 @@ def test_equal_fingerprints_of_different_texts(spark, monkeypatch, collide):
     batch = next(iter(found(iter([pa.RecordBatch.from_arrays([pa.array(["abcdefghi", "abcdefghj"])], ["t"])]))))
     assert batch.column(1)[0] == batch.column(1)[1] and batch.column(3)[0] != batch.column(3)[1]
     rows = [(1, "abcdefghi"), (2, "abcdefghj"), (3, "ABCDEFGHI")]
-    base = spark.createDataFrame([(d, t, i, 7, 9, bytearray(hashlib.sha256(t.lower().encode()).digest())) for i, (d, t) in enumerate(rows)], "_0 long, _1 string, row long, fp long, n long, sha binary")
+    base = spark.createDataFrame(
+        [(d, t, i, 7, 9, bytearray(hashlib.sha256(t.lower().encode()).digest())) for i, (d, t) in enumerate(rows)],
+        "_0 long, _1 string, row long, fp long, n long, sha binary"
+    )
     base = X.materialize(base, "colliding")
     got = {r._0: (r.keep_id, r.group_size) for r in X.classes(base, "_0", "_1").collect()}
     assert got == {1: (3, 2), 2: (2, 1), 3: (3, 2)}
@@ -59,7 +64,9 @@ def test_parts_combine_to_the_whole(spark):
     for cut in (0, 1, 65_535, 65_536, 65_537, 199_999):
         assert X.combine(X.fingerprint(data[:cut]), X.fingerprint(data[cut:])) == whole
     text = "Some Text " * 20_000
-    pieces = spark.createDataFrame([(1, i // 30_000, text[i : i + 30_000]) for i in range(0, len(text), 30_000)] + [(2, 0, None)], "id long, no int, part string")
+    pieces = spark.createDataFrame(
+        [(1, i // 30_000, text[i : i + 30_000]) for i in range(0, len(text), 30_000)] + [(2, 0, None)], "id long, no int, part string"
+    )
     got = {r.doc_id: (r.fp, r.n) for r in X.pieces_fingerprint(pieces, "id", "no", "part").collect()}
     a, b, n = X.fingerprint(np.frombuffer(text.lower().encode(), np.uint8))
     assert got == {1: (a << 31 | b, n), 2: (0, 0)}
@@ -84,6 +91,8 @@ def test_huge_texts_are_hashed_in_pieces(spark, monkeypatch):
 def test_repeated_rows_null_ids_and_empty(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a"), (None, None), (None, "")], "doc_id long, text string")
     got = X.exact_groups(df).collect()
-    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size) for r in got) == [("1", "1", 3), ("1", "1", 3), ("None", "1", 3), ("None", "None", 2), ("None", "None", 2)]
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size) for r in got) == [
+        ("1", "1", 3), ("1", "1", 3), ("None", "1", 3), ("None", "None", 2), ("None", "None", 2)
+    ]
     assert sum(r.kept for r in got) == 2 and X.drop_exact_copies(df).count() == 2
     assert X.exact_groups(df.limit(0)).collect() == []

@@ -20,7 +20,10 @@ def rows():
 
 
 def test_held_out_accuracy_and_contract(spark, rows):
-    odd = [(9001, None, "aa"), (9002, "", "bb"), (9003, "123 !?", "cc"), (9004, "kalo " * 50_000, None), (None, "strung schei", "bb"), (7, rows[7][1], rows[7][2])]
+    odd = [
+        (9001, None, "aa"), (9002, "", "bb"), (9003, "123 !?", "cc"), (9004, "kalo " * 50_000, None), (None, "strung schei", "bb"),
+        (7, rows[7][1], rows[7][2])
+    ]
     docs = spark.createDataFrame([(*r, 1.5) for r in rows + odd], "doc_id long, text string, lang string, score double").repartition(3)
     got = L.identify(docs).collect()
     assert len(got) == len(rows) + len(odd)
@@ -85,7 +88,11 @@ def test_a_language_left_out_of_the_fit_is_rejected(out):
     """Of the other languages' held-out texts over 99 percent stay; of texts in a language never seen most are rejected."""
     import pyarrow.parquet as pq
 
-    rows = [r for r in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text", "lang"]).slice(0, 4000).to_pylist() if r["text"] and r["lang"]]
+    rows = [
+        r for r in pq.read_table(
+            "/root/testdata/sf0.1/documents.parquet", columns=["text", "lang"]
+        ).slice(0, 4000).to_pylist() if r["text"] and r["lang"]
+    ]
     model = L.fit([(r["text"], r["lang"]) for r in rows[:2500] if r["lang"] != out])
     kept = [ok for _, _, ok in model.predict([r["text"] for r in rows[2500:] if r["lang"] != out])]
     unknown = [ok for _, _, ok in model.predict([r["text"] for r in rows if r["lang"] == out])]

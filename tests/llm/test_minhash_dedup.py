@@ -51,7 +51,10 @@ def corpus(rnd, n):
 
 
 def test_against_brute_force(spark):
-    rows = corpus(random.Random(6), 400) + [(1000, None), (1001, ""), (1002, " \n"), (1003, "one"), (1004, "ONE"), (1005, "a b"), (1006, "\xa0 x"), (1007, "long " * 40_000), (1008, "long " * 40_001)]
+    rows = corpus(random.Random(6), 400) + [
+        (1000, None), (1001, ""), (1002, " \n"), (1003, "one"), (1004, "ONE"), (1005, "a b"), (1006, "\xa0 x"), (1007, "long " * 40_000),
+        (1008, "long " * 40_001)
+    ]
     df = spark.createDataFrame([(*r, "k", 1) for r in rows], "doc_id long, text string, kept string, v int").repartition(3)
     got = sorted(map(tuple, M.near_duplicates(df).collect()))
     assert got == brute(rows)
@@ -92,8 +95,12 @@ def test_repeated_rows_nulls_and_empty(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (None, None), (None, None), (2, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = M.near_duplicates(df).collect()
-    assert sorted(str((r.doc_id, r.component_id, r.kept)) for r in got) == sorted(map(str, [(1, 1, True), (1, 1, True), (None, 1, False), (None, None, True), (None, None, True), (2, 2, True)]))
-    assert sorted(map(str, map(tuple, M.drop_near_copies(df).collect()))) == sorted(map(str, [(1, "a b c d e f"), (None, None), (None, None), (2, "")]))
+    assert sorted(str((r.doc_id, r.component_id, r.kept)) for r in got) == sorted(
+        map(str, [(1, 1, True), (1, 1, True), (None, 1, False), (None, None, True), (None, None, True), (2, 2, True)])
+    )
+    assert sorted(map(str, map(tuple, M.drop_near_copies(df).collect()))) == sorted(
+        map(str, [(1, "a b c d e f"), (None, None), (None, None), (2, "")])
+    )
     assert M.near_duplicates(df.limit(0)).collect() == []
 
 

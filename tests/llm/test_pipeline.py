@@ -47,7 +47,10 @@ NAMES = ["fp", "n", "sha", "row", "k1", "k2", "lang_pred", "accepted", "node", "
 def test_nulls_ties_and_clashing_names(spark, tmp_path):
     """Nulls in every column, repeated rows, a very long text and columns with names of our own pass through all stages."""
     real = spark.read.parquet(f"{SF}/documents.parquet").limit(60).select("doc_id", "text", "lang", "source", "n_chars").collect()
-    rows = [tuple(r) for r in real] + [(None, None, None, None, None), (None, real[0].text, None, None, None), (9001, None, "en", "s", 0), (9002, "", "en", "s", 0), (9003, real[1].text * 300, "en", None, 9)]
+    rows = [tuple(r) for r in real] + [
+        (None, None, None, None, None), (None, real[0].text, None, None, None), (9001, None, "en", "s", 0), (9002, "", "en", "s", 0),
+        (9003, real[1].text * 300, "en", None, 9)
+    ]
     rows += [tuple(real[2])] * 3 + [(9004, " 1 2 3 ", None, None, None)]
     schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in NAMES)
     docs = spark.createDataFrame([(*r, *([None] * len(NAMES))) for r in rows], schema)

@@ -27,7 +27,9 @@ def test_query(spark):
     df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, shard int").repartition(5)
     df.write.parquet(p := S.materialize.__globals__["scratch_path"](spark, "in"))
     got = S.shards_query(spark, spark.read.parquet(p)).collect()
-    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in docs)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in docs
+    )
     counts = Counter(r.shard for r in got)
     assert set(counts) == set(range(8)) and max(counts.values()) - min(counts.values()) <= 1
     for shard, n in counts.items():

@@ -49,7 +49,9 @@ def corpus(rnd, n):
 @pytest.mark.parametrize("common", [16, 2])
 def test_against_brute_force(spark, monkeypatch, common):
     monkeypatch.setattr(S, "COMMON", common)
-    rows = corpus(random.Random(9), 250) + [(900, None), (901, ""), (902, "x" * 49), (903, "x" * 50), (904, "x" * 51), (905, "ab" * 2000), (906, "ha " * 500)]
+    rows = corpus(random.Random(9), 250) + [
+        (900, None), (901, ""), (902, "x" * 49), (903, "x" * 50), (904, "x" * 51), (905, "ab" * 2000), (906, "ha " * 500)
+    ]
     df = spark.createDataFrame([(*r, 3) for r in rows], "doc_id long, text string, th int").repartition(5)
     got = sorted(map(tuple, S.cut_repeats(df).collect()))
     want = sorted(brute(rows))
@@ -67,7 +69,9 @@ def test_common_line_twice_with_a_smaller_document_elsewhere(spark):
     lines = [some(100) for _ in range(8)]
     near = [(some(60), some(60)) for _ in lines]
     far = [(some(60), some(60)) for _ in lines]
-    y = some(40).join(a + p + b for p, (a, b) in zip(lines, near, strict=True)) + some(40).join(a + p + b for p, (a, b) in zip(lines, far, strict=True))
+    y = some(40).join(
+        a + p + b for p, (a, b) in zip(lines, near, strict=True)
+    ) + some(40).join(a + p + b for p, (a, b) in zip(lines, far, strict=True))
     x = some(40).join(a + p + b + some(70) + p + some(70) for p, (a, b) in zip(lines, near, strict=True))
     z = some(40).join(a + p + some(70) for p, (a, _) in zip(lines, far, strict=True))
     others = [(d, some(40).join(some(60) + p + some(60) for p in lines)) for d in range(10, 10 + 2 * S.COMMON)]

@@ -42,7 +42,9 @@ def base_frame(pose: Sequence[float]) -> dict[str, list[float]]:
     return {"x": axes[:, 0].tolist(), "y": axes[:, 1].tolist(), "z": axes[:, 2].tolist(), "p": [float(v) for v in pose[:3]]}
 
 
-def pose_of(joints: Column, dh_offset: bool = True, tcp_offset: Sequence[float] = (0, 0, 0), base_pose: Sequence[float] = (0, 0, 0, 0, 0, 0)) -> Column:
+def pose_of(
+    joints: Column, dh_offset: bool = True, tcp_offset: Sequence[float] = (0, 0, 0), base_pose: Sequence[float] = (0, 0, 0, 0, 0, 0)
+) -> Column:
     """struct(x, y, z, roll, pitch, yaw) in metres and radians of an array of six joint angles; a null or another width is an error.
 
     A frame is carried from link to link: each turns its y and z axes about x by the link's twist, moves along x and the
@@ -53,7 +55,9 @@ def pose_of(joints: Column, dh_offset: bool = True, tcp_offset: Sequence[float]
 
     def step(q: Column, c: Column) -> Column:
         angle = q + c["zero"]
-        return F.struct(F.cos(angle).alias("c"), F.sin(angle).alias("s"), c["a"].alias("a"), c["d"].alias("d"), c["ca"].alias("ca"), c["sa"].alias("sa"))
+        return F.struct(
+            F.cos(angle).alias("c"), F.sin(angle).alias("s"), c["a"].alias("a"), c["d"].alias("d"), c["ca"].alias("ca"), c["sa"].alias("sa")
+        )
 
     def carried(f: Column, k: Column) -> Column:
         out: dict[str, list[Column]] = {a: [] for a in AXES}

@@ -72,7 +72,9 @@ def format_path(template: str, chunks_size: int = 1000, episode: Column | None =
     if template.startswith("/") or ".." in template.split("/"):
         raise ValueError("a path template is relative and stays below its root")
     episode = F.col("episode_index") if episode is None else episode
-    known = {"episode_index": episode, "episode_chunk": F.floor(episode / chunks_size), "video_key": F.col("video_key") if video_key is None else video_key}
+    known = {
+        "episode_index": episode, "episode_chunk": F.floor(episode / chunks_size), "video_key": F.col("video_key") if video_key is None else video_key
+    }
     fields = FIELD.findall(template)
     if unknown := [k for k, _ in fields if k not in known]:
         raise ValueError(f"unknown fields {unknown}")

@@ -14,8 +14,14 @@ from .select import rename_stats
 
 # Camera keys that stand left and right of each other, and those that face forward.
 CAMERA_SETS = (
-    {"observation.images.top_head": "observation.images.top_head", "observation.images.hand_right": "observation.images.hand_left", "observation.images.hand_left": "observation.images.hand_right"},
-    {"observation.images.cam_high": "observation.images.cam_high", "observation.images.cam_right_wrist": "observation.images.cam_left_wrist", "observation.images.cam_left_wrist": "observation.images.cam_right_wrist"},
+    {
+        "observation.images.top_head": "observation.images.top_head", "observation.images.hand_right": "observation.images.hand_left",
+        "observation.images.hand_left": "observation.images.hand_right"
+    },
+    {
+        "observation.images.cam_high": "observation.images.cam_high", "observation.images.cam_right_wrist": "observation.images.cam_left_wrist",
+        "observation.images.cam_left_wrist": "observation.images.cam_right_wrist"
+    },
 )
 #: Measures that come in pairs of a lower and an upper one.
 PAIRS = (("min", "max"), ("q01", "q99"))

@@ -62,10 +62,19 @@ def merge_datasets(datasets: Sequence[Dataset]) -> Dataset:
     numbers = tasks.select("_src", "task_index", "new_task")
 
     frames = frames.withColumn("_key", key).join(places, "_key").join(numbers, ["_src", "task_index"], "left")
-    frames = frames.withColumn("episode_index", F.col("new_episode")).withColumn("index", F.col("first_index") + F.col("frame_index")).withColumn("task_index", F.coalesce("new_task", "task_index"))
-    episodes = episodes.withColumn("_key", key).join(places, "_key").withColumn("episode_index", F.col("new_episode")).select(datasets[0].episodes.columns)
+    frames = frames.withColumn("episode_index", F.col("new_episode")).withColumn(
+        "index", F.col("first_index") + F.col("frame_index")
+    ).withColumn("task_index", F.coalesce("new_task", "task_index"))
+    episodes = episodes.withColumn("_key", key).join(places, "_key").withColumn(
+        "episode_index", F.col("new_episode")
+    ).select(datasets[0].episodes.columns)
     stats = None
     if all(d.stats is not None for d in datasets):
-        stats = union([numbered(d.stats, k) for k, d in enumerate(datasets)]).withColumn("_key", key).join(places, "_key").select(F.col("new_episode").alias("episode_index"), "stats")
+        stats = union(
+            [numbered(d.stats, k) for k, d in enumerate(datasets)]
+        ).withColumn("_key", key).join(places, "_key").select(F.col("new_episode").alias("episode_index"), "stats")
     columns = datasets[0].frames.columns
-    return Dataset(frames.select(*(col_(c) for c in (columns if "index" in columns else [*columns, "index"]))), episodes, names.select(F.col("new_task").alias("task_index"), "task"), replace(datasets[0].info), stats)
+    return Dataset(
+        frames.select(*(col_(c) for c in (columns if "index" in columns else [*columns, "index"]))), episodes,
+        names.select(F.col("new_task").alias("task_index"), "task"), replace(datasets[0].info), stats
+    )

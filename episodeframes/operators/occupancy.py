@@ -15,7 +15,9 @@ from .quantiles import exact_quantiles
 PLANES = (("XY", "x", "y"), ("XZ", "x", "z"), ("YZ", "y", "z"))
 
 
-def forward_kinematics(frames: DataFrame, left: Sequence[int] = range(6), right: Sequence[int] = range(7, 13), right_base: Sequence[float] = RIGHT_BASE, **options) -> DataFrame:
+def forward_kinematics(
+    frames: DataFrame, left: Sequence[int] = range(6), right: Sequence[int] = range(7, 13), right_base: Sequence[float] = RIGHT_BASE, **options
+) -> DataFrame:
     """episode_index, frame_index, arm, x, y, z, roll, pitch, yaw: a row for each frame and arm."""
     extra = [c for c in ("timestamp",) if c in frames.columns]
     v, arms = doubles(STATE), []
@@ -42,7 +44,9 @@ def top_voxels(voxels: DataFrame, k: int = 200, fps: float = 30.0) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("arm").orderBy(F.desc("n"), "ix", "iy", "iz"))
     top = voxels.withColumn("rank", rank).filter(F.col("rank") <= k)  # each task drops what can't be among the k
     totals = voxels.groupBy("arm").agg(F.sum("n").alias("_all"))
-    return top.join(totals, "arm").withColumn("percent", 100 * F.col("n") / F.col("_all")).withColumn("dwell_s", F.col("n") / fps).select(*voxels.columns, "percent", "dwell_s", "rank")
+    return top.join(totals, "arm").withColumn("percent", 100 * F.col("n") / F.col("_all")).withColumn("dwell_s", F.col("n") / fps).select(
+        *voxels.columns, "percent", "dwell_s", "rank"
+    )
 
 
 def position_summary(poses: DataFrame, voxels: DataFrame, fps: float = 30.0) -> DataFrame:
@@ -53,10 +57,18 @@ def position_summary(poses: DataFrame, voxels: DataFrame, fps: float = 30.0) ->
         measures += [F.min(x).alias(f"{c}_min"), F.max(x).alias(f"{c}_max"), F.avg(x).alias(f"{c}_mean"), F.stddev_pop(x).alias(f"{c}_std")]
     rows = poses.groupBy("arm").agg(F.count_if(finite()).alias("valid"), F.count_if(~finite()).alias("invalid"), *measures)
     busiest = F.max(F.struct("n", (-F.col("ix")).alias("x"), (-F.col("iy")).alias("y"), (-F.col("iz")).alias("z"))).alias("b")
-    cells = voxels.groupBy("arm").agg(F.count(F.lit(1)).alias("voxels"), busiest).select("arm", "voxels", F.col("b.n").alias("busiest_n"), (-F.col("b.x")).alias("busiest_ix"), (-F.col("b.y")).alias("busiest_iy"), (-F.col("b.z")).alias("busiest_iz"), (F.col("b.n") / fps).alias("busiest_s"))
-    each = poses.filter(finite()).select("arm", F.explode(F.array(*(F.struct(F.lit(c).alias("axis"), F.col(c).alias("v")) for c in "xyz"))).alias("a")).select("arm", "a.*")
+    cells = voxels.groupBy("arm").agg(F.count(F.lit(1)).alias("voxels"), busiest).select(
+        "arm", "voxels", F.col("b.n").alias("busiest_n"), (-F.col("b.x")).alias("busiest_ix"), (-F.col("b.y")).alias("busiest_iy"),
+        (-F.col("b.z")).alias("busiest_iz"), (F.col("b.n") / fps).alias("busiest_s")
+    )
+    each = poses.filter(finite()).select(
+        "arm", F.explode(F.array(*(F.struct(F.lit(c).alias("axis"), F.col(c).alias("v")) for c in "xyz"))).alias("a")
+    ).select("arm", "a.*")
     quantiles = exact_quantiles(each, ["arm", "axis"], "v", [0.01, 0.05, 0.5, 0.95, 0.99])
-    marks = [F.first(F.when(F.col("axis") == c, F.col("q")[i]), ignorenulls=True).alias(f"{c}_p{p}") for c in "xyz" for i, p in enumerate(("01", "05", "50", "95", "99"))]
+    marks = [
+        F.first(F.when(F.col("axis") == c, F.col("q")[i]), ignorenulls=True).alias(f"{c}_p{p}") for c in "xyz" for i,
+        p in enumerate(("01", "05", "50", "95", "99"))
+    ]
     named = quantiles.groupBy("arm").agg(*marks)
     return rows.join(cells, "arm", "left").join(named, "arm", "left").select(*rows.columns, *named.columns[1:], *cells.columns[1:])
 

@@ -37,7 +37,9 @@ def dimension_summary(frames: DataFrame, feature: str, names: Sequence[str], wid
         number = F.when(~F.isnan(x), x)
         measures.append(
             F.struct(
-                F.lit(i).alias("dim"), F.lit(names[i]).alias("name"), F.lit(names[i].endswith("_joint")).alias("joint"), F.count(x).alias("n"), F.min(number).alias("min"), F.max(number).alias("max"),
+                F.lit(i).alias("dim"), F.lit(names[i]).alias("name"), F.lit(
+                    names[i].endswith("_joint")
+                ).alias("joint"), F.count(x).alias("n"), F.min(number).alias("min"), F.max(number).alias("max"),
                 F.approx_count_distinct(number).alias("about"), F.coalesce(F.bool_or(exceeds(x, limit)), F.lit(False)).alias("beyond"),
             )
         )
@@ -45,7 +47,11 @@ def dimension_summary(frames: DataFrame, feature: str, names: Sequence[str], wid
     quartiles = exact_quantiles(values, ["dim"], "x", [0.25, 0.5, 0.75])
     df = frames.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("m")).select("m.*").join(quartiles, "dim", "left")
     degrees = [F.when(F.col("joint"), F.degrees(c)).alias(f"{c}_deg") for c in ("min", "max")]
-    return df.select(F.lit(feature).alias("feature"), "dim", "name", "joint", "n", "min", "max", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), *degrees, (F.col("about") <= 2 * max_unique).alias("maybe_discrete"), (F.col("joint") & F.col("beyond")).alias("abnormal"))
+    return df.select(
+        F.lit(feature).alias("feature"), "dim", "name", "joint", "n", "min", "max", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
+        F.col("q")[2].alias("q75"), *degrees, (F.col("about") <= 2 * max_unique).alias("maybe_discrete"),
+        (F.col("joint") & F.col("beyond")).alias("abnormal")
+    )
 
 
 def discrete_shares(frames: DataFrame, feature: str, width: int, max_unique: int = 5) -> DataFrame:
@@ -54,9 +60,13 @@ def discrete_shares(frames: DataFrame, feature: str, width: int, max_unique: int
     v = doubles(feature)
     about = frames.agg(F.array(*(F.approx_count_distinct(F.get(v, F.lit(i))) for i in range(width))).alias("a"))
     few = about.select(F.posexplode("a").alias("dim", "about")).filter(F.col("about") <= 4 * max_unique + 4).select("dim")
-    rows = frames.select(F.posexplode(v).alias("dim", "value")).join(F.broadcast(few), "dim").groupBy("dim", "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = frames.select(
+        F.posexplode(v).alias("dim", "value")
+    ).join(F.broadcast(few), "dim").groupBy("dim", "value").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("dim")
-    return rows.withColumn("values", F.count(F.lit(1)).over(w)).withColumn("percent", 100 * F.col("n") / F.sum("n").over(w)).filter(F.col("values") <= max_unique).select("dim", "value", "n", "percent")
+    return rows.withColumn("values", F.count(F.lit(1)).over(w)).withColumn(
+        "percent", 100 * F.col("n") / F.sum("n").over(w)
+    ).filter(F.col("values") <= max_unique).select("dim", "value", "n", "percent")
 
 
 def out_of_range_episodes(frames: DataFrame, limit: float = math.pi, features: Sequence[str] = (STATE, ACTION)) -> DataFrame:
@@ -70,14 +80,18 @@ def out_of_range_episodes(frames: DataFrame, limit: float = math.pi, features: S
 def out_of_range_share(frames: DataFrame, limit: float = math.pi) -> DataFrame:
     """Episodes, abnormal ones and their percentage."""
     each = frames.select("episode_index").distinct().join(out_of_range_episodes(frames, limit).withColumn("bad", F.lit(1)), "episode_index", "left")
-    return each.agg(F.count(F.lit(1)).alias("episodes"), F.count("bad").alias("abnormal")).withColumn("percent", 100 * F.col("abnormal") / F.col("episodes"))
+    return each.agg(
+        F.count(F.lit(1)).alias("episodes"), F.count("bad").alias("abnormal")
+    ).withColumn("percent", 100 * F.col("abnormal") / F.col("episodes"))
 
 
 def episode_length_summary(episodes: DataFrame) -> DataFrame:
     """Count, min, max and quartiles of lengths."""
     quartiles = exact_quantiles(episodes, [], "length", [0.25, 0.5, 0.75])
     rows = episodes.agg(F.count(F.lit(1)).alias("episodes"), F.min("length").alias("min"), F.max("length").alias("max"))
-    return rows.join(F.broadcast(quartiles), how="left").select("episodes", "min", "max", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"))
+    return rows.join(F.broadcast(quartiles), how="left").select(
+        "episodes", "min", "max", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75")
+    )
 
 
 def classify_dimensions(names: Sequence[str], rules: Sequence[tuple] = CATEGORIES, other: str = "Other") -> list[tuple[int, str, str]]:
@@ -95,7 +109,12 @@ def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int | Callable
     count = F.least(F.lit(120), F.greatest(F.lit(20), F.floor(F.sqrt(F.count(F.lit(1)))))) if bins == "sqrt" else F.lit(int(bins))
     edges = rows.groupBy(*by).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"), count.cast("int").alias("_bins"))
     # as numpy: a group of one value gets a width of one around it
-    edges = edges.withColumn("_flat", F.col("_low") == F.col("_high")).withColumn("_low", F.when(F.col("_flat"), F.col("_low") - 0.5).otherwise(F.col("_low"))).withColumn("_high", F.when(F.col("_flat"), F.col("_high") + 0.5).otherwise(F.col("_high")))
+    edges = edges.withColumn("_flat", F.col("_low") == F.col("_high")).withColumn("_low", F.when(F.col("_flat"), F.col("_low") - 0.5).otherwise(F.col("_low"))).withColumn(
+        "_high", F.when(F.col("_flat"), F.col("_high") + 0.5).otherwise(F.col("_high"))
+    )
     width = (F.col("_high") - F.col("_low")) / F.col("_bins")
     placed = rows.join(edges, list(by)).withColumn("bin", F.least(F.floor((F.col("_x") - F.col("_low")) / width), F.col("_bins") - 1).cast("int"))
-    return placed.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"), F.first(F.col("_low") + F.col("bin") * width).alias("low"), F.first(F.col("_low") + (F.col("bin") + 1) * width).alias("high"))
+    return placed.groupBy(*by, "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.first(F.col("_low") + F.col("bin") * width).alias("low"),
+        F.first(F.col("_low") + (F.col("bin") + 1) * width).alias("high")
+    )

@@ -31,7 +31,9 @@ def exact_quantiles(rows: DataFrame, by: Sequence[str], value: str, probabilitie
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(*by, "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
     upto = Window.partitionBy(*by, "_bucket").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = placed.withColumn("_upto", F.sum("_n").over(upto)).join(side(bases), [*by, "_bucket"]).withColumn("_upto", F.col("_upto") + F.col("_base"))
+    ranked = placed.withColumn("_upto", F.sum("_n").over(upto)).join(side(bases), [*by, "_bucket"]).withColumn(
+        "_upto", F.col("_upto") + F.col("_base")
+    )
     wanted, low = [], F.col("_upto") - F.col("_n")
     for p in probabilities:
         at = F.lit(float(p)) * (F.col("_all") - 1)

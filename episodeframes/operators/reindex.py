@@ -25,9 +25,14 @@ def length_prefix(lengths: DataFrame, key: str = "episode_index", carry: Sequenc
     local = blocked.withColumn("_no", F.row_number().over(within) - 1).withColumn("_before", before)
     sums = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"), F.sum("length").alias("_frames"))
     over = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("_block", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_no0"), F.coalesce(F.sum("_frames").over(over), F.lit(0)).alias("_at0"))
+    bases = sums.select(
+        "_block", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_no0"), F.coalesce(F.sum("_frames").over(over), F.lit(0)).alias("_at0")
+    )
     joined = local.join(bases, "_block")
-    return joined.select(key, "length", *carry, (F.col("_no") + F.col("_no0")).cast("long").alias("new_episode"), (F.col("_before") + F.col("_at0")).cast("long").alias("first_index"))
+    return joined.select(
+        key, "length", *carry, (F.col("_no") + F.col("_no0")).cast("long").alias("new_episode"),
+        (F.col("_before") + F.col("_at0")).cast("long").alias("first_index")
+    )
 
 
 def episode_lengths(ds: Dataset) -> DataFrame:
@@ -52,7 +57,9 @@ def reindex(ds: Dataset, reset_frame_index: bool = True, reset_timestamp: str |
         w = Window.partitionBy("episode_index").orderBy("frame_index", *(c for c in ("index",) if c in frames.columns))
         frames = frames.withColumn("frame_index", (F.row_number().over(w) - 1).cast("long"))
     frames = frames.join(places.drop("length"), "episode_index")
-    frames = frames.withColumn("index", F.col("first_index") + F.col("frame_index")).withColumn("episode_index", F.col("new_episode")).drop("first_index", "new_episode")
+    frames = frames.withColumn(
+        "index", F.col("first_index") + F.col("frame_index")
+    ).withColumn("episode_index", F.col("new_episode")).drop("first_index", "new_episode")
     if reset_timestamp:
         frames = frames.withColumn("timestamp", frame_time(F.col("frame_index"), ds.info.fps, reset_timestamp))
     numbers = places.select("episode_index", "new_episode")
@@ -68,13 +75,22 @@ def repair_indices(ds: Dataset) -> tuple[Dataset, DataFrame]:
     place = F.row_number().over(w.orderBy("frame_index")) - 1
     places = length_prefix(episode_lengths(ds))
     df = ds.frames.withColumn("_place", place).withColumn("_rows", F.count(F.lit(1)).over(w)).join(places, "episode_index")
-    sound = F.assert_true((F.col("_rows") == F.col("length")) & (F.col("_place") == F.col("frame_index")), F.lit("an episode's rows are not its frames 0 to length - 1"))
-    df = df.withColumn("_wrong", F.when(sound.isNull(), (F.col("index") != F.col("first_index") + F.col("_place")) | (F.col("episode_index") != F.col("new_episode"))))
+    sound = F.assert_true(
+        (F.col("_rows") == F.col("length")) & (F.col("_place") == F.col("frame_index")), F.lit("an episode's rows are not its frames 0 to length - 1")
+    )
+    df = df.withColumn(
+        "_wrong",
+        F.when(sound.isNull(), (F.col("index") != F.col("first_index") + F.col("_place")) | (F.col("episode_index") != F.col("new_episode")))
+    )
     repaired = df.groupBy("new_episode").agg(F.bool_or("_wrong").alias("wrong")).filter("wrong").select(F.col("new_episode").alias("episode_index"))
-    frames = df.withColumn("index", F.when(F.col("_wrong").isNotNull(), F.col("first_index") + F.col("_place"))).withColumn("episode_index", F.col("new_episode"))
+    frames = df.withColumn(
+        "index", F.when(F.col("_wrong").isNotNull(), F.col("first_index") + F.col("_place"))
+    ).withColumn("episode_index", F.col("new_episode"))
     frames = frames.drop("_place", "_rows", "_wrong", "length", "first_index", "new_episode").select(*map(col_, ds.frames.columns))
     numbers = places.select("episode_index", "new_episode")
-    episodes = ds.episodes.join(numbers, "episode_index").withColumn("episode_index", F.col("new_episode")).drop("new_episode").select(*map(col_, ds.episodes.columns))
+    episodes = ds.episodes.join(numbers, "episode_index").withColumn(
+        "episode_index", F.col("new_episode")
+    ).drop("new_episode").select(*map(col_, ds.episodes.columns))
     return ds.with_(frames=frames, episodes=episodes), repaired
 
 

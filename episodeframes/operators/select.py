@@ -44,7 +44,10 @@ def _ids(ds: Dataset, ids) -> DataFrame:
 
 
 def _semi(ds: Dataset, ids: DataFrame, how: str = "left_semi") -> Dataset:
-    return ds.with_(frames=ds.frames.join(ids, "episode_index", how), episodes=ds.episodes.join(ids, "episode_index", how), stats=ds.stats and ds.stats.join(ids, "episode_index", how))
+    return ds.with_(
+        frames=ds.frames.join(ids, "episode_index", how), episodes=ds.episodes.join(ids, "episode_index", how),
+        stats=ds.stats and ds.stats.join(ids, "episode_index", how)
+    )
 
 
 def select_episodes(ds: Dataset, ids, task_map: Mapping[int, str] | None = None, renumber: bool = True) -> Dataset:
@@ -54,7 +57,11 @@ def select_episodes(ds: Dataset, ids, task_map: Mapping[int, str] | None = None,
     if task_map:
         named = ds.frames.sparkSession.createDataFrame([(int(k), v) for k, v in task_map.items()], "episode_index long, _task string")
         episodes = out.episodes.join(named, "episode_index", "left")
-        out = out.with_(episodes=episodes.withColumn("tasks", F.when(F.col("_task").isNull(), F.col("tasks")).otherwise(F.array_union("tasks", F.array("_task")))).drop("_task"))
+        out = out.with_(
+            episodes=episodes.withColumn(
+                "tasks", F.when(F.col("_task").isNull(), F.col("tasks")).otherwise(F.array_union("tasks", F.array("_task")))
+            ).drop("_task")
+        )
     return reindex(remap_tasks(out, "used")) if renumber else out
 
 
@@ -94,7 +101,10 @@ def rename_features(ds: Dataset, names: Mapping[str, str]) -> Dataset:
     declared = [names.get(k, k) for k in ds.info.features]
     if len(set(after)) < len(after) or len(set(declared)) < len(declared):
         raise ValueError("two features of one name")
-    return ds.with_(frames=ds.frames.toDF(*after), info=replace(ds.info, features=dict(zip(declared, ds.info.features.values(), strict=True))), stats=rename_stats(ds.stats, names))
+    return ds.with_(
+        frames=ds.frames.toDF(*after), info=replace(ds.info, features=dict(zip(declared, ds.info.features.values(), strict=True))),
+        stats=rename_stats(ds.stats, names)
+    )
 
 
 def rename_stats(stats: DataFrame | None, names: Mapping[str, str]) -> DataFrame | None:
@@ -104,12 +114,16 @@ def rename_stats(stats: DataFrame | None, names: Mapping[str, str]) -> DataFrame
     return stats.withColumn("stats", F.transform_keys("stats", lambda k, _: F.coalesce(table[k], k)))
 
 
-def trim_frames(ds: Dataset, head: int = 0, tail: int = 0, head_s: float | None = None, tail_s: float | None = None, on_short: str = "error") -> Dataset:
+def trim_frames(
+    ds: Dataset, head: int = 0, tail: int = 0, head_s: float | None = None, tail_s: float | None = None, on_short: str = "error"
+) -> Dataset:
     """Frames off the head and tail (seconds override, rounded half to even). An episode without rest is an error, or is
     dropped; survivors are renumbered and their times rebuilt."""
     head = round(head_s * ds.info.fps) if head_s is not None else head
     tail = round(tail_s * ds.info.fps) if tail_s is not None else tail
-    n, place = F.count(F.lit(1)).over(Window.partitionBy("episode_index")), F.row_number().over(Window.partitionBy("episode_index").orderBy("frame_index")) - 1
+    n, place = F.count(F.lit(1)).over(Window.partitionBy("episode_index")), F.row_number().over(
+        Window.partitionBy("episode_index").orderBy("frame_index")
+    ) - 1
     df = ds.frames.withColumn("_n", n).withColumn("_place", place)
     if on_short == "error":
         df = df.filter(F.assert_true(F.col("_n") > head + tail, F.lit("an episode is not longer than what is trimmed")).isNull())
@@ -138,14 +152,25 @@ def decimate_split(ds: Dataset, ratio: float, factor: int, total: int | None = N
     numbered = length_prefix(ds.episodes.select("episode_index", "length"))
     thin = F.col("new_episode") < max(1, int(total * ratio))
     # the new lengths are in the order of the old numbers, so their sums give every frame's place in one pass over frames
-    lengths = numbered.select("episode_index", thin.alias("_thin"), F.when(thin, F.ceil(F.col("length") / factor)).otherwise(F.col("length")).alias("length"))
+    lengths = numbered.select(
+        "episode_index", thin.alias("_thin"), F.when(thin, F.ceil(F.col("length") / factor)).otherwise(F.col("length")).alias("length")
+    )
     places = length_prefix(lengths, carry=["_thin"])
     frames = ds.frames.join(places.drop("length"), "episode_index").filter(~F.col("_thin") | (F.col("frame_index") % factor == 0))
     frame = F.when(F.col("_thin"), F.floor(F.col("frame_index") / factor)).otherwise(F.col("frame_index"))
-    frames = frames.withColumn("frame_index", frame.cast("long")).withColumn("index", F.col("first_index") + F.col("frame_index")).withColumn("episode_index", F.col("new_episode"))
-    frames = frames.withColumn("timestamp", F.when(F.col("_thin"), frame_time(F.col("frame_index"), ds.info.fps, "float32")).otherwise(F.col("timestamp") if "timestamp" in frames.columns else F.lit(None)))
+    frames = frames.withColumn("frame_index", frame.cast("long")).withColumn(
+        "index", F.col("first_index") + F.col("frame_index")
+    ).withColumn("episode_index", F.col("new_episode"))
+    frames = frames.withColumn(
+        "timestamp",
+        F.when(
+            F.col("_thin"), frame_time(F.col("frame_index"), ds.info.fps, "float32")
+        ).otherwise(F.col("timestamp") if "timestamp" in frames.columns else F.lit(None))
+    )
     numbers = places.select("episode_index", "new_episode", F.col("length").alias("_length"))
-    episodes = ds.episodes.join(numbers, "episode_index").withColumn("episode_index", F.col("new_episode")).withColumn("length", F.col("_length")).drop("new_episode", "_length")
+    episodes = ds.episodes.join(numbers, "episode_index").withColumn(
+        "episode_index", F.col("new_episode")
+    ).withColumn("length", F.col("_length")).drop("new_episode", "_length")
     return ds.with_(frames=frames.drop("_thin", "first_index", "new_episode"), episodes=episodes, stats=None)
 
 
@@ -157,7 +182,10 @@ def head_episodes(ds: Dataset, n: int) -> Dataset:
 def drop_features(ds: Dataset, keys: Sequence[str]) -> Dataset:
     """Columns and declarations of the features go."""
     kept = [c for c in ds.frames.columns if c not in keys]
-    return ds.with_(frames=ds.frames.select(*(col_(c) for c in kept)), info=replace(ds.info, features={k: v for k, v in ds.info.features.items() if k not in keys}))
+    return ds.with_(
+        frames=ds.frames.select(*(col_(c) for c in kept)),
+        info=replace(ds.info, features={k: v for k, v in ds.info.features.items() if k not in keys})
+    )
 
 
 def even_indices(n: int, k: int, truncate: bool = False) -> list[int]:
@@ -170,7 +198,9 @@ def even_indices(n: int, k: int, truncate: bool = False) -> list[int]:
     return sorted({int(i * step) if truncate else round(i * step) for i in range(k)})
 
 
-def evenly_sample(df: DataFrame, k: int, order_by: Sequence[str], partition_by: Sequence[str] = ("episode_index",), truncate: bool = False) -> DataFrame:
+def evenly_sample(
+    df: DataFrame, k: int, order_by: Sequence[str], partition_by: Sequence[str] = ("episode_index",), truncate: bool = False
+) -> DataFrame:
     """K rows spread evenly over each group."""
     w = Window.partitionBy(*partition_by)
     df = df.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_place", F.row_number().over(w.orderBy(*order_by)) - 1)
@@ -182,10 +212,15 @@ def evenly_sample(df: DataFrame, k: int, order_by: Sequence[str], partition_by:
 def align_to(ds: Dataset, reference: DatasetInfo, key_map: Mapping[str, str], task_prompt: str) -> Dataset:
     """Camera keys renamed, robot type and feature declarations of the reference, one task for all; frames unchanged."""
     features = {key_map.get(k, k): v for k, v in ds.info.features.items()}
-    features = {k: {**v, **{x: reference.features[k][x] for x in ("names", "info") if x in reference.features.get(k, {})}} for k, v in features.items()}
+    features = {
+        k: {**v, **{x: reference.features[k][x] for x in ("names", "info") if x in reference.features.get(k, {})}} for k, v in features.items()
+    }
     spark = ds.frames.sparkSession
     episodes = ds.episodes.withColumn("tasks", F.array(F.lit(task_prompt))).withColumn("task_index", F.lit(0).cast("long"))
-    return ds.with_(info=replace(ds.info, robot_type=reference.robot_type, features=features), episodes=episodes, tasks=spark.createDataFrame([(0, task_prompt)], "task_index long, task string"), stats=rename_stats(ds.stats, key_map))
+    return ds.with_(
+        info=replace(ds.info, robot_type=reference.robot_type, features=features), episodes=episodes,
+        tasks=spark.createDataFrame([(0, task_prompt)], "task_index long, task string"), stats=rename_stats(ds.stats, key_map)
+    )
 
 
 def rounded(v: Column, decimals: int) -> Column:

@@ -23,7 +23,9 @@ def feature_widths(frames: DataFrame, features: list[str]) -> dict[str, int | No
     return {f: (row[f] if row else 0) if f in vectors else None for f in features}
 
 
-def episode_stats(frames: DataFrame, features: list[str], widths: Mapping[str, int | None] | None = None, previous: DataFrame | None = None) -> DataFrame:
+def episode_stats(
+    frames: DataFrame, features: list[str], widths: Mapping[str, int | None] | None = None, previous: DataFrame | None = None
+) -> DataFrame:
     """episode_index, stats (map by feature of min, max, mean, population std and count). One aggregation column for
     each dimension and measure, so no row is multiplied; visual statistics of ``previous`` are carried over."""
     widths = dict(widths or feature_widths(frames, features))
@@ -40,13 +42,17 @@ def episode_stats(frames: DataFrame, features: list[str], widths: Mapping[str, i
     if previous is None:
         return df
     old = previous.select("episode_index", F.map_filter("stats", lambda k, _: ~k.isin(features)).alias("_old"))
-    return df.join(old, "episode_index", "left").select("episode_index", F.when(F.col("_old").isNull(), F.col("stats")).otherwise(F.map_concat("_old", "stats")).alias("stats"))
+    return df.join(old, "episode_index", "left").select(
+        "episode_index", F.when(F.col("_old").isNull(), F.col("stats")).otherwise(F.map_concat("_old", "stats")).alias("stats")
+    )
 
 
 def stats_rows(stats: DataFrame) -> DataFrame:
     """Statistics as rows: episode_index, feature, dim, min, max, mean, std, n."""
     flat = stats.select("episode_index", F.explode("stats").alias("feature", "s"))
-    dims = flat.select("episode_index", "feature", F.col("s.count")[0].alias("n"), F.posexplode(F.arrays_zip("s.min", "s.max", "s.mean", "s.std")).alias("dim", "z"))
+    dims = flat.select(
+        "episode_index", "feature", F.col("s.count")[0].alias("n"), F.posexplode(F.arrays_zip("s.min", "s.max", "s.mean", "s.std")).alias("dim", "z")
+    )
     return dims.select("episode_index", "feature", "dim", "n", "z.min", "z.max", "z.mean", "z.std")
 
 
@@ -55,14 +61,20 @@ def aggregate_stats(stats: DataFrame) -> DataFrame:
     n = F.sum("n")
     mean = F.sum(F.col("n") * F.col("mean")) / n
     square = F.sum(F.col("n") * (F.col("std") * F.col("std") + F.col("mean") * F.col("mean"))) / n
-    return stats_rows(stats).groupBy("feature", "dim").agg(F.min("min").alias("min"), F.max("max").alias("max"), mean.alias("mean"), F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias("std"), n.alias("n"))
+    return stats_rows(stats).groupBy("feature", "dim").agg(
+        F.min("min").alias("min"), F.max("max").alias("max"), mean.alias("mean"), F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias("std"),
+        n.alias("n")
+    )
 
 
 def compare_stats(a: DataFrame, b: DataFrame, rtol: float = 1e-5, atol: float = 1e-8) -> DataFrame:
     """D3: (feature, dim, stat) where two dataset-level tables differ by more than atol + rtol * |b|, or only one has it."""
 
     def long(df: DataFrame, name: str) -> DataFrame:
-        return df.select("feature", "dim", F.explode(F.create_map(*(x for m in ("min", "max", "mean", "std", "n") for x in (F.lit(m), F.col(m).cast("double"))))).alias("stat", name))
+        return df.select(
+            "feature", "dim",
+            F.explode(F.create_map(*(x for m in ("min", "max", "mean", "std", "n") for x in (F.lit(m), F.col(m).cast("double"))))).alias("stat", name)
+        )
 
     both = long(a, "a").join(long(b, "b"), ["feature", "dim", "stat"], "full")
     off = F.abs(F.col("a") - F.col("b")) > atol + rtol * F.abs("b")

@@ -14,7 +14,9 @@ from ..schema import ACTION, STATE, col_, dims_of
 FORCE_NAMES = tuple(f"{side}_wrench.force.{axis}" for side in ("left", "right") for axis in "xyz")
 
 
-def force_delta(frames: DataFrame, names: Sequence[str], columns: Sequence[str] = (STATE, ACTION), action_names: Sequence[str] | None = None) -> DataFrame:
+def force_delta(
+    frames: DataFrame, names: Sequence[str], columns: Sequence[str] = (STATE, ACTION), action_names: Sequence[str] | None = None
+) -> DataFrame:
     """forces become differences from the state's forces in the episode's first frame, in single precision."""
     w = Window.partitionBy("episode_index").orderBy("frame_index")
     base_dims = dims_of(names, FORCE_NAMES)
@@ -23,7 +25,10 @@ def force_delta(frames: DataFrame, names: Sequence[str], columns: Sequence[str]
         at = dims_of(action_names if c == ACTION and action_names else names, FORCE_NAMES)
         # position of each dimension in the base, -1 for those that stay
         place = F.array(*(F.lit(at.index(i) if i in at else -1) for i in range(len(action_names if c == ACTION and action_names else names))))
-        moved = F.transform(F.arrays_zip(col_(c).cast("array<float>").alias("x"), place.alias("k")), lambda z: F.when(z["k"] >= 0, (z["x"] - F.get(F.col("_base"), z["k"])).cast("float")).otherwise(z["x"]))
+        moved = F.transform(
+            F.arrays_zip(col_(c).cast("array<float>").alias("x"), place.alias("k")),
+            lambda z: F.when(z["k"] >= 0, (z["x"] - F.get(F.col("_base"), z["k"])).cast("float")).otherwise(z["x"])
+        )
         df = df.withColumn(c, moved)
     return df.drop("_base")
 
@@ -32,11 +37,15 @@ def force_violations(frames: DataFrame, names: Sequence[str], atol: float = 1e-5
     """First frames whose state forces are not zero, and frames with a force that is not finite."""
     w = Window.partitionBy("episode_index").orderBy("frame_index")
     forces = F.array(*(col_(STATE)[i].cast("double") for i in dims_of(names, FORCE_NAMES)))
-    rule = F.when(F.exists(forces, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), "not finite").when((F.row_number().over(w) == 1) & F.exists(forces, lambda x: F.abs(x) > atol), "first frame")
+    rule = F.when(
+        F.exists(forces, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), "not finite"
+    ).when((F.row_number().over(w) == 1) & F.exists(forces, lambda x: F.abs(x) > atol), "first frame")
     return frames.withColumn("rule", rule).filter("rule is not null").select("episode_index", "frame_index", "rule")
 
 
-def quat_state_to_rot6d(frames: DataFrame, positions: Sequence[int], quaternion: Sequence[int], gripper: int, state_key: str = STATE, least_norm: float = 1e-8) -> DataFrame:
+def quat_state_to_rot6d(
+    frames: DataFrame, positions: Sequence[int], quaternion: Sequence[int], gripper: int, state_key: str = STATE, least_norm: float = 1e-8
+) -> DataFrame:
     """the state becomes [x, y, z, first and second column of the rotation, gripper]; a quaternion that is not finite or
     has no norm is an error."""
     v = doubles(state_key)

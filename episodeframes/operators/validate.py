@@ -25,14 +25,18 @@ def expected_files(ds: Dataset) -> DataFrame:
 def missing_files(ds: Dataset, inventory: DataFrame) -> DataFrame:
     """Expected files that are missing or empty. ``inventory``: (path, length)."""
     found = expected_files(ds).join(inventory.select("path", "length"), "path", "left")
-    return found.filter("length is null or length = 0").select("path", "kind", F.when(F.col("length").isNull(), "missing").otherwise("empty").alias("problem"))
+    return found.filter("length is null or length = 0").select(
+        "path", "kind", F.when(F.col("length").isNull(), "missing").otherwise("empty").alias("problem")
+    )
 
 
 def length_reconciliation(ds: Dataset) -> DataFrame:
     """C11: episodes whose frames don't fit their length: no_frames, no_metadata, length, short (fewer than two frames)."""
     rows = ds.frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("rows"))
     both = rows.join(ds.episodes.select("episode_index", "length"), "episode_index", "full")
-    problem = F.when(F.col("rows").isNull(), "no_frames").when(F.col("length").isNull(), "no_metadata").when(F.col("rows") != F.col("length"), "length").when(F.col("rows") < 2, "short")
+    problem = F.when(F.col("rows").isNull(), "no_frames").when(F.col("length").isNull(), "no_metadata").when(
+        F.col("rows") != F.col("length"), "length"
+    ).when(F.col("rows") < 2, "short")
     return both.withColumn("problem", problem).filter("problem is not null")
 
 
@@ -43,7 +47,9 @@ def index_violations(ds: Dataset) -> DataFrame:
     df = ds.frames.withColumn("_place", F.row_number().over(w) - 1).join(places, "episode_index", "left")
     rule = F.when(F.col("frame_index").isNull() | (F.col("frame_index") != F.col("_place")), "frame_index")
     if "index" in ds.frames.columns:
-        rule = rule.when(F.col("index").isNull() | F.col("first_index").isNull() | (F.col("index") != F.col("first_index") + F.col("_place")), "index")
+        rule = rule.when(
+            F.col("index").isNull() | F.col("first_index").isNull() | (F.col("index") != F.col("first_index") + F.col("_place")), "index"
+        )
     return df.withColumn("rule", rule).filter("rule is not null").select("episode_index", "frame_index", "rule")
 
 

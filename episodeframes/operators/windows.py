@@ -39,7 +39,9 @@ def still(now: Column, before: Column, eps: float) -> Column:
     return F.forall(F.zip_with(now, before, lambda a, b: F.coalesce(F.abs(a - b) < eps, F.lit(False))), lambda x: x)
 
 
-def idle_flags(frames: DataFrame, kind: str = "both", eps: float = 1e-3, min_idle_len: int = 7, min_nonidle_len: int = 16, filter_last_n: int = 0) -> DataFrame:
+def idle_flags(
+    frames: DataFrame, kind: str = "both", eps: float = 1e-3, min_idle_len: int = 7, min_nonidle_len: int = 16, filter_last_n: int = 0
+) -> DataFrame:
     """The frames with ``keep``. Idle: all dimensions moved by less than eps since the frame before (the first frame never
     is). Idle runs of min_idle_len and more go, then kept runs below min_nonidle_len go, then the last filter_last_n of each
     kept run. Episodes of one frame, or of no dimension, are kept whole."""
@@ -79,7 +81,9 @@ def renumbered_frames(kept: DataFrame, fps: float) -> DataFrame:
     placed = length_prefix(lengths)
     frame = (F.row_number().over(in_episode()) - 1).cast("long")
     df = kept.withColumn("frame_index", frame).join(placed, "episode_index")
-    return df.withColumn("index", F.col("first_index") + F.col("frame_index")).withColumn("episode_index", F.col("new_episode")).withColumn("timestamp", frame_time(F.col("frame_index"), fps)).drop("first_index", "new_episode", "length")
+    return df.withColumn(
+        "index", F.col("first_index") + F.col("frame_index")
+    ).withColumn("episode_index", F.col("new_episode")).withColumn("timestamp", frame_time(F.col("frame_index"), fps)).drop("first_index", "new_episode", "length")
 
 
 def filter_idle(ds: Dataset, **options) -> tuple[Dataset, DataFrame]:
@@ -93,11 +97,23 @@ def frame_deltas(frames: DataFrame, signals: Sequence[str] = (STATE, ACTION), di
     """One row for each frame after the first, signal and dimension: prev, curr, delta, direction."""
     extra = [c for c in ("timestamp",) if c in frames.columns]
     picked = [F.struct(F.lit(s).alias("signal"), F.lit(d).alias("dim"), F.get(doubles(s), F.lit(d)).alias("curr")) for s in signals for d in dims]
-    before = [F.struct(F.lit(s).alias("signal"), F.lit(d).alias("dim"), F.lag(F.get(doubles(s), F.lit(d))).over(in_episode()).alias("prev")) for s in signals for d in dims]
-    rows = frames.select("episode_index", "frame_index", *extra, F.arrays_zip(F.array(*picked).alias("now"), F.array(*before).alias("then")).alias("z"), F.row_number().over(in_episode()).alias("n"))
-    df = rows.filter("n > 1").select("episode_index", "frame_index", *extra, F.explode("z").alias("z")).select("episode_index", "frame_index", *extra, F.col("z.now.signal").alias("signal"), F.col("z.now.dim").alias("dim"), F.col("z.then.prev").alias("prev"), F.col("z.now.curr").alias("curr"))
+    before = [
+        F.struct(
+            F.lit(s).alias("signal"), F.lit(d).alias("dim"), F.lag(F.get(doubles(s), F.lit(d))).over(in_episode()).alias("prev")
+        ) for s in signals for d in dims
+    ]
+    rows = frames.select(
+        "episode_index", "frame_index", *extra, F.arrays_zip(F.array(*picked).alias("now"), F.array(*before).alias("then")).alias("z"),
+        F.row_number().over(in_episode()).alias("n")
+    )
+    df = rows.filter("n > 1").select("episode_index", "frame_index", *extra, F.explode("z").alias("z")).select(
+        "episode_index", "frame_index", *extra, F.col("z.now.signal").alias("signal"), F.col("z.now.dim").alias("dim"),
+        F.col("z.then.prev").alias("prev"), F.col("z.now.curr").alias("curr")
+    )
     delta = F.col("curr") - F.col("prev")
-    return df.withColumn("delta", delta).withColumn("direction", F.when(F.col("delta") > 0, "open").when(F.col("delta") < 0, "close").otherwise("zero"))
+    return df.withColumn("delta", delta).withColumn(
+        "direction", F.when(F.col("delta") > 0, "open").when(F.col("delta") < 0, "close").otherwise("zero")
+    )
 
 
 def jump_events(deltas: DataFrame, threshold: float = 0.01) -> DataFrame:
@@ -116,9 +132,13 @@ def jump_summary(deltas: DataFrame, threshold: float = 0.01, exact: bool = True)
     rows = deltas.groupBy(*group).agg(
         F.count("delta").alias("n"), F.avg("delta").alias("mean"), F.stddev_pop("delta").alias("std"), F.min("delta").alias("min"), F.max("delta").alias("max"),
         F.max(size).alias("abs_max"), F.max_by("delta", F.struct(size, -F.col("episode_index"), -F.col("frame_index"))).alias("abs_max_delta"),
-        F.count_if(hit).alias("abnormal_frames"), (F.count_if(hit) / F.count("delta")).alias("abnormal_ratio"), F.count_distinct(F.when(hit, F.col("episode_index"))).alias("abnormal_episodes"),
+        F.count_if(hit).alias("abnormal_frames"), (F.count_if(hit) / F.count("delta")).alias("abnormal_ratio"), F.count_distinct(
+            F.when(hit, F.col("episode_index"))
+        ).alias("abnormal_episodes"),
         F.count_if(opened).alias("open_frames"), F.count_if(closed).alias("close_frames"),
-        F.count_distinct(F.when(opened, F.col("episode_index"))).alias("open_episodes"), F.count_distinct(F.when(closed, F.col("episode_index"))).alias("close_episodes"),
+        F.count_distinct(
+            F.when(opened, F.col("episode_index"))
+        ).alias("open_episodes"), F.count_distinct(F.when(closed, F.col("episode_index"))).alias("close_episodes"),
     )
     named = quantiles.select(*group, *(F.col("q")[i].alias(name) for i, name in enumerate(places)))
     out = rows.join(named, group, "left")
@@ -127,12 +147,17 @@ def jump_summary(deltas: DataFrame, threshold: float = 0.01, exact: bool = True)
 
 def top_jump_episodes(deltas: DataFrame, k: int = 3) -> DataFrame:
     """The k episodes with the largest jump of each (signal, dim); ties: the lower episode first."""
-    each = deltas.groupBy("signal", "dim", "episode_index").agg(F.max(F.abs("delta")).alias("abs_max"), F.max(F.when(F.col("delta") > 0, F.col("delta"))).alias("max_open"), F.min(F.when(F.col("delta") < 0, F.col("delta"))).alias("max_close"))
+    each = deltas.groupBy("signal", "dim", "episode_index").agg(
+        F.max(F.abs("delta")).alias("abs_max"), F.max(F.when(F.col("delta") > 0, F.col("delta"))).alias("max_open"),
+        F.min(F.when(F.col("delta") < 0, F.col("delta"))).alias("max_close")
+    )
     rank = F.row_number().over(Window.partitionBy("signal", "dim").orderBy(F.desc("abs_max"), "episode_index"))
     return each.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def pose_flags(frames: DataFrame, target: Sequence[float] = TARGET_POSE, joint_tol: float = 0.15, gripper_tol: float = 0.01, still_tol: float = 0.001) -> DataFrame:
+def pose_flags(
+    frames: DataFrame, target: Sequence[float] = TARGET_POSE, joint_tol: float = 0.15, gripper_tol: float = 0.01, still_tol: float = 0.001
+) -> DataFrame:
     """Frames near the target pose (six joints and the gripper) that also stand still; all bounds are inclusive."""
     state = doubles(STATE)
     near = F.lit(True)
@@ -149,13 +174,17 @@ def pose_idle_segments(frames: DataFrame, fps: float, min_s: float = 2.0, **tole
     """Maximal runs at the pose of more than min_s seconds: episode_index, start, end (half-open), frames, seconds."""
     runs = islands(pose_flags(frames, **tolerances), "idle").filter("idle")
     found = runs.groupBy("episode_index", "run").agg(F.min("frame_index").alias("start"), (F.max("frame_index") + 1).alias("end"))
-    return found.withColumn("frames", F.col("end") - F.col("start")).withColumn("seconds", F.col("frames") / fps).filter(F.col("seconds") > min_s).drop("run")
+    return found.withColumn(
+        "frames", F.col("end") - F.col("start")
+    ).withColumn("seconds", F.col("frames") / fps).filter(F.col("seconds") > min_s).drop("run")
 
 
 def pose_idle_episodes(frames: DataFrame, fps: float, min_s: float = 2.0, **tolerances) -> DataFrame:
     """Per episode the number of segments and the longest (of ties the earliest)."""
     longest = F.max_by(F.struct("start", "end", "seconds"), F.struct("frames", -F.col("start"))).alias("x")
-    return pose_idle_segments(frames, fps, min_s, **tolerances).groupBy("episode_index").agg(F.count(F.lit(1)).alias("segments"), longest).select("episode_index", "segments", "x.start", "x.end", "x.seconds")
+    return pose_idle_segments(frames, fps, min_s, **tolerances).groupBy("episode_index").agg(F.count(F.lit(1)).alias("segments"), longest).select(
+        "episode_index", "segments", "x.start", "x.end", "x.seconds"
+    )
 
 
 def timestamp_gaps(frames: DataFrame, fps: float, tol: float = 1e-4, max_per_episode: int = 5) -> DataFrame:

@@ -125,7 +125,10 @@ def e1(spark, d):
   count(DISTINCT episode_index) FILTER (abs(delta) >= {LIMIT}) AS abnormal_episodes,
   count(*) FILTER (delta >= {LIMIT}) AS open_frames, count(*) FILTER (delta <= -{LIMIT}) AS close_frames FROM d""")
 def d10(spark, d):
-    names = ["n", "mean", "std", "min", "max", "p50", "p95", "p99", "p999", "abs_max", "abnormal_frames", "abnormal_episodes", "open_frames", "close_frames"]
+    names = [
+        "n", "mean", "std", "min", "max", "p50", "p95", "p99", "p999", "abs_max", "abnormal_frames", "abnormal_episodes", "open_frames",
+        "close_frames"
+    ]
     return rounded(windows.jump_summary(deltas(spark, d), LIMIT).select(*names), "mean", "std", "min", "max", "p50", "p95", "p99", "p999", "abs_max")
 
 
@@ -134,7 +137,10 @@ def d10(spark, d):
 SELECT episode_index, round(m, 6) AS abs_max, round(o, 6) AS max_open, round(c, 6) AS max_close, row_number() OVER (ORDER BY m DESC,
   episode_index)::INT AS rank FROM e QUALIFY rank <= 5""")
 def e8(spark, d):
-    return rounded(windows.top_jump_episodes(deltas(spark, d), 5).select("episode_index", "abs_max", "max_open", "max_close", "rank"), "abs_max", "max_open", "max_close")
+    return rounded(
+        windows.top_jump_episodes(deltas(spark, d), 5).select("episode_index", "abs_max", "max_open", "max_close", "rank"), "abs_max", "max_open",
+        "max_close"
+    )
 
 
 @query("e4_timestamp_gaps", f"""WITH {EVENTS_SQL}, d AS (SELECT episode_index, frame_index,
@@ -153,7 +159,9 @@ SELECT episode_index, bool_or(broken) AS broken, round(sum(CASE WHEN broken THEN
 def e5(spark, d):
     f = events(spark, d)
     fixed = windows.fix_timestamps(f.withColumn("was", F.col("timestamp")), 0.001, tol=60000)
-    return fixed.groupBy("episode_index").agg(F.bool_or(F.col("was") != F.col("timestamp")).alias("broken"), F.round(F.sum(F.col("timestamp").cast("double")), 0).alias("total"))
+    return fixed.groupBy("episode_index").agg(
+        F.bool_or(F.col("was") != F.col("timestamp")).alias("broken"), F.round(F.sum(F.col("timestamp").cast("double")), 0).alias("total")
+    )
 
 
 def of_lineitem(spark, d) -> Dataset:
@@ -173,7 +181,9 @@ SELECT e AS episode_index FROM l WHERE o <> e""")
 def c4(spark, d):
     ds = of_lineitem(spark, d)
     placed = reindex.length_prefix(ds.episodes.select("episode_index", "length"))
-    frames = ds.frames.join(placed.select("episode_index", "first_index"), "episode_index").withColumn("index", F.col("first_index") + F.col("frame_index")).drop("first_index")
+    frames = ds.frames.join(
+        placed.select("episode_index", "first_index"), "episode_index"
+    ).withColumn("index", F.col("first_index") + F.col("frame_index")).drop("first_index")
     return reindex.repair_indices(ds.with_(frames=frames))[1]
 
 
@@ -233,7 +243,9 @@ def c7(spark, d):
 SELECT episode_index, 0::BIGINT AS task_index, task, count(*) AS n FROM f, t GROUP BY episode_index, task""")
 def c8(spark, d):
     ds = tasks.unify_tasks(odd_tasks(spark, d))
-    return ds.frames.groupBy("episode_index", "task_index").agg(F.count(F.lit(1)).alias("n")).join(ds.episodes.select("episode_index", F.col("tasks")[0].alias("task")), "episode_index")
+    return ds.frames.groupBy("episode_index", "task_index").agg(F.count(F.lit(1)).alias("n")).join(
+        ds.episodes.select("episode_index", F.col("tasks")[0].alias("task")), "episode_index"
+    )
 
 
 @query("c9_fill_missing_tasks", f"""WITH {LINEITEM_SQL} SELECT DISTINCT task_index,
@@ -289,7 +301,9 @@ SELECT dense_rank() OVER (ORDER BY episode_index) - 1 AS episode_index, frame_in
   5) AS timestamp, s1 FROM k""")
 def b7(spark, d):
     out = select.trim_frames(Dataset.of_frames(events(spark, d)), 3, tail_s=1.0, on_short="drop")
-    return out.frames.select("episode_index", "frame_index", F.round(F.col("timestamp").cast("double"), 5).alias("timestamp"), col_(STATE)[0].alias("s1"))
+    return out.frames.select(
+        "episode_index", "frame_index", F.round(F.col("timestamp").cast("double"), 5).alias("timestamp"), col_(STATE)[0].alias("s1")
+    )
 
 
 @query("b8_decimate", f"""WITH {LINEITEM_SQL} SELECT dense_rank() OVER (ORDER BY episode_index) - 1 AS episode_index, frame_index // 3 AS frame_index,
@@ -303,7 +317,9 @@ def b8(spark, d):
 k AS (SELECT e, CASE WHEN e <= n THEN frame_index // 2 ELSE frame_index END AS frame_index, s1 FROM o, n WHERE e > n OR frame_index % 2 = 0)
 SELECT e - 1 AS episode_index, frame_index, row_number() OVER (ORDER BY e, frame_index) - 1 AS index, s1 FROM k""")
 def b9(spark, d):
-    return select.decimate_split(Dataset.of_frames(events(spark, d)), 0.4, 2).frames.select("episode_index", "frame_index", "index", col_(STATE)[0].alias("s1"))
+    return select.decimate_split(Dataset.of_frames(events(spark, d)), 0.4, 2).frames.select(
+        "episode_index", "frame_index", "index", col_(STATE)[0].alias("s1")
+    )
 
 
 @query("b10_head_episodes", f"""WITH {LINEITEM_SQL}, h AS (SELECT DISTINCT episode_index FROM f ORDER BY 1 LIMIT 25) SELECT episode_index,
@@ -316,14 +332,19 @@ def b10(spark, d):
 SELECT episode_index, frame_index, s1 FROM t WHERE list_contains(list_transform(range(7), lambda i: floor(i * ((n - 1) / 6))::BIGINT),
   frame_index)""")
 def b12(spark, d):
-    return select.evenly_sample(events(spark, d), 7, ["frame_index"], truncate=True).select("episode_index", "frame_index", col_(STATE)[0].alias("s1"))
+    return select.evenly_sample(events(spark, d), 7, ["frame_index"], truncate=True).select(
+        "episode_index", "frame_index", col_(STATE)[0].alias("s1")
+    )
 
 
 @query("b14_episode_view", f"""WITH {EVENTS_SQL} SELECT episode_index, frame_index, s1 AS a1, s2 FROM f WHERE episode_index = 7""")
 def b14(spark, d):
     ds = Dataset.of_frames(frames_from_events(spark, d))
     view = select.episode_view(ds, 7)
-    return view.select("episode_index", (F.row_number().over(Window.partitionBy("episode_index").orderBy("timestamp")) - 1).cast("long").alias("frame_index"), F.col(ACTION)[0].alias("a1"), col_(STATE)[1].alias("s2"))
+    return view.select(
+        "episode_index", (F.row_number().over(Window.partitionBy("episode_index").orderBy("timestamp")) - 1).cast("long").alias("frame_index"),
+        F.col(ACTION)[0].alias("a1"), col_(STATE)[1].alias("s2")
+    )
 
 
 @query("c5_merge", f"""WITH {LINEITEM_SQL}, u AS (SELECT * FROM (SELECT unnest([0, 1, 2]) AS k), f), e AS (SELECT *, dense_rank() OVER (ORDER BY k,
@@ -333,7 +354,9 @@ SELECT e AS episode_index, count(*) AS n, min(i) AS first_index, sum(s1) AS tota
 def c5(spark, d):
     ds = of_lineitem(spark, d)
     out = merge.merge_datasets([ds, ds, ds])
-    return out.frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("n"), F.min("index").alias("first_index"), F.sum(col_(STATE)[0]).alias("total"))
+    return out.frames.groupBy("episode_index").agg(
+        F.count(F.lit(1)).alias("n"), F.min("index").alias("first_index"), F.sum(col_(STATE)[0]).alias("total")
+    )
 
 
 MIRROR = (1, 4, 6)
@@ -357,7 +380,10 @@ def f1(spark, d):
 def f2(spark, d):
     s = augment.mirror_stats(stats.episode_stats(frames_from_embeddings(spark, d), [STATE], {STATE: 14}), MIRROR, [STATE])
     m = F.col("stats")[STATE]
-    return s.select("episode_index", r6(m["min"][0]).alias("low0"), r6(m["max"][0]).alias("high0"), r6(m["min"][1]).alias("low1"), r6(m["mean"][7]).alias("mean7"), r6(m["std"][7]).alias("std7"))
+    return s.select(
+        "episode_index", r6(m["min"][0]).alias("low0"), r6(m["max"][0]).alias("high0"), r6(m["min"][1]).alias("low1"),
+        r6(m["mean"][7]).alias("mean7"), r6(m["std"][7]).alias("std7")
+    )
 
 
 FORCES = [f"d{i}" for i in range(8)] + list(transforms.FORCE_NAMES)
@@ -388,7 +414,10 @@ def f6(spark, d):
 def positions(spark, d) -> DataFrame:
     """Positions for both arms straight from the vectors (no kinematics), so that SQL can follow."""
     f = frames_from_embeddings(spark, d)
-    arms = [f.select("episode_index", "frame_index", F.lit(a).alias("arm"), *(F.round(doubles(n)[i], 5).alias(c) for i, c in enumerate("xyz"))) for a, n in (("left", STATE), ("right", ACTION))]
+    arms = [
+        f.select("episode_index", "frame_index", F.lit(a).alias("arm"), *(F.round(doubles(n)[i], 5).alias(c) for i, c in enumerate("xyz"))) for a,
+        n in (("left", STATE), ("right", ACTION))
+    ]
     return arms[0].unionByName(arms[1])
 
 
@@ -415,7 +444,9 @@ SELECT p.arm, count(*) AS valid, 0::BIGINT AS invalid, round(min(x), 5) AS x_min
 FROM p JOIN c ON c.arm = p.arm GROUP BY p.arm""")
 def d15(spark, d):
     p = positions(spark, d)
-    out = occupancy.position_summary(p, occupancy.voxelize(p, 0.125)).select("arm", "valid", "invalid", "x_min", "y_max", "z_mean", "x_std", "y_p05", "voxels", "busiest_n")
+    out = occupancy.position_summary(p, occupancy.voxelize(p, 0.125)).select(
+        "arm", "valid", "invalid", "x_min", "y_max", "z_mean", "x_std", "y_p05", "voxels", "busiest_n"
+    )
     return rounded(out, "x_min", "y_max", "z_mean", "x_std", "y_p05", digits=5)
 
 
@@ -443,7 +474,10 @@ def d12(spark, d):
 SELECT topic, round(min((header_ts_ns - start) / 1e9), 3) + 0.0 AS first_s, round(max((header_ts_ns - start) / 1e9), 3) AS last_s FROM v, s
   GROUP BY topic""")
 def d12t(spark, d):
-    return rounded(latency.topic_latency(messages_from_events(spark, d)).groupBy("topic").agg(F.min("time_s").alias("first_s"), F.max("time_s").alias("last_s")), "first_s", "last_s", digits=3)
+    return rounded(
+        latency.topic_latency(messages_from_events(spark, d)).groupBy("topic").agg(F.min("time_s").alias("first_s"), F.max("time_s").alias("last_s")),
+        "first_s", "last_s", digits=3
+    )
 
 
 @query("d4_dimension_summary", f"""WITH {EMBEDDINGS_SQL}, x AS (SELECT unnest(range(14)) AS dim, unnest(state) AS v FROM f)
@@ -452,7 +486,10 @@ SELECT dim::INT AS dim, 'j' || dim || '_joint' AS name, count(*) AS n, round(min
   bool_or(abs(v) > 0.4) AS abnormal FROM x GROUP BY dim""")
 def d4(spark, d):
     out = profile.dimension_summary(frames_from_embeddings(spark, d), STATE, [f"j{i}_joint" for i in range(14)], 14, limit=0.4)
-    return rounded(rounded(out.select("dim", "name", "n", "min", "max", "q25", "q50", "q75", "max_deg", "abnormal"), "min", "max", "q25", "q50", "q75"), "max_deg", digits=4)
+    return rounded(
+        rounded(out.select("dim", "name", "n", "min", "max", "q25", "q50", "q75", "max_deg", "abnormal"), "min", "max", "q25", "q50", "q75"),
+        "max_deg", digits=4
+    )
 
 
 @query("d5_discrete_shares", f"""WITH {LINEITEM_SQL}, x AS (SELECT 0 AS dim, floor(s1 / 10) AS v FROM f UNION ALL SELECT 1, s2 FROM f),
@@ -496,7 +533,9 @@ def d11(spark, d):
 SELECT episode_index, count(*) AS segments, arg_min(start, (start - stop) * 1000 + start) AS start, arg_min(stop,
   (start - stop) * 1000 + start) AS "end" FROM s WHERE (stop - start) / 10 > 0.1 GROUP BY ALL""")
 def e3(spark, d):
-    return windows.pose_idle_episodes(frames_from_embeddings(spark, d), fps=10, min_s=0.1, target=(0.0,) * 7, joint_tol=0.2, gripper_tol=0.2, still_tol=0.35).select("episode_index", "segments", "start", "end")
+    return windows.pose_idle_episodes(
+        frames_from_embeddings(spark, d), fps=10, min_s=0.1, target=(0.0,) * 7, joint_tol=0.2, gripper_tol=0.2, still_tol=0.35
+    ).select("episode_index", "segments", "start", "end")
 
 
 @query("e6_index_violations", """WITH t AS (SELECT conv_id AS episode_index, turn + (turn >= 1 AND conv_id % 3 = 0)::INT AS frame_index,
@@ -524,7 +563,9 @@ def e7(spark, d):
 def f7(spark, d):
     f = events(spark, d, "all")
     k = F.col("frame_index") % 50
-    odd = F.when(k == 0, None).when(k == 1, F.slice(col_(STATE), 1, 2)).when(k == 2, F.array(F.lit(0.0), F.lit(float("nan")), F.lit(1.0))).otherwise(col_(STATE))
+    odd = F.when(k == 0, None).when(k == 1, F.slice(col_(STATE), 1, 2)).when(
+        k == 2, F.array(F.lit(0.0), F.lit(float("nan")), F.lit(1.0))
+    ).otherwise(col_(STATE))
     return validate.vector_violations(f.withColumn(STATE, odd), STATE)
 
 
@@ -574,7 +615,9 @@ def c6(spark, d):
 def b6(spark, d):
     f = frames_from_embeddings(spark, d)
     ds = Dataset.of_frames(f).with_(stats=stats.episode_stats(f, [STATE, ACTION], {STATE: 14, ACTION: 14}))
-    return rounded(stats.stats_rows(select.rename_features(ds, {STATE: "state"}).stats).filter("dim = 0").select("episode_index", "feature", "max"), "max")
+    return rounded(
+        stats.stats_rows(select.rename_features(ds, {STATE: "state"}).stats).filter("dim = 0").select("episode_index", "feature", "max"), "max"
+    )
 
 
 @query("b11_drop_features", f"""WITH {EMBEDDINGS_SQL} SELECT index, task_index, round(state[14], 6) + 0.0 AS last FROM f""")
@@ -603,7 +646,9 @@ def d17(spark, d):
 SELECT dense_rank() OVER (ORDER BY k, episode_index) - 1 AS episode_index, row_number() OVER (ORDER BY k, episode_index, frame_index) - 1 AS index,
   round(x, 6) + 0.0 AS x FROM u""")
 def j6(spark, d):
-    return jobs.mirror_and_merge(Dataset.of_frames(frames_from_embeddings(spark, d)), MIRROR).frames.select("episode_index", "index", r6(col_(STATE)[0]).alias("x"))
+    return jobs.mirror_and_merge(
+        Dataset.of_frames(frames_from_embeddings(spark, d)), MIRROR
+    ).frames.select("episode_index", "index", r6(col_(STATE)[0]).alias("x"))
 
 
 @query("j7_decimate_and_merge", f"""WITH {EMBEDDINGS_SQL}, u AS (SELECT 0 AS k, episode_index, frame_index, timestamp::DOUBLE AS t FROM f UNION ALL
@@ -627,7 +672,10 @@ def j9(spark, d):
 
 
 def keyframes(spark, d) -> DataFrame:
-    return events(spark, d).select(F.concat(F.lit("video "), F.col("episode_index")).alias("path"), F.col("timestamp").cast("double").alias("ts"), F.lit(900).cast("long").alias("n_frames"))
+    return events(spark, d).select(
+        F.concat(F.lit("video "), F.col("episode_index")).alias("path"), F.col("timestamp").cast("double").alias("ts"),
+        F.lit(900).cast("long").alias("n_frames")
+    )
 
 
 @query("d20_keyframe_gaps", f"""WITH {EVENTS_SQL}, k AS (SELECT episode_index, timestamp::DOUBLE AS ts FROM f), g AS (SELECT episode_index,
@@ -635,7 +683,10 @@ def keyframes(spark, d) -> DataFrame:
 SELECT 'video ' || episode_index AS path, count(*) AS keyframes, round(max(gap), 3) AS max_gap, round(avg(gap), 3) AS mean_gap, max(gap) IS NULL
   OR max(gap) > 200000 AS warn FROM g GROUP BY episode_index""")
 def d20(spark, d):
-    return rounded(video.keyframe_gaps(keyframes(spark, d), 30, 200000).select("path", "keyframes", "max_gap", "mean_gap", "warn"), "max_gap", "mean_gap", digits=3)
+    return rounded(
+        video.keyframe_gaps(keyframes(spark, d), 30, 200000).select("path", "keyframes", "max_gap", "mean_gap", "warn"), "max_gap", "mean_gap",
+        digits=3
+    )
 
 
 @query("d19_format_consistency", """WITH p AS (SELECT event_type AS video_key, event_id AS path, (user_id % 4) AS width,
@@ -644,8 +695,13 @@ SELECT video_key, 'width' AS field, arg_min(width::VARCHAR, path) AS first, coun
   count(DISTINCT width) = 1 AS consistent, round(avg(width), 6) AS mean FROM p GROUP BY video_key
 UNION ALL SELECT video_key, 'codec', arg_min(codec, path), count(DISTINCT codec), count(DISTINCT codec) = 1, NULL FROM p GROUP BY video_key""")
 def d19(spark, d):
-    p = table(spark, d, "events").select(F.col("event_type").alias("video_key"), F.col("event_id").alias("path"), (F.col("user_id") % 4).alias("width"), F.when(F.col("event_type") == "view", "h264").otherwise(F.concat(F.lit("codec "), F.col("user_id") % 2)).alias("codec"))
-    return rounded(video.format_consistency(p, ["width", "codec"], ["codec"]).select("video_key", "field", "first", "values", "consistent", "mean"), "mean")
+    p = table(spark, d, "events").select(
+        F.col("event_type").alias("video_key"), F.col("event_id").alias("path"), (F.col("user_id") % 4).alias("width"),
+        F.when(F.col("event_type") == "view", "h264").otherwise(F.concat(F.lit("codec "), F.col("user_id") % 2)).alias("codec")
+    )
+    return rounded(
+        video.format_consistency(p, ["width", "codec"], ["codec"]).select("video_key", "field", "first", "values", "consistent", "mean"), "mean"
+    )
 
 
 @query("e9_frame_glitches")
@@ -653,7 +709,10 @@ def e9(spark, d):
     """Embeddings as 8 x 8 pictures."""
     e = table(spark, d, "embeddings")
     floats = F.pandas_udf(lambda s: s.map(lambda x: np.asarray(x, "f4").tobytes()), "binary")
-    g = e.select(F.floor(F.col("vec_id") / 25).cast("long").alias("episode_index"), F.lit("top").alias("camera"), (F.col("vec_id") % 25).alias("frame_index"), F.lit(8).alias("height"), F.lit(8).alias("width"), floats("embedding").alias("gray"), F.lit(None).cast("string").alias("error"))
+    g = e.select(
+        F.floor(F.col("vec_id") / 25).cast("long").alias("episode_index"), F.lit("top").alias("camera"), (F.col("vec_id") % 25).alias("frame_index"),
+        F.lit(8).alias("height"), F.lit(8).alias("width"), floats("embedding").alias("gray"), F.lit(None).cast("string").alias("error")
+    )
     return rounded(video.glitch_verdicts(video.score_frame_glitches(g)), "max_score")
 
 

@@ -43,14 +43,24 @@ def a2(spark, d):
     root = written(ds.with_(stats=stats.episode_stats(ds.frames, [STATE], {STATE: 2})), "chunked")
     s = F.col("stats")[STATE]
     parts = [
-        datasets.read_episodes(spark, root).select(F.lit("episode").alias("kind"), F.col("episode_index").alias("key"), F.array_join("tasks", ",").alias("text"), F.col("length").alias("n")),
-        datasets.read_tasks(spark, root).select(F.lit("task").alias("kind"), F.col("task_index").alias("key"), F.col("task").alias("text"), F.lit(0).cast("long").alias("n")),
-        datasets.read_episode_stats(spark, root).select(F.lit("stats").alias("kind"), F.col("episode_index").alias("key"), F.format_string("%.2f", s["max"][0]).alias("text"), s["count"][0].alias("n")),
+        datasets.read_episodes(spark, root).select(
+            F.lit("episode").alias("kind"), F.col("episode_index").alias("key"), F.array_join("tasks", ",").alias("text"), F.col("length").alias("n")
+        ),
+        datasets.read_tasks(spark, root).select(
+            F.lit("task").alias("kind"), F.col("task_index").alias("key"), F.col("task").alias("text"), F.lit(0).cast("long").alias("n")
+        ),
+        datasets.read_episode_stats(spark, root).select(
+            F.lit("stats").alias("kind"), F.col("episode_index").alias("key"), F.format_string("%.2f", s["max"][0]).alias("text"),
+            s["count"][0].alias("n")
+        ),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("a3_write_episode_files", f"WITH {EVENTS_SQL} SELECT episode_index, frame_index, task_index, s1, s2, printf('data/chunk-%03d/episode_%06d.parquet', episode_index // 1000, episode_index) AS path FROM f")
+@query(
+    "a3_write_episode_files",
+    f"WITH {EVENTS_SQL} SELECT episode_index, frame_index, task_index, s1, s2, printf('data/chunk-%03d/episode_%06d.parquet', episode_index // 1000, episode_index) AS path FROM f"
+)
 def a3(spark, d):
     """A file for each episode, and each frame with the file that it came back from."""
     root = written(Dataset.of_frames(frames_from_events(spark, d)), "per_episode")
@@ -59,7 +69,10 @@ def a3(spark, d):
     return f.select("episode_index", "frame_index", "task_index", col_(STATE)[0].alias("s1"), col_(STATE)[1].alias("s2"), path.alias("path"))
 
 
-@query("a4_conform_to_schema", f"WITH {EVENTS_SQL} SELECT frame_index::INT AS frame_index, task_index::VARCHAR AS task_index, round(timestamp::DOUBLE, 3) AS timestamp, episode_index, s1 FROM f")
+@query(
+    "a4_conform_to_schema",
+    f"WITH {EVENTS_SQL} SELECT frame_index::INT AS frame_index, task_index::VARCHAR AS task_index, round(timestamp::DOUBLE, 3) AS timestamp, episode_index, s1 FROM f"
+)
 def a4(spark, d):
     f = events(spark, d, "all")
     wanted = f.select(F.col("frame_index").cast("int"), F.col("task_index").cast("string"), F.col("timestamp").cast("double")).schema
@@ -76,7 +89,10 @@ def a5(spark, d):
     return found.select("path", "empty")
 
 
-@query("a6_report_sink", f"WITH {LINEITEM_SQL} SELECT task_index, count(*) AS frames, count(DISTINCT episode_index) AS episodes FROM f GROUP BY task_index")
+@query(
+    "a6_report_sink",
+    f"WITH {LINEITEM_SQL} SELECT task_index, count(*) AS frames, count(DISTINCT episode_index) AS episodes FROM f GROUP BY task_index"
+)
 def a6(spark, d):
     """A report that comes back from its CSV file."""
     f = of_lineitem(spark, d).frames
@@ -105,7 +121,9 @@ SELECT dim::INT AS dim, round(CASE WHEN turned THEN -m ELSE m END, 6) + 0.0 AS m
 def f2_norm(spark, d):
     """Mean, deviation and 1st and 99th percentile of the state, mirrored (joints 1, 4 and 6 turn)."""
     norms = jobs.norm_stats(frames_from_embeddings(spark, d), {STATE: 14})
-    flat = augment.mirror_norm_stats(norms, MIRROR, [STATE]).select(F.posexplode(F.arrays_zip("mean", "std", "q01", "q99")).alias("dim", "z")).select("dim", "z.*")
+    flat = augment.mirror_norm_stats(norms, MIRROR, [STATE]).select(
+        F.posexplode(F.arrays_zip("mean", "std", "q01", "q99")).alias("dim", "z")
+    ).select("dim", "z.*")
     return rounded(flat, "mean", "std", "q01", "q99")
 
 
@@ -142,7 +160,9 @@ def j2(spark, d):
     ds = jobs.trim_tails(of_embeddings(spark, d), frames=4)
     s = F.col("stats")[STATE]
     first = ds.frames.groupBy("episode_index").agg(F.min("index").alias("first_index"))
-    out = ds.stats.select("episode_index", s["count"][0].alias("length"), s["max"][0].alias("s_max"), s["mean"][1].alias("s_mean")).join(first, "episode_index")
+    out = ds.stats.select(
+        "episode_index", s["count"][0].alias("length"), s["max"][0].alias("s_max"), s["mean"][1].alias("s_mean")
+    ).join(first, "episode_index")
     return rounded(out, "s_max", "s_mean")
 
 
@@ -152,7 +172,9 @@ SELECT row_number() OVER (ORDER BY o) - 1 AS episode_index, n, (sum(n) OVER (ORD
   FROM l) AS total_episodes FROM l""")
 def j3(spark, d):
     ds = jobs.remove(of_lineitem(spark, d), "7, 100-200")
-    rows = ds.frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("n"), F.min("index").alias("first_index"), F.sum(col_(STATE)[0]).alias("total"))
+    rows = ds.frames.groupBy("episode_index").agg(
+        F.count(F.lit(1)).alias("n"), F.min("index").alias("first_index"), F.sum(col_(STATE)[0]).alias("total")
+    )
     return rows.withColumn("total_episodes", F.lit(ds.info.total_episodes).cast("long"))
 
 
@@ -167,7 +189,10 @@ def totals_sql(source: str) -> str:
     return f"SELECT count(DISTINCT e) AS total_episodes, count(*) AS total_frames, count(DISTINCT t) AS total_tasks, ceil(count(DISTINCT e) / 1000)::BIGINT AS total_chunks, '0:' || count(DISTINCT e) AS train FROM {source}"
 
 
-@query("j4_remove_short_totals", f"WITH {LINEITEM_SQL}, k AS (SELECT episode_index AS e, task_index AS t FROM f QUALIFY count(*) OVER (PARTITION BY episode_index) >= 4) {totals_sql('k')}")
+@query(
+    "j4_remove_short_totals",
+    f"WITH {LINEITEM_SQL}, k AS (SELECT episode_index AS e, task_index AS t FROM f QUALIFY count(*) OVER (PARTITION BY episode_index) >= 4) {totals_sql('k')}"
+)
 def j4(spark, d):
     return totals(spark, jobs.remove_short(of_lineitem(spark, d), 4).info)
 
@@ -241,7 +266,10 @@ def poses_sql(digits: int = 6) -> str:
     def arm(name: str, first: int, base) -> str:
         frame = base_frame(base)
         start = [v for a in ("x", "y", "z", "p") for v in frame[a]]
-        rows = ", ".join(f"[cos(state[{first + i}] + {c['zero']!r}), sin(state[{first + i}] + {c['zero']!r}), {c['a']!r}, {c['d']!r}, {c['ca']!r}, {c['sa']!r}]" for i, c in enumerate(links()))
+        rows = ", ".join(
+            f"[cos(state[{first + i}] + {c['zero']!r}), sin(state[{first + i}] + {c['zero']!r}), {c['a']!r}, {c['d']!r}, {c['ca']!r}, {c['sa']!r}]" for i,
+            c in enumerate(links())
+        )
         side, up = [f"(m[{4 + i}] * k[5] + m[{7 + i}] * k[6])" for i in range(3)], [f"(m[{7 + i}] * k[5] - m[{4 + i}] * k[6])" for i in range(3)]
         step = [f"m[{1 + i}] * k[1] + {side[i]} * k[2]" for i in range(3)] + [f"{side[i]} * k[1] - m[{1 + i}] * k[2]" for i in range(3)]
         step += up + [f"m[{10 + i}] + m[{1 + i}] * k[3] + {up[i]} * k[4]" for i in range(3)]
@@ -268,7 +296,9 @@ def j12(spark, d):
     parts = [
         report["voxels"].select(F.lit("voxels").alias("report"), "arm", "ix", "iy", "iz", "n"),
         report["top"].select(F.lit("top").alias("report"), "arm", "ix", "iy", "iz", F.col("rank").cast("long").alias("n")),
-        report["summary"].select(F.lit("summary").alias("report"), "arm", F.col("voxels").alias("ix"), none.alias("iy"), none.alias("iz"), F.col("valid").alias("n")),
+        report["summary"].select(
+            F.lit("summary").alias("report"), "arm", F.col("voxels").alias("ix"), none.alias("iy"), none.alias("iz"), F.col("valid").alias("n")
+        ),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -295,7 +325,9 @@ def j14(spark, d):
     names = {k: {"dtype": "float32", "names": FORCES} for k in (STATE, ACTION)}
     ds = jobs.force_deltas(of_embeddings(spark, d, features=names))
     s, a = F.col("stats")[STATE], F.col("stats")[ACTION]
-    out = ds.stats.select("episode_index", s["max"][8].alias("s_x_max"), a["min"][13].alias("a_z_min"), s["max"][7].alias("kept_max"), s["count"][0].alias("n"))
+    out = ds.stats.select(
+        "episode_index", s["max"][8].alias("s_x_max"), a["min"][13].alias("a_z_min"), s["max"][7].alias("kept_max"), s["count"][0].alias("n")
+    )
     return rounded(out, "s_x_max", "a_z_min", "kept_max", digits=4)
 
 
@@ -307,7 +339,10 @@ SELECT episode_index, round(max(1 - 2 * ((state[5] / n)**2 + (state[6] / n)**2))
 def j15(spark, d):
     ds = jobs.rotation_states(of_embeddings(spark, d))
     s = F.col("stats")[STATE]
-    out = ds.stats.select("episode_index", s["max"][3].alias("r0_max"), s["min"][8].alias("r5_min"), s["max"][9].alias("grip_max"), F.size(s["max"]).cast("long").alias("width"))
+    out = ds.stats.select(
+        "episode_index", s["max"][3].alias("r0_max"), s["min"][8].alias("r5_min"), s["max"][9].alias("grip_max"),
+        F.size(s["max"]).cast("long").alias("width")
+    )
     return rounded(out, "r0_max", "r5_min", "grip_max", digits=4)
 
 
@@ -320,7 +355,10 @@ def j16(spark, d):
     renamed = ds.with_(info=DatasetInfo(features={"front": {"dtype": "video"}}))
     out = jobs.align(ds, reference, {"top": "front"}, "pick it up", validate.expected_files(renamed).withColumn("length", F.lit(1)))
     video = format_path(out.info.video_path, out.info.chunks_size, video_key=F.lit(out.info.video_keys()[0]))
-    return out.episodes.select("episode_index", F.array_join("tasks", ",").alias("tasks"), "task_index", "length", video.alias("video"), F.lit(out.info.robot_type).alias("robot"))
+    return out.episodes.select(
+        "episode_index", F.array_join("tasks", ",").alias("tasks"), "task_index", "length", video.alias("video"),
+        F.lit(out.info.robot_type).alias("robot")
+    )
 
 
 def glitch_sql() -> str:

@@ -22,7 +22,9 @@ def recomputed(ds: Dataset, features: Sequence[str] = (STATE, ACTION), widths: d
     return out.with_(info=stats.rebuild_info(out)[0]) if info else out
 
 
-def clean_idle(ds: Dataset, head: int = 0, tail: int = 0, features: Sequence[str] = (STATE, ACTION), widths: dict | None = None, info: bool = True, **options) -> tuple[Dataset, DataFrame]:
+def clean_idle(
+    ds: Dataset, head: int = 0, tail: int = 0, features: Sequence[str] = (STATE, ACTION), widths: dict | None = None, info: bool = True, **options
+) -> tuple[Dataset, DataFrame]:
     """J1."""
     if head or tail:
         ds = select.trim_frames(ds, head, tail, on_short="drop")
@@ -56,7 +58,14 @@ def checked_rules(ds: Dataset) -> None:
 
 def norm_stats(frames: DataFrame, features: dict[str, int]) -> DataFrame:
     """(feature, mean, std, q01, q99) as arrays, for vectors of the given widths."""
-    dims = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.lit(i).alias("dim"), F.get(doubles(f), F.lit(i)).alias("x")) for f, n in features.items() for i in range(n))))
+    dims = F.explode(
+        F.array(
+            *(
+                F.struct(F.lit(f).alias("feature"), F.lit(i).alias("dim"), F.get(doubles(f), F.lit(i)).alias("x")) for f,
+                n in features.items() for i in range(n)
+            )
+        )
+    )
     rows = frames.select(dims.alias("d")).select("d.*")
     moments = rows.groupBy("feature", "dim").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
     both = exact_quantiles(rows, ["feature", "dim"], "x", [0.01, 0.99]).join(moments, ["feature", "dim"])
@@ -115,9 +124,15 @@ def check_up(ds: Dataset, inventory: DataFrame | None = None) -> DataFrame:
     ds = settled(ds)
     parts = [
         validate.length_reconciliation(ds).select(F.lit("lengths").alias("check"), F.col("episode_index").cast("string").alias("subject"), "problem"),
-        tasks.task_reference_report(ds).select(F.lit("tasks").alias("check"), F.col("task_index").cast("string").alias("subject"), F.col("kind").alias("problem")),
-        validate.index_violations(ds).groupBy("episode_index", "rule").agg(F.count(F.lit(1)).alias("n")).select(F.lit("indices").alias("check"), F.col("episode_index").cast("string").alias("subject"), F.col("rule").alias("problem")),
-        validate.metadata_violations(ds).select(F.lit("metadata").alias("check"), F.concat_ws(" ", "table", F.col("key").cast("string")).alias("subject"), F.col("rule").alias("problem")),
+        tasks.task_reference_report(ds).select(
+            F.lit("tasks").alias("check"), F.col("task_index").cast("string").alias("subject"), F.col("kind").alias("problem")
+        ),
+        validate.index_violations(ds).groupBy("episode_index", "rule").agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit("indices").alias("check"), F.col("episode_index").cast("string").alias("subject"), F.col("rule").alias("problem")
+        ),
+        validate.metadata_violations(ds).select(
+            F.lit("metadata").alias("check"), F.concat_ws(" ", "table", F.col("key").cast("string")).alias("subject"), F.col("rule").alias("problem")
+        ),
     ]
     if inventory is not None:
         parts.append(validate.missing_files(ds, inventory).select(F.lit("files").alias("check"), F.col("path").alias("subject"), "problem"))
@@ -138,14 +153,20 @@ def jump_report(ds: Dataset, threshold: float = 0.01, dims: Sequence[int] = (6,
     """J11."""
     deltas = windows.frame_deltas(ds.frames, dims=dims)
     spread = profile.histogram(deltas, "delta", ["signal", "dim"])
-    return {"events": windows.jump_events(deltas, threshold), "histogram": spread, "summary": windows.jump_summary(deltas, threshold), "top": windows.top_jump_episodes(deltas)}
+    return {
+        "events": windows.jump_events(deltas, threshold), "histogram": spread, "summary": windows.jump_summary(deltas, threshold),
+        "top": windows.top_jump_episodes(deltas)
+    }
 
 
 def occupancy_report(ds: Dataset, size: float = 0.01, k: int = 200) -> dict[str, DataFrame]:
     """J12."""
     poses = occupancy.forward_kinematics(ds.frames)
     voxels = occupancy.voxelize(poses, size)
-    return {"voxels": voxels, "top": occupancy.top_voxels(voxels, k, ds.info.fps), "summary": occupancy.position_summary(poses, voxels, ds.info.fps), "planes": occupancy.plane_density(poses, size)}
+    return {
+        "voxels": voxels, "top": occupancy.top_voxels(voxels, k, ds.info.fps), "summary": occupancy.position_summary(poses, voxels, ds.info.fps),
+        "planes": occupancy.plane_density(poses, size)
+    }
 
 
 def remove_pose_idle(ds: Dataset, min_s: float = 2.0, **tolerances) -> Dataset:

@@ -84,7 +84,9 @@ class Dataset:
             number = F.col("task_index").cast("long")
             tasks = frames.select(number.alias("task_index")).distinct().withColumn("task", F.concat(F.lit("task "), F.col("task_index")))
             names = F.transform(F.sort_array(F.collect_set(number)), lambda x: F.concat(F.lit("task "), x))
-            return cls(frames, frames.groupBy("episode_index").agg(names.alias("tasks"), F.count(F.lit(1)).alias("length")), tasks, info or DatasetInfo())
+            return cls(
+                frames, frames.groupBy("episode_index").agg(names.alias("tasks"), F.count(F.lit(1)).alias("length")), tasks, info or DatasetInfo()
+            )
         named = frames.groupBy("episode_index", "task_index").agg(F.count(F.lit(1)).alias("n")).join(small(tasks), "task_index", "left")
         ordered = F.transform(F.sort_array(F.collect_list(F.when(F.col("task").isNotNull(), F.struct("task_index", "task")))), lambda x: x["task"])
         episodes = named.groupBy("episode_index").agg(ordered.alias("tasks"), F.sum("n").alias("length"))

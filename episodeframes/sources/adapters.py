@@ -58,7 +58,9 @@ def frames_from_embeddings(spark: SparkSession, sf_dir: str, per_episode: int =
     e = table(spark, sf_dir, "embeddings")
     return e.select(
         F.floor(F.col("vec_id") / per_episode).cast("long").alias("episode_index"), (F.col("vec_id") % per_episode).cast("long").alias("frame_index"),
-        F.col("vec_id").alias("index"), ((F.col("vec_id") % per_episode) / F.lit(30.0)).cast("float").alias("timestamp"), F.col("label").cast("long").alias("task_index"),
+        F.col("vec_id").alias("index"), (
+            (F.col("vec_id") % per_episode) / F.lit(30.0)
+        ).cast("float").alias("timestamp"), F.col("label").cast("long").alias("task_index"),
         F.slice("embedding", 1, 14).cast("array<double>").alias(STATE), F.slice("embedding", 15, 14).cast("array<double>").alias(ACTION),
     )
 
@@ -71,10 +73,14 @@ EMBEDDINGS_SQL = """f AS (
 def frames_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order is an episode. Line numbers repeat, so frames are numbered by an order over several columns."""
     item = table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    w = Window.partitionBy("l_orderkey").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax"
+    )
     return item.select(
         F.col("l_orderkey").alias("episode_index"), (F.row_number().over(w) - 1).cast("long").alias("frame_index"),
-        F.col("l_linenumber").cast("long").alias("task_index"), F.array("l_quantity", "l_extendedprice").alias(STATE), F.array("l_discount", "l_tax").alias(ACTION),
+        F.col("l_linenumber").cast("long").alias("task_index"), F.array(
+            "l_quantity", "l_extendedprice"
+        ).alias(STATE), F.array("l_discount", "l_tax").alias(ACTION),
     )
 
 

@@ -89,7 +89,9 @@ def read_episode_stats(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_dataset(spark: SparkSession, root: str) -> Dataset:
-    return Dataset(read_frames(spark, root), read_episodes(spark, root), read_tasks(spark, root), read_info(spark, root), read_episode_stats(spark, root))
+    return Dataset(
+        read_frames(spark, root), read_episodes(spark, root), read_tasks(spark, root), read_info(spark, root), read_episode_stats(spark, root)
+    )
 
 
 def conform_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -103,7 +105,10 @@ def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
     base = root.rstrip("/")
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(base).select("path", "length")
     relative = F.regexp_extract("path", r"^.*?/((?:data|videos|meta)/.*)$", 1)
-    return df.select(relative.alias("path"), "length", (F.col("length") == 0).alias("empty"), F.when(relative.startswith("videos/"), F.regexp_extract(relative, r"([^/]+)/[^/]+$", 1)).alias("video_key"))
+    return df.select(
+        relative.alias("path"), "length", (F.col("length") == 0).alias("empty"),
+        F.when(relative.startswith("videos/"), F.regexp_extract(relative, r"([^/]+)/[^/]+$", 1)).alias("video_key")
+    )
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
@@ -150,10 +155,14 @@ def write_dataset(ds: Dataset, root: str, layout: str = "chunked", mode: str = "
         # names with dots don't survive the grouped call
         names = ds.frames.columns
         plain = ds.frames.toDF(*(f"_{i}" for i in range(len(names))))
-        plain.groupBy(f"_{names.index('episode_index')}").applyInArrow(_write_episode(root, ds.info, names), "episode_index long, rows long").write.format("noop").mode("overwrite").save()
+        plain.groupBy(f"_{names.index('episode_index')}").applyInArrow(
+            _write_episode(root, ds.info, names), "episode_index long, rows long"
+        ).write.format("noop").mode("overwrite").save()
     else:
         frames = ds.frames.withColumn("episode_chunk", F.floor(F.col("episode_index") / ds.info.chunks_size))
-        frames.repartitionByRange("episode_index").sortWithinPartitions("episode_index", "frame_index").write.mode("overwrite").partitionBy("episode_chunk").parquet(f"{root}/data")
+        frames.repartitionByRange("episode_index").sortWithinPartitions(
+            "episode_index", "frame_index"
+        ).write.mode("overwrite").partitionBy("episode_chunk").parquet(f"{root}/data")
     tables = {"episodes": (ds.episodes, "episode_index"), "tasks": (ds.tasks, "task_index")}
     if ds.stats is not None:
         tables["episodes_stats"] = (ds.stats, "episode_index")

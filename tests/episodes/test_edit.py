@@ -25,7 +25,9 @@ def test_extract_range(spark):
     got = rows(out.frames, "index", "episode_index", "frame_index", "task_index")
     assert got == [(0, 0, 0, 1), (1, 0, 1, 1), (2, 0, 2, 1), (3, 1, 0, 1), (4, 1, 1, 1), (5, 2, 0, 0), (6, 2, 1, 0)]
     info, changed = stats.rebuild_info(out)
-    assert (info.total_episodes, info.total_frames, info.total_chunks, info.total_videos, info.splits) == (3, 7, 2, 3, {"train": "0:3"}) and changed["total_episodes"] == (999, 3)
+    assert (
+        info.total_episodes, info.total_frames, info.total_chunks, info.total_videos, info.splits
+    ) == (3, 7, 2, 3, {"train": "0:3"}) and changed["total_episodes"] == (999, 3)
     agg = stats.aggregate_stats(out.stats).first()
     assert (agg["min"], agg["max"], agg.n) == (2, 4, 7) and agg["mean"] == pytest.approx((2 * 3 + 3 * 2 + 4 * 2) / 7)
 
@@ -63,7 +65,9 @@ def test_repair_is_idempotent(spark):
 
 
 def test_writer_renumbers(spark):
-    f = spark.createDataFrame([(5, 0, 100, 1.0), (5, 1, 101, 2.0), (8, 0, 900, 3.0)], "episode_index long, frame_index long, index long, value double").withColumn("task_index", F.lit(0).cast("long"))
+    f = spark.createDataFrame(
+        [(5, 0, 100, 1.0), (5, 1, 101, 2.0), (8, 0, 900, 3.0)], "episode_index long, frame_index long, index long, value double"
+    ).withColumn("task_index", F.lit(0).cast("long"))
     out = reindex.reindex(Dataset.of_frames(f))
     assert rows(out.frames, "episode_index", "frame_index", "index", "value") == [(0, 0, 0, 1.0), (0, 1, 1, 2.0), (1, 0, 2, 3.0)]
 
@@ -80,7 +84,9 @@ def test_prefix_in_blocks(spark, monkeypatch):
 def test_select_remove_head_label(spark):
     ds = range_dataset(spark)
     assert rows(select.select_episodes(ds, [1, 3]).episodes, "episode_index", "length") == [(0, 3), (1, 2)]
-    assert rows(select.remove_episodes(ds, [1, 3]).frames, "index", "episode_index", "task_index") == [(0, 0, 0), (1, 0, 0), (2, 1, 1), (3, 1, 1), (4, 2, 0)]
+    assert rows(
+        select.remove_episodes(ds, [1, 3]).frames, "index", "episode_index", "task_index"
+    ) == [(0, 0, 0), (1, 0, 0), (2, 1, 1), (3, 1, 1), (4, 2, 0)]
     assert select.remove_short_episodes(ds, 2).episodes.count() == 4
     assert rows(select.head_episodes(ds, 2).episodes, "episode_index") == [(0,), (1,)]
     assert [r.terminated for r in select.label_terminated(ds.episodes, 3).orderBy("episode_index").collect()] == [False, False, False, True, True]
@@ -105,7 +111,9 @@ def test_trim_and_decimate(spark):
     with pytest.raises(Exception, match="not longer"):
         select.trim_frames(ds, tail=1).frames.collect()
     thin = select.decimate(ds, 2)
-    assert rows(thin.episodes, "episode_index", "length") == [(0, 1), (1, 2), (2, 1), (3, 1), (4, 1)] and rows(thin.frames, "index", "frame_index")[2] == (2, 1)
+    assert rows(
+        thin.episodes, "episode_index", "length"
+    ) == [(0, 1), (1, 2), (2, 1), (3, 1), (4, 1)] and rows(thin.frames, "index", "frame_index")[2] == (2, 1)
     split = select.decimate_split(ds, 0.5, 2)
     assert rows(split.episodes, "episode_index", "length") == [(0, 1), (1, 2), (2, 2), (3, 2), (4, 1)]
     assert rows(select.decimate_split(ds, 0.01, 2).episodes, "length", order=["episode_index"]) == [(1,), (3,), (2,), (2,), (1,)]
@@ -122,7 +130,9 @@ def test_merge_then_extract_is_identity(spark):
     b = b.with_(tasks=spark.createDataFrame([(0, "gamma"), (1, "delta"), (2, "alpha")], "task_index long, task string"))
     out = merge.merge_datasets([a, b])
     assert rows(out.tasks, "task_index", "task") == [(0, "alpha"), (1, "beta"), (2, "gamma"), (3, "delta")]
-    assert [r[0] for r in rows(out.frames, "index")] == list(range(20)) and rows(out.episodes, "length", order=["episode_index"]) == [(n,) for n in LENGTHS * 2]
+    assert [r[0] for r in rows(out.frames, "index")] == list(range(20)) and rows(
+        out.episodes, "length", order=["episode_index"]
+    ) == [(n,) for n in LENGTHS * 2]
     assert {(r.episode_index, r.task_index) for r in out.frames.collect() if r.episode_index >= 5} == {(5, 2), (6, 0), (7, 0), (8, 3), (9, 2)}
     back = select.extract_episode_range(merge.merge_datasets([a, a]), 0, 4)
     assert rows(back.frames, "index", "episode_index", "task_index", STATE) == rows(a.frames, "index", "episode_index", "task_index", STATE)
@@ -172,7 +182,9 @@ def test_round_trip_on_disk(spark, tmp_path, layout):
     with pytest.raises(FileExistsError):
         datasets.write_dataset(ds, root, layout)
     back = datasets.read_dataset(spark, root)
-    assert rows(back.frames, "index", "episode_index", "frame_index", "task_index", STATE) == rows(ds.frames, "index", "episode_index", "frame_index", "task_index", STATE)
+    assert rows(
+        back.frames, "index", "episode_index", "frame_index", "task_index", STATE
+    ) == rows(ds.frames, "index", "episode_index", "frame_index", "task_index", STATE)
     assert rows(back.episodes, "episode_index", "tasks", "length") == rows(ds.episodes, "episode_index", "tasks", "length")
     assert back.info == ds.info and back.stats.count() == 5
     if layout == "per_episode":
@@ -189,7 +201,10 @@ def test_reads_foreign_files(spark, tmp_path):
     (tmp_path / "data/chunk-000").mkdir(parents=True)
     (tmp_path / "meta").mkdir()
     for e in (0, 1):
-        pq.write_table(pa.table({STATE: pa.array([[1.0], [2.0]], pa.list_(pa.float32(), 1)), "index": [[2 * e], [2 * e + 1]]}), tmp_path / f"data/chunk-000/episode_{e:06d}.parquet")
+        pq.write_table(
+            pa.table({STATE: pa.array([[1.0], [2.0]], pa.list_(pa.float32(), 1)), "index": [[2 * e], [2 * e + 1]]}),
+            tmp_path / f"data/chunk-000/episode_{e:06d}.parquet"
+        )
     (tmp_path / "meta/tasks.jsonl").write_text('{"task_index": 0, "task": "a"}\n\n{"task_index": 1, "task": "b"}\n')
     f = datasets.read_frames(spark, str(tmp_path))
     assert rows(f, "episode_index", "frame_index", "index") == [(0, 0, 0), (0, 1, 1), (1, 0, 2), (1, 1, 3)]
@@ -212,5 +227,7 @@ def test_checks(spark):
     assert {r.episode_index for r in validate.index_violations(stale).collect()} == {2}
     files = validate.expected_files(ds)
     assert files.count() == 10 and ("videos/chunk-001/observation.images.top/episode_000003.mp4",) in rows(files, "path")
-    gone = validate.missing_files(ds, files.filter("path not like '%000003%'").withColumn("length", F.when(F.col("path").contains("000001.mp4"), 0).otherwise(5)))
+    gone = validate.missing_files(
+        ds, files.filter("path not like '%000003%'").withColumn("length", F.when(F.col("path").contains("000001.mp4"), 0).otherwise(5))
+    )
     assert sorted(r.problem for r in gone.collect()) == ["empty", "missing", "missing"]

@@ -111,7 +111,9 @@ def test_timestamps(spark):
     assert windows.timestamp_gaps(windows.fix_timestamps(f, 30, episodes=[1]), 30).count() == 5
 
 
-@pytest.mark.parametrize("n,offset,found", [(60, None, 0), (61, None, 1), (100, (0, 0.151), 0), (100, (5, -0.151), 0), (100, (6, 0.011), 0), (100, (0, 0.149), 1)])
+@pytest.mark.parametrize(
+    "n,offset,found", [(60, None, 0), (61, None, 1), (100, (0, 0.151), 0), (100, (5, -0.151), 0), (100, (6, 0.011), 0), (100, (0, 0.149), 1)]
+)
 def test_pose_idle(spark, n, offset, found):
     pose = np.tile(np.array([*windows.TARGET_POSE, *([0.0] * 7)]), (n, 1))
     pose[:, 7:] = np.linspace(0, 1, n)[:, None]
@@ -155,7 +157,10 @@ def test_mirror(spark):
             mirror_vector(F.col("v"), bad)
     with pytest.raises(Exception, match="14 numbers"):
         v.select(mirror_vector(F.slice("v", 1, 13), (1,)).alias("m")).collect()
-    m = spark.createDataFrame([([float(i) for i in range(1, 15)], [float(i) for i in range(101, 115)], [float(i) for i in range(21, 35)])], "lo array<double>, hi array<double>, sd array<double>")
+    m = spark.createDataFrame(
+        [([float(i) for i in range(1, 15)], [float(i) for i in range(101, 115)], [float(i) for i in range(21, 35)])],
+        "lo array<double>, hi array<double>, sd array<double>"
+    )
     out = augment.mirror_measures({"min": F.col("lo"), "max": F.col("hi"), "std": F.col("sd")}, (1, 4, 6))
     r = m.select(*(c.alias(k) for k, c in out.items())).first()
     assert r["min"][0] == -108 and r["max"][0] == -8 and r["std"] == [float(x) for x in [*range(28, 35), *range(21, 28)]]
@@ -186,7 +191,9 @@ def test_force_delta(spark):
 def test_rotation(spark):
     f = frames_of(spark, {0: [[1, 2, 3, 0, 0, 0, 1, 9], [1, 2, 3, 0, 0, 2, 0, 9], [0, 0, 0, 1, 1, 0, 0, 0]]})
     got = [r[STATE] for r in transforms.quat_state_to_rot6d(f, (0, 1, 2), (3, 4, 5, 6), 7).orderBy("frame_index").collect()]
-    assert got[0] == pytest.approx([1, 2, 3, 1, 0, 0, 0, 1, 0, 9]) and got[1] == pytest.approx([1, 2, 3, -1, 0, 0, 0, -1, 0, 9]) and got[2] == pytest.approx([0, 0, 0, 0, 1, 0, 1, 0, 0, 0], abs=1e-6)
+    assert got[0] == pytest.approx([1, 2, 3, 1, 0, 0, 0, 1, 0, 9]) and got[1] == pytest.approx([1, 2, 3, -1, 0, 0, 0, -1, 0, 9]) and got[2] == pytest.approx(
+        [0, 0, 0, 0, 1, 0, 1, 0, 0, 0], abs=1e-6
+    )
     for bad in ([0] * 8, [0, 0, 0, float("inf"), 0, 0, 1, 0]):
         with pytest.raises(Exception, match="without a direction"):
             transforms.quat_state_to_rot6d(frames_of(spark, {0: [bad]}), (0, 1, 2), (3, 4, 5, 6), 7).collect()
@@ -211,7 +218,9 @@ def test_kinematics(spark):
         arm_poses(np.zeros((1, 7)))
     ds = Dataset.of_frames(frames_of(spark, {0: [[*two[0], 0, *two[1], 0]] * 3}))
     poses = occupancy.forward_kinematics(ds.frames).filter("frame_index = 0").orderBy("arm").collect()
-    assert [poses[0].x, poses[0].pitch] == pytest.approx([arm_poses(two[:1])[0][0], arm_poses(two[:1])[0][4]]) and poses[1].y == pytest.approx(arm_poses(two[1:])[0][1] - 0.71)
+    assert [poses[0].x, poses[0].pitch] == pytest.approx(
+        [arm_poses(two[:1])[0][0], arm_poses(two[:1])[0][4]]
+    ) and poses[1].y == pytest.approx(arm_poses(two[1:])[0][1] - 0.71)
     report = jobs.occupancy_report(ds)
     assert [r.n for r in report["voxels"].collect()] == [3, 3] and report["summary"].count() == 2 and report["top"].count() == 2
 
@@ -223,7 +232,9 @@ def test_profile(spark):
     assert [r.episode_index for r in profile.out_of_range_episodes(f).collect()] == [0] and profile.out_of_range_share(f).first().percent == 50
     shares = {(r.dim, r.value): r.percent for r in profile.discrete_shares(f, STATE, 2, 3).collect()}
     assert shares == {(0, 0.0): 25.0, (0, 1.0): 75.0}
-    assert profile.dimension_names(["x"], 2) == ["dim_0", "dim_1"] and [c for *_, c in profile.classify_dimensions(["left_a", "neck_joint", "q"])] == ["Left Arm", "Trunk Joints", "Other"]
+    assert profile.dimension_names(["x"], 2) == ["dim_0", "dim_1"] and [
+        c for *_, c in profile.classify_dimensions(["left_a", "neck_joint", "q"])
+    ] == ["Left Arm", "Trunk Joints", "Other"]
     x = np.random.default_rng(4).normal(size=900)
     h = profile.histogram(spark.createDataFrame([(0, float(v)) for v in x], "g int, x double"), "x", ["g"]).collect()
     want = np.histogram(x, 30)[0]
@@ -231,7 +242,10 @@ def test_profile(spark):
 
 
 def test_latency(spark):
-    m = spark.createDataFrame([("a", 2_000_000, 1_000_000), ("a", 5_000_000, 500_000), ("b", 9_000_000, 0), ("b", 4_000_000, None), ("b", 7_000_000, 3_000_000)], "topic string, log_ts_ns long, header_ts_ns long")
+    m = spark.createDataFrame(
+        [("a", 2_000_000, 1_000_000), ("a", 5_000_000, 500_000), ("b", 9_000_000, 0), ("b", 4_000_000, None), ("b", 7_000_000, 3_000_000)],
+        "topic string, log_ts_ns long, header_ts_ns long"
+    )
     times = sorted((r.topic, round(r.time_s * 1e3, 6), r.latency_ms) for r in latency.topic_latency(m).collect())
     assert times == [("a", -0.5, 4.5), ("a", 0.0, 1.0), ("b", 2.0, 4.0)]
     s = {r.topic: r for r in latency.topic_latency_summary(m).collect()}
@@ -239,7 +253,9 @@ def test_latency(spark):
 
 
 def test_video_tables(spark):
-    k = spark.createDataFrame([("a", 0.0, 90), ("a", 1.0, 90), ("a", 1.5, 90), ("b", 0.0, 40), ("c", None, 10)], "path string, ts double, n_frames long")
+    k = spark.createDataFrame(
+        [("a", 0.0, 90), ("a", 1.0, 90), ("a", 1.5, 90), ("b", 0.0, 40), ("c", None, 10)], "path string, ts double, n_frames long"
+    )
     g = {r.path: r for r in video.keyframe_gaps(k, 30).collect()}
     assert (g["a"].max_gap, g["a"].gop, g["a"].warn, g["b"].gop, g["b"].warn, g["c"].keyframes, g["c"].gop) == (1.0, 30, True, 40, True, 0, None)
     assert [r.path for r in video.worst_gaps(video.keyframe_gaps(k, 30), 2).collect()] == ["a", "b"]
@@ -262,7 +278,9 @@ def test_glitches(spark):
     noise = rng.random((9, 16, 12)).astype("f4")
     assert video.glitch_scores(noise[1:], noise[:-1]) == pytest.approx([score(a, b) for a, b in zip(noise[1:], noise[:-1])])
     seq = [flat, torn, flat, torn, flat]
-    rows = [(0, "top", i, 32, 32, bytearray(x.tobytes()), None) for i, x in enumerate(seq)] + [(1, "top", i, 32, 32, bytearray(flat.tobytes()), None) for i in range(3)] + [(2, "top", 0, 0, 0, None, "broken")]
+    rows = [
+        (0, "top", i, 32, 32, bytearray(x.tobytes()), None) for i, x in enumerate(seq)
+    ] + [(1, "top", i, 32, 32, bytearray(flat.tobytes()), None) for i in range(3)] + [(2, "top", 0, 0, 0, None, "broken")]
     df = spark.createDataFrame(rows, "episode_index long, camera string, frame_index long, height int, width int, gray binary, error string")
     v = {r.episode_index: r for r in video.glitch_verdicts(video.score_frame_glitches(df)).collect()}
     assert v[0].abnormal and v[0].strong >= 2 and not v[1].abnormal and v[2].abnormal and v[1].checked == 3
@@ -271,7 +289,9 @@ def test_glitches(spark):
 
 def test_vector_guards_and_paths(spark):
     f = frames_of(spark, {0: [[1, 2], [1, float("inf")], [1, 3]]}).unionByName(frames_of(spark, {1: [[1]]}))
-    assert {(r.episode_index, r.frame_index, r.rule) for r in validate.vector_violations(f, STATE).collect()} == {(0, 1, "not finite"), (1, 0, "width")}
+    assert {
+        (r.episode_index, r.frame_index, r.rule) for r in validate.vector_violations(f, STATE).collect()
+    } == {(0, 1, "not finite"), (1, 0, "width")}
     assert validate.vector_violations(f, STATE, dims=[0]).count() == 1
     df = spark.createDataFrame([(1234, "top")], "episode_index long, video_key string")
     path = df.select(format_path("v/c-{episode_chunk:03d}/{video_key}/e_{episode_index:06d}.mp4").alias("p")).first().p
@@ -295,7 +315,10 @@ def test_jump_and_force_jobs(spark):
 def test_quantiles_of_groups(spark):
     """Against numpy: ties, one value, nulls, a group with most rows, and edges that fall together."""
     rng = np.random.default_rng(11)
-    groups = {"a": rng.normal(size=3000), "b": np.round(rng.normal(size=500), 1), "c": np.array([7.0]), "d": np.array([1.0] * 400 + [2.0]), "e": np.array([3.0, 1.0])}
+    groups = {
+        "a": rng.normal(size=3000), "b": np.round(rng.normal(size=500), 1), "c": np.array([7.0]), "d": np.array([1.0] * 400 + [2.0]),
+        "e": np.array([3.0, 1.0])
+    }
     rows = [(g, 0, float(x)) for g, v in groups.items() for x in v] + [("a", 0, None), ("f", 0, None)]
     df = spark.createDataFrame(rows, "g string, h int, x double").repartition(5)
     probabilities = [0.0, 0.01, 0.25, 0.5, 0.95, 0.999, 1.0]
@@ -303,7 +326,9 @@ def test_quantiles_of_groups(spark):
         got = {r.g: r.q for r in exact_quantiles(df, ["g", "h"], "x", probabilities, few).collect()}
         assert set(got) == set(groups) and all(got[g] == pytest.approx(np.quantile(v, probabilities)) for g, v in groups.items())
     whole = exact_quantiles(df, [], "x", [0.3]).first().q
-    assert whole == pytest.approx(np.quantile(np.concatenate(list(groups.values())), [0.3])) and exact_quantiles(df.limit(0), ["g"], "x", [0.5]).collect() == []
+    assert whole == pytest.approx(
+        np.quantile(np.concatenate(list(groups.values())), [0.3])
+    ) and exact_quantiles(df.limit(0), ["g"], "x", [0.5]).collect() == []
 
 
 def test_split_and_norm_jobs(spark):

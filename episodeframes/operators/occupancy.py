@@ -70,7 +70,7 @@ def position_summary(poses: DataFrame, voxels: DataFrame, fps: float = 30.0) ->
         p in enumerate(("01", "05", "50", "95", "99"))
     ]
     named = quantiles.groupBy("arm").agg(*marks)
-    return rows.join(cells, "arm", "left").join(named, "arm", "left").select(*rows.columns, *named.columns[1:], *cells.columns[1:])
+    return rows.join(F.broadcast(cells), "arm", "left").join(F.broadcast(named), "arm", "left").select(*rows.columns, *named.columns[1:], *cells.columns[1:])
 
 
 def plane_density(poses: DataFrame, size: float, max_bins: int = 250) -> DataFrame:

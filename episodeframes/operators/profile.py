@@ -45,7 +45,7 @@ def dimension_summary(frames: DataFrame, feature: str, names: Sequence[str], wid
         )
     values = frames.select(F.posexplode(v).alias("dim", "x")).filter(F.col("dim") < width).withColumn("x", F.when(~F.isnan("x"), F.col("x")))
     quartiles = exact_quantiles(values, ["dim"], "x", [0.25, 0.5, 0.75])
-    df = frames.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("m")).select("m.*").join(quartiles, "dim", "left")
+    df = frames.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("m")).select("m.*").join(F.broadcast(quartiles), "dim", "left")
     degrees = [F.when(F.col("joint"), F.degrees(c)).alias(f"{c}_deg") for c in ("min", "max")]
     return df.select(
         F.lit(feature).alias("feature"), "dim", "name", "joint", "n", "min", "max", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),

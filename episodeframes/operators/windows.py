@@ -141,7 +141,7 @@ def jump_summary(deltas: DataFrame, threshold: float = 0.01, exact: bool = True)
         ).alias("open_episodes"), F.count_distinct(F.when(closed, F.col("episode_index"))).alias("close_episodes"),
     )
     named = quantiles.select(*group, *(F.col("q")[i].alias(name) for i, name in enumerate(places)))
-    out = rows.join(named, group, "left")
+    out = rows.join(F.broadcast(named), group, "left")  # a row for each signal and dimension
     return out.select(*group, "n", "mean", "std", "min", "max", *places, *rows.columns[7:])
 
 

@@ -44,7 +44,7 @@ PERCENT = 75
 #: Members of a pivot that meet in one group of rows; a larger group is dealt to more.
 MEMBERS = 256
 #: Nodes of a bucket that meet in one group of rows; a larger bucket is dealt to a group for each pair of blocks.
-BLOCK = 160
+BLOCK = 512
 #: Bytes of text that a block holds; blocks of long texts have fewer nodes.
 BLOCK_TEXT = 8 << 20
 LEAST_AGREE = int(COORDINATES * 0.75 - 5 * (COORDINATES * 0.75 * 0.25) ** 0.5)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.kinematics import RIGHT_BASE, base_frame, links
+from ..functions.kinematics import GIMBAL, RIGHT_BASE, base_frame, links
 from ..functions.vectors import format_path
 from ..operators import augment, select, stats, validate
 from ..schema import ACTION, STATE, Dataset, DatasetInfo, col_
@@ -275,13 +275,17 @@ def poses_sql(digits: int = 6) -> str:
         step += up + [f"m[{10 + i}] + m[{1 + i}] * k[3] + {up[i]} * k[4]" for i in range(3)]
         return f"SELECT episode_index, frame_index, '{name}' AS arm, list_reduce([{rows}], lambda m, k: [{', '.join(step)}], {start!r}::DOUBLE[]) AS m FROM f"
 
-    angles = "atan2(m[6], m[9]) AS roll, atan2(-m[3], sqrt(m[1] ** 2 + m[2] ** 2)) AS pitch, atan2(m[2], m[1]) AS yaw"
+    upright = f"abs(m[3]) > {1 - GIMBAL!r}"
+    angles = ", ".join([
+        f"CASE WHEN {upright} THEN atan2(-sign(m[3]) * m[4], m[5]) ELSE atan2(m[6], m[9]) END AS roll",
+        f"CASE WHEN {upright} THEN -sign(m[3]) * pi() / 2 ELSE atan2(-m[3], sqrt(m[1] ** 2 + m[2] ** 2)) END AS pitch",
+        f"CASE WHEN {upright} THEN 0 ELSE atan2(m[2], m[1]) END AS yaw",
+    ])
     names = ("x", "y", "z", "roll", "pitch", "yaw")
     return f"""m AS ({arm("left", 1, (0,) * 6)} UNION ALL {arm("right", 8, RIGHT_BASE)}), a AS (SELECT *, m[10] AS x, m[11] AS y, m[12] AS z, {angles} FROM m),
 p AS (SELECT episode_index, frame_index, arm, {", ".join(f"round({n}, {digits}) + 0.0 AS {n}" for n in names)} FROM a)"""
 
 
-#: No tool of the tables points straight up or down, so the angles need no second case here (a test has it).
 SQL["f6_forward_kinematics"] = f"WITH {EMBEDDINGS_SQL}, {poses_sql()} SELECT * FROM p"
 
 

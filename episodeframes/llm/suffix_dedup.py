@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, mix64, partitions_for, utf8
+from .common import bounded_batches, materialize, mix64, partitions_for, release_shuffles, utf8
 
 WIDTH = 50
 GRAM = 28
@@ -441,6 +441,8 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kee
     small = rows.mapInArrow(_shrink, "doc_id long, th int, text binary")
     moved = rows.mapInArrow(_pass_1(parts), MOVED).repartitionById(parts, "bucket").sortWithinPartitions("bucket")
     first = materialize(moved.mapInArrow(_settle(FIELDS_1, settle_1), MOVED).select("kind", "doc_id", "th", "spans"), "suffixes-1")
+    del moved
+    release_shuffles(docs.sparkSession)
 
     def lists(frame: DataFrame) -> DataFrame:
         return materialize(frame.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
@@ -450,5 +452,7 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kee
     moved = opened.mapInArrow(_pass_2(parts), MOVED).repartitionById(parts, "bucket").sortWithinPartitions("bucket")
     second = moved.mapInArrow(_settle(FIELDS_2, settle_2), MOVED).select("doc_id", "th", "spans")
     repeated = lists(first.filter(f"kind = {REPEATED}").select("doc_id", "th", "spans").unionByName(second))
+    del opened, moved, second
+    release_shuffles(docs.sparkSession)
     names = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * keep_text
     return small.join(repeated, ["doc_id", "th"], "left").select("doc_id", "th", "text", "spans").mapInArrow(_cut(keep_text), names)

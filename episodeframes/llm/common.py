@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -43,15 +42,6 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * BLOCK_BYTES))
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of jobs whose frames are no longer referred to.
-
-    Its cleaner acts when the driver's JVM collects garbage, which a driver with little to do may put off for long.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def broadcast_rows(df: DataFrame, most: int, what: str) -> list:
     """Rows of a table whose size is bounded by construction (partitions, languages, words of a bitmap); checked."""
     rows = df.limit(most + 1).collect()

@@ -8,7 +8,7 @@ Pass 1 sorts one suffix for each stretch of neighbouring windows: every window n
 alone decide (a modular minimizer), so equal windows name equal anchors; digit 1 is the GRAM bytes at the anchor, digit 2
 the whole stretch of bytes that its windows cover. Equal stretches make all windows of all but the smallest document
 repeated. Stretches that share digit 1 with another document but not digit 2 go to pass 2, which sorts each of their
-windows by all WIDTH bytes. Digits are keys of byte strings: of 56 bits for a stretch among those of one gram, of 80 bits
+windows by all WIDTH bytes. Digits are keys of byte strings: of 48 bits for a stretch among those of one gram, of 72 bits
 (two sums with independent random tables) for a window. A task combines equal suffixes before the
 exchange (only the smallest document's is sent), and a digit that it sees in many stretches goes to pass 2 without being
 sent more than once, so a passage of any frequency costs each task one row. Suffixes travel in packed, compressed blocks.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, mix64, partitions_for, release_shuffles, utf8
+from .common import bounded_batches, materialize, mix64, partitions_for, utf8
 
 WIDTH = 50
 GRAM = 28
@@ -42,8 +42,8 @@ COMMON = 16
 NO_ID = np.int64((1 << 63) - 1)
 MOVED = "bucket int, kind int, n int, block binary, doc_id long, th int, spans array<int>"
 BLOCK, REPEATED, OPEN = 0, 1, 2
-FIELDS_1 = (("kh", "<u4"), ("c1", "<u4"), ("c2", "<u2"), ("c3", "u1"), ("s", "<u4"), ("n", "u1"), ("common", "u1"))
-FIELDS_2 = (("h", "<u8"), ("g", "<u2"), ("s", "<u4"))
+FIELDS_1 = (("kh", "<u4"), ("c1", "<u4"), ("c2", "<u2"), ("s", "<u4"), ("n", "u1"), ("common", "u1"))
+FIELDS_2 = (("h", "<u8"), ("g", "u1"), ("s", "<u4"))
 #: Bytes of text for each bucket of suffixes, which a task sorts in memory, and buckets that one exchange can have.
 BUCKET_BYTES, MOST_BUCKETS = 32 << 20, 100_000
 
@@ -248,7 +248,7 @@ def gather_1(kh, ctx, doc, th, s, n, buckets: int) -> Iterator[pa.RecordBatch]:
             group = slice(i, i + int(size[np.searchsorted(at, i)]))
             sent[i + int(doc[group].argmin())] = True
     columns = {
-        "kh": (kh >> np.uint64(32)), "c1": ctx & np.uint64(0xFFFFFFFF), "c2": ctx >> np.uint64(32) & np.uint64(0xFFFF), "c3": ctx >> np.uint64(56),
+        "kh": (kh >> np.uint64(32)), "c1": ctx & np.uint64(0xFFFFFFFF), "c2": ctx >> np.uint64(48),
         "doc": doc, "th": th, "s": s, "n": n, "common": many.astype(np.uint8)
     }
     bucket = (kh & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)
@@ -279,11 +279,11 @@ def _pass_1(buckets: int):
 
 def settle_1(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Digits 1 and 2 of one bucket."""
-    order = np.lexsort((c["doc"], c["c3"], c["c2"], c["c1"], c["kh"]))
+    order = np.lexsort((c["doc"], c["c2"], c["c1"], c["kh"]))
     c = {k: v[order] for k, v in c.items()}
     at = runs(c["kh"])  # before rows go: a common gram's one row may be repeated itself
     c["open"] = np.repeat(np.maximum.reduceat(c["common"], at), np.diff(np.append(at, len(order))))
-    at = runs(c["kh"], c["c1"], c["c2"], c["c3"])
+    at = runs(c["kh"], c["c1"], c["c2"])
     gone = c["doc"] > np.repeat(c["doc"][at], np.diff(np.append(at, len(order))))
     if gone.any():
         yield span_rows(REPEATED, 1, c["doc"][gone], c["th"][gone], c["s"][gone], c["n"][gone].astype(np.int64) + WIDTH - 1)
@@ -390,7 +390,7 @@ def _pass_2(buckets: int):
                     if len(part):
                         place = data[p : p + PIECE + WIDTH - 1]
                         h, g = (keys_at(*sums_of(place, which), part - p, WIDTH) for which in (0, 1))
-                        held.append((h, (g >> np.uint64(48)).astype(np.uint16), np.full(len(part), ids[k]), np.full(len(part), ths[k]), part))
+                        held.append((h, (g >> np.uint64(56)).astype(np.uint8), np.full(len(part), ids[k]), np.full(len(part), ths[k]), part))
                         count += len(part)
                 if count > HELD:
                     yield from gather_2(*map(np.concatenate, zip(*held, strict=True)), buckets)
@@ -441,8 +441,6 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kee
     small = rows.mapInArrow(_shrink, "doc_id long, th int, text binary")
     moved = rows.mapInArrow(_pass_1(parts), MOVED).repartitionById(parts, "bucket").sortWithinPartitions("bucket")
     first = materialize(moved.mapInArrow(_settle(FIELDS_1, settle_1), MOVED).select("kind", "doc_id", "th", "spans"), "suffixes-1")
-    del moved
-    release_shuffles(docs.sparkSession)
 
     def lists(frame: DataFrame) -> DataFrame:
         return materialize(frame.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
@@ -452,7 +450,5 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kee
     moved = opened.mapInArrow(_pass_2(parts), MOVED).repartitionById(parts, "bucket").sortWithinPartitions("bucket")
     second = moved.mapInArrow(_settle(FIELDS_2, settle_2), MOVED).select("doc_id", "th", "spans")
     repeated = lists(first.filter(f"kind = {REPEATED}").select("doc_id", "th", "spans").unionByName(second))
-    del opened, moved, second
-    release_shuffles(docs.sparkSession)
     names = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * keep_text
     return small.join(repeated, ["doc_id", "th"], "left").select("doc_id", "th", "text", "spans").mapInArrow(_cut(keep_text), names)

@@ -19,6 +19,7 @@ are taken in blocks and long ones in parts, so memory doesn't grow with the corp
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import itertools
 import pickle
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,8 @@ MOST_BYTES = 40 << 20
 WORDS_A_QUERY, BYTES_A_QUERY = 40_000, 1 << 20
 #: Rows of all steps of one round over long words.
 ROWS_A_ROUND = 4_000_000
+#: Ids that one query decodes; a longer list is decoded by several.
+IDS_A_QUERY = 200_000
 MEMORY, MEMORY_AT_REST = "1GB", "50MB"
 #: The pattern of the rank files in use; for it, texts in Latin-1 are split by explicit classes (the same words, faster).
 KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -139,8 +143,14 @@ class Coder:
         self.held = sum(map(held_bytes, self.recent.items()))
         self.sql.execute(f"SET memory_limit = '{MEMORY_AT_REST}'")
 
-    def wake(self) -> None:
+    @contextlib.contextmanager
+    def awake(self) -> Iterator[None]:
+        """The engine has all its memory while a task uses it, and gives it back however the task ends."""
         self.sql.execute(f"SET memory_limit = '{MEMORY}'")
+        try:
+            yield
+        finally:
+            self.rest()
 
     def split(self, text: str) -> Iterator[list[str]]:
         """The words of a text, at most WORDS_AT_ONCE in a list."""
@@ -268,15 +278,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(ranks_path, pattern)
-        code.wake()
-        for batch in batches:
-            for part, texts in _blocks(batch, 1):
-                ids = []
-                for doc in code.documents(texts):
-                    parts = [np.array(b" ".join([w[0] for w in words]).split(), np.int32) for words in doc]
-                    ids.append(np.concatenate([np.zeros(0, np.int32), *parts]))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
-        code.rest()
+        with code.awake():
+            for batch in batches:
+                for part, texts in _blocks(batch, 1):
+                    ids = []
+                    for doc in code.documents(texts):
+                        parts = [np.array(b" ".join([w[0] for w in words]).split(), np.int32) for words in doc]
+                        ids.append(np.concatenate([np.zeros(0, np.int32), *parts]))
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -284,23 +293,30 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
 
 
 def decode(coded: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """doc_id and the bytes that the ids stand for (null ids: no bytes); an id without a rank is an error."""
+    """doc_id and the bytes that the ids stand for (null ids, and nulls among them: no bytes); an id without a rank is an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(ranks_path, pattern)
-        known = code.sql.execute("SELECT max(id) FROM v").fetchall()[0][0]
-        for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
-                lists = [x or [] for x in part.column(1).to_pylist()]
-                sizes, flat = np.array([len(x) for x in lists], np.int64), np.array([y for x in lists for y in x], np.int32)
-                if len(flat) and not 0 <= flat.min() <= flat.max() <= known:
-                    raise ValueError("an id that the ranks don't have")
-                found = code.decode(pa.table({"d": np.repeat(np.arange(len(lists)), sizes), "p": np.arange(len(flat)), "id": flat}))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([found.get(k, b"") for k in range(len(lists))], pa.binary())], ["doc_id", "bytes"]
-                )
-
+        with code.awake():
+            known = code.sql.execute("SELECT max(id) FROM v").fetchall()[0][0]
+            for batch in batches:
+                lists = batch.column(1)
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                for i, j in row_blocks(np.append(0, np.cumsum(sizes)), IDS_A_QUERY):
+                    some = lists.slice(i, j - i)
+                    owner, flat = np.repeat(np.arange(j - i), sizes[i:j]), some.flatten()
+                    there = flat.is_valid().to_numpy(zero_copy_only=False)
+                    owner, flat = owner[there], flat.drop_null().to_numpy()
+                    if len(flat) and not 0 <= flat.min() <= flat.max() <= known:
+                        raise ValueError("an id that the ranks don't have")
+                    out = [[] for _ in range(j - i)]
+                    for k in range(0, len(flat), IDS_A_QUERY):  # a longer list in several queries
+                        d, ids = owner[k : k + IDS_A_QUERY], flat[k : k + IDS_A_QUERY]
+                        for at, raw in code.decode(pa.table({"d": d, "p": np.arange(len(ids)), "id": ids})).items():
+                            out[at].append(raw)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(map(b"".join, out), pa.binary())], ["doc_id", "bytes"])
+
+    bounded_batches(coded.sparkSession)
     rows = coded.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(ids).cast("array<int>").alias("ids"))
     return rows.mapInArrow(run, "doc_id long, bytes binary")
 
@@ -314,24 +330,23 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(ranks_path, pattern)
-        code.wake()
-        for batch in batches:
-            for part, texts in _blocks(batch, 1):
-                rows = []
-                for doc in code.documents(texts):
-                    n, ids, raw, between = 0, hashlib.sha256(), hashlib.sha256(), b""
-                    for words in doc:
-                        if words:
-                            decimal = b" ".join([w[0] for w in words])
-                            n += decimal.count(b" ") + 1
-                            ids.update(between + decimal)
-                            raw.update(b"".join([w[1] for w in words]))
-                            between = b" "
-                    rows.append((n, ids.hexdigest(), raw.hexdigest()))
-                n, ids, raw = zip(*rows, strict=True)
-                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(raw)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        code.rest()
+        with code.awake():
+            for batch in batches:
+                for part, texts in _blocks(batch, 1):
+                    rows = []
+                    for doc in code.documents(texts):
+                        n, ids, raw, between = 0, hashlib.sha256(), hashlib.sha256(), b""
+                        for words in doc:
+                            if words:
+                                decimal = b" ".join([w[0] for w in words])
+                                n += decimal.count(b" ") + 1
+                                ids.update(between + decimal)
+                                raw.update(b"".join([w[1] for w in words]))
+                                between = b" "
+                        rows.append((n, ids.hexdigest(), raw.hexdigest()))
+                    n, ids, raw = zip(*rows, strict=True)
+                    columns = [part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(raw)]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

@@ -3,7 +3,6 @@ import hashlib
 import random
 
 import public_tokenizers as P
-import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -96,6 +95,32 @@ def test_empty_table(spark):
     assert byte_bpe.round_trip(spark.createDataFrame([], "doc_id long, text string"), RANKS, P.PATTERN).collect() == []
 
 
-def test_unknown_id_is_an_error():
+def test_unknown_id_is_an_error(spark):
+    with pytest.raises(Exception, match="an id that the ranks don't have"):
+        byte_bpe.decode(spark.createDataFrame([(1, [0, 999_999])], "doc_id long, ids array<int>"), RANKS, P.PATTERN).collect()
+
+
+def test_nulls_among_ids(spark):
+    coded = spark.createDataFrame([(1, [0, None, 0]), (2, None), (3, []), (None, [1])], "doc_id long, ids array<int>")
+    got = {r.doc_id: bytes(r.bytes) for r in byte_bpe.decode(coded, RANKS, P.PATTERN).collect()}
+    assert got == {1: b"!!", 2: b"", 3: b"", None: b'"'}
+
+
+def test_decode_in_a_worker_that_rested(spark, library):
+    """Long documents are decoded by the workers that encoded them, in queries of bounded size."""
+    rnd = random.Random(8)
+    some = [" ".join(rnd.choice(["alpha", "Beta9", "gam-ma", "x"]) for _ in range(400_000)) for _ in range(3)]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").repartition(1)
+    coded = byte_bpe.encode(docs, RANKS, P.PATTERN)
+    rows = coded.collect()
+    assert [list(r.ids) for r in sorted(rows)] == [library.encode_ordinary(t) for t in some]
+    again = spark.createDataFrame(rows, coded.schema).coalesce(1)
+    for _ in range(2):
+        assert {r.doc_id: bytes(r.bytes) for r in byte_bpe.decode(again, RANKS, P.PATTERN).collect()} == {i: t.encode() for i, t in enumerate(some)}
+
+
+def test_rests_after_a_failed_task():
     code = byte_bpe.Coder(RANKS, P.PATTERN)
-    assert code.decode(pa.table({"d": [0], "p": [0], "id": [0]})) == {0: b"!"}
+    with pytest.raises(ZeroDivisionError), code.awake():
+        1 / 0
+    assert "47" in code.sql.execute("SELECT current_setting('memory_limit')").fetchall()[0][0]

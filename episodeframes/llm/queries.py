@@ -13,8 +13,10 @@ from .chat_views import ORACLE as OP3_SQL
 from .chat_views import views_query
 from .common import read_table
 from .decontamination import find_contaminated
+from .embedding_dedup import near_vectors
 from .exact_dedup import exact_groups
 from .language_id import identify
+from .lexical_search import search
 from .minhash_dedup import near_duplicates
 from .sharding import shards_query
 from .suffix_dedup import cut_repeats
@@ -61,6 +63,14 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 OP6_SQL = """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
@@ -86,6 +96,45 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY w.doc_id,
 """
 
 
+OP11_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS x,
+         coalesce(len(embedding) > 0 AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+                  AND list_max([abs(c) FOR c IN embedding]) > 0, false) AS good
+  FROM embeddings),
+u AS (SELECT r, vec_id, x, sqrt(list_sum([c * c FOR c IN x])) AS norm FROM v WHERE good),
+l AS (
+  SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.r <> b.r AND len(a.x) = len(b.x)
+  WHERE list_inner_product(a.x, b.x) >= 0.9 * a.norm * b.norm),
+c AS (SELECT a AS r, a AS c FROM l UNION SELECT l.b, c.c FROM c JOIN l ON l.a = c.r),
+m AS (SELECT c.r, min(v.vec_id) AS component_id FROM c JOIN v ON v.r = c.c GROUP BY c.r),
+n AS (SELECT a AS r, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM v LEFT JOIN m USING (r) LEFT JOIN n USING (r)
+"""
+
+
+OP13_SQL = """
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+g AS (SELECT count(*) AS nn, sum(n)::BIGINT AS l FROM n),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, g GROUP BY term),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nn) // l)))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN f USING (term) JOIN n USING (doc_id), g GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -98,8 +147,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_arc_to_warc": op9_arc_to_warc,
         "op10_minhash_dedup": op10_minhash_dedup,
+        "op11_embedding_dedup": op11_embedding_dedup,
+        "op13_lexical_search": op13_lexical_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_views": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op10_minhash_dedup": OP10_SQL}
+    return {"op3_chat_views": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op10_minhash_dedup": OP10_SQL, "op11_embedding_dedup": OP11_SQL, "op13_lexical_search": OP13_SQL}

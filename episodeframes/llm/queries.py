@@ -21,6 +21,7 @@ from .minhash_dedup import near_duplicates
 from .sharding import shards_query
 from .suffix_dedup import cut_repeats
 from .token_files import token_files_query
+from .whitening import whitened
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +68,10 @@ def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -148,6 +153,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_arc_to_warc": op9_arc_to_warc,
         "op10_minhash_dedup": op10_minhash_dedup,
         "op11_embedding_dedup": op11_embedding_dedup,
+        "op12_whitening": op12_whitening,
         "op13_lexical_search": op13_lexical_search,
     }
 

@@ -8,7 +8,7 @@ Pass 1 sorts one suffix for each stretch of neighbouring windows: every window n
 alone decide (a modular minimizer), so equal windows name equal anchors; digit 1 is the GRAM bytes at the anchor, digit 2
 the whole stretch of bytes that its windows cover. Equal stretches make all windows of all but the smallest document
 repeated. Stretches that share digit 1 with another document but not digit 2 go to pass 2, which sorts each of their
-windows by all WIDTH bytes. Digits are keys of byte strings: of 48 bits for a stretch among those of one gram, of 72 bits
+windows by all WIDTH bytes. Digits are keys of byte strings: of 64 bits for a stretch among those of one gram, of 96 bits
 (two sums with independent random tables) for a window. A task combines equal suffixes before the
 exchange (only the smallest document's is sent), and a digit that it sees in many stretches goes to pass 2 without being
 sent more than once, so a passage of any frequency costs each task one row. Suffixes travel in packed, compressed blocks.
@@ -42,8 +42,8 @@ COMMON = 16
 NO_ID = np.int64((1 << 63) - 1)
 MOVED = "bucket int, kind int, n int, block binary, doc_id long, th int, spans array<int>"
 BLOCK, REPEATED, OPEN = 0, 1, 2
-FIELDS_1 = (("kh", "<u4"), ("c1", "<u4"), ("c2", "<u2"), ("s", "<u4"), ("n", "u1"), ("common", "u1"))
-FIELDS_2 = (("h", "<u8"), ("g", "u1"), ("s", "<u4"))
+FIELDS_1 = (("kh", "<u4"), ("c1", "<u4"), ("c2", "<u4"), ("s", "<u4"), ("n", "u1"), ("common", "u1"))
+FIELDS_2 = (("h", "<u8"), ("g", "<u4"), ("s", "<u4"))
 #: Bytes of text for each bucket of suffixes, which a task sorts in memory, and buckets that one exchange can have.
 BUCKET_BYTES, MOST_BUCKETS = 32 << 20, 100_000
 
@@ -248,7 +248,7 @@ def gather_1(kh, ctx, doc, th, s, n, buckets: int) -> Iterator[pa.RecordBatch]:
             group = slice(i, i + int(size[np.searchsorted(at, i)]))
             sent[i + int(doc[group].argmin())] = True
     columns = {
-        "kh": (kh >> np.uint64(32)), "c1": ctx & np.uint64(0xFFFFFFFF), "c2": ctx >> np.uint64(48),
+        "kh": (kh >> np.uint64(32)), "c1": ctx & np.uint64(0xFFFFFFFF), "c2": ctx >> np.uint64(32),
         "doc": doc, "th": th, "s": s, "n": n, "common": many.astype(np.uint8)
     }
     bucket = (kh & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)
@@ -390,7 +390,7 @@ def _pass_2(buckets: int):
                     if len(part):
                         place = data[p : p + PIECE + WIDTH - 1]
                         h, g = (keys_at(*sums_of(place, which), part - p, WIDTH) for which in (0, 1))
-                        held.append((h, (g >> np.uint64(56)).astype(np.uint8), np.full(len(part), ids[k]), np.full(len(part), ths[k]), part))
+                        held.append((h, (g >> np.uint64(32)).astype(np.uint32), np.full(len(part), ids[k]), np.full(len(part), ths[k]), part))
                         count += len(part)
                 if count > HELD:
                     yield from gather_2(*map(np.concatenate, zip(*held, strict=True)), buckets)

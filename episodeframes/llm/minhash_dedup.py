@@ -307,6 +307,11 @@ def block_counts(rows: DataFrame, key: str, name: str, room) -> DataFrame:
     return materialize(counted, name)
 
 
+def with_blocks(rows: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
+    """Rows with the blocks of their key; keys of many rows, as their blocks show, are joined apart."""
+    return join_groups(rows, blocks.withColumn("_rows", (F.col("big") + F.col("rest")) * BLOCK), [key], "_rows").drop("_rows")
+
+
 def in_blocks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Rows (with top, big and rest of their key) dealt to a group (key, i, j) for each pair of blocks that may hold links.
 
@@ -326,14 +331,14 @@ def in_blocks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
 def crossing_links(placed: DataFrame, found: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (p, v) between components of nodes that share a bucket. ``placed``: (key, v, c), ``found``: (v, c)."""
     blocks = block_counts(placed, "key", "mixed", F.count(F.lit(1)) / BLOCK)
-    mixed = placed.join(blocks, "key").join(nodes.select("v", "sig"), "v")
+    mixed = with_blocks(placed, blocks, "key").join(nodes.select("v", "sig"), "v")
     edges = in_blocks(mixed, "key", ["v", "c", "sig"]).mapInArrow(_candidates, "p long, v long")
     clusters = materialize(components(edges).withColumnRenamed("c", "cluster"), "clusters")
     members = clusters.join(found, "v", "left").withColumn("c", F.coalesce("c", "v")).join(texts, "v").join(nodes.select("v", "sig"), "v")
     members = materialize(members, "cluster-members")
     room = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("text")) / BLOCK_TEXT)
     blocks = block_counts(members, "cluster", "cluster-sizes", room)
-    dealt = in_blocks(members.join(blocks, "cluster"), "cluster", ["v", "c", "sig", "text"])
+    dealt = in_blocks(with_blocks(members, blocks, "cluster"), "cluster", ["v", "c", "sig", "text"])
     return dealt.mapInArrow(_compared, "p long, v long").distinct()
 
 
@@ -392,14 +397,14 @@ def near_groups(docs: DataFrame) -> DataFrame:
     # null ids last
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
     nodes = signed.filter("node is not null").groupBy("node").agg(
-        F.min(order).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")
+        F.min(order).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("copies")
     )
     nodes = materialize(nodes.withColumn("v", F.monotonically_increasing_id()), "nodes")
     banded = nodes.select("v", F.explode("bands").alias("key"))
     buckets = materialize(
-        banded.groupBy("key").agg(F.min("v").alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "p"), "buckets"
+        banded.groupBy("key").agg(F.min("v").alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets"
     )
-    members = materialize(banded.join(buckets, "key").select("key", "v", "p"), "members")
+    members = materialize(join_groups(banded, buckets, ["key"], "n").select("key", "v", "p"), "members")
     wanted = members.select("v").distinct().join(nodes.select("v", "rep.k1", "rep.k2"), "v")
     texts = materialize(rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).groupBy("v").agg(F.first("text").alias("text")), "texts")
     nearest = materialize(members.filter("v != p").groupBy("v").agg(F.min("p").alias("p")).select("p", "v"), "pairs")
@@ -408,10 +413,14 @@ def near_groups(docs: DataFrame) -> DataFrame:
     # all other pairs that share a bucket and no component
     more = crossing_links(placed_in(members, found), found, nodes, texts)
     found = materialize(components(found.select(F.col("c").alias("p"), "v").unionByName(more)), "components")
-    tops = nodes.select("v", "node", "rep").join(found, "v", "left").select("node", "rep", F.coalesce("c", "v").alias("c"))
-    first = tops.groupBy("c").agg(F.min("rep").alias("first"))
-    named = materialize(tops.select("node", "c").join(materialize(first, "firsts"), "c").select("node", "first"), "named")
-    return signed.drop("bands", "sig").join(named, "node", "left").select(
+    tops = nodes.select("v", "node", "rep", "copies").join(found, "v", "left").select("node", "rep", "copies", F.coalesce("c", "v").alias("c"))
+    tops = materialize(tops, "tops")
+    first = materialize(tops.groupBy("c").agg(F.min("rep").alias("first"), F.count(F.lit(1)).alias("sets")), "firsts")
+    named = materialize(join_groups(tops.select("node", "copies", "c"), first, ["c"], "sets").select("node", "copies", "first"), "named")
+    signed = signed.drop("bands", "sig")
+    told = join_groups(signed.filter("node is not null"), named, ["node"], "copies").drop("copies")
+    empty = signed.filter("node is null").withColumn("first", F.lit(None).cast(named.schema["first"].dataType))
+    return told.unionByName(empty).select(
         "doc_id", "k1", "k2", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
         F.col("first.doc_id").alias("first_id"), F.col("first.k1").alias("first_k1"), F.col("first.k2").alias("first_k2"),
     )

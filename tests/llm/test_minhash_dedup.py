@@ -170,3 +170,21 @@ def test_hub_and_large_component(spark, monkeypatch):
                     seen.add((x[1], y[1]))
     assert seen == {(v, w) for w in range(90, 100) for v in range(w)}
     assert sum(r.v < 90 for r in dealt) == 2 * 90
+
+
+def test_half_of_all_documents_are_equal(spark, monkeypatch):
+    """Groups joined on their own: half of the rows one text, others in one bucket and one component."""
+    from episodeframes.llm import common as C
+
+    monkeypatch.setattr(C, "LIGHT", 2)
+    monkeypatch.setattr(C, "HEAVY", 1 / 50)
+    rnd = random.Random(21)
+    rows = corpus(rnd, 80)
+    base = [f"w{i}" for i in range(60)]
+    for _ in range(30):
+        words = list(base)
+        words[rnd.randrange(60)] = f"x{rnd.randrange(10**6)}"
+        rows.append((len(rows), " ".join(words)))
+    rows += [(len(rows) + i, "one text that half of all documents have word for word") for i in range(110)] + [(900, None), (901, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, M.near_duplicates(df).collect())) == brute(rows)

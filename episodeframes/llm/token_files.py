@@ -13,6 +13,7 @@ first, repeated ids in any order; an empty table gives no parts. Other columns a
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import uuid
@@ -21,15 +22,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, partitions_for, positional, row_blocks, scratch_path, utf8
+from .common import BLOCK_BYTES, bounded_batches, materialize, partitions_for, positional, row_blocks, scratch_path, utf8
 
-#: Stands for a null doc_id in a file of document ids.
-NULL_ID = -(1 << 63)
-MANIFEST = "part int, path string, docs long, tokens long"
+#: ``nulls``: so many documents of the part, its first, have no id.
+MANIFEST = "part int, path string, docs long, nulls long, tokens long"
 #: Texts of these characters alone are split word by word here; the library takes all others whole.
 PLAIN = re.compile(r"[^\x00-\xff]|<\|")
 LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
@@ -38,6 +39,8 @@ SPACES = r"\t\n\x0b\x0c\r \x85\xa0"
 WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{DIGITS}]|[^{SPACES}{LETTERS}{DIGITS}]+")
 #: Bytes of words that a worker keeps in each of two generations, and of words sent to the library at once.
 MOST_BYTES, WORDS_AT_ONCE = 40 << 20, 1 << 20
+#: Characters from which on a text is split into words some WORDS_A_PIECE at a time.
+WHOLE, WORDS_A_PIECE = 1 << 20, 100_000
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -100,9 +103,20 @@ class WordEncoder:
         return self.recent
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [None if t and PLAIN.search(t) else WORDS.findall(t.lower()) if t else [] for t in texts]
+        long = [t is not None and len(t) >= WHOLE for t in texts]
+        split = [None if t and (big or PLAIN.search(t)) else WORDS.findall(t.lower()) if t else [] for t, big in zip(texts, long, strict=True)]
         get = self.known(set().union(*(words for words in split if words))).__getitem__
-        return [self.ids([t])[0] if words is None else b"".join(map(get, words)) for t, words in zip(texts, split, strict=True)]
+        out = [b"" if words is None else b"".join(map(get, words)) for words in split]
+        for i, t in enumerate(texts):  # after the others, whose words these may clear
+            if split[i] is None:
+                out[i] = self.ids([t])[0] if PLAIN.search(t) else self.encode_long(t)
+        return out
+
+    def encode_long(self, text: str) -> bytes:
+        found, parts = (x.group() for x in WORDS.finditer(text.lower())), []
+        while words := list(itertools.islice(found, WORDS_A_PIECE)):
+            parts.append(b"".join(map(self.known(set(words)).__getitem__, words)))
+        return b"".join(parts)
 
 
 _ENCODERS: dict[tuple[str, str], WordEncoder] = {}
@@ -123,7 +137,7 @@ def _write_part(folder: str, tokenizer_path: str, end_id: int, dtype: str):
         part, stem = TaskContext.get().partitionId(), f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         code, end, width = encoder(tokenizer_path, dtype), np.array([end_id], dtype).tobytes(), np.dtype(dtype).itemsize
         fs, path = opened(stem)
-        files, docs, tokens = None, 0, 0
+        files, docs, nulls, tokens = None, 0, 0, 0
         for batch in batches:
             for i, j in row_blocks(utf8(batch.column(1))[1]):
                 rows = batch.slice(i, j - i)
@@ -133,15 +147,16 @@ def _write_part(folder: str, tokenizer_path: str, end_id: int, dtype: str):
                 coded = code.encode(rows.column(1).to_pylist())
                 lengths = np.array([len(c) // width + 1 for c in coded], "<u8")
                 files[0].write(b"".join(x for c in coded for x in (c, end)))
-                files[1].write(np.array([NULL_ID if d is None else d for d in rows.column(0).to_pylist()], "<i8").tobytes())
+                files[1].write(pc.fill_null(rows.column(0), 0).to_numpy().astype("<i8").tobytes())
+                nulls += rows.column(0).null_count
                 files[2].write(lengths.tobytes())
                 docs, tokens = docs + len(coded), tokens + int(lengths.sum())
         if files:
             for f in files:
                 f.close()
             yield pa.RecordBatch.from_pylist(
-                [{"part": part, "path": stem, "docs": docs, "tokens": tokens}],
-                pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())])
+                [{"part": part, "path": stem, "docs": docs, "nulls": nulls, "tokens": tokens}],
+                pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("nulls", pa.int64()), ("tokens", pa.int64())])
             )
 
     return run
@@ -173,7 +188,7 @@ def write_token_files(
     docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None, dtype: str = "<u2", doc_id: str = "doc_id", text: str = "text",
     parts: int | None = None
 ) -> DataFrame:
-    """Write the corpus to ``folder`` (default: the shared folder); returns the manifest: part, path, docs, tokens, base."""
+    """Write the corpus to ``folder`` (default: the shared folder); returns the manifest: part, path, docs, nulls, tokens, base."""
     spark = docs.sparkSession
     bounded_batches(spark)
     folder = folder or scratch_path(spark, "tokens")
@@ -195,24 +210,21 @@ def _read_part(dtype: str, columns):
                 tokens, offsets, ids = load(row["path"] + ".tokens", dtype), load(
                     row["path"] + ".offsets", "<u8"
                 ).astype(np.int64), load(row["path"] + ".docs", "<i8")
-                for i in range(0, len(ids), 4096):
-                    yield columns(ids[i : i + 4096], offsets[i : i + 4097], tokens, row["base"])
+                none = np.arange(len(ids)) < row["nulls"]
+                for i, j in row_blocks(offsets, BLOCK_BYTES // 8):  # blocks of bounded bytes, one document at least
+                    yield columns(pa.array(ids[i:j], pa.int64(), mask=none[i:j]), offsets[i : j + 1], tokens, row["base"])
 
     return run
 
 
-def id_array(ids: np.ndarray) -> pa.Array:
-    return pa.array(ids, pa.int64(), mask=np.asarray(ids) == NULL_ID)
-
-
 def read_tokens(manifest: DataFrame, dtype: str = "<u2") -> DataFrame:
     """The documents back from the files: doc_id, start, tokens (array of long, with the end id)."""
 
     def columns(ids, offsets, tokens, base):
         values = pa.ListArray.from_arrays(
             pa.array(offsets - offsets[0], pa.int32()), pa.array(tokens[offsets[0] - base : offsets[-1] - base].astype(np.int64))
-        )
-        return pa.RecordBatch.from_arrays([id_array(ids), pa.array(offsets[:-1], pa.int64()), values], ["doc_id", "start", "tokens"])
+        )  # a text of less than 2 GB has fewer than 2**31 tokens
+        return pa.RecordBatch.from_arrays([ids, pa.array(offsets[:-1], pa.int64()), values], ["doc_id", "start", "tokens"])
 
     return spread(manifest).mapInArrow(_read_part(dtype, columns), "doc_id long, start long, tokens array<long>")
 
@@ -225,7 +237,7 @@ def read_digests(manifest: DataFrame, dtype: str = "<u2") -> DataFrame:
         at = (offsets - offsets[0]).tolist()
         crc = [zlib.crc32(wide[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
         return pa.RecordBatch.from_arrays(
-            [id_array(ids), pa.array(offsets[:-1], pa.int64()), pa.array(np.diff(offsets), pa.int64()), pa.array(crc, pa.int64())],
+            [ids, pa.array(offsets[:-1], pa.int64()), pa.array(np.diff(offsets), pa.int64()), pa.array(crc, pa.int64())],
             ["doc_id", "start", "n_tokens", "ids_crc32"]
         )
 

@@ -60,3 +60,28 @@ def test_null_and_repeated_ids_and_empty(spark):
     assert [r.doc_id for r in got] == [None, None, 2, 2, 2] and got[0].start == 0
     assert all(b.start == a.start + a.n_tokens for a, b in zip(got[:-1], got[1:], strict=True))
     assert T.token_files_query(spark, df.limit(0), PATH, 1).collect() == []
+
+
+def test_extreme_ids(spark):
+    ids = [None, -(1 << 63), (1 << 63) - 1, 0, None]
+    df = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(ids)], "doc_id long, text string")
+    got = T.token_files_query(spark, df, PATH, 1).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, -(1 << 63), 0, (1 << 63) - 1]
+
+
+def test_long_texts_in_pieces(spark, library, monkeypatch):
+    """Long texts are split a few words at a time, also where they clear the words that others need; reads are bounded."""
+    some = ["it's one Two", "Lang " * 300 + "ende, 12 ½", "日本 " * 90, "one three"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in some]
+    monkeypatch.setattr(T, "WHOLE", 40)
+    monkeypatch.setattr(T, "WORDS_A_PIECE", 3)
+    monkeypatch.setattr(T, "MOST_BYTES", 3)
+    monkeypatch.setattr(T, "BLOCK_BYTES", 64)
+    code = T.WordEncoder(PATH, "<u2")
+    assert [np.frombuffer(x, "<u2").tolist() for x in code.encode(some)] == want
+    manifest = T.write_token_files(spark.createDataFrame(list(enumerate(some)), "doc_id long, text string"), PATH, 1, parts=1)
+    read = T._read_part("<u2", lambda ids, offsets, tokens, base: len(ids))
+    import pyarrow as pa
+
+    rows = pa.RecordBatch.from_pylist([r.asDict() for r in manifest.collect()])
+    assert list(read([rows])) == [1, 1, 1, 1]

@@ -7,7 +7,7 @@ size that the benchmark's hashes have set; runs of neighbouring hits leave with
 hashes are joined with the benchmark's, and each pairing of a run with an item at one offset is verified: some
 WINDOW words (all words of a shorter item) must agree in at least four fifths. Items of fewer than LEAST words tolerate
 no substitution: they are looked for as whole word sequences, by one hash for each length that the benchmark has.
-Nothing is sampled or capped, and the benchmark is broadcast only below MOST_SHORT short items, so it may be as large as
+Nothing is sampled or capped, and the benchmark is broadcast only below MOST_HASHES seeds and MOST_SHORT short items, so it may be as large as
 the corpus; the table then lets more through.
 
 Defined results: null and empty texts have no words and are clean, items without words match nothing; items are told apart by their words alone, so ids may be null or used twice: items with the same words
@@ -33,7 +33,8 @@ MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 1, 2, 3, 4))
 SPAN = 8
 LEAST = 8
 WINDOW = 13
-MOST_SHORT = 100_000
+#: Seeds and short items of the benchmark up to which they are broadcast (some 50 bytes each).
+MOST_HASHES, MOST_SHORT = 200_000, 100_000
 BITMAP_BITS = 1 << 24
 #: Words to both sides of hits that verification may need, and positions of hits in one row at most.
 MARGIN, RUN = 16, 512
@@ -220,6 +221,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str,
     hits = runs.filter("run >= 0").select("k1", "k2", "run", F.explode("hits").alias("h")).select(
         "k1", "k2", "run", F.col("h.hash").alias("hash"), F.col("h.at").alias("at")
     )
+    # a phrase of many documents then meets its items where its hits are; beyond that size Spark splits its partition
+    hashes = F.broadcast(hashes) if hashes.limit(MOST_HASHES + 1).count() <= MOST_HASHES else hashes
     pairs = hits.join(hashes, "hash").select("k1", "k2", "run", "item", "item_base", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
     segments = bench.select("item", F.col("base").alias("item_base"), "item_id", "n", F.col("words").alias("item_words"))
     sides = pairs.join(

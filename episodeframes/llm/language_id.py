@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,8 @@ SEEN, PRIOR = 2, 20
 PER_LANGUAGE = 800
 #: Labels beyond the most frequent ones are not learned.
 MOST_LANGUAGES = 500
-#: Longer texts are not taken into the sample, so that its size in bytes is bounded too.
-MOST_SAMPLE_BYTES = 1 << 14
+#: Bounds of the sample that the driver fits on: characters of a text (of longer ones a part), and of all texts.
+MOST_SAMPLE_CHARS, SAMPLE_CHARS = 1 << 14, 64 << 20
 PIECE = 1 << 19
 UNKNOWN = "und"
 MARK = 32
@@ -216,7 +216,10 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
 def sample(
     docs: DataFrame, per_language: int = PER_LANGUAGE, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> list[tuple[str, str]]:
-    """About ``per_language`` labelled rows of each language outside the held-out share, chosen by a hash; bounded."""
+    """At most ``per_language`` labelled rows of each language outside the held-out share, chosen by a hash.
+
+    Each language has an equal part of SAMPLE_CHARS, so the sample is bounded whatever their number or the texts' lengths.
+    """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).filter("doc_id is not null and lang is not null and text is not null")
@@ -227,8 +230,13 @@ def sample(
         return []
     share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.3 * per_language / n))))[F.col("lang")]
     order = F.xxhash64("doc_id", "text")
-    drawn = rows.filter((F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20) < share) & (F.octet_length("text") <= MOST_SAMPLE_BYTES))
-    return [(r.text, r.lang) for r in drawn.orderBy(order).limit(2 * per_language * len(counts)).select("text", "lang").collect()]
+    drawn = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20) < share)
+    drawn = drawn.select("lang", F.substring("text", 1, MOST_SAMPLE_CHARS).alias("text"), order.alias("order"))
+    by = Window.partitionBy("lang").orderBy("order", "text")
+    drawn = drawn.withColumn("no", F.row_number().over(by)).filter(F.col("no") <= per_language)
+    drawn = drawn.withColumn("chars", F.sum(F.length("text")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    drawn = drawn.filter(F.col("chars") <= max(MOST_SAMPLE_CHARS, SAMPLE_CHARS // len(counts)))
+    return [(r.text, r.lang) for r in drawn.orderBy("order", "text").select("text", "lang").collect()]
 
 
 def _predict(model, text: int):

@@ -128,3 +128,16 @@ def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in L.identify(docs).collect()] == [("und", 0.0)]
     assert L.identify(docs.limit(0)).collect() == []
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    """Many labels and long texts: every label is learned, none takes more than its part."""
+    monkeypatch.setattr(L, "MOST_SAMPLE_CHARS", 50)
+    monkeypatch.setattr(L, "SAMPLE_CHARS", 600 * 120)
+    docs = spark.range(6000).selectExpr("id AS doc_id", "repeat(concat('word', id % 600, ' '), 40) AS text", "concat('l', id % 600) AS lang", "1 AS no")
+    monkeypatch.setattr(L, "MOST_LANGUAGES", 700)
+    found = L.sample(docs, per_language=5)
+    sizes = {}
+    for text, lang in found:
+        sizes.setdefault(lang, []).append(len(text))
+    assert len(sizes) == 600 and all(len(x) <= 2 and max(x) <= 50 for x in sizes.values())

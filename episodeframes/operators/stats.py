@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import Dataset, DatasetInfo, chunks_of, col_
+from .moments import pooled, state
 
 
 def _nan_aware(agg: Column, x: Column) -> Column:
@@ -16,29 +17,47 @@ def _nan_aware(agg: Column, x: Column) -> Column:
     return F.when(F.bool_or(F.isnan(x)), F.lit(float("nan"))).otherwise(agg)
 
 
-def feature_widths(frames: DataFrame, features: list[str]) -> dict[str, int | None]:
-    """Width of each vector feature (from one row; None for a scalar)."""
-    vectors = [f for f in features if isinstance(frames.schema[f].dataType, T.ArrayType)]
-    row = frames.select(*(F.size(col_(f)).alias(f) for f in vectors)).first() if vectors else None
-    return {f: (row[f] if row else 0) if f in vectors else None for f in features}
+def vector_of(frames: DataFrame, feature: str) -> Column:
+    """A feature as a vector of doubles; a scalar is a vector of one."""
+    x = col_(feature)
+    return x.cast("array<double>") if isinstance(frames.schema[feature].dataType, T.ArrayType) else F.array(x.cast("double"))
 
 
 def episode_stats(
     frames: DataFrame, features: list[str], widths: Mapping[str, int | None] | None = None, previous: DataFrame | None = None
 ) -> DataFrame:
-    """episode_index, stats (map by feature of min, max, mean, population std and count). One aggregation column for
-    each dimension and measure, so no row is multiplied; visual statistics of ``previous`` are carried over."""
-    widths = dict(widths or feature_widths(frames, features))
-    columns, maps = [], []
+    """episode_index, stats (map by feature of min, max, mean, population std and count). Visual statistics of
+    ``previous`` are carried over.
+
+    No width is looked up: each number goes to the state of its place in its episode, so vectors of unlike widths, and null
+    ones, give statistics for every place that any frame of the episode has (of the frames that have it); count is the
+    number of frames. Where ``widths`` declares one, another is an error. Map-side sums leave a row for each episode and
+    place; frames that are hashed by episode already don't move again.
+    """
+    vectors = []
     for k, f in enumerate(features):
-        parts = [col_(f)] if widths[f] is None else [F.get(col_(f), F.lit(i)) for i in range(widths[f])]
-        for i, p in enumerate(parts):
-            x = p.cast("double")
-            for name, agg in (("min", F.min(x)), ("max", F.max(x)), ("mean", F.avg(x)), ("std", F.stddev_pop(x))):
-                columns.append((_nan_aware(agg, x) if name == "min" else agg).alias(f"_{k}_{i}_{name}"))
-        arrays = [F.array(*(F.col(f"_{k}_{i}_{m}") for i in range(len(parts)))).alias(m) for m in ("min", "max", "mean", "std")]
-        maps += [F.lit(f), F.struct(*arrays, F.array("_n").alias("count"))]
-    df = frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("_n"), *columns).select("episode_index", F.create_map(*maps).alias("stats"))
+        v, wide = vector_of(frames, f), (widths or {}).get(f)
+        if wide is not None:
+            same = F.assert_true(v.isNull() | (F.size(v) == wide), F.lit(f"a vector of {f} is not as wide as declared ({wide})"))
+            v = F.when(same.isNull(), v)
+        vectors.append(F.struct(F.lit(k).alias("k"), v.alias("v")))
+    each = frames.select("episode_index", F.explode(F.array(*vectors)).alias("f")).select(
+        "episode_index", "f.k", F.posexplode_outer("f.v").alias("dim", "x")
+    )
+    x = F.col("x")
+    places = each.groupBy("episode_index", "k", "dim").agg(
+        F.count(F.lit(1)).alias("n"), _nan_aware(F.min(x), x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std")
+    )
+    # each frame has one row at place 0 of the first feature, or one without a place
+    count = F.sum(F.when((F.col("k") == 0) & (F.coalesce("dim", F.lit(0)) == 0), F.col("n"))).alias("_n")
+    lists = [
+        F.sort_array(F.collect_list(F.when((F.col("k") == k) & F.col("dim").isNotNull(), F.struct("dim", "min", "max", "mean", "std")))).alias(f"_{k}")
+        for k in range(len(features))
+    ]
+    maps = []
+    for k, f in enumerate(features):
+        maps += [F.lit(f), F.struct(*(F.col(f"_{k}.{m}").alias(m) for m in ("min", "max", "mean", "std")), F.array("_n").alias("count"))]
+    df = places.groupBy("episode_index").agg(count, *lists).select("episode_index", F.create_map(*maps).alias("stats"))
     if previous is None:
         return df
     old = previous.select("episode_index", F.map_filter("stats", lambda k, _: ~k.isin(features)).alias("_old"))
@@ -57,13 +76,12 @@ def stats_rows(stats: DataFrame) -> DataFrame:
 
 
 def aggregate_stats(stats: DataFrame) -> DataFrame:
-    """(feature, dim) of the whole dataset from those of its episodes: count-weighted mean and pooled population std."""
-    n = F.sum("n")
-    mean = F.sum(F.col("n") * F.col("mean")) / n
-    square = F.sum(F.col("n") * (F.col("std") * F.col("std") + F.col("mean") * F.col("mean"))) / n
-    return stats_rows(stats).groupBy("feature", "dim").agg(
-        F.min("min").alias("min"), F.max("max").alias("max"), mean.alias("mean"), F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias("std"),
-        n.alias("n")
+    """(feature, dim) of the whole dataset from those of its episodes: count-weighted mean and pooled population std,
+    sqrt(sum n (std^2 + (mean - whole mean)^2) / sum n), from states that are merged pairwise."""
+    moments = state(F.col("n"), F.col("mean"), F.col("std"))
+    ends = [F.min("min").alias("min"), F.max("max").alias("max"), F.sum("n").alias("n")]
+    return pooled(stats_rows(stats), ["feature", "dim"], F.col("episode_index"), moments, ends, ends).select(
+        "feature", "dim", "min", "max", "mean", "std", "n"
     )
 
 

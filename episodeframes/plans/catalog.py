@@ -206,6 +206,32 @@ def d2(spark, d):
     return rounded(stats.aggregate_stats(s), "mean", "std", digits=3)
 
 
+@query("d1_ragged_stats", f"""WITH {EVENTS_SQL}, x AS (
+  SELECT episode_index, frame_index, CASE frame_index % 4 WHEN 1 THEN [s1] WHEN 2 THEN [s1, s2] WHEN 3 THEN [s1, s2, s3] END AS v FROM f),
+u AS (SELECT episode_index, unnest(range(len(v))) AS dim, unnest(v) AS x FROM x),
+n AS (SELECT episode_index, count(*) AS n FROM f GROUP BY ALL)
+SELECT u.episode_index, dim::INT AS dim, any_value(n) AS n, min(x) AS min, max(x) AS max, round(avg(x), 6) + 0.0 AS mean,
+  round(stddev_pop(x), 6) + 0.0 AS std FROM u JOIN n ON n.episode_index = u.episode_index GROUP BY u.episode_index, dim""")
+def d1_ragged(spark, d):
+    """Vectors of one to three numbers in turn; the first frame of each episode, and every fourth after it, has none."""
+    f, k = events(spark, d, "all"), F.col("frame_index") % 4
+    f = f.withColumn(STATE, F.when(k > 0, F.slice(col_(STATE), F.lit(1), k.cast("int"))))
+    s = stats.stats_rows(stats.episode_stats(f, [STATE]))
+    return rounded(s.select("episode_index", "dim", "n", "min", "max", "mean", "std"), "mean", "std")
+
+
+@query("d2_offset_stats", f"""WITH {LINEITEM_SQL}, e AS (
+  SELECT episode_index, count(*) AS n, avg(s1 + 1e8) AS m, stddev_pop(s1 + 1e8) AS s, min(s1) AS low, max(s1) AS high FROM f GROUP BY ALL),
+w AS (SELECT sum(n) AS n, sum(n * m) / sum(n) AS m FROM e)
+SELECT 0 AS dim, any_value(w.n)::BIGINT AS n, min(low) + 1e8 AS min, max(high) + 1e8 AS max, round(any_value(w.m), 3) AS mean,
+  round(sqrt(sum(e.n * (e.s * e.s + (e.m - w.m) ** 2)) / any_value(w.n)), 3) AS std FROM e, w""")
+def d2_offset(spark, d):
+    """Numbers of two digits above a hundred million, as global indices and clock times are."""
+    f = frames_from_lineitem(spark, d).withColumn(STATE, F.array(col_(STATE)[0] + 1e8))
+    out = stats.aggregate_stats(stats.episode_stats(f, [STATE])).select("dim", "n", "min", "max", "mean", "std")
+    return rounded(out, "mean", "std", digits=3)
+
+
 @query("d3_compare_stats", f"""WITH {LINEITEM_SQL} SELECT '{STATE}' AS feature, 0 AS dim, 'max' AS stat, max(s1) AS a, max(s1) + 1 AS b FROM f""")
 def d3(spark, d):
     a = stats.aggregate_stats(stats.episode_stats(frames_from_lineitem(spark, d), [STATE], {STATE: 2}))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schema import small
+from ..sources.datasets import kept
 from .quantiles import exact_quantiles
 
 
@@ -23,10 +25,10 @@ def topic_latency(messages: DataFrame) -> DataFrame:
 def topic_latency_summary(messages: DataFrame, camera: str = "image|camera") -> DataFrame:
     """Per topic n, median, mean, population std, min, max, and its group (camera or other)."""
     x = "latency_ms"
-    timed = topic_latency(messages)
+    timed = kept(topic_latency(messages), "latencies")
     rows = timed.groupBy("topic").agg(
         F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")
     )
-    middle = exact_quantiles(timed, ["topic"], x, [0.5], few=False).select("topic", F.col("q")[0].alias("median"))
-    rows = rows.join(middle, "topic", "left").select("topic", "n", "median", "mean", "std", "min", "max")
+    middle = exact_quantiles(timed, ["topic"], x, [0.5], few=None).select("topic", F.col("q")[0].alias("median"))
+    rows = rows.join(small(middle), "topic", "left").select("topic", "n", "median", "mean", "std", "min", "max")
     return rows.withColumn("kind", F.when(F.col("topic").rlike(camera), "camera").otherwise("other"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import doubles, exceeds
-from ..schema import ACTION, STATE
+from ..schema import ACTION, STATE, small
 from .quantiles import exact_quantiles
 
 #: Categories of dimension names, the first that fits counts (prefixes, or whole names).
@@ -113,7 +113,7 @@ def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int | Callable
         "_high", F.when(F.col("_flat"), F.col("_high") + 0.5).otherwise(F.col("_high"))
     )
     width = (F.col("_high") - F.col("_low")) / F.col("_bins")
-    placed = rows.join(edges, list(by)).withColumn("bin", F.least(F.floor((F.col("_x") - F.col("_low")) / width), F.col("_bins") - 1).cast("int"))
+    placed = rows.join(small(edges), list(by)).withColumn("bin", F.least(F.floor((F.col("_x") - F.col("_low")) / width), F.col("_bins") - 1).cast("int"))
     return placed.groupBy(*by, "bin").agg(
         F.count(F.lit(1)).alias("n"), F.first(F.col("_low") + F.col("bin") * width).alias("low"),
         F.first(F.col("_low") + (F.col("bin") + 1) * width).alias("high")

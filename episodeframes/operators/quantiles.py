@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schema import MOST_SMALL
+
 #: Rows of a group up to which its values are counted in one aggregation buffer (16 MB); larger groups are bracketed.
 BUFFERED = 1 << 20
 #: Sketches are asked for the ranks this far (of all rows) below and above each wanted one.
@@ -15,18 +17,19 @@ MARGIN, ACCURACY = 0.0005, 10_000
 CELL_ROWS, MOST_CELLS = 100_000, 65_536
 
 
-def exact_quantiles(rows: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], few: bool = True, largest: int | None = None) -> DataFrame:
+def exact_quantiles(rows: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], few: bool | None = True, largest: int | None = None) -> DataFrame:
     """(by..., q): the quantiles of each group as an array, interpolated linearly; nulls don't count, NaN is the largest.
 
     Groups without a value, or with a null among ``by``, have no row. ``largest`` may bound the rows of a group; without
     it they are counted first. What is known of each group (brackets, sums) is broadcast if the groups are ``few`` by their
-    kind (dimensions, axes, signals), and joined by shuffle otherwise.
+    kind (dimensions, axes, signals), or by their number if that is None, and joined by shuffle otherwise.
     """
     by = list(by)
     plain = rows.select(*by, F.col(value).cast("double").alias("_x")).filter(" and ".join(f"`{c}` is not null" for c in [*by, "_x"]))
-    if largest is None:
+    if largest is None or few is None:
         counts = plain.groupBy(*by).agg(F.count(F.lit(1)).alias("n")) if by else plain.agg(F.count(F.lit(1)).alias("n"))
-        largest = counts.agg(F.max("n")).first()[0] or 0
+        most, groups = counts.agg(F.max("n"), F.count(F.lit(1))).first()
+        largest, few = largest or most or 0, groups * 100 <= MOST_SMALL if few is None else few
     if largest <= BUFFERED:
         exact = F.percentile("_x", F.array(*(F.lit(float(p)) for p in probabilities))).alias("q")
         found = plain.groupBy(*by).agg(exact) if by else plain.agg(exact)

@@ -10,6 +10,8 @@ from pyspark.sql.window import WindowSpec
 
 from ..functions.vectors import doubles, exceeds, frame_time, reaches
 from ..schema import ACTION, STATE, Dataset
+from ..sources.datasets import kept
+from .moments import pooled, state
 from .quantiles import exact_quantiles
 from .reindex import length_prefix
 
@@ -121,28 +123,34 @@ def jump_events(deltas: DataFrame, threshold: float = 0.01) -> DataFrame:
 
 
 def jump_summary(deltas: DataFrame, threshold: float = 0.01, exact: bool = True) -> DataFrame:
-    """Per (signal, dim). Percentiles are exact with linear interpolation, or from a sketch if not ``exact``."""
+    """Per (signal, dim). Percentiles are exact with linear interpolation, or from a sketch if not ``exact``.
+
+    Two levels, episodes first: so numbers of episodes are sums, the first of the largest jumps carries over, and mean and
+    deviation are pooled from the episodes'. The deltas are written once, as their windows feed two aggregations.
+    """
+    deltas = kept(deltas.select("signal", "dim", "episode_index", "frame_index", "delta"), "deltas")
     hit, size = reaches(F.col("delta"), threshold), F.abs("delta")
-    opened, closed = hit & (F.col("delta") > 0), hit & (F.col("delta") < 0)
     group, places = ["signal", "dim"], {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p999": 0.999}
+    kinds = {"abnormal": hit, "open": hit & (F.col("delta") > 0), "close": hit & (F.col("delta") < 0)}
     if exact:
         quantiles = exact_quantiles(deltas, group, "delta", list(places.values()))
     else:
         quantiles = deltas.groupBy(*group).agg(F.percentile_approx("delta", F.array(*map(F.lit, places.values())), F.lit(10_000)).alias("q"))
-    rows = deltas.groupBy(*group).agg(
-        F.count("delta").alias("n"), F.avg("delta").alias("mean"), F.stddev_pop("delta").alias("std"), F.min("delta").alias("min"), F.max("delta").alias("max"),
-        F.max(size).alias("abs_max"), F.max_by("delta", F.struct(size, -F.col("episode_index"), -F.col("frame_index"))).alias("abs_max_delta"),
-        F.count_if(hit).alias("abnormal_frames"), (F.count_if(hit) / F.count("delta")).alias("abnormal_ratio"), F.count_distinct(
-            F.when(hit, F.col("episode_index"))
-        ).alias("abnormal_episodes"),
-        F.count_if(opened).alias("open_frames"), F.count_if(closed).alias("close_frames"),
-        F.count_distinct(
-            F.when(opened, F.col("episode_index"))
-        ).alias("open_episodes"), F.count_distinct(F.when(closed, F.col("episode_index"))).alias("close_episodes"),
+    largest = F.struct(size.alias("size"), (-F.col("episode_index")).alias("e"), (-F.col("frame_index")).alias("f"), "delta")
+    each = deltas.groupBy(*group, "episode_index").agg(
+        F.count("delta").alias("n"), F.avg("delta").alias("_mean"), F.stddev_pop("delta").alias("_std"), F.min("delta").alias("min"), F.max("delta").alias("max"),
+        F.max(F.when(F.col("delta").isNotNull(), largest)).alias("_top"), *(F.count_if(x).alias(f"{k}_frames") for k, x in kinds.items()),
     )
+    each = each.withColumns({f"{k}_episodes": (F.col(f"{k}_frames") > 0).cast("long") for k in kinds})
+    ends = [F.min("min").alias("min"), F.max("max").alias("max"), F.max("_top").alias("_top")]
+    ends += [F.sum(c).alias(c) for c in ("n", *(f"{k}_{x}" for k in kinds for x in ("frames", "episodes")))]
+    rows = pooled(each, group, F.col("episode_index"), state(F.col("n"), F.col("_mean"), F.col("_std")), ends, ends)
     named = quantiles.select(*group, *(F.col("q")[i].alias(name) for i, name in enumerate(places)))
     out = rows.join(F.broadcast(named), group, "left")  # a row for each signal and dimension
-    return out.select(*group, "n", "mean", "std", "min", "max", *places, *rows.columns[7:])
+    return out.select(
+        *group, "n", "mean", "std", "min", "max", *places, F.col("_top.size").alias("abs_max"), F.col("_top.delta").alias("abs_max_delta"), "abnormal_frames",
+        (F.col("abnormal_frames") / F.col("n")).alias("abnormal_ratio"), "abnormal_episodes", "open_frames", "close_frames", "open_episodes", "close_episodes",
+    )
 
 
 def top_jump_episodes(deltas: DataFrame, k: int = 3) -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions.vectors import format_path
 from ..operators import augment, select, stats, validate
 from ..schema import ACTION, STATE, Dataset, DatasetInfo, col_
 from ..sources import datasets
+from ..sources.episode_files import episode_files, filesystem
 from ..sources.adapters import EMBEDDINGS_SQL, EVENTS_SQL, LINEITEM_SQL, episodes_from_conversations, frames_from_embeddings, frames_from_events, table
 from . import jobs
 from .catalog import FORCES, LIMIT, MIRROR, SQL, W, events, of_lineitem, query, r6, rounded, runs_sql
@@ -69,6 +70,27 @@ def a3(spark, d):
     return f.select("episode_index", "frame_index", "task_index", col_(STATE)[0].alias("s1"), col_(STATE)[1].alias("s2"), path.alias("path"))
 
 
+@query("a3_dataset_round_trip", f"""WITH {EVENTS_SQL}, m AS (SELECT episode_index, count(*) AS n FROM f GROUP BY ALL)
+SELECT f.episode_index, frame_index, task_index, s1, n AS length, true AS files FROM f JOIN m ON m.episode_index = f.episode_index
+  WHERE f.episode_index >= 40""")
+def a3_round_trip(spark, d):
+    """Written by episode, with backups laid beside the episodes; read back through the data source from episode 40 on, with
+    the lengths in ``meta/episodes.jsonl``. ``files``: the metadata are files, and no attempt is left."""
+    root = written(Dataset.of_frames(frames_from_events(spark, d)), "per_episode")
+    fs, base = filesystem(root)
+    for _, path, _ in episode_files(root)[:3]:
+        folder, name = path.rsplit("/", 1)
+        fs.copy_file(path, f"{folder}/backup_{name}")
+        fs.copy_file(path, f"{path}.bak")
+    kinds = fs.get_file_info([f"{base}/meta/{x}" for x in ("episodes.jsonl", "tasks.jsonl", "info.json")] + [f"{base}/_attempts"])
+    files = [x.type.name for x in kinds] == ["File"] * 3 + ["NotFound"] and datasets.read_frames(spark, root).count() == spark.read.parquet(f"{d}/events.parquet").count()
+    f = datasets.read_episode_files(spark, root).filter("episode_index >= 40")
+    lengths = datasets.read_episodes(spark, root).select("episode_index", "length")
+    return f.join(lengths, "episode_index").select(
+        "episode_index", "frame_index", "task_index", col_(STATE)[0].alias("s1"), "length", F.lit(files).alias("files")
+    )
+
+
 @query(
     "a4_conform_to_schema",
     f"WITH {EVENTS_SQL} SELECT frame_index::INT AS frame_index, task_index::VARCHAR AS task_index, round(timestamp::DOUBLE, 3) AS timestamp, episode_index, s1 FROM f"

@@ -12,7 +12,7 @@ from ..functions.vectors import doubles
 from ..operators import augment, merge, occupancy, profile, reindex, select, stats, tasks, transforms, validate, windows
 from ..operators.quantiles import exact_quantiles
 from ..schema import ACTION, STATE, Dataset, DatasetInfo
-from ..sources.datasets import settled
+from ..sources.datasets import kept, settled
 
 
 def recomputed(ds: Dataset, features: Sequence[str] = (STATE, ACTION), widths: dict | None = None, info: bool = True) -> Dataset:
@@ -161,7 +161,7 @@ def jump_report(ds: Dataset, threshold: float = 0.01, dims: Sequence[int] = (6,
 
 def occupancy_report(ds: Dataset, size: float = 0.01, k: int = 200) -> dict[str, DataFrame]:
     """J12."""
-    poses = occupancy.forward_kinematics(ds.frames)
+    poses = kept(occupancy.forward_kinematics(ds.frames), "poses")
     voxels = occupancy.voxelize(poses, size)
     return {
         "voxels": voxels, "top": occupancy.top_voxels(voxels, k, ds.info.fps), "summary": occupancy.position_summary(poses, voxels, ds.info.fps),

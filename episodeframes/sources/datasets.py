@@ -7,15 +7,17 @@ import tempfile
 import uuid
 from dataclasses import asdict, fields
 
-import pyarrow as pa
 import pyarrow.fs as pafs
-import pyarrow.parquet as pq
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import FIELD
 from ..schema import EPISODE_STATS_SCHEMA, EPISODES_SCHEMA, TASKS_SCHEMA, Dataset, DatasetInfo, col_
+from .episode_files import filesystem, registered, write_episodes, write_lines
+
+#: Parts of names of auxiliary files, which are not data.
+BACKUP = r"backup|\.bak"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -28,23 +30,28 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """A table written to the shared folder and read back: several uses compute it once, and lost executors don't cost it."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settled(ds: Dataset) -> Dataset:
     """The dataset with its episodes and tasks written to the shared folder and read back, so that what several checks use,
     and what may be derived from all frames, is computed once."""
-    spark = ds.frames.sparkSession
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        path = shared_folder(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     return ds.with_(episodes=kept(ds.episodes, "episodes"), tasks=kept(ds.tasks, "tasks"))
 
 
 def read_frames(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
-    """A1: all frames below ``root/data``. A missing episode_index comes from the file name, a missing frame_index is the
-    row's place in its file, and numbers stored as lists of one become numbers."""
-    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(f"{root}/data")
+    """A1: the frames of ``root/data/chunk-*/episode_*.parquet``; only where there are none, of any Parquet file below
+    ``root/data`` but backups. A missing episode_index comes from the file name, a missing frame_index is the row's place in
+    its file, and numbers stored as lists of one become numbers."""
+    try:
+        df = spark.read.parquet(f"{root}/data/chunk-*/episode_*.parquet")
+    except AnalysisException:
+        df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(f"{root}/data")
+        df = df.filter(~F.lower(F.col("_metadata.file_name")).rlike(BACKUP))
     have = df.columns
     if "episode_index" not in have:
         df = df.withColumn("episode_index", F.regexp_extract(F.col("_metadata.file_path"), r"episode_(\d+)\.parquet$", 1).cast("long"))
@@ -57,6 +64,12 @@ def read_frames(spark: SparkSession, root: str, columns: list[str] | None = None
     return df.select(*(col_(c) for c in columns)) if columns else df
 
 
+def read_episode_files(spark: SparkSession, root: str) -> DataFrame:
+    """The same files through ``episode_files``: comparisons of episode_index choose files by their names, so a few episodes of
+    a large dataset open a few files."""
+    return registered(spark).read.format("episode_files").load(root)
+
+
 def read_info(spark: SparkSession, root: str) -> DatasetInfo:
     """``meta/info.json``, one small object."""
     text = "\n".join(r.value for r in spark.read.text(f"{root}/meta/info.json").collect())
@@ -66,8 +79,6 @@ def read_info(spark: SparkSession, root: str) -> DatasetInfo:
 
 def _jsonl(spark: SparkSession, path: str, schema: str, optional: bool = False) -> DataFrame:
     """A2: blank lines are skipped, a bad line is an error, a missing optional file is empty."""
-    from pyspark.errors import AnalysisException
-
     try:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     except AnalysisException:
@@ -120,44 +131,15 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
         writer.json(path)
 
 
-def _exists(fs: pafs.FileSystem, path: str) -> bool:
-    return fs.get_file_info(path).type != pafs.FileType.NotFound
-
-
-def _filesystem(root: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
-
-
-def _write_episode(root: str, info: DatasetInfo, names: list[str]):
-    template, size = info.data_path, info.chunks_size
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        fs, base = _filesystem(root)
-        episode = key[0].as_py()
-        values = {"episode_index": episode, "episode_chunk": episode // size}
-        path = f"{base}/" + FIELD.sub(lambda m: f"{values[m[1]]:0{m[2] or 1}d}", template)
-        fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        attempt = f"{path}.{uuid.uuid4().hex}"
-        pq.write_table(table.rename_columns(names).sort_by("frame_index"), attempt, filesystem=fs)
-        fs.move(attempt, path)
-        return pa.table({"episode_index": pa.array([episode], pa.int64()), "rows": pa.array([table.num_rows], pa.int64())})
-
-    return run
-
-
 def write_dataset(ds: Dataset, root: str, layout: str = "chunked", mode: str = "error") -> None:
-    """A3: ``chunked`` lets Spark write sorted files by chunk; ``per_episode`` writes one file for each episode at the data
-    path (a task at a time, under a name of the attempt, then renamed, so retries are safe). Metadata are JSON lines."""
-    fs, base = _filesystem(root)
-    if _exists(fs, base) and mode == "error":
+    """A3: ``per_episode`` is the layout that others read: a file for each episode at the info's data path, committed as a
+    whole. ``chunked`` is Spark's own (``data/episode_chunk=N/part-*``: sorted, few and large files), which only A1 reads.
+    Metadata are JSON lines, a file each, sorted by key; ``meta/info.json`` comes last and says that the rest is there."""
+    fs, base = filesystem(root)
+    if fs.get_file_info(base).type != pafs.FileType.NotFound and mode == "error":
         raise FileExistsError(root)
     if layout == "per_episode":
-        # names with dots don't survive the grouped call
-        names = ds.frames.columns
-        plain = ds.frames.toDF(*(f"_{i}" for i in range(len(names))))
-        plain.groupBy(f"_{names.index('episode_index')}").applyInArrow(
-            _write_episode(root, ds.info, names), "episode_index long, rows long"
-        ).write.format("noop").mode("overwrite").save()
+        write_episodes(ds.frames, root, ds.info.data_path, ds.info.chunks_size)
     else:
         frames = ds.frames.withColumn("episode_chunk", F.floor(F.col("episode_index") / ds.info.chunks_size))
         frames.repartitionByRange("episode_index").sortWithinPartitions(
@@ -166,8 +148,8 @@ def write_dataset(ds: Dataset, root: str, layout: str = "chunked", mode: str = "
     tables = {"episodes": (ds.episodes, "episode_index"), "tasks": (ds.tasks, "task_index")}
     if ds.stats is not None:
         tables["episodes_stats"] = (ds.stats, "episode_index")
-    fs.create_dir(f"{base}/meta", recursive=True)
     for name, (df, key) in tables.items():
-        df.orderBy(key).coalesce(1).write.mode("overwrite").json(f"{root}/meta/{name}.jsonl")
+        write_lines(df, f"{root}/meta/{name}.jsonl", key)
+    fs.create_dir(f"{base}/meta", recursive=True)
     with fs.open_output_stream(f"{base}/meta/info.json") as f:
         f.write(json.dumps(asdict(ds.info), indent=2).encode())

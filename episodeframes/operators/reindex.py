@@ -1,34 +1,54 @@
-"""Dense numbers. Prefix sums run over the episodes table, in two levels, never over frames."""
+"""Dense numbers. Prefix sums run over the episodes table, by parts, never over frames."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.vectors import frame_time
 from ..schema import Dataset, col_
+from ..sources.datasets import kept
 
-#: Episodes of neighbouring numbers whose lengths are summed in one task before the sums of all blocks are.
+#: Episodes that a task numbers at a time.
 BLOCK = 1 << 16
 
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (.., length last) of one sorted partition, with its number, and each row's number and the lengths before it in it."""
+    from pyspark import TaskContext
+
+    part, no, before = TaskContext.get().partitionId(), 0, 0
+    for batch in batches:
+        for i in range(0, batch.num_rows, BLOCK):
+            rows = batch.slice(i, BLOCK)
+            n, lengths = rows.num_rows, pc.fill_null(rows.column(rows.num_columns - 1), 0).to_numpy()
+            sums = np.cumsum(lengths)
+            more = [pa.array(np.full(n, part, np.int32)), pa.array(no + np.arange(n)), pa.array(before + sums - lengths)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *more], [*rows.schema.names, "_part", "_no", "_before"])
+            no, before = no + n, before + int(sums[-1])
+
+
 def length_prefix(lengths: DataFrame, key: str = "episode_index", carry: Sequence[str] = ()) -> DataFrame:
     """(key, length, carry..., new_episode, first_index): dense number and first frame of each episode, in the order of the key.
 
-    Blocks of keys are numbered each by a window of its own; only a row for each block meets in one task.
+    Sampled splitters range the keys into parts of about equal counts, however far apart the keys lie. Each part is numbered as
+    it streams by and written once; a row for each part then carries the sums of those before it.
     """
-    blocked = lengths.withColumn("_block", F.expr(f"`{key}` div {BLOCK}"))
-    within = Window.partitionBy("_block").orderBy(key)
-    before = F.coalesce(F.sum("length").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    local = blocked.withColumn("_no", F.row_number().over(within) - 1).withColumn("_before", before)
-    sums = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"), F.sum("length").alias("_frames"))
-    over = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    rows = lengths.select(key, *carry, F.col("length").cast("long").alias("length"))
+    schema = T.StructType([*rows.schema.fields, *T._parse_datatype_string("_part int, _no long, _before long").fields])
+    local = kept(rows.repartitionByRange(key).sortWithinPartitions(key).mapInArrow(_numbered, schema), "numbered")
+    sums = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.sum("length").alias("_frames"))
+    over = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(
-        "_block", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_no0"), F.coalesce(F.sum("_frames").over(over), F.lit(0)).alias("_at0")
+        "_part", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_no0"), F.coalesce(F.sum("_frames").over(over), F.lit(0)).alias("_at0")
     )
-    joined = local.join(bases, "_block")
+    joined = local.join(F.broadcast(bases), "_part")  # a row for each task
     return joined.select(
         key, "length", *carry, (F.col("_no") + F.col("_no0")).cast("long").alias("new_episode"),
         (F.col("_before") + F.col("_at0")).cast("long").alias("first_index")
@@ -95,7 +115,21 @@ def repair_indices(ds: Dataset) -> tuple[Dataset, DataFrame]:
 
 
 def apply_ranges(frames: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Frames within half-open ranges (episode_index, start, end); each frame once."""
-    r = ranges.select(F.col("episode_index").alias("_e"), "start", "end")
-    inside = (F.col("episode_index") == F.col("_e")) & (F.col("frame_index") >= F.col("start")) & (F.col("frame_index") < F.col("end"))
-    return frames.join(r, inside, "left_semi")
+    """Frames within half-open ranges (episode_index, start, end); each frame once. Ranges may overlap; empty ones, and
+    those without a bound, hold nothing.
+
+    A sweep: frames and the ends of ranges are in one order of their episode, and a frame is kept where a range is open. So
+    an episode costs its frames plus its ranges, not their product.
+    """
+    sound = ranges.filter("episode_index is not null and start < end")
+    ends = sound.select("episode_index", F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("open")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("open")))).alias("x"))
+    ends = ends.groupBy("episode_index", F.col("x.at").cast("double").alias("_at")).agg(F.sum("x.open").alias("_open"))
+    row = F.struct(*map(col_, frames.columns))
+    # at one place ends come before frames: 0 before 1
+    marks = ends.select("episode_index", "_at", F.lit(0).alias("_kind"), "_open", F.lit(None).cast(frames.schema).alias("_row"))
+    rows = frames.filter("episode_index is not null and frame_index is not null").select(
+        "episode_index", F.col("frame_index").cast("double").alias("_at"), F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_open"), row.alias("_row")
+    )
+    sweep = Window.partitionBy("episode_index").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = rows.unionByName(marks).withColumn("_opened", F.sum("_open").over(sweep))
+    return swept.filter("_kind = 1 and _opened > 0").select("_row.*")

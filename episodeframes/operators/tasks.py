@@ -38,9 +38,16 @@ def remap_tasks(ds: Dataset, policy: str = "used") -> Dataset:
     return ds.with_(frames=frames, tasks=numbered.select(F.col("new_task").alias("task_index"), "task").distinct())
 
 
-def task_reference_report(ds: Dataset) -> DataFrame:
+def used_tasks(ds: Dataset, summary: DataFrame | None = None) -> DataFrame:
+    """(task_index, frames, episodes), episodes first: so their number is a sum. ``summary`` has (episode_index, task_index, rows)."""
+    if summary is None:
+        summary = ds.frames.groupBy("episode_index", "task_index").agg(F.count(F.lit(1)).alias("rows"))
+    return summary.groupBy("task_index").agg(F.sum("rows").alias("frames"), F.count("episode_index").alias("episodes"))
+
+
+def task_reference_report(ds: Dataset, summary: DataFrame | None = None) -> DataFrame:
     """(kind, task_index, episodes): numbers that frames use and the table lacks, and the reverse."""
-    used = ds.frames.groupBy("task_index").agg(F.count_distinct("episode_index").alias("episodes"))
+    used = used_tasks(ds, summary).drop("frames")
     missing = used.join(ds.tasks, "task_index", "left_anti").select(F.lit("missing").alias("kind"), "task_index", "episodes")
     extra = ds.tasks.join(used, "task_index", "left_anti").select(F.lit("extra").alias("kind"), "task_index", F.lit(0).cast("long").alias("episodes"))
     return missing.unionByName(extra)
@@ -60,9 +67,13 @@ def fill_missing_tasks(ds: Dataset, default: str = UNKNOWN_TASK) -> Dataset:
     return ds.with_(tasks=ds.tasks.unionByName(missing.select("task_index", F.concat(F.lit(default + " "), F.col("task_index")).alias("task"))))
 
 
-def task_usage(ds: Dataset, file: str | None = None) -> DataFrame:
+def task_usage(ds: Dataset, file: str | None = None, summary: DataFrame | None = None) -> DataFrame:
     """Frames, share, episodes (and files) of each task number, with its description."""
-    extra = [F.count_distinct(file).alias("files")] if file else []
-    used = ds.frames.groupBy("task_index").agg(F.count(F.lit(1)).alias("frames"), F.count_distinct("episode_index").alias("episodes"), *extra)
+    if file:
+        used = ds.frames.groupBy("task_index").agg(
+            F.count(F.lit(1)).alias("frames"), F.count_distinct("episode_index").alias("episodes"), F.count_distinct(file).alias("files")
+        )
+    else:
+        used = used_tasks(ds, summary)
     share = F.col("frames") / F.sum("frames").over(Window.partitionBy())
     return used.withColumn("share", share).join(ds.tasks, "task_index", "left").withColumn("defined", F.col("task").isNotNull())

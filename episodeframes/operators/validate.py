@@ -30,9 +30,40 @@ def missing_files(ds: Dataset, inventory: DataFrame) -> DataFrame:
     )
 
 
-def length_reconciliation(ds: Dataset) -> DataFrame:
+def episode_summary(ds: Dataset) -> DataFrame:
+    """What the checks of a dataset need of its frames, in one pass: a row for each (episode, task) with its frames, those whose
+    frame_index is not their place, and of the others those without index and the extremes of index less place."""
+    w = Window.partitionBy("episode_index").orderBy("frame_index", *(c for c in ("index",) if c in ds.frames.columns))
+    place = (F.row_number().over(w) - 1).cast("long")
+    index = F.col("index") if "index" in ds.frames.columns else F.lit(None).cast("long")
+    df = ds.frames.select("episode_index", "task_index", F.coalesce(F.col("frame_index") == place, F.lit(False)).alias("_in"), (index - place).alias("_first"))
+    first = F.when(F.col("_in"), F.col("_first"))
+    return df.groupBy("episode_index", "task_index").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("_in")).alias("misplaced"), F.count_if(F.col("_in") & F.col("_first").isNull()).alias("unnumbered"),
+        F.min(first).alias("first_low"), F.max(first).alias("first_high"),
+    )
+
+
+def broken_rules(ds: Dataset, summary: DataFrame) -> DataFrame:
+    """(episode_index, rule): E6 by episode, from the summary."""
+    each = summary.groupBy("episode_index").agg(
+        F.sum("misplaced").alias("misplaced"), F.sum("unnumbered").alias("unnumbered"), F.min("first_low").alias("low"), F.max("first_high").alias("high"),
+        F.sum(F.col("rows") - F.col("misplaced")).alias("placed")
+    )
+    places = length_prefix(ds.episodes.select("episode_index", "length")).select("episode_index", "first_index")
+    df = each.join(places, "episode_index", "left")
+    off = F.coalesce((F.col("low") != F.col("first_index")) | (F.col("high") != F.col("first_index")), F.lit(False))
+    wrong = (F.col("unnumbered") > 0) | off | (F.col("first_index").isNull() & (F.col("placed") > 0))
+    if "index" not in ds.frames.columns:
+        wrong = F.lit(False)
+    rules = F.array(F.when(F.col("misplaced") > 0, "frame_index"), F.when(wrong, "index"))
+    return df.select("episode_index", F.explode(rules).alias("rule")).filter("rule is not null")
+
+
+def length_reconciliation(ds: Dataset, summary: DataFrame | None = None) -> DataFrame:
     """C11: episodes whose frames don't fit their length: no_frames, no_metadata, length, short (fewer than two frames)."""
-    rows = ds.frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("rows"))
+    counted = F.count(F.lit(1)) if summary is None else F.sum("rows")
+    rows = (ds.frames if summary is None else summary).groupBy("episode_index").agg(counted.alias("rows"))
     both = rows.join(ds.episodes.select("episode_index", "length"), "episode_index", "full")
     problem = F.when(F.col("rows").isNull(), "no_frames").when(F.col("length").isNull(), "no_metadata").when(
         F.col("rows") != F.col("length"), "length"

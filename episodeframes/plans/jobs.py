@@ -12,7 +12,7 @@ from ..functions.vectors import doubles
 from ..operators import augment, merge, occupancy, profile, reindex, select, stats, tasks, transforms, validate, windows
 from ..operators.quantiles import exact_quantiles
 from ..schema import ACTION, STATE, Dataset, DatasetInfo
-from ..sources.datasets import kept, settled
+from ..sources.datasets import kept, settled, write_report
 
 
 def recomputed(ds: Dataset, features: Sequence[str] = (STATE, ACTION), widths: dict | None = None, info: bool = True) -> Dataset:
@@ -80,24 +80,38 @@ def remove(ds: Dataset, selector: str) -> Dataset:
     gone = select.parse_episode_selector(selector, total)
     if len(gone) >= total:
         raise ValueError("no episode would be left")
-    out, _ = reindex.repair_indices(select.remove_episodes(ds, gone))
+    return checked_edit(select.remove_episodes(ds, gone))
+
+
+def checked_edit(out: Dataset) -> Dataset:
+    """What every removal ends with: frames held against their lengths (C4) and new totals."""
+    out, _ = reindex.repair_indices(out)
     return out.with_(info=stats.rebuild_info(out)[0])
 
 
 def remove_short(ds: Dataset, min_length: int) -> Dataset:
-    """J4."""
-    out = select.remove_short_episodes(ds, min_length)
-    return out.with_(info=stats.rebuild_info(out)[0])
+    """What is left is repaired where needed (C4), and none of it may be short."""
+    out = checked_edit(select.remove_short_episodes(ds, min_length))
+    reject(out.episodes.filter(F.col("length") < min_length), "short episodes are left")
+    return out
 
 
 def extract_range(ds: Dataset, start: int, end: int) -> Dataset:
-    """Source and result are held against E6 and E7. D2 of the result is ``stats.aggregate_stats(out.stats)``."""
+    """Source and result are held against E6 and E7. ``extract_with_stats`` also has the statistics."""
     checked_rules(ds)
     out = select.extract_episode_range(ds, start, end)
     checked_rules(out)
     return out.with_(info=stats.rebuild_info(out)[0])
 
 
+def extract_with_stats(ds: Dataset, start: int, end: int, features: Sequence[str] = (STATE, ACTION)) -> tuple[Dataset, DataFrame]:
+    """J5 whole: the dataset with its episodes' statistics (those it had, else D1), and those of the result as a whole."""
+    out = extract_range(ds, start, end)
+    if out.stats is None:
+        out = recomputed(out, features, info=False)
+    return out, stats.aggregate_stats(out.stats)
+
+
 def mirror_and_merge(ds: Dataset, joints: Sequence[int]) -> Dataset:
     """J6."""
     return merge.merge_datasets([ds, augment.mirror(ds, joints)])
@@ -120,14 +134,20 @@ def merge_many(datasets: Sequence[Dataset]) -> Dataset:
 
 
 def check_up(ds: Dataset, inventory: DataFrame | None = None) -> DataFrame:
-    """One report (check, subject, problem). Frames are read four times: lengths, tasks (twice), indices."""
+    """One report (check, subject, problem)."""
+    return full_check_up(ds, inventory)["problems"]
+
+
+def full_check_up(ds: Dataset, inventory: DataFrame | None = None) -> dict[str, DataFrame]:
+    """J9 with the usage of tasks (D9). Frames are read once: all checks are derived from a summary that is written."""
     ds = settled(ds)
+    summary = kept(validate.episode_summary(ds), "summary")
     parts = [
-        validate.length_reconciliation(ds).select(F.lit("lengths").alias("check"), F.col("episode_index").cast("string").alias("subject"), "problem"),
-        tasks.task_reference_report(ds).select(
+        validate.length_reconciliation(ds, summary).select(F.lit("lengths").alias("check"), F.col("episode_index").cast("string").alias("subject"), "problem"),
+        tasks.task_reference_report(ds, summary).select(
             F.lit("tasks").alias("check"), F.col("task_index").cast("string").alias("subject"), F.col("kind").alias("problem")
         ),
-        validate.index_violations(ds).groupBy("episode_index", "rule").agg(F.count(F.lit(1)).alias("n")).select(
+        validate.broken_rules(ds, summary).select(
             F.lit("indices").alias("check"), F.col("episode_index").cast("string").alias("subject"), F.col("rule").alias("problem")
         ),
         validate.metadata_violations(ds).select(
@@ -139,7 +159,7 @@ def check_up(ds: Dataset, inventory: DataFrame | None = None) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return {"problems": out, "usage": tasks.task_usage(ds, summary=summary)}
 
 
 def to_v21(ds: Dataset, old_stats: DataFrame | None = None, inventory: DataFrame | None = None) -> tuple[Dataset, DataFrame | None]:
@@ -169,10 +189,12 @@ def occupancy_report(ds: Dataset, size: float = 0.01, k: int = 200) -> dict[str,
     }
 
 
-def remove_pose_idle(ds: Dataset, min_s: float = 2.0, **tolerances) -> Dataset:
-    """J13."""
-    found = windows.pose_idle_episodes(ds.frames, ds.info.fps, min_s, **tolerances)
-    return select.remove_episodes(ds, found.select("episode_index"))
+def remove_pose_idle(ds: Dataset, min_s: float = 2.0, report: str | None = None, **tolerances) -> Dataset:
+    """The episodes found (written as JSON to ``report``, A6) are removed, with the checks of J3."""
+    found = kept(windows.pose_idle_episodes(ds.frames, ds.info.fps, min_s, **tolerances), "pose-idle")
+    if report:
+        write_report(found.orderBy("episode_index"), report, "json")
+    return checked_edit(select.remove_episodes(ds, found.select("episode_index")))
 
 
 def force_deltas(ds: Dataset) -> Dataset:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import doubles, frame_time
 from ..schema import ACTION, STATE, Dataset, DatasetInfo, col_
+from ..sources.datasets import kept
 from .reindex import length_prefix, reindex
 from .tasks import remap_tasks
 
@@ -201,12 +202,37 @@ def even_indices(n: int, k: int, truncate: bool = False) -> list[int]:
 def evenly_sample(
     df: DataFrame, k: int, order_by: Sequence[str], partition_by: Sequence[str] = ("episode_index",), truncate: bool = False
 ) -> DataFrame:
-    """K rows spread evenly over each group."""
-    w = Window.partitionBy(*partition_by)
-    df = df.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_place", F.row_number().over(w.orderBy(*order_by)) - 1)
-    step = (F.col("_n") - 1) / F.lit(max(1, k - 1))
-    at = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), (lambda i: F.floor(i * step)) if truncate else (lambda i: F.bround(i * step).cast("long")))
-    return df.filter(F.array_contains(at, F.col("_place"))).drop("_n", "_place")
+    """K rows spread evenly over each group (over the whole table where ``partition_by`` is empty).
+
+    Place p is chosen if some i below k has round(i * step) = p, half to even (or truncated). Such an i can only lie next to
+    p / step, so three candidates are tried for each row, whatever k is.
+    """
+    if partition_by:
+        w = Window.partitionBy(*partition_by)
+        df = df.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_place", F.row_number().over(w.orderBy(*order_by)) - 1)
+    else:
+        df = placed(df, order_by)
+    step, place = (F.col("_n") - 1) / F.lit(max(1, k - 1)), F.col("_place")
+    near = F.when(step > 0, (F.ceil(place / step) if truncate else F.round(place / step))).otherwise(0).cast("long")
+    hit = F.lit(False)
+    for i in (near - 1, near, near + 1):
+        at = F.floor(i * step) if truncate else F.bround(i * step).cast("long")
+        hit = hit | ((i >= 0) & (i < k) & (at == place))
+    return df.filter(hit).drop("_n", "_place")
+
+
+def placed(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """The rows with _place, their number in the order of the whole table, and _n, the number of all.
+
+    Sampled splitters range the rows into sorted parts, written once; a row for each part carries the rows before it.
+    """
+    local = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn("_id", F.monotonically_increasing_id())
+    local = kept(local, "ordered").withColumn("_part", F.shiftright("_id", 33))
+    sums = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"), F.sum("_rows").over(Window.partitionBy()).alias("_n"))
+    rows = local.join(F.broadcast(bases), "_part")  # a row for each task
+    return rows.withColumn("_place", F.col("_base") + F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id", "_part", "_base")
 
 
 def align_to(ds: Dataset, reference: DatasetInfo, key_map: Mapping[str, str], task_prompt: str) -> Dataset:

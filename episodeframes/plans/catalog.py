@@ -102,6 +102,16 @@ def c12(spark, d):
     return kept.groupBy("episode_index").agg(F.count(F.lit(1)).alias("n"), F.sum("frame_index").alias("places"))
 
 
+@query("c12_overlapping_ranges", """SELECT l_orderkey AS episode_index, least(count(*), 3) + greatest(count(*) - 5, 0) AS n FROM lineitem
+  GROUP BY l_orderkey""")
+def c12_overlapping(spark, d):
+    """Of every episode the first three frames, by ranges that overlap, and those from the sixth on; also empty ranges."""
+    frames = frames_from_lineitem(spark, d)
+    spans = F.explode(F.array(*(F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in ((0, 2), (1, 3), (0, 1), (4, 4), (5, 3), (5, 1000)))))
+    ranges = frames.select("episode_index").distinct().select("episode_index", spans.alias("r")).select("episode_index", "r.*")
+    return reindex.apply_ranges(frames, ranges).groupBy("episode_index").agg(F.count(F.lit(1)).alias("n"))
+
+
 DELTA_SQL = f"""{EVENTS_SQL}, d AS (SELECT episode_index, frame_index, lag(s1) OVER w AS prev, s1 AS curr, s1 - lag(s1) OVER w AS delta FROM f {W})"""
 LIMIT = 80.0
 
@@ -363,6 +373,16 @@ def b12(spark, d):
     )
 
 
+@query("b12_even_sample_whole", f"""WITH {LINEITEM_SQL}, o AS (SELECT *, row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS place,
+  count(*) OVER () AS n FROM f), p AS (SELECT DISTINCT round_even(i * ((n - 1) / 14999), 0)::BIGINT AS place
+  FROM (SELECT unnest(range(15000)) AS i), (SELECT count(*) AS n FROM f))
+SELECT episode_index, frame_index, s1 FROM o WHERE place IN (SELECT place FROM p)""")
+def b12_whole(spark, d):
+    """15,000 frames spread over the whole table."""
+    out = select.evenly_sample(frames_from_lineitem(spark, d), 15_000, ["episode_index", "frame_index"], partition_by=())
+    return out.select("episode_index", "frame_index", col_(STATE)[0].alias("s1"))
+
+
 @query("b14_episode_view", f"""WITH {EVENTS_SQL} SELECT episode_index, frame_index, s1 AS a1, s2 FROM f WHERE episode_index = 7""")
 def b14(spark, d):
     ds = Dataset.of_frames(frames_from_events(spark, d))
@@ -518,6 +538,19 @@ def d4(spark, d):
     )
 
 
+@query("d4_discrete_flags", f"""WITH {LINEITEM_SQL}, x AS (SELECT 0 AS dim, floor(s1 / 11) AS v FROM f UNION ALL SELECT 1, floor(s1 / 10) FROM f
+  UNION ALL SELECT 2, s2 FROM f)
+SELECT dim, 'dim_' || dim AS name, count(*) AS n, count(DISTINCT v) <= 5 AS discrete FROM x GROUP BY dim
+UNION ALL SELECT -1, 'skipped: widths from 1 to 2', 0, false""")
+def d4_flags(spark, d):
+    """Dimensions of five and of six values, and one of many; then a feature of two widths."""
+    f = frames_from_lineitem(spark, d)
+    even = f.withColumn(STATE, F.array(F.floor(col_(STATE)[0] / 11).cast("double"), F.floor(col_(STATE)[0] / 10).cast("double"), col_(STATE)[1]))
+    odd = f.withColumn(STATE, F.slice(col_(STATE), F.lit(1), F.when(F.col("frame_index") == 0, 1).otherwise(2)))
+    both = [profile.dimension_summary(x, STATE, [], n) for x, n in ((even, 3), (odd, 2))]
+    return both[0].unionByName(both[1]).select("dim", "name", "n", "discrete")
+
+
 @query("d5_discrete_shares", f"""WITH {LINEITEM_SQL}, x AS (SELECT 0 AS dim, floor(s1 / 10) AS v FROM f UNION ALL SELECT 1, s2 FROM f),
   g AS (SELECT dim, v AS value, count(*) AS n FROM x GROUP BY ALL)
 SELECT dim, value, n, round(100 * n / sum(n) OVER (PARTITION BY dim), 6) AS percent FROM g QUALIFY count(*) OVER (PARTITION BY dim) <= 6""")

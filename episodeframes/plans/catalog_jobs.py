@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.kinematics import GIMBAL, RIGHT_BASE, base_frame, links
 from ..functions.vectors import format_path
 from ..operators import augment, select, stats, validate
+from ..operators.reindex import length_prefix
 from ..schema import ACTION, STATE, Dataset, DatasetInfo, col_
 from ..sources import datasets
 from ..sources.episode_files import episode_files, filesystem
 from ..sources.adapters import EMBEDDINGS_SQL, EVENTS_SQL, LINEITEM_SQL, episodes_from_conversations, frames_from_embeddings, frames_from_events, table
 from . import jobs
-from .catalog import FORCES, LIMIT, MIRROR, SQL, W, events, of_lineitem, query, r6, rounded, runs_sql
+from .catalog import FORCES, LIMIT, MIRROR, SQL, W, events, odd_tasks, of_lineitem, query, r6, rounded, runs_sql
 
 
 def of_embeddings(spark, d, **info) -> Dataset:
@@ -219,6 +221,24 @@ def j4(spark, d):
     return totals(spark, jobs.remove_short(of_lineitem(spark, d), 4).info)
 
 
+@query("j4_remove_short_frames", f"""WITH {LINEITEM_SQL}, k AS (SELECT * FROM f QUALIFY count(*) OVER (PARTITION BY episode_index) >= 4)
+SELECT dense_rank() OVER (ORDER BY episode_index) - 1 AS episode_index, frame_index,
+  row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS index, s1 FROM k""")
+def j4_frames(spark, d):
+    f = jobs.remove_short(of_lineitem(spark, d), 4).frames
+    return f.select("episode_index", "frame_index", "index", col_(STATE)[0].alias("s1"))
+
+
+@query("j5_extract_stats", f"""WITH {EMBEDDINGS_SQL}, x AS (SELECT unnest(range(14)) AS dim, unnest(state) AS v FROM f WHERE episode_index BETWEEN 3 AND 12)
+SELECT dim::INT AS dim, count(*) AS n, round(min(v), 6) + 0.0 AS min, round(max(v), 6) + 0.0 AS max, round(avg(v), 6) + 0.0 AS mean,
+  round(stddev_pop(v), 6) + 0.0 AS std FROM x GROUP BY dim""")
+def j5_stats(spark, d):
+    """Statistics of the extracted episodes as a whole."""
+    f = frames_from_embeddings(spark, d).withColumn("task_index", F.lit(0).cast("long"))
+    _, whole = jobs.extract_with_stats(Dataset.of_frames(f), 3, 12)
+    return rounded(whole.filter(F.col("feature") == STATE).select("dim", "n", "min", "max", "mean", "std"), "min", "max", "mean", "std")
+
+
 @query("j5_extract_range", f"""WITH {EMBEDDINGS_SQL} SELECT episode_index - 3 AS episode_index, frame_index,
   row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS index, round(state[1], 6) + 0.0 AS s1 FROM f WHERE episode_index BETWEEN 3 AND 12""")
 def j5(spark, d):
@@ -251,6 +271,40 @@ def j8(spark, d):
     return totals(spark, out.info).withColumn("total_tasks", F.lit(tasks).cast("long"))
 
 
+@query("j8_merge_many_frames", f"""WITH {EMBEDDINGS_SQL}, u AS (SELECT 0 AS k, episode_index AS o, frame_index, state[1] AS x FROM f UNION ALL SELECT 1,
+  episode_index, frame_index, state[1] FROM f WHERE frame_index < 20 UNION ALL SELECT 2, episode_index, frame_index, state[1] FROM f)
+SELECT dense_rank() OVER (ORDER BY k, o) - 1 AS episode_index, frame_index, row_number() OVER (ORDER BY k, o, frame_index) - 1 AS index,
+  round(x, 6) + 0.0 AS x FROM u""")
+def j8_frames(spark, d):
+    ds = of_embeddings(spark, d)
+    out = jobs.merge_many([ds, Dataset.of_frames(ds.frames.filter("frame_index < 20")), ds])
+    return out.frames.select("episode_index", "frame_index", "index", r6(col_(STATE)[0]).alias("x"))
+
+
+@query("j9_task_usage", f"""WITH {LINEITEM_SQL} SELECT task_index, count(*) AS frames, count(DISTINCT episode_index) AS episodes,
+  round(count(*) / sum(count(*)) OVER (), 6) AS share, task_index <= 5 AS defined FROM f GROUP BY task_index""")
+def j9_usage(spark, d):
+    """The part of the check-up that counts tasks, from the same pass over frames."""
+    usage = jobs.full_check_up(odd_tasks(spark, d))["usage"]
+    return rounded(usage.select("task_index", "frames", "episodes", "share", "defined"), "share")
+
+
+@query("j9_index_rules", """WITH t AS (SELECT conv_id AS e, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM conversations), s AS (SELECT e, n, (sum(n) OVER (ORDER BY e) - n)::BIGINT AS first_index FROM (SELECT DISTINCT e, n FROM t))
+SELECT DISTINCT e::VARCHAR AS subject, 'frame_index' AS problem FROM t WHERE e % 3 = 0 AND place >= 1
+UNION ALL SELECT e::VARCHAR, 'index' FROM s WHERE e % 5 = 0""")
+def j9_rules(spark, d):
+    """Conversations: in every third one the turns but the first are numbered one too high, in every fifth one all indices are."""
+    f = episodes_from_conversations(spark, d).withColumn("task_index", F.lit(0).cast("long"))
+    ds = Dataset.of_frames(f)
+    w = Window.partitionBy("episode_index").orderBy("frame_index")
+    places = length_prefix(ds.episodes.select("episode_index", "length")).select("episode_index", "first_index")
+    index = F.col("first_index") + F.row_number().over(w) - 1 + (F.col("episode_index") % 5 == 0).cast("int")
+    late = ((F.col("frame_index") >= 1) & (F.col("episode_index") % 3 == 0)).cast("int")
+    f = f.join(places, "episode_index").withColumn("index", index).withColumn("frame_index", F.col("frame_index") + late).drop("first_index")
+    return jobs.check_up(ds.with_(frames=f)).filter("check = 'indices'").select("subject", "problem")
+
+
 @query("j10_to_v21", f"""WITH {EMBEDDINGS_SQL} SELECT '{STATE}' AS feature, 2::INT AS dim, 'min' AS stat, round(min(state[3]), 6) AS a,
   round(min(state[3]) - 1, 6) AS b, 'v2.1' AS version FROM f""")
 def j10(spark, d):
@@ -282,6 +336,19 @@ def j11(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+@query("j11_jump_summaries", f"""WITH {EVENTS_SQL}, x AS (SELECT '{STATE}' AS signal, episode_index, frame_index, s1 - lag(s1) OVER w AS delta FROM f {W}
+  UNION ALL SELECT '{ACTION}', episode_index, frame_index, s1 - lag(s1) OVER w FROM f {W}), d AS (SELECT * FROM x WHERE delta IS NOT NULL)
+SELECT signal, count(*) AS n, round(stddev_pop(delta), 6) AS std, round(quantile_cont(delta, 0.99), 6) AS p99, round(max(abs(delta)), 6) AS abs_max,
+  round(arg_min(delta, -abs(delta) * 1e9 + episode_index * 1e-3 + frame_index * 1e-8), 6) AS abs_max_delta,
+  round(count(*) FILTER (abs(delta) >= {LIMIT}) / count(*), 6) AS abnormal_ratio, count(DISTINCT episode_index) FILTER (delta >= {LIMIT}) AS open_episodes,
+  count(DISTINCT episode_index) FILTER (delta <= -{LIMIT}) AS close_episodes FROM d GROUP BY signal""")
+def j11_both(spark, d):
+    """The summaries of both signals."""
+    report = jobs.jump_report(Dataset.of_frames(frames_from_events(spark, d)), LIMIT, dims=(0,))["summary"]
+    names = ["signal", "n", "std", "p99", "abs_max", "abs_max_delta", "abnormal_ratio", "open_episodes", "close_episodes"]
+    return rounded(report.select(*names), "std", "p99", "abs_max", "abs_max_delta", "abnormal_ratio")
+
+
 def poses_sql(digits: int = 6) -> str:
     """Forward kinematics in SQL: ``p`` with arm and pose. A frame of three axes and a place is carried along six links."""
 

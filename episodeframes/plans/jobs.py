@@ -53,7 +53,7 @@ def checked_layout(ds: Dataset, inventory: DataFrame | None = None) -> None:
 def checked_rules(ds: Dataset) -> None:
     """E6 and E7."""
     reject(validate.metadata_violations(ds), "metadata_violations")
-    reject(validate.index_violations(ds), "index_violations")
+    reject(validate.broken_rules(ds, validate.episode_summary(ds)), "index_violations")
 
 
 def norm_stats(frames: DataFrame, features: dict[str, int]) -> DataFrame:
@@ -76,6 +76,7 @@ def norm_stats(frames: DataFrame, features: dict[str, int]) -> DataFrame:
 
 def remove(ds: Dataset, selector: str) -> Dataset:
     """Episodes named by a selector; one at least must stay. What is left is held against its lengths (C4)."""
+    ds = settled(ds)
     total = ds.episodes.count()
     gone = select.parse_episode_selector(selector, total)
     if len(gone) >= total:
@@ -85,21 +86,22 @@ def remove(ds: Dataset, selector: str) -> Dataset:
 
 def checked_edit(out: Dataset) -> Dataset:
     """What every removal ends with: frames held against their lengths (C4) and new totals."""
-    out, _ = reindex.repair_indices(out)
+    out = settled(reindex.repair_indices(out)[0])
     return out.with_(info=stats.rebuild_info(out)[0])
 
 
 def remove_short(ds: Dataset, min_length: int) -> Dataset:
     """What is left is repaired where needed (C4), and none of it may be short."""
-    out = checked_edit(select.remove_short_episodes(ds, min_length))
+    out = checked_edit(select.remove_short_episodes(settled(ds), min_length))
     reject(out.episodes.filter(F.col("length") < min_length), "short episodes are left")
     return out
 
 
 def extract_range(ds: Dataset, start: int, end: int) -> Dataset:
     """Source and result are held against E6 and E7. ``extract_with_stats`` also has the statistics."""
+    ds = settled(ds)
     checked_rules(ds)
-    out = select.extract_episode_range(ds, start, end)
+    out = settled(select.extract_episode_range(ds, start, end))
     checked_rules(out)
     return out.with_(info=stats.rebuild_info(out)[0])
 
@@ -194,7 +196,7 @@ def remove_pose_idle(ds: Dataset, min_s: float = 2.0, report: str | None = None,
     found = kept(windows.pose_idle_episodes(ds.frames, ds.info.fps, min_s, **tolerances), "pose-idle")
     if report:
         write_report(found.orderBy("episode_index"), report, "json")
-    return checked_edit(select.remove_episodes(ds, found.select("episode_index")))
+    return checked_edit(select.remove_episodes(settled(ds), found.select("episode_index")))
 
 
 def force_deltas(ds: Dataset) -> Dataset:

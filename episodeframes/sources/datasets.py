@@ -48,7 +48,8 @@ def read_frames(spark: SparkSession, root: str, columns: list[str] | None = None
     ``root/data`` but backups. A missing episode_index comes from the file name, a missing frame_index is the row's place in
     its file, and numbers stored as lists of one become numbers."""
     try:
-        df = spark.read.parquet(f"{root}/data/chunk-*/episode_*.parquet")
+        df = spark.read.parquet(f"{root}/data/chunk-*/episode_*[0-9].parquet")
+        df = df.filter(F.col("_metadata.file_name").rlike(r"^episode_[0-9]+\.parquet$"))
     except AnalysisException:
         df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(f"{root}/data")
         df = df.filter(~F.lower(F.col("_metadata.file_name")).rlike(BACKUP))

@@ -15,7 +15,7 @@ sent more than once, so a passage of any frequency costs each task one row. Suff
 Texts move twice, compressed: to pass 2 (documents with open windows) and to be cut.
 
 Defined results: null and empty texts have no windows; matches never cross documents; a document without an id counts
-as larger than all others and matches none of its kind; rows of one id never match each other; long texts are taken in
+as larger than all others (equal to the largest id there can be) and matches none of its kind; rows of one id never match each other; long texts are taken in
 pieces that overlap by WIDTH - 1 bytes. Other columns are ignored.
 """
 
@@ -40,7 +40,7 @@ HELD, PIECE = 1_000_000, 1 << 20
 #: Stretches of one gram that a task sends; with more of them, all but one are settled in pass 2.
 COMMON = 16
 NO_ID = np.int64((1 << 63) - 1)
-MOVED = "bucket int, kind int, n int, block binary, doc_id long, th int, spans array<int>"
+MOVED = "bucket int, kind int, n int, block binary, doc_id long, th long, spans array<int>"
 BLOCK, REPEATED, OPEN = 0, 1, 2
 FIELDS_1 = (("kh", "<u4"), ("c1", "<u4"), ("c2", "<u4"), ("s", "<u4"), ("n", "u1"), ("common", "u1"))
 FIELDS_2 = (("h", "<u8"), ("g", "<u4"), ("s", "<u4"))
@@ -147,7 +147,7 @@ def packed(fields, columns: dict[str, np.ndarray]) -> bytes:
     cut = runs(columns["doc"], columns["th"])
     doc = columns["doc"][cut]
     parts = [
-        np.array([len(cut)], "<u4").tobytes(), planes(np.diff(doc, prepend=0), "<i8"), planes(columns["th"][cut], "<i4"),
+        np.array([len(cut)], "<u4").tobytes(), planes(np.diff(doc, prepend=0), "<i8"), planes(columns["th"][cut], "<i8"),
         planes(np.diff(np.append(cut, len(columns["doc"]))), "<u4")
     ]
     return zstandard.compress(b"".join(parts + [planes(columns[k], kind) for k, kind in fields]), 1)
@@ -161,7 +161,7 @@ def unpacked(fields, blocks: list[tuple[int, bytes]]) -> dict[str, np.ndarray]:
         raw = memoryview(zstandard.decompress(block))
         docs = int(np.frombuffer(raw, "<u4", 1)[0])
         doc, at = from_planes(raw, 4, docs, "<i8")
-        th, at = from_planes(raw, at, docs, "<i4")
+        th, at = from_planes(raw, at, docs, "<i8")
         count, at = from_planes(raw, at, docs, "<u4")
         parts["doc"].append(np.repeat(np.cumsum(doc), count))
         parts["th"].append(np.repeat(th, count))
@@ -173,7 +173,7 @@ def unpacked(fields, blocks: list[tuple[int, bytes]]) -> dict[str, np.ndarray]:
 
 MOVED_SCHEMA = pa.schema(
     [
-        ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("block", pa.binary()), ("doc_id", pa.int64()), ("th", pa.int32()),
+        ("bucket", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("block", pa.binary()), ("doc_id", pa.int64()), ("th", pa.int64()),
         ("spans", pa.list_(pa.int32()))
     ]
 )
@@ -184,15 +184,16 @@ def block_rows(bucket: list[int], n: list[int], blocks: list[bytes]) -> pa.Recor
     return pa.RecordBatch.from_arrays(
         [
             pa.array(bucket, pa.int32()), pa.array([BLOCK] * k, pa.int32()), pa.array(n, pa.int32()), pa.array(blocks, pa.binary()),
-            pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int32()))
+            pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.list_(pa.int32()))
         ],
         schema=MOVED_SCHEMA
     )
 
 
 def span_rows(kind: int, buckets: int, doc: np.ndarray, th: np.ndarray, s: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    """A row for each document with its (first, length) pairs."""
-    order = np.lexsort((s, th, doc))
+    """A row for each document with its distinct (first, length) pairs: copies of one row add none."""
+    order = np.lexsort((n, s, th, doc))
+    order = order[runs(doc[order], th[order], s[order], n[order])] if len(order) else order
     doc, th, pairs = doc[order], th[order], np.stack([s[order], n[order]], 1).astype(np.int32)
     cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (th[1:] != th[:-1])])) if len(doc) else np.zeros(0, np.int64)
     spans = pa.ListArray.from_arrays(pa.array(np.append(cut, len(doc)) * 2, pa.int32()), pa.array(pairs.ravel(), pa.int32()))
@@ -200,7 +201,7 @@ def span_rows(kind: int, buckets: int, doc: np.ndarray, th: np.ndarray, s: np.nd
     return pa.RecordBatch.from_arrays(
         [
             pa.array(doc[cut] % buckets, pa.int32()), pa.array(np.full(k, kind), pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()),
-            pa.array(doc[cut], pa.int64()), pa.array(th[cut], pa.int32()), spans
+            pa.array(doc[cut], pa.int64()), pa.array(th[cut], pa.int64()), spans
         ],
         schema=MOVED_SCHEMA
     )
@@ -361,10 +362,10 @@ def _shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, at = utf8(batch.column(2))
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0), batch.column(1),
+                batch.column(0), batch.column(1), batch.column(3),
                 pa.array([z.compress(data[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())
             ],
-            ["doc_id", "th", "text"]
+            ["doc_id", "th", "none", "text"]
         )
 
 
@@ -422,8 +423,8 @@ def _cut(keep_text: bool):
                 out.append((len(data), gone, n, hashlib.sha256(kept).hexdigest()))
                 texts.append(kept.tobytes() if keep_text else None)
             cols = list(zip(*out, strict=True)) or [[]] * 4
-            ids = batch.column(0).to_numpy()
-            arrays = [pa.array(ids, pa.int64(), mask=ids == NO_ID), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())]
+            none = batch.column(4).to_numpy(zero_copy_only=False)
+            arrays = [pa.array(batch.column(0).to_numpy(), pa.int64(), mask=none), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.RecordBatch.from_arrays(
                 [*arrays, pa.array(texts, pa.binary())] if keep_text else arrays, [*names, "kept_bytes"] if keep_text else names
@@ -437,8 +438,11 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kee
     bounded_batches(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(partitions_for(docs.sparkSession), min(MOST_BUCKETS, -(-size // BUCKET_BYTES)))
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(int(NO_ID))).alias("doc_id"), F.hash(text).alias("th"), F.col(text).alias("text"))
-    small = rows.mapInArrow(_shrink, "doc_id long, th int, text binary")
+    # a row's spans are found again by its id and a hash of its text; of rows without an id, the hash alone must tell them apart
+    none = F.col(doc_id).isNull()
+    th = F.when(none, F.xxhash64(text)).otherwise(F.hash(text).cast("long").bitwiseAND(0xFFFFFFFF))
+    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(int(NO_ID))).alias("doc_id"), th.alias("th"), F.col(text).alias("text"), none.alias("none"))
+    small = rows.mapInArrow(_shrink, "doc_id long, th long, none boolean, text binary")
     moved = rows.mapInArrow(_pass_1(parts), MOVED).repartitionById(parts, "bucket").sortWithinPartitions("bucket")
     first = materialize(moved.mapInArrow(_settle(FIELDS_1, settle_1), MOVED).select("kind", "doc_id", "th", "spans"), "suffixes-1")
 
@@ -451,4 +455,4 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kee
     second = moved.mapInArrow(_settle(FIELDS_2, settle_2), MOVED).select("doc_id", "th", "spans")
     repeated = lists(first.filter(f"kind = {REPEATED}").select("doc_id", "th", "spans").unionByName(second))
     names = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * keep_text
-    return small.join(repeated, ["doc_id", "th"], "left").select("doc_id", "th", "text", "spans").mapInArrow(_cut(keep_text), names)
+    return small.join(repeated, ["doc_id", "th"], "left").select("doc_id", "th", "text", "spans", "none").mapInArrow(_cut(keep_text), names)

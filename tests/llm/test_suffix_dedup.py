@@ -111,3 +111,16 @@ def test_null_and_repeated_ids(spark):
     assert sorted((r.doc_id or 99, r.n_removed) for r in got) == [(1, 0), (1, 0), (1, 0), (2, len(t)), (99, len(t)), (99, len(t))]
     assert {bytes(r.kept_bytes) for r in got} == {t.encode(), (t + "more").encode(), b""}
     assert S.cut_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_rows_without_an_id_and_the_largest_id(spark):
+    """Rows without an id are told apart by their texts, copies of one row add nothing, and the largest id comes back."""
+    passage = "a passage of more than fifty bytes that several documents have"
+    rows = [(1, passage + " one"), (None, "two " + passage), (None, "three, " + passage), ((1 << 63) - 1, "own text of the largest id, which nobody shares with it")]
+    rows += [(5, "five " + passage)] * 30 + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(str, (tuple(r)[:4] for r in S.cut_repeats(df).collect())))
+    n = len(passage)
+    want = [(1, n + 4, 0, 0), (None, n + 4, n + 1, 1), (None, n + 7, n + 1, 1), ((1 << 63) - 1, len(rows[3][1]), 0, 0), (None, 0, 0, 0)] + [(5, n + 5, n, 1)] * 30
+    # the blank before the passage is in document 5, not in document 1
+    assert got == sorted(map(str, want))

@@ -46,6 +46,8 @@ SEED = 11
 #: Vectors of a list that meet in one group of rows; a larger list is dealt to a group for each pair of blocks.
 BLOCK = 512
 PAIRS_AT_ONCE = 16384
+#: Lists for which a pair is dropped, before its collisions are counted, if it has met there.
+EARLIER = 8
 #: Lengths of vectors in one table.
 MOST_LENGTHS = 1000
 
@@ -163,6 +165,10 @@ def met_pairs(plan: Plan, t: int, side: np.ndarray, code: np.ndarray, place: np.
     order = np.argsort(first, kind="stable")
     ends = np.searchsorted(first[order], first[order] + WIDTH, "right")
     across = bool(side.any()) and not bool(side.all())
+    heads = place[:, :: plan.depth].T.copy()
+    lines_of = np.zeros((plan.lists, len(code)), np.uint64)  # of each list a vector's lines as one number (up to 8 groups)
+    for d in range(plan.depth):
+        lines_of = lines_of << np.uint64(8) | code[:, d :: plan.depth].T
     begin = 0
     while begin < len(order):  # windows over the sorted places, some pairs at a time
         stop = begin + max(1, int(np.searchsorted(np.cumsum(ends[begin:] - np.arange(begin, len(order)) - 1), PAIRS_AT_ONCE)))
@@ -173,6 +179,9 @@ def met_pairs(plan: Plan, t: int, side: np.ndarray, code: np.ndarray, place: np.
         i, j, begin = order[i], order[j], stop
         if across:
             i, j = i[side[i] != side[j]], j[side[i] != side[j]]
+        for before in range(min(t, EARLIER)):  # most pairs of a dense cloud met in one of the first lists
+            new = ~collide(lines_of[before, i], heads[before, i], lines_of[before, j], heads[before, j])
+            i, j = i[new], j[new]
         same = collide(code[i], place[i], code[j], place[j])
         often = same.sum(axis=1) >= plan.least
         i, j, same = i[often], j[often], same[often]

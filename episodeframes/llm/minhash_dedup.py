@@ -47,6 +47,8 @@ MEMBERS = 256
 BLOCK = 512
 #: Bytes of text that a block holds; blocks of long texts have fewer nodes.
 BLOCK_TEXT = 8 << 20
+#: Keys (16 bytes) of documents that don't simply stay, up to which they are broadcast.
+MOST_ODD = 1_000_000
 LEAST_AGREE = int(COORDINATES * 0.75 - 5 * (COORDINATES * 0.75 * 0.25) ** 0.5)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 SEPARATOR = np.zeros(256, bool)
@@ -438,8 +440,14 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     doc_id, text = f"_{names.index('doc_id')}", f"_{names.index('text')}"
     rows = keyed(renamed, doc_id, text)
     groups = near_groups(rows.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), "k1", "k2"))
-    first = groups.filter("k1 = first_k1 and k2 = first_k2").select("k1", "k2").distinct()
+    first = F.bool_or((F.col("k1") == F.col("first_k1")) & (F.col("k2") == F.col("first_k2"))).alias("first")
+    keys = groups.filter("first_k1 is not null").groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("n"))
+    # what goes, and what is there several times; mostly that is little, and then no text moves
+    odd = materialize(keys.filter("not first or n > 1"), "odd-keys")
     has_words = F.coalesce(F.col(text).rlike(HAS_WORD), F.lit(False))
-    kept = rows.filter(has_words).join(first, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
-    out = kept.unionByName(rows.filter(~has_words))
+    worded, key = rows.filter(has_words), ["k1", "k2"]
+    few = odd.limit(MOST_ODD + 1).count() <= MOST_ODD
+    side = F.broadcast if few else (lambda df: df)
+    several = worded.join(side(odd.filter("first").select(*key)), key, "left_semi").dropDuplicates(key)
+    out = worded.join(side(odd.select(*key)), key, "left_anti").unionByName(several).unionByName(rows.filter(~has_words))
     return out.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(names)))

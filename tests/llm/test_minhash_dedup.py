@@ -188,3 +188,14 @@ def test_half_of_all_documents_are_equal(spark, monkeypatch):
     rows += [(len(rows) + i, "one text that half of all documents have word for word") for i in range(110)] + [(900, None), (901, " ")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert sorted(map(tuple, M.near_duplicates(df).collect())) == brute(rows)
+
+
+def test_kept_rows_by_either_join(spark, monkeypatch):
+    """Repeated rows, texts without words and near copies, with the odd keys broadcast and shuffled."""
+    rows = corpus(random.Random(31), 60) + [(900, None), (900, None), (901, " "), (3, "twice the same row here"), (3, "twice the same row here")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, k1 string").repartition(4)
+    want = sorted([r[0] for r in set(brute(rows)) if r[3] and r[0] not in (900, 901)] + [900, 900, 901])
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(M, "MOST_ODD", most)
+        left = M.drop_near_copies(df)
+        assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == want

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.kinematics import RIGHT_BASE, pose_of
+from ..functions.kinematics import RIGHT_BASE, base_column, with_pose
 from ..functions.vectors import doubles
 from ..schema import STATE
 from .quantiles import exact_quantiles
@@ -23,9 +23,10 @@ def forward_kinematics(
     v, arms = doubles(STATE), []
     for arm, dims, base in (("left", left, (0.0,) * 6), ("right", right, right_base)):
         joints = F.array(*(F.get(v, F.lit(i)) for i in dims))
-        arms.append(F.struct(F.lit(arm).alias("arm"), pose_of(joints, base_pose=tuple(base), **options).alias("p")))
-    both = frames.select("episode_index", "frame_index", *extra, F.explode(F.array(*arms)).alias("a"))
-    return both.select("episode_index", "frame_index", *extra, "a.arm", "a.p.*")
+        arms.append(F.struct(F.lit(arm).alias("arm"), joints.alias("q"), base_column(base).alias("base")))
+    both = frames.select("episode_index", "frame_index", *extra, F.explode(F.array(*arms)).alias("_a"))
+    both = both.select("episode_index", "frame_index", *extra, "_a.arm", "_a.q", "_a.base")
+    return with_pose(both, F.col("q"), F.col("base"), ["episode_index", "frame_index", *extra, "arm"], **options)
 
 
 def finite() -> Column:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from episodeframes.functions.kinematics import pose_of
+from episodeframes.functions.kinematics import RIGHT_BASE, base_column, pose_of, with_pose
 from episodeframes.functions.vectors import format_path, mirror_vector
 from episodeframes.operators import augment, latency, merge, occupancy, profile, select, stats, transforms, validate, video, windows
 from episodeframes.operators.quantiles import exact_quantiles
@@ -372,3 +372,16 @@ def test_a_table_is_read_once_for_each_use(spark, tmp_path):
     report = jobs.check_up(ds)._jdf.queryExecution().sparkPlan().toString()
     assert sum(settled_name in line for line in report.splitlines() if "FileScan" in line) <= 4
     assert scans(jobs.clean_idle(ds, info=False, widths={STATE: 1, ACTION: 0})[0].stats) <= 4
+
+
+def test_pose_by_projections_equals_the_fold(spark):
+    angles = np.random.default_rng(3).uniform(-3, 3, (40, 6)).tolist() + [[0.0, None, 0.0, 0.0, 0.0, 0.0]]
+    rows = spark.createDataFrame([(i, q, "kept") for i, q in enumerate(angles)], "i int, q array<double>, _x0 string")  # a name of a step
+    options = {"dh_offset": False, "tcp_offset": (0.0, 0.02, 0.1)}
+    got = with_pose(rows, F.col("q"), base_column(RIGHT_BASE), ["i", "_x0"], **options)
+    want = rows.select("i", "_x0", pose_of(F.col("q"), base_pose=RIGHT_BASE, **options).alias("p")).select("i", "_x0", "p.*")
+    assert got.columns == want.columns
+    got_rows, want_rows = ([tuple(r) for r in df.orderBy("i").collect()] for df in (got, want))
+    assert got_rows[:-1] == want_rows[:-1]
+    assert got_rows[-1][:2] == (40, "kept") and got_rows[-1][2] is None
+    assert "aggregate(" not in got._jdf.queryExecution().executedPlan().toString()

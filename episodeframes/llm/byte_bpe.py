@@ -4,7 +4,16 @@ Texts are split by the tokenizer's pattern. The distinct words that a worker has
 position, token) of a seed table, one row a byte. A recursive query joins each pair of neighbours with the merge table
 and contracts the leftmost pair of the lowest rank of every word, until no word has a pair that merges; an ordered
 aggregation yields the ids, and another decodes ids to bytes. The merge table has every way to cut a token in two
-tokens, so that a pair merges exactly when its joined bytes are a token. Words of over LONG bytes contract all
+tokens, so that a pair merges exactly when its joined bytes are a token.
+
+Pairs that need not wait contract in the same step. Let a and b be neighbours whose joined bytes have rank k, p the byte
+before them and n the byte after. Anything else that takes a first makes a token that ends with p and a; with b, one
+that begins with b and n; and what ab merges into ends with p and ab, or begins with ab and n. If no token of rank k or
+below does so, the plain rule contracts a and b before it touches either, and ab takes no part in a merge before rank k,
+so contracting them at once changes nothing. p and n are bytes of the word, which stay as they are; the merge table has
+for each pair those bytes before and after it with which it has to wait.
+
+Words of over LONG bytes contract all
 occurrences of their lowest pair in one step where that cannot change the outcome: when no pair with the new token has
 a lower rank, the next step of the plain rule would take the next occurrence anyway. Such words are first cut between
 bytes that no token has side by side, which no merge can cross, and their steps are taken in rounds of bounded size.
@@ -22,7 +31,6 @@ import base64
 import contextlib
 import hashlib
 import itertools
-import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -39,7 +47,7 @@ LONG = 256
 #: Characters from which on a text is taken in parts of WORDS_AT_ONCE words.
 WHOLE = 1 << 20
 WORDS_AT_ONCE = 100_000
-MOST_BYTES = 40 << 20
+MOST_BYTES = 96 << 20
 WORDS_A_QUERY, BYTES_A_QUERY = 40_000, 1 << 20
 #: Rows of all steps of one round over long words.
 ROWS_A_ROUND = 4_000_000
@@ -49,27 +57,35 @@ MEMORY, MEMORY_AT_REST = "1GB", "50MB"
 #: The pattern of the rank files in use; for it, texts in Latin-1 are split by explicit classes (the same words, faster).
 KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: A pair's number holds its rank, its place and the place of its second token, 16 bits each; from NONE on it has no rank.
+#: A pair's number holds its rank and its place; from NONE on it has no rank, below 0 it need not wait (NONE is taken off).
 NONE = 1 << 62
-#: Rows are (word, token, next token, number of the pair); the least number of a word is its leftmost pair of lowest rank.
+NUMBER = f"CASE WHEN (m.before & pb) | (m.after & nb) = 0 THEN (m.k << 32) + p - {NONE} ELSE coalesce(m.k << 32, {NONE}) + p END"
+#: Rows are (word, place, next place, token, next token, bits of the bytes around the pair, number of the pair). In each
+#: step the pairs that need not wait contract, or, where a word has none, its leftmost pair of lowest rank.
 ENCODE = f"""
 WITH RECURSIVE step AS (
-  SELECT w, t, nt, coalesce(m.k << 32, {NONE}) + places AS k, false AS fin FROM seed LEFT JOIN m ON m.lr = t::BIGINT * 65536 + nt
+  SELECT w, p, np, t, nt, pb, nb, {NUMBER} AS k, false AS fin FROM seed LEFT JOIN m ON m.lr = t::BIGINT * 65536 + nt
   UNION ALL
-  (WITH met AS (
-     SELECT s.*, b.k AS b, (b.k >> 32)::INT AS merged, (b.k >> 16) & 65535 AS first, b.k & 65535 AS second
+  (WITH met AS MATERIALIZED (
+     SELECT s.w, s.p, s.np, s.t, s.nt, s.pb, s.nb, s.k, b.k >= {NONE} AS fin, s.k < 0 OR (s.k = b.k AND b.k < {NONE}) AS hit
      FROM step s JOIN (SELECT w, min(k) AS k FROM step WHERE NOT fin GROUP BY w) b ON s.w = b.w),
-   changed AS (
-     SELECT x.w, x.merged AS t, y.nt, (x.first << 16) + (y.k & 65535) AS places
-     FROM (SELECT * FROM met WHERE k = b AND b < {NONE}) x
-     JOIN (SELECT * FROM met WHERE (k >> 16) & 65535 = second AND b < {NONE}) y ON x.w = y.w
-     UNION ALL
-     SELECT w, t, merged, k & 4294967295 FROM met WHERE k & 65535 = first AND b < {NONE})
-   SELECT w, t, nt, k, b >= {NONE} FROM met
-   WHERE b >= {NONE} OR (k <> b AND (k >> 16) & 65535 <> second AND k & 65535 <> first)
-   UNION ALL
-   SELECT w, t, nt, coalesce(m.k << 32, {NONE}) + places, false FROM changed LEFT JOIN m ON m.lr = t::BIGINT * 65536 + nt))
-SELECT w, t FROM step WHERE fin ORDER BY w, (k >> 16) & 65535
+   hits AS MATERIALIZED (SELECT p, np, ((k + {NONE}) >> 32 & {(1 << 30) - 1})::INT AS t, pb, nb FROM met WHERE hit),
+   moved AS (
+     SELECT x.w, coalesce(a.p, x.p) AS p, x.np, coalesce(a.t, x.t) AS t, coalesce(c.t, x.nt) AS nt, coalesce(a.pb, x.pb) AS pb,
+            coalesce(c.nb, x.nb) AS nb, CASE WHEN a.p IS NULL AND c.p IS NULL THEN x.k END AS same, x.fin
+     FROM met x LEFT JOIN hits a ON x.p = a.np LEFT JOIN hits c ON x.np = c.p WHERE NOT x.hit)
+   SELECT w, p, np, t, nt, pb, nb, coalesce(same, {NUMBER}), fin
+   FROM moved LEFT JOIN m ON m.lr = CASE WHEN same IS NULL THEN t::BIGINT * 65536 + nt END))
+SELECT w, t FROM step WHERE fin ORDER BY p
+"""
+#: For each pair that merges, the bits of bytes before (after) it with which it has to wait its turn: those that some token
+#: of no higher rank has before the pair or its first token (after the pair or its second).
+WAITS = """
+CREATE TABLE {side} AS
+WITH near AS (SELECT {near} AS id, {bit} AS bit, min(k) AS k FROM given WHERE {near} >= 0 GROUP BY ALL)
+SELECT lr, bit_or(bit) AS bits
+FROM (SELECT lr, bit FROM merges JOIN near ON id = merges.{own} AND near.k <= merges.k
+      UNION ALL SELECT lr, bit FROM merges JOIN near ON id = merges.k AND near.k <= merges.k) GROUP BY lr
 """
 ENCODE_LONG = """
 WITH RECURSIVE step AS (
@@ -110,18 +126,31 @@ class Coder:
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        cuts = ((t[:i], t[i:], k) for t, k in ranks.items() for i in range(1, len(t)))
-        merges = np.array([(ranks[x], ranks[y], k) for x, y, k in cuts if x in ranks and y in ranks], np.int64)
+        raw = np.frombuffer(b"".join(ranks), np.uint8)
+        self.bit = np.full(256, 1 << 63, np.uint64)  # the last is shared by all but the 63 most frequent bytes
+        self.bit[np.argsort(-np.bincount(raw, minlength=256), kind="stable")[:63]] = np.uint64(1) << np.arange(63, dtype=np.uint64)
+        places = ((t, k, i) for t, k in ranks.items() for i in range(1, len(t)))
+        cuts = np.array([(ranks.get(t[:i], -1), ranks.get(t[i:], -1), k, t[i - 1], t[i]) for t, k, i in places], np.int64)
+        merges = cuts[(cuts[:, :2] >= 0).all(1), :3]
         lower = np.concatenate([merges[merges[:, i] > merges[:, 2], i] for i in (0, 1)])
         safe = ~np.isin(merges[:, 2], lower)
         m = {"l": merges[:, 0], "r": merges[:, 1], "lr": merges[:, 0] << 16 | merges[:, 1], "k": merges[:, 2], "safe": safe}
         v = {"id": np.array(list(ranks.values()), np.int64), "hex": [b.hex() for b in ranks]}
+        c = {"l": cuts[:, 0], "r": cuts[:, 1], "k": cuts[:, 2], "pb": self.bit[cuts[:, 3]], "nb": self.bit[cuts[:, 4]]}
         self.sql = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
         self.sql.execute("SET temp_directory = ''")
-        for name, table in (("m", pa.table(m)), ("v", pa.table(v))):
-            self.sql.register("given", table)
-            self.sql.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-            self.sql.unregister("given")
+        for name, table in (("merges", m), ("v", v), ("given", c)):
+            self.sql.register("table_given", pa.table(table))
+            self.sql.execute(f"CREATE TABLE {name} AS SELECT * FROM table_given")
+            self.sql.unregister("table_given")
+        self.sql.execute(WAITS.format(side="before", near="r", own="l", bit="pb"))
+        self.sql.execute(WAITS.format(side="after", near="l", own="r", bit="nb"))
+        self.sql.execute(
+            "CREATE TABLE m AS SELECT merges.*, coalesce(before.bits, 0)::UBIGINT AS before, coalesce(after.bits, 0)::UBIGINT AS after "
+            "FROM merges LEFT JOIN before USING (lr) LEFT JOIN after USING (lr)"
+        )
+        for name in ("given", "merges", "before", "after"):
+            self.sql.execute(f"DROP TABLE {name}")
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.side_by_side = np.zeros((256, 256), bool)
         for x in ranks:
@@ -129,18 +158,13 @@ class Coder:
         self.pattern = regex.compile(pattern)
         self.latin = latin_pattern() if pattern == KNOWN_PATTERN else None
         self.wide = re.compile(r"[^\x00-\xff]")
-        # ids and bytes of recent words, and which of them recurred
-        self.recurring: set[str] = set()
+        # ids and bytes of recent words
         self.recent: dict[str, tuple[bytes, bytes]] = {}
         self.older: dict[str, tuple[bytes, bytes]] = {}
         self.held = 0
 
     def rest(self) -> None:
-        """Between tasks a worker keeps the words that recurred, and the engine no more than its tables."""
-        kept = pickle.dumps({x: self.recent[x] for x in self.recurring})
-        self.recent, self.older, self.recurring = {}, {}, set()
-        self.recent = pickle.loads(kept)  # new objects side by side, so that the others' memory is free
-        self.held = sum(map(held_bytes, self.recent.items()))
+        """Between tasks a worker keeps its known words, and the engine no more than its tables."""
         self.sql.execute(f"SET memory_limit = '{MEMORY_AT_REST}'")
 
     @contextlib.contextmanager
@@ -168,12 +192,12 @@ class Coder:
         What was not used for MOST_BYTES of words is forgotten.
         """
         if self.held > MOST_BYTES:
-            self.recent, self.older, self.held, self.recurring = {}, self.recent, 0, set()
-        missing = words - self.recent.keys()
-        found = {x: self.older[x] for x in missing & self.older.keys()}
-        self.recurring |= words - missing | found.keys()
-        long = [x for x in missing - found.keys() if len(x) * 4 > LONG and len(x.encode()) > LONG]
-        for some, code in ((list(missing - found.keys() - set(long)), self.coded), (long, self.coded_long)):
+            self.recent, self.older, self.held = {}, self.recent, 0
+        missing = words.difference(self.recent)
+        found = {x: self.older[x] for x in missing if x in self.older}
+        missing.difference_update(found)
+        long = [x for x in missing if len(x) * 4 > LONG and len(x.encode()) > LONG]
+        for some, code in ((list(missing.difference(long)), self.coded), (long, self.coded_long)):
             i = 0
             while i < len(some):  # many words a query, but a bounded number of bytes
                 j = size = 0
@@ -184,14 +208,21 @@ class Coder:
                 found.update(zip(some[i : i + j], zip(ids, self.decoded(ids), strict=True), strict=True))
                 i += j
         self.recent.update(found)
-        self.held += sum(map(held_bytes, found.items()))
+        self.held += held_bytes(found)
         return self.recent
 
-    def coded(self, words: list[bytes]) -> list[bytes]:
+    def seed(self, words: list[bytes]) -> pa.Table:
         w, p, t, last = self.rows(words)
-        places = p << 16 | np.where(last, 65535, p + 1)
-        nt = pa.array(np.append(t[1:], 0).astype(np.int32), mask=last)
-        self.sql.register("seed", pa.table({"w": w.astype(np.int32), "t": t.astype(np.int32), "nt": nt, "places": places}))
+        bit, none, at = self.bit[np.frombuffer(b"".join(words), np.uint8)], np.uint64(0), np.arange(len(p), dtype=np.int32)
+        after = np.where(last, none, np.roll(bit, -1))
+        return pa.table({
+            "w": w.astype(np.int32), "p": at, "np": np.where(last, np.int32(-1), at + np.int32(1)), "t": t.astype(np.int32),
+            "nt": pa.array(np.roll(t, -1).astype(np.int32), mask=last),
+            "pb": np.where(p == 0, none, np.roll(bit, 1)), "nb": np.where(last, none, np.roll(after, -1)),
+        })
+
+    def coded(self, words: list[bytes]) -> list[bytes]:
+        self.sql.register("seed", self.seed(words))
         found = self.sql.execute(ENCODE).fetchnumpy()
         self.sql.unregister("seed")
         return joined(found["w"], found["t"], len(words))
@@ -247,9 +278,9 @@ class Coder:
         return found
 
 
-def held_bytes(word: tuple[str, tuple[bytes, bytes]]) -> int:
-    """About what a known word takes up."""
-    return 250 + 3 * len(word[0]) + len(word[1][0])
+def held_bytes(words: dict[str, tuple[bytes, bytes]]) -> int:
+    """About what known words take up; ids of ASCII words are some three times their length."""
+    return 250 * len(words) + 6 * sum(map(len, words))
 
 
 def joined(w: np.ndarray, t: np.ndarray, words: int) -> list[bytes]:

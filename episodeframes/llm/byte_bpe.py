@@ -47,8 +47,8 @@ LONG = 256
 #: Characters from which on a text is taken in parts of WORDS_AT_ONCE words.
 WHOLE = 1 << 20
 WORDS_AT_ONCE = 100_000
-MOST_BYTES = 96 << 20
-WORDS_A_QUERY, BYTES_A_QUERY = 40_000, 1 << 20
+MOST_BYTES = 64 << 20
+WORDS_A_QUERY, BYTES_A_QUERY = 20_000, 1 << 20
 #: Rows of all steps of one round over long words.
 ROWS_A_ROUND = 4_000_000
 #: Ids that one query decodes; a longer list is decoded by several.

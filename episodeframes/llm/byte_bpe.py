@@ -33,7 +33,9 @@ import hashlib
 import itertools
 import re
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +49,8 @@ LONG = 256
 #: Characters from which on a text is taken in parts of WORDS_AT_ONCE words.
 WHOLE = 1 << 20
 WORDS_AT_ONCE = 100_000
-MOST_BYTES = 64 << 20
-WORDS_A_QUERY, BYTES_A_QUERY = 20_000, 1 << 20
+MOST_BYTES = 40 << 20
+WORDS_A_QUERY, BYTES_A_QUERY = 10_000, 1 << 20
 #: Rows of all steps of one round over long words.
 ROWS_A_ROUND = 4_000_000
 #: Ids that one query decodes; a longer list is decoded by several.
@@ -151,6 +153,7 @@ class Coder:
         )
         for name in ("given", "merges", "before", "after"):
             self.sql.execute(f"DROP TABLE {name}")
+        self.flush()
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.side_by_side = np.zeros((256, 256), bool)
         for x in ranks:
@@ -158,14 +161,20 @@ class Coder:
         self.pattern = regex.compile(pattern)
         self.latin = latin_pattern() if pattern == KNOWN_PATTERN else None
         self.wide = re.compile(r"[^\x00-\xff]")
-        # ids and bytes of recent words
-        self.recent: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        # ids and bytes of recent words, a line's end between them: one object takes up half of what a tuple of two does
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
 
     def rest(self) -> None:
         """Between tasks a worker keeps its known words, and the engine no more than its tables."""
         self.sql.execute(f"SET memory_limit = '{MEMORY_AT_REST}'")
+        pa.default_memory_pool().release_unused()
+
+    def flush(self) -> None:
+        """What queries have used goes back to the system: the engine gives up freed pages when its limit is set, not before."""
+        self.rest()
+        self.sql.execute(f"SET memory_limit = '{MEMORY}'")
 
     @contextlib.contextmanager
     def awake(self) -> Iterator[None]:
@@ -186,14 +195,14 @@ class Coder:
         while part := list(itertools.islice(found, WORDS_AT_ONCE)):
             yield part
 
-    def known(self, words: set[str]) -> dict[str, tuple[bytes, bytes]]:
-        """Of at least these words the decimal ids, joined by blanks, and the bytes that these ids decode to.
+    def known(self, words: Iterable[str]) -> list[tuple[bytes, bytes]]:
+        """Of each of these distinct words the decimal ids, joined by blanks, and the bytes that these ids decode to.
 
         What was not used for MOST_BYTES of words is forgotten.
         """
         if self.held > MOST_BYTES:
             self.recent, self.older, self.held = {}, self.recent, 0
-        missing = words.difference(self.recent)
+        missing = set(words).difference(self.recent)
         found = {x: self.older[x] for x in missing if x in self.older}
         missing.difference_update(found)
         long = [x for x in missing if len(x) * 4 > LONG and len(x.encode()) > LONG]
@@ -205,11 +214,13 @@ class Coder:
                     size += len(some[i + j])
                     j += 1
                 ids = code([x.encode() for x in some[i : i + j]])
-                found.update(zip(some[i : i + j], zip(ids, self.decoded(ids), strict=True), strict=True))
+                found.update(zip(some[i : i + j], map(b"%b\n%b".__mod__, zip(ids, self.decoded(ids), strict=True)), strict=True))
                 i += j
+        if missing:
+            self.flush()
         self.recent.update(found)
         self.held += held_bytes(found)
-        return self.recent
+        return [tuple(self.recent[x].split(b"\n", 1)) for x in words]
 
     def seed(self, words: list[bytes]) -> pa.Table:
         w, p, t, last = self.rows(words)
@@ -257,11 +268,17 @@ class Coder:
         """For each text its words' ids and bytes, in lists; to be taken in order."""
         for long, some in itertools.groupby(texts, lambda x: x is not None and len(x) >= WHOLE):
             if long:
-                yield from ((list(map(self.known(set(words)).__getitem__, words)) for words in self.split(x)) for x in some)
+                yield from (map(self.looked_up, self.split(x)) for x in some)
             else:
-                split = [next(self.split(x)) if x else [] for x in some]
-                get = self.known(set().union(*split)).__getitem__
-                yield from (iter([list(map(get, words))]) for words in split)
+                # places in the list of the block's words: the words themselves, one by one, take up 15 times their text
+                place = defaultdict(itertools.count().__next__)
+                placed = [array("i", map(place.__getitem__, next(self.split(x)) if x else [])) for x in some]
+                get = self.known(place).__getitem__
+                yield from (iter([list(map(get, at))]) for at in placed)
+
+    def looked_up(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        distinct = dict.fromkeys(words)
+        return list(map(dict(zip(distinct, self.known(distinct), strict=True)).__getitem__, words))
 
     def decoded(self, ids: list[bytes]) -> list[bytes]:
         """The bytes that each sequence of decimal ids stands for."""
@@ -278,9 +295,9 @@ class Coder:
         return found
 
 
-def held_bytes(words: dict[str, tuple[bytes, bytes]]) -> int:
-    """About what known words take up; ids of ASCII words are some three times their length."""
-    return 250 * len(words) + 6 * sum(map(len, words))
+def held_bytes(words: dict[str, bytes]) -> int:
+    """About what known words take up: two objects and a place in a dictionary, the word twice and its ids."""
+    return 150 * len(words) + sum(map(len, words)) + sum(map(len, words.values()))
 
 
 def joined(w: np.ndarray, t: np.ndarray, words: int) -> list[bytes]:

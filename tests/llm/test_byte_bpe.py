@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers as P
 import pytest
@@ -165,3 +166,19 @@ def test_known_words_outlive_a_task(monkeypatch):
     monkeypatch.setattr(code, "coded", lambda words: pytest.fail(f"{len(words)} words again"))
     with code.awake():
         list(code.documents([text]))
+
+
+def test_known_words_and_blocks_take_little(monkeypatch):
+    """A known word took 290 bytes as a tuple of two, and the words of a block, one by one, 15 times its text."""
+    code = byte_bpe.Coder(RANKS, P.PATTERN)
+    monkeypatch.setattr(code, "coded", lambda words: [b"0"] * len(words))
+    monkeypatch.setattr(code, "decoded", lambda ids: [b"!"] * len(ids))
+    block = [" ".join(f"w{i % 500}" for i in range(n, n + 50_000)) for n in range(10)]
+    tracemalloc.start()
+    docs = code.documents(block)
+    next(docs)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 5 * sum(map(len, block))
+    list(docs)
+    assert all(type(x) is bytes for x in code.recent.values())

@@ -69,19 +69,23 @@ def renumber_episodes(ds: Dataset) -> Dataset:
     return ds.with_(frames=frames, episodes=episodes, stats=stats)
 
 
-def reindex(ds: Dataset, reset_frame_index: bool = True, reset_timestamp: str | None = None) -> Dataset:
-    """Dense episodes, frame_index as the place in the episode, index as the place in the dataset."""
+def reindex(ds: Dataset, reset_frame_index: bool = True, reset_timestamp: str | None = None, renumber: bool = True) -> Dataset:
+    """Dense episodes (where ``renumber``, else they keep their numbers), frame_index as the place in the episode,
+    index as the place in the dataset."""
     places = length_prefix(episode_lengths(ds))
     frames = ds.frames
     if reset_frame_index:
         w = Window.partitionBy("episode_index").orderBy("frame_index", *(c for c in ("index",) if c in frames.columns))
         frames = frames.withColumn("frame_index", (F.row_number().over(w) - 1).cast("long"))
     frames = frames.join(places.drop("length"), "episode_index")
-    frames = frames.withColumn(
-        "index", F.col("first_index") + F.col("frame_index")
-    ).withColumn("episode_index", F.col("new_episode")).drop("first_index", "new_episode")
+    frames = frames.withColumn("index", F.col("first_index") + F.col("frame_index"))
+    if renumber:
+        frames = frames.withColumn("episode_index", F.col("new_episode"))
+    frames = frames.drop("first_index", "new_episode")
     if reset_timestamp:
         frames = frames.withColumn("timestamp", frame_time(F.col("frame_index"), ds.info.fps, reset_timestamp))
+    if not renumber:
+        return ds.with_(frames=frames)
     numbers = places.select("episode_index", "new_episode")
     episodes = ds.episodes.join(numbers, "episode_index").withColumn("episode_index", F.col("new_episode")).drop("new_episode")
     stats = ds.stats and ds.stats.join(numbers, "episode_index").withColumn("episode_index", F.col("new_episode")).drop("new_episode")

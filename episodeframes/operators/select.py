@@ -116,12 +116,18 @@ def rename_stats(stats: DataFrame | None, names: Mapping[str, str]) -> DataFrame
 
 
 def trim_frames(
-    ds: Dataset, head: int = 0, tail: int = 0, head_s: float | None = None, tail_s: float | None = None, on_short: str = "error"
+    ds: Dataset, head: int = 0, tail: int = 0, head_s: float | None = None, tail_s: float | None = None, on_short: str = "error",
+    whole: int | None = None, renumber: bool = True
 ) -> Dataset:
     """Frames off the head and tail (seconds override, rounded half to even). An episode without rest is an error, or is
-    dropped; survivors are renumbered and their times rebuilt."""
+    dropped; survivors are renumbered (where ``renumber``) and their times rebuilt.
+
+    Where episodes are recorded over ``whole`` frames, head and tail are frame numbers of a whole episode: one that was cut
+    short, or lacks frames, loses only those that it has of them."""
     head = round(head_s * ds.info.fps) if head_s is not None else head
     tail = round(tail_s * ds.info.fps) if tail_s is not None else tail
+    if whole is not None:
+        return reindex(_trim_whole(ds, head, whole - tail, on_short), reset_timestamp="rounded", renumber=renumber)
     n, place = F.count(F.lit(1)).over(Window.partitionBy("episode_index")), F.row_number().over(
         Window.partitionBy("episode_index").orderBy("frame_index")
     ) - 1
@@ -130,7 +136,17 @@ def trim_frames(
         df = df.filter(F.assert_true(F.col("_n") > head + tail, F.lit("an episode is not longer than what is trimmed")).isNull())
     df = df.filter((F.col("_place") >= head) & (F.col("_place") < F.col("_n") - tail)).drop("_n", "_place")
     episodes = ds.episodes.withColumn("length", F.col("length") - head - tail).filter("length > 0")
-    return reindex(ds.with_(frames=df, episodes=episodes, stats=None), reset_timestamp="rounded")
+    return reindex(ds.with_(frames=df, episodes=episodes, stats=None), reset_timestamp="rounded", renumber=renumber)
+
+
+def _trim_whole(ds: Dataset, start: int, end: int, on_short: str) -> Dataset:
+    """Frames start to end - 1 of each episode, and its length counted from them."""
+    inside = F.col("frame_index").between(start, end - 1)
+    left = ds.frames.groupBy("episode_index").agg(F.count_if(inside).alias("_left"))
+    if on_short == "error":
+        left = left.filter(F.assert_true(F.col("_left") > 0, F.lit("an episode has only frames that are trimmed")).isNull())
+    episodes = ds.episodes.join(left, "episode_index").withColumn("length", F.col("_left")).drop("_left").filter("length > 0")
+    return ds.with_(frames=ds.frames.filter(inside), episodes=episodes, stats=None)
 
 
 def decimate(ds: Dataset, factor: int) -> Dataset:

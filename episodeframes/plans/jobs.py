@@ -32,9 +32,11 @@ def clean_idle(
     return recomputed(out, features, widths, info), report
 
 
-def trim_tails(ds: Dataset, frames: int = 0, seconds: float | None = None) -> Dataset:
-    """J2."""
-    return recomputed(select.trim_frames(ds, tail=frames, tail_s=seconds))
+def trim_tails(ds: Dataset, frames: int = 0, seconds: float | None = None, whole: int | None = None) -> Dataset:
+    """Episodes keep their numbers. One that is not longer than its tail is an error; where episodes are recorded over
+    ``whole`` frames, one that was cut short loses what it has of the tail, and only one without other frames goes."""
+    on_short = "error" if whole is None else "drop"
+    return recomputed(select.trim_frames(ds, tail=frames, tail_s=seconds, on_short=on_short, whole=whole, renumber=False))
 
 
 def reject(problems: DataFrame, what: str) -> None:
